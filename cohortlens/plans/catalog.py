@@ -1,6 +1,8 @@
 """Registered queries: name -> (spark, sf_dir) -> DataFrame.
 
 Names follow SURVEY §7.4; every query reads the driver's tables in full.
+Derived doubles are rounded (4 places for statistics, 6 for features) so
+that the DuckDB oracle can match them exactly.
 """
 
 from __future__ import annotations
@@ -8,26 +10,229 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cohortlens.config import ClusterConfig
+from cohortlens.functions.scalar import WEEKDAY_NAMES
+from cohortlens.operators import charts, cluster, profile, stats, temporal
+from cohortlens.operators.clean import clean_audit
+from cohortlens.operators.features import LOG_COLS, RAW_COLS, SCALED_COLS, log_transform
 from cohortlens.operators.rfm import top_customers
 from cohortlens.plans import stages
+from cohortlens.plans.stages import TEMPORAL, TX
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# KMeans fits registered as queries: the reference's k range and seed; five
+# restarts per k instead of twenty keep the sweep to 35 distributed fits.
+QUERY_KMEANS = ClusterConfig(n_init=5)
 
-def _rfm(spark: SparkSession, sf: str) -> DataFrame:
+
+def _round(df: DataFrame, cols, digits: int) -> DataFrame:
+    return df.withColumns({c: F.round(F.col(c), digits) for c in cols})
+
+
+# -- Entry A: cleaning, RFM, statistics --------------------------------------
+
+def clean_transactions(spark, sf):
+    return stages.orders_clean(spark, sf)
+
+
+def clean_audit_q(spark, sf):
+    return clean_audit(stages.orders_raw(spark, sf), TX)
+
+
+def missing_ratio(spark, sf):
+    return stats.missing_ratio(stages.orders_clean(spark, sf))
+
+
+def revenue_describe(spark, sf):
+    return stats.describe(stages.orders_clean(spark, sf), [TX.revenue])
+
+
+def date_range_uniques(spark, sf):
+    return stats.date_range_uniques(stages.orders_clean(spark, sf), TX.date, TX.customer, TX.invoice)
+
+
+def rfm(spark, sf):
     return stages.orders_rfm(spark, sf)
 
 
+def rfm_events(spark, sf):
+    return stages.events_rfm(spark, sf)
+
+
+def rfm_describe(spark, sf):
+    return stats.describe(stages.orders_rfm(spark, sf), RAW_COLS)
+
+
+def rfm_skew(spark, sf):
+    return stats.skewness(stages.orders_rfm(spark, sf), RAW_COLS)
+
+
 def _top(col: str) -> Query:
     return lambda spark, sf: top_customers(stages.orders_rfm(spark, sf), col, 10)
 
 
+# -- Entry B: features, clusters, profiles ------------------------------------
+
+def rfm_log(spark, sf):
+    out = log_transform(stages.orders_rfm(spark, sf)).select("CustomerID", *LOG_COLS)
+    return _round(out, LOG_COLS, 6)
+
+
+def rfm_log_skew(spark, sf):
+    return stats.skewness(log_transform(stages.orders_rfm(spark, sf)), LOG_COLS)
+
+
+def rfm_scaled(spark, sf):
+    out = stages.orders_features(spark, sf).select("CustomerID", *LOG_COLS, *SCALED_COLS)
+    return _round(out, [*LOG_COLS, *SCALED_COLS], 6)
+
+
+def scaled_describe(spark, sf):
+    return stats.describe(stages.orders_features(spark, sf), SCALED_COLS, (0.25, 0.5, 0.75))
+
+
+def assign_fixed_centres(spark, sf):
+    return stages.orders_fixed_clusters(spark, sf).select("CustomerID", "Cluster")
+
+
+def inertia_fixed_centres(spark, sf):
+    out = cluster.inertia(stages.orders_features(spark, sf), cluster.FIXED_CENTRES)
+    return _round(out, ["inertia"], 4)
+
+
+def silhouette_fixed_centres(spark, sf):
+    out = cluster.silhouette(stages.orders_fixed_clusters(spark, sf))
+    return _round(out, ["silhouette_sq_euclidean"], 4)
+
+
+def kmeans_counts(spark, sf):
+    labelled = cluster.kmeans_clusters(stages.orders_features(spark, sf), QUERY_KMEANS)
+    return cluster.cluster_sizes(labelled)
+
+
+def kmeans_sweep(spark, sf):
+    return cluster.kmeans_sweep(stages.orders_features(spark, sf), QUERY_KMEANS)
+
+
+def cluster_profile(spark, sf):
+    return profile.cluster_profile(stages.orders_fixed_clusters(spark, sf))
+
+
+def cluster_medians(spark, sf):
+    return profile.cluster_medians(stages.orders_fixed_clusters(spark, sf))
+
+
+def cluster_sizes(spark, sf):
+    return cluster.cluster_sizes(stages.orders_fixed_clusters(spark, sf))
+
+
+def segment_names(spark, sf):
+    meds = profile.cluster_medians(stages.orders_fixed_clusters(spark, sf), digits=None)
+    return cluster.segment_names(meds)
+
+
+def segment_revenue_share(spark, sf):
+    return cluster.segment_revenue_share(stages.orders_fixed_clusters(spark, sf))
+
+
+# -- Entry C: activity timing --------------------------------------------------
+
+def time_features(spark, sf):
+    clean = stages.events_clean(spark, sf).select(
+        TX.invoice, F.col(TX.customer).alias("CustomerID"), TX.date
+    )
+    return temporal.enrich_time_features(clean, TX.date, TEMPORAL)
+
+
+def _counts(slot: str) -> Query:
+    def q(spark, sf):
+        return temporal.slot_counts(
+            stages.events_activity(spark, sf), TEMPORAL.cluster_col, slot, weight_col="transactions"
+        )
+
+    return q
+
+
+def _top_pref(slot: str, n: int, categories=None) -> Query:
+    def q(spark, sf):
+        return temporal.top_preferences(
+            stages.events_activity(spark, sf),
+            TEMPORAL.cluster_col,
+            slot,
+            n,
+            weight_col="transactions",
+            categories=categories,
+        )
+
+    return q
+
+
+def _top_unique(slot: str, n: int, categories=None) -> Query:
+    def q(spark, sf):
+        return temporal.top_unique_customers(
+            stages.events_activity(spark, sf), TEMPORAL.cluster_col, slot, TEMPORAL.id_col, n, categories
+        )
+
+    return q
+
+
+def temporal_profile(spark, sf):
+    return stages.events_temporal_profile(spark, sf)
+
+
+def _chart(fn) -> Query:
+    return lambda spark, sf: fn(stages.events_temporal_profile(spark, sf))
+
+
 def queries() -> dict[str, Query]:
-    q: dict[str, Query] = {}
-    q["clean_transactions"] = stages.orders_clean
-    q["rfm"] = _rfm
-    q["rfm_top_monetary"] = _top("Monetary")
-    q["rfm_top_frequency"] = _top("Frequency")
-    q["rfm_top_recency"] = _top("Recency")
+    q: dict[str, Query] = {
+        "clean_transactions": clean_transactions,
+        "clean_audit": clean_audit_q,
+        "missing_ratio": missing_ratio,
+        "revenue_describe": revenue_describe,
+        "date_range_uniques": date_range_uniques,
+        "rfm": rfm,
+        "rfm_events": rfm_events,
+        "rfm_describe": rfm_describe,
+        "rfm_skew": rfm_skew,
+        "rfm_top_monetary": _top("Monetary"),
+        "rfm_top_frequency": _top("Frequency"),
+        "rfm_top_recency": _top("Recency"),
+        "rfm_log": rfm_log,
+        "rfm_log_skew": rfm_log_skew,
+        "rfm_scaled": rfm_scaled,
+        "scaled_describe": scaled_describe,
+        "assign_fixed_centres": assign_fixed_centres,
+        "inertia_fixed_centres": inertia_fixed_centres,
+        "silhouette_fixed_centres": silhouette_fixed_centres,
+        "kmeans_counts": kmeans_counts,
+        "kmeans_sweep": kmeans_sweep,
+        "cluster_profile": cluster_profile,
+        "cluster_medians": cluster_medians,
+        "cluster_sizes": cluster_sizes,
+        "segment_names": segment_names,
+        "segment_revenue_share": segment_revenue_share,
+        "time_features": time_features,
+        "dow_counts": _counts("day_of_week"),
+        "hour_counts": _counts("hour"),
+        "period_counts": _counts("month_period"),
+        "top_dow": _top_pref("day_of_week", 3),
+        "top_hour": _top_pref("hour", 5),
+        "top_period": _top_pref("month_period", 3, TEMPORAL.labels),
+        "top_dow_unique": _top_unique("day_of_week", 3),
+        "top_hour_unique": _top_unique("hour", 5),
+        "top_period_unique": _top_unique("month_period", 3, TEMPORAL.labels),
+        "temporal_profile": temporal_profile,
+        "hour_share": _chart(charts.hour_share),
+        "dow_share": _chart(charts.dow_share),
+        "dow_hour_share": _chart(charts.dow_hour_share),
+        "period_share": _chart(charts.period_share),
+        "dow_ranking": _chart(charts.dow_ranking),
+    }
     return q
+
+
+__all__ = ["WEEKDAY_NAMES", "queries"]

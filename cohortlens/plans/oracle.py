@@ -1,13 +1,19 @@
 """DuckDB SQL equivalents of the registered queries (the correctness oracle).
 
 The SQL is assembled from CTE fragments that mirror the Spark stages:
-raw (adapter) -> tagged (drop reason) -> clean -> rfm -> scaled -> clusters.
-Every computed column carries the same alias as the Spark query, counts are
-BIGINT and derived doubles are rounded identically on both sides.
+raw (adapter) -> tagged (drop reason) -> clean -> rfm -> logged -> scaled
+-> assigned (fixed centres) -> enriched / profile. Every computed column
+carries the same alias as the Spark query, counts are BIGINT, and derived
+doubles are rounded identically on both sides (``+ 0.0`` turns a rounded
+negative zero into zero, as Spark's decimal rounding does).
 """
 
 from __future__ import annotations
 
+from cohortlens.functions.scalar import WEEKDAY_NAMES
+from cohortlens.operators.clean import AUDIT_STEPS
+from cohortlens.operators.cluster import FIXED_CENTRES, SEGMENT_NAMES
+
 # -- adapters ---------------------------------------------------------------
 
 RAW_ORDERS = """raw AS (
@@ -62,7 +68,7 @@ CLEAN = """clean AS (
   SELECT DISTINCT * EXCLUDE (reason) FROM tagged WHERE reason IS NULL
 )"""
 
-# -- RFM --------------------------------------------------------------------
+# -- RFM, features, fixed-centre clusters --------------------------------------
 
 RFM = """snap AS (
   SELECT CAST(CAST(max("InvoiceDate") AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY AS s FROM clean
@@ -76,22 +82,339 @@ rfm AS (
   GROUP BY "Customer ID"
 )"""
 
+LOGGED = """logged AS (
+  SELECT *, ln(1 + CAST(Recency AS DOUBLE)) AS R_log,
+            ln(1 + CAST(Frequency AS DOUBLE)) AS F_log,
+            ln(1 + Monetary) AS M_log
+  FROM rfm
+)"""
+
+
+def _z(col: str) -> str:
+    return (
+        f"({col}_log - (SELECT avg({col}_log) FROM logged)) / "
+        f"(SELECT CASE WHEN stddev_pop({col}_log) = 0 THEN 1.0 ELSE stddev_pop({col}_log) END FROM logged)"
+    )
+
+
+SCALED = f"""scaled AS (
+  SELECT *, {_z('R')} AS R_scaled, {_z('F')} AS F_scaled, {_z('M')} AS M_scaled
+  FROM logged
+)"""
+
+
+def _dist(i: int, centre) -> str:
+    terms = [
+        f"(({c} - {float(v)!r}) * ({c} - {float(v)!r}))"
+        for c, v in zip(("R_scaled", "F_scaled", "M_scaled"), centre)
+    ]
+    expr = terms[0]
+    for t in terms[1:]:
+        expr = f"({expr} + {t})"
+    return f"{expr} AS d{i}"
+
+
+def _argmin(k: int) -> str:
+    cases = []
+    for i in range(k - 1):
+        conds = " AND ".join(f"d{i} <= d{j}" for j in range(i + 1, k))
+        cases.append(f"WHEN {conds} THEN {i}")
+    return f"CAST(CASE {' '.join(cases)} ELSE {k - 1} END AS INTEGER)"
+
+
+ASSIGNED = f"""dists AS (
+  SELECT *, {', '.join(_dist(i, c) for i, c in enumerate(FIXED_CENTRES))} FROM scaled
+),
+assigned AS (
+  SELECT *, {_argmin(len(FIXED_CENTRES))} AS Cluster FROM dists
+)"""
+
+# -- temporal ----------------------------------------------------------------
+
+ENRICHED = """enriched AS (
+  SELECT c."Invoice" AS "Invoice", c."Customer ID" AS CustomerID, c."InvoiceDate" AS "InvoiceDate",
+         CAST(hour(c."InvoiceDate") AS INTEGER) AS hour,
+         dayname(c."InvoiceDate") AS day_of_week,
+         CAST(isodow(c."InvoiceDate") - 1 AS INTEGER) AS dow_num,
+         isodow(c."InvoiceDate") - 1 >= 5 AS is_weekend,
+         CAST(day(c."InvoiceDate") AS INTEGER) AS day_of_month,
+         CAST(month(c."InvoiceDate") AS INTEGER) AS month,
+         CASE WHEN day(c."InvoiceDate") > 0 AND day(c."InvoiceDate") <= 10 THEN 'Early'
+              WHEN day(c."InvoiceDate") > 10 AND day(c."InvoiceDate") <= 20 THEN 'Mid'
+              WHEN day(c."InvoiceDate") > 20 AND day(c."InvoiceDate") <= 31 THEN 'Late' END AS month_period
+  FROM clean c
+)"""
+
+ACTIVITY = """activity AS (
+  SELECT e.*, a.Cluster FROM enriched e JOIN assigned a ON e.CustomerID = a.CustomerID
+)"""
+
+PROFILE = """prof AS (
+  SELECT Cluster, day_of_week, hour, month_period,
+         CAST(count(*) AS BIGINT) AS transactions,
+         CAST(count(DISTINCT CustomerID) AS BIGINT) AS unique_customers
+  FROM activity
+  WHERE day_of_week IS NOT NULL AND hour IS NOT NULL AND month_period IS NOT NULL
+  GROUP BY Cluster, day_of_week, hour, month_period
+)"""
+
 
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-ORDERS_RFM = with_ctes(RAW_ORDERS, TAGGED, CLEAN, RFM)
 ORDERS_CLEAN = with_ctes(RAW_ORDERS, TAGGED, CLEAN)
+ORDERS_RFM = with_ctes(RAW_ORDERS, TAGGED, CLEAN, RFM)
+ORDERS_SCALED = with_ctes(RAW_ORDERS, TAGGED, CLEAN, RFM, LOGGED, SCALED)
+ORDERS_ASSIGNED = with_ctes(RAW_ORDERS, TAGGED, CLEAN, RFM, LOGGED, SCALED, ASSIGNED)
+EVENTS_CLEAN = with_ctes(RAW_EVENTS, TAGGED, CLEAN)
+EVENTS_RFM = with_ctes(RAW_EVENTS, TAGGED, CLEAN, RFM)
+EVENTS_ENRICHED = with_ctes(RAW_EVENTS, TAGGED, CLEAN, ENRICHED)
+EVENTS_ACTIVITY = with_ctes(RAW_EVENTS, TAGGED, CLEAN, RFM, LOGGED, SCALED, ASSIGNED, ENRICHED, ACTIVITY)
+EVENTS_PROFILE = with_ctes(RAW_EVENTS, TAGGED, CLEAN, RFM, LOGGED, SCALED, ASSIGNED, ENRICHED, ACTIVITY, PROFILE)
+
+
+def r(expr: str, digits: int) -> str:
+    return f"(round({expr}, {digits}) + 0.0)"
+
+
+def _describe(source: str, cols, probs) -> str:
+    parts = []
+    for c in cols:
+        x = f'CAST("{c}" AS DOUBLE)'
+        qs = ", ".join(
+            f"{r(f'quantile_cont(x, {p})', 4)} AS p{round(p * 100):d}" for p in probs
+        )
+        parts.append(
+            f"SELECT '{c}' AS field, CAST(count(x) AS BIGINT) AS count, {r('avg(x)', 4)} AS mean, "
+            f"{r('stddev_samp(x)', 4)} AS std, {r('min(x)', 4)} AS min, {qs}, {r('max(x)', 4)} AS max "
+            f"FROM (SELECT {x} AS x FROM {source}) WHERE x IS NOT NULL AND NOT isnan(x)"
+        )
+    return "\nUNION ALL\n".join(parts)
+
+
+def _skew(source: str, cols) -> str:
+    parts = [
+        f"SELECT '{c}' AS field, {r('skewness(x)', 4)} AS skewness "
+        f'FROM (SELECT CAST("{c}" AS DOUBLE) AS x FROM {source}) WHERE x IS NOT NULL AND NOT isnan(x)'
+        for c in cols
+    ]
+    return "\nUNION ALL\n".join(parts)
+
+
+def _missing(source: str, cols_types) -> str:
+    parts = []
+    for i, (c, is_float) in enumerate(cols_types):
+        cond = f'"{c}" IS NULL' + (f' OR isnan("{c}")' if is_float else "")
+        parts.append(
+            f"SELECT '{c}' AS field, {i} AS position, "
+            f"avg(CASE WHEN {cond} THEN 1.0 ELSE 0.0 END) AS missing_ratio FROM {source}"
+        )
+    return (
+        "SELECT * FROM (\n" + "\nUNION ALL\n".join(parts) + "\n) ORDER BY missing_ratio DESC, position LIMIT 10"
+    )
+
+
+def _audit() -> str:
+    counts = ", ".join(
+        f"count(*) FILTER (WHERE reason = '{s}') AS {s}" for s in AUDIT_STEPS[1:-2]
+    )
+    rows = [f"SELECT 0 AS step, 'rows_in' AS rule, CAST(rows_in AS BIGINT) AS rows FROM counts"]
+    for i, s in enumerate(AUDIT_STEPS[1:-2], start=1):
+        rows.append(f"SELECT {i}, '{s}', CAST({s} AS BIGINT) FROM counts")
+    n = len(AUDIT_STEPS)
+    rows.append(f"SELECT {n - 2}, 'duplicate', CAST(kept - rows_out AS BIGINT) FROM counts, outc")
+    rows.append(f"SELECT {n - 1}, 'rows_out', CAST(rows_out AS BIGINT) FROM outc")
+    return (
+        with_ctes(
+            RAW_ORDERS,
+            TAGGED,
+            CLEAN,
+            f"counts AS (SELECT count(*) AS rows_in, count(*) FILTER (WHERE reason IS NULL) AS kept, {counts} FROM tagged)",
+            "outc AS (SELECT count(*) AS rows_out FROM clean)",
+        )
+        + "\nUNION ALL\n".join(rows)
+    )
+
+
+def _slot_order(slot: str) -> str:
+    if slot == "month_period":
+        return "CASE month_period WHEN 'Early' THEN 0 WHEN 'Mid' THEN 1 WHEN 'Late' THEN 2 END"
+    return slot
+
+
+def _top(slot: str, n: int, unique: bool, dense: bool) -> str:
+    name = "unique_customers" if unique else "transactions"
+    pct = "pct_unique_within_cluster" if unique else "pct_within_cluster"
+    agg = "count(DISTINCT CustomerID)" if unique else "count(*)"
+    counts = (
+        f"cnt AS (SELECT Cluster, {slot}, CAST({agg} AS BIGINT) AS {name} FROM activity "
+        f"WHERE {slot} IS NOT NULL GROUP BY Cluster, {slot})"
+    )
+    ctes = [counts]
+    src = "cnt"
+    if dense:
+        ctes.append(
+            "grid AS (SELECT Cluster, unnest(['Early', 'Mid', 'Late']) AS month_period "
+            "FROM (SELECT DISTINCT Cluster FROM cnt))"
+        )
+        ctes.append(
+            f"dense AS (SELECT g.Cluster, g.month_period, CAST(coalesce(c.{name}, 0) AS BIGINT) AS {name} "
+            "FROM grid g LEFT JOIN cnt c ON g.Cluster = c.Cluster AND g.month_period = c.month_period)"
+        )
+        src = "dense"
+    ctes.append(
+        f"pct AS (SELECT *, {name} / sum({name}) OVER (PARTITION BY Cluster) AS {pct} FROM {src})"
+    )
+    ctes.append(
+        f"ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY Cluster ORDER BY {pct} DESC, "
+        f"{_slot_order(slot)} ASC) AS INTEGER) AS rank FROM pct)"
+    )
+    return (
+        EVENTS_ACTIVITY.rstrip("\n")
+        + ",\n"
+        + ",\n".join(ctes)
+        + f"\nSELECT Cluster, {slot}, {name}, {pct}, rank FROM ranked WHERE rank <= {n}"
+    )
+
+
+def _share(row_keys, col_key, values, names) -> str:
+    rk = ", ".join(row_keys)
+    lit = (lambda v: f"'{v}'") if isinstance(values[0], str) else str
+    cols = ", ".join(
+        f"coalesce(max(share) FILTER (WHERE {col_key} = {lit(v)}), 0.0) AS {n}" for v, n in zip(values, names)
+    )
+    extra = ""
+    if row_keys == ["day_of_week"]:
+        days = ", ".join(f"'{d}'" for d in WEEKDAY_NAMES)
+        extra = f", CAST(list_position([{days}], day_of_week) - 1 AS INTEGER) AS dow_num"
+    return EVENTS_PROFILE.rstrip("\n") + f""",
+s AS (SELECT {rk}, {col_key}, sum(unique_customers) AS v FROM prof GROUP BY {rk}, {col_key}),
+sh AS (SELECT {rk}, {col_key}, v / sum(v) OVER (PARTITION BY {rk}) AS share FROM s)
+SELECT {rk}{extra}, {cols} FROM sh GROUP BY {rk}"""
 
 
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
+    raw_cols = [
+        ("Invoice", False), ("StockCode", False), ("Description", False), ("Quantity", False),
+        ("InvoiceDate", False), ("Price", True), ("Customer ID", False), ("Country", False),
+        ("Revenue", True),
+    ]
+    # Entry A
+    q["clean_transactions"] = ORDERS_CLEAN + "SELECT * FROM clean"
+    q["clean_audit"] = _audit()
+    q["missing_ratio"] = ORDERS_CLEAN + _missing("clean", raw_cols)
+    q["revenue_describe"] = ORDERS_CLEAN + _describe("clean", ["Revenue"], (0.5, 0.9, 0.95, 0.99))
+    q["date_range_uniques"] = ORDERS_CLEAN + (
+        'SELECT min("InvoiceDate") AS min_date, max("InvoiceDate") AS max_date, '
+        'CAST(count(DISTINCT "Customer ID") AS BIGINT) AS customers, '
+        'CAST(count(DISTINCT "Invoice") AS BIGINT) AS invoices FROM clean'
+    )
     q["rfm"] = ORDERS_RFM + "SELECT * FROM rfm"
+    q["rfm_events"] = EVENTS_RFM + "SELECT * FROM rfm"
+    rfm_cols = ["Recency", "Frequency", "Monetary"]
+    q["rfm_describe"] = ORDERS_RFM + _describe("rfm", rfm_cols, (0.5, 0.9, 0.95, 0.99))
+    q["rfm_skew"] = ORDERS_RFM + _skew("rfm", rfm_cols)
     for name, col in (("monetary", "Monetary"), ("frequency", "Frequency"), ("recency", "Recency")):
-        q[f"rfm_top_{name}"] = (
-            ORDERS_RFM + f"SELECT * FROM rfm ORDER BY {col} DESC, CustomerID ASC LIMIT 10"
+        q[f"rfm_top_{name}"] = ORDERS_RFM + f"SELECT * FROM rfm ORDER BY {col} DESC, CustomerID ASC LIMIT 10"
+
+    # Entry B
+    logs = ["R_log", "F_log", "M_log"]
+    scaled = ["R_scaled", "F_scaled", "M_scaled"]
+    q["rfm_log"] = with_ctes(RAW_ORDERS, TAGGED, CLEAN, RFM, LOGGED) + (
+        "SELECT CustomerID, " + ", ".join(f"{r(c, 6)} AS {c}" for c in logs) + " FROM logged"
+    )
+    q["rfm_log_skew"] = with_ctes(RAW_ORDERS, TAGGED, CLEAN, RFM, LOGGED) + _skew("logged", logs)
+    q["rfm_scaled"] = ORDERS_SCALED + (
+        "SELECT CustomerID, " + ", ".join(f"{r(c, 6)} AS {c}" for c in logs + scaled) + " FROM scaled"
+    )
+    q["scaled_describe"] = ORDERS_SCALED + _describe("scaled", scaled, (0.25, 0.5, 0.75))
+    q["assign_fixed_centres"] = ORDERS_ASSIGNED + "SELECT CustomerID, Cluster FROM assigned"
+    k = len(FIXED_CENTRES)
+    least = "least(" + ", ".join(f"d{i}" for i in range(k)) + ")"
+    q["inertia_fixed_centres"] = ORDERS_ASSIGNED + f"SELECT {r(f'sum({least})', 4)} AS inertia FROM assigned"
+    q["silhouette_fixed_centres"] = ORDERS_ASSIGNED.rstrip("\n") + """,
+cstats AS (
+  SELECT Cluster AS id, CAST(count(*) AS DOUBLE) AS n,
+         sum(R_scaled) AS y0, sum(F_scaled) AS y1, sum(M_scaled) AS y2,
+         sum(((R_scaled * R_scaled) + (F_scaled * F_scaled)) + (M_scaled * M_scaled)) AS psi
+  FROM assigned GROUP BY Cluster
+),
+pts AS (
+  SELECT row_number() OVER () AS pid, Cluster, R_scaled AS x0, F_scaled AS x1, M_scaled AS x2,
+         ((R_scaled * R_scaled) + (F_scaled * F_scaled)) + (M_scaled * M_scaled) AS norm2
+  FROM assigned
+),
+pd AS (
+  SELECT p.pid, p.Cluster, s.id, s.n,
+         p.norm2 - 2.0 * (((x0 * y0) + (x1 * y1)) + (x2 * y2)) / s.n + s.psi / s.n AS msq
+  FROM pts p CROSS JOIN cstats s
+),
+per_point AS (
+  SELECT pid,
+         max(CASE WHEN id = Cluster THEN msq * n / (n - 1) END) AS a,
+         min(CASE WHEN id <> Cluster THEN msq END) AS b,
+         max(CASE WHEN id = Cluster THEN n END) AS own_n
+  FROM pd GROUP BY pid
+)
+SELECT """ + r(
+        "avg(CASE WHEN own_n <= 1 OR b IS NULL THEN 0.0 WHEN a < b THEN 1.0 - a / b "
+        "WHEN a > b THEN b / a - 1.0 ELSE 0.0 END)",
+        4,
+    ) + " AS silhouette_sq_euclidean FROM per_point"
+
+    profile_cols = []
+    for c in rfm_cols:
+        profile_cols.append(f"{r(f'avg(CAST({c} AS DOUBLE))', 4)} AS {c}_mean")
+        profile_cols.append(f"{r(f'quantile_cont(CAST({c} AS DOUBLE), 0.5)', 4)} AS {c}_median")
+    q["cluster_profile"] = ORDERS_ASSIGNED + (
+        "SELECT Cluster, CAST(count(CustomerID) AS BIGINT) AS Customers, "
+        + ", ".join(profile_cols)
+        + " FROM assigned GROUP BY Cluster"
+    )
+    q["cluster_medians"] = ORDERS_ASSIGNED + (
+        "SELECT Cluster, "
+        + ", ".join(f"{r(f'quantile_cont(CAST({c} AS DOUBLE), 0.5)', 4)} AS {c}_median" for c in rfm_cols)
+        + " FROM assigned GROUP BY Cluster"
+    )
+    q["cluster_sizes"] = ORDERS_ASSIGNED + (
+        "SELECT Cluster, CAST(count(*) AS BIGINT) AS Customers FROM assigned GROUP BY Cluster"
+    )
+    names = " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(SEGMENT_NAMES, start=1))
+    q["segment_names"] = ORDERS_ASSIGNED.rstrip("\n") + f""",
+med AS (SELECT Cluster, quantile_cont(Monetary, 0.5) AS m FROM assigned GROUP BY Cluster),
+rk AS (SELECT Cluster, CAST(row_number() OVER (ORDER BY m DESC, Cluster ASC) AS INTEGER) AS segment_rank FROM med)
+SELECT Cluster, segment_rank,
+       CASE segment_rank {names} ELSE 'Segment ' || CAST(segment_rank AS VARCHAR) END AS segment
+FROM rk"""
+    q["segment_revenue_share"] = ORDERS_ASSIGNED.rstrip("\n") + """,
+per AS (SELECT Cluster, CAST(sum(CAST(Monetary AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
+               CAST(count(*) AS BIGINT) AS Customers FROM assigned GROUP BY Cluster)
+SELECT Cluster, Customers, revenue, """ + r("revenue / sum(revenue) OVER ()", 6) + " AS revenue_share FROM per"
+
+    # Entry C
+    q["time_features"] = EVENTS_ENRICHED + "SELECT * FROM enriched"
+    for slot, qname in (("day_of_week", "dow_counts"), ("hour", "hour_counts"), ("month_period", "period_counts")):
+        q[qname] = EVENTS_ACTIVITY + (
+            f"SELECT Cluster, {slot}, CAST(count(*) AS BIGINT) AS transactions FROM activity "
+            f"WHERE {slot} IS NOT NULL GROUP BY Cluster, {slot}"
         )
-    q["clean_transactions"] = ORDERS_CLEAN + "SELECT * FROM clean"
+    for slot, short, n in (("day_of_week", "dow", 3), ("hour", "hour", 5), ("month_period", "period", 3)):
+        dense = slot == "month_period"
+        q[f"top_{short}"] = _top(slot, n, unique=False, dense=dense)
+        q[f"top_{short}_unique"] = _top(slot, n, unique=True, dense=dense)
+    q["temporal_profile"] = EVENTS_PROFILE + "SELECT * FROM prof"
+    hours = list(range(24))
+    hnames = [f"h{h}" for h in hours]
+    q["hour_share"] = _share(["Cluster"], "hour", hours, hnames)
+    q["dow_share"] = _share(["Cluster"], "day_of_week", list(WEEKDAY_NAMES), list(WEEKDAY_NAMES))
+    q["dow_hour_share"] = _share(["day_of_week"], "hour", hours, hnames)
+    q["period_share"] = _share(["Cluster"], "month_period", ["Early", "Mid", "Late"], ["Early", "Mid", "Late"])
+    days = ", ".join(f"'{d}'" for d in WEEKDAY_NAMES)
+    q["dow_ranking"] = EVENTS_PROFILE.rstrip("\n") + f""",
+s AS (SELECT Cluster, day_of_week, CAST(sum(unique_customers) AS BIGINT) AS unique_customers
+      FROM prof GROUP BY Cluster, day_of_week)
+SELECT *, CAST(row_number() OVER (PARTITION BY Cluster ORDER BY unique_customers DESC,
+       list_position([{days}], day_of_week) ASC) AS INTEGER) AS rank FROM s"""
     return q
-

@@ -4,34 +4,83 @@ Entry A  raw transactions -> clean -> RFM
 Entry B  RFM -> log1p + z-score -> clusters -> profile
 Entry C  clean transactions + clusters -> activity summaries -> chart tables
 
-Each function only builds a plan; nothing runs until an action.
+Two inputs feed them: order lines (orders / lineitem / part / customer /
+nation; midnight dates) and events (timestamps with hours). Each function
+only builds a plan; nothing runs until an action.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.config import RFMConfig, TxConfig
+from cohortlens.config import RFMConfig, TemporalConfig, TxConfig
 from cohortlens.operators.clean import clean_transactions
+from cohortlens.operators.cluster import FIXED_CENTRES, assign_nearest, attach_clusters
+from cohortlens.operators.features import rfm_features
 from cohortlens.operators.rfm import build_rfm
+from cohortlens.operators.temporal import activity_cube, temporal_profile
 from cohortlens.sources.adapters import events_transactions, orders_transactions
 
+TX = TxConfig()
+RFM = RFMConfig()
+TEMPORAL = TemporalConfig()
 
-def orders_clean(spark: SparkSession, sf_dir: str, cfg: TxConfig = TxConfig()) -> DataFrame:
-    return clean_transactions(orders_transactions(spark, sf_dir, cfg), cfg)
 
+# -- Entry A ----------------------------------------------------------------
 
-def orders_rfm(
-    spark: SparkSession, sf_dir: str, cfg: TxConfig = TxConfig(), rcfg: RFMConfig = RFMConfig()
-) -> DataFrame:
-    return build_rfm(orders_clean(spark, sf_dir, cfg), cfg, rcfg)
+def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orders_transactions(spark, sf_dir, TX)
 
 
-def events_clean(spark: SparkSession, sf_dir: str, cfg: TxConfig = TxConfig()) -> DataFrame:
-    return clean_transactions(events_transactions(spark, sf_dir, cfg), cfg)
+def orders_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_transactions(orders_raw(spark, sf_dir), TX)
 
 
-def events_rfm(
-    spark: SparkSession, sf_dir: str, cfg: TxConfig = TxConfig(), rcfg: RFMConfig = RFMConfig()
-) -> DataFrame:
-    return build_rfm(events_clean(spark, sf_dir, cfg), cfg, rcfg)
+def orders_rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build_rfm(orders_clean(spark, sf_dir), TX, RFM)
+
+
+def events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events_transactions(spark, sf_dir, TX)
+
+
+def events_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_transactions(events_raw(spark, sf_dir), TX)
+
+
+def events_rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build_rfm(events_clean(spark, sf_dir), TX, RFM)
+
+
+# -- Entry B ----------------------------------------------------------------
+
+def orders_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RFM + logs + z-scores (raw R/F/M carried along, so profiling needs no join)."""
+    return rfm_features(orders_rfm(spark, sf_dir))
+
+
+def orders_fixed_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assign_nearest(orders_features(spark, sf_dir), FIXED_CENTRES)
+
+
+def events_fixed_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assign_nearest(rfm_features(events_rfm(spark, sf_dir)), FIXED_CENTRES)
+
+
+# -- Entry C ----------------------------------------------------------------
+
+def events_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-customer slot counts joined with the customer -> cluster map."""
+    cube = activity_cube(events_clean(spark, sf_dir), TX.customer, TX.date, TEMPORAL)
+    clusters = events_fixed_clusters(spark, sf_dir)
+    return attach_clusters(cube, clusters, TEMPORAL.id_col, TEMPORAL.cluster_col)
+
+
+def events_temporal_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return temporal_profile(
+        events_activity(spark, sf_dir),
+        TEMPORAL.cluster_col,
+        TEMPORAL.id_col,
+        weight_col="transactions",
+        one_row_per_customer_slot=True,
+    )
