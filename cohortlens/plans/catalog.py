@@ -77,12 +77,12 @@ def _top(col: str) -> Query:
 # -- Entry B: features, clusters, profiles ------------------------------------
 
 def rfm_log(spark, sf):
-    out = log_transform(stages.orders_rfm(spark, sf)).select("CustomerID", *LOG_COLS)
+    out = log_transform(stages.orders_rfm_table(spark, sf)).select("CustomerID", *LOG_COLS)
     return _round(out, LOG_COLS, 6)
 
 
 def rfm_log_skew(spark, sf):
-    return stats.skewness(log_transform(stages.orders_rfm(spark, sf)), LOG_COLS)
+    return stats.skewness(log_transform(stages.orders_rfm_table(spark, sf)), LOG_COLS)
 
 
 def rfm_scaled(spark, sf):

@@ -19,6 +19,7 @@ from cohortlens.operators.cluster import FIXED_CENTRES, assign_nearest, attach_c
 from cohortlens.operators.features import rfm_features
 from cohortlens.operators.rfm import build_rfm
 from cohortlens.operators.temporal import activity_cube, temporal_profile
+from cohortlens.session import ensure_checkpoint_dir
 from cohortlens.sources.adapters import events_transactions, orders_transactions
 
 TX = TxConfig()
@@ -26,6 +27,21 @@ RFM = RFMConfig()
 TEMPORAL = TemporalConfig()
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Stage boundary: write ``df`` to the reliable checkpoint directory
+    (``spark.checkpoint.dir``, a shared folder on a cluster) and continue
+    from the written files.
+
+    Used at the customer-grain tables (RFM, scaled features), where the
+    reference also hands off through files. It cuts the lineage, so a lost
+    executor re-reads the checkpoint instead of recomputing from the raw
+    transactions, and the statistics subqueries downstream scan a small
+    table instead of re-embedding the whole upstream plan.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 # -- Entry A ----------------------------------------------------------------
 
 def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,17 +70,26 @@ def events_rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- Entry B ----------------------------------------------------------------
 
+def orders_rfm_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialize(orders_rfm(spark, sf_dir))
+
+
 def orders_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RFM + logs + z-scores (raw R/F/M carried along, so profiling needs no join)."""
-    return rfm_features(orders_rfm(spark, sf_dir))
+    """RFM + logs + z-scores, materialised (raw R/F/M carried along, so
+    profiling needs no join back to the RFM table)."""
+    return materialize(rfm_features(orders_rfm_table(spark, sf_dir)))
 
 
 def orders_fixed_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_nearest(orders_features(spark, sf_dir), FIXED_CENTRES)
 
 
+def events_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialize(rfm_features(materialize(events_rfm(spark, sf_dir))))
+
+
 def events_fixed_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assign_nearest(rfm_features(events_rfm(spark, sf_dir)), FIXED_CENTRES)
+    return assign_nearest(events_features(spark, sf_dir), FIXED_CENTRES)
 
 
 # -- Entry C ----------------------------------------------------------------
