@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -10,17 +12,25 @@ from cohortlens.config import RFMConfig, TxConfig
 from cohortlens.functions.scalar import full_days_between
 
 
+def _snapshot_from_latest(latest: Column, rcfg: RFMConfig) -> Column:
+    return F.to_date(latest).cast("timestamp_ntz") + F.make_dt_interval(F.lit(rcfg.snapshot_add_days))
+
+
 def snapshot_date(clean: DataFrame, cfg: TxConfig = TxConfig(), rcfg: RFMConfig = RFMConfig()) -> Column:
     """SCL-6: midnight of the latest transaction + N days, as a scalar subquery.
 
     The subquery runs once (partial max per task, one row to the final
     aggregate) and its value is inlined; no join with the data.
     """
-    latest = clean.select(F.max(cfg.date).alias("_max")).scalar()
-    return F.to_date(latest).cast("timestamp_ntz") + F.make_dt_interval(F.lit(rcfg.snapshot_add_days))
+    return _snapshot_from_latest(clean.select(F.max(cfg.date)).scalar(), rcfg)
 
 
-def build_rfm(clean: DataFrame, cfg: TxConfig = TxConfig(), rcfg: RFMConfig = RFMConfig()) -> DataFrame:
+def build_rfm(
+    clean: DataFrame,
+    cfg: TxConfig = TxConfig(),
+    rcfg: RFMConfig = RFMConfig(),
+    materialize: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """AGG-2: one row per customer -> (CustomerID, Recency, Frequency, Monetary).
 
     Recency   whole 24-hour days from the last purchase to the snapshot
@@ -30,6 +40,13 @@ def build_rfm(clean: DataFrame, cfg: TxConfig = TxConfig(), rcfg: RFMConfig = RF
     Written as two aggregations: (customer, invoice) first, then customer.
     The first shuffle spreads a very active customer over its invoices, and
     the second only moves one pre-aggregated row per (task, customer).
+
+    The snapshot is the max over the per-customer table, bound to a column
+    once so the subquery is not inlined per use. Pass ``materialize`` (e.g.
+    a reliable checkpoint) to write the per-customer table first: the
+    snapshot subquery then scans that small table and the transactions are
+    read exactly once. Without it the function stays lazy and the subquery
+    re-evaluates the (column-pruned) aggregation.
     """
     money = DecimalType(18, cfg.money_scale)
     per_invoice = clean.groupBy(cfg.customer, cfg.invoice).agg(
@@ -41,12 +58,16 @@ def build_rfm(clean: DataFrame, cfg: TxConfig = TxConfig(), rcfg: RFMConfig = RF
         F.count(cfg.invoice).alias("Frequency"),
         F.sum("_money").alias("_money"),
     )
-    recency = full_days_between(F.col("_last"), snapshot_date(clean, cfg, rcfg))
+    if materialize is not None:
+        per_customer = materialize(per_customer)
+    snap = _snapshot_from_latest(per_customer.select(F.max("_last")).scalar(), rcfg)
+    with_snap = per_customer.withColumn("_snap", snap)
+    recency = full_days_between(F.col("_last"), F.col("_snap"))
     guarded = F.when(
         recency < 0,
         F.raise_error(F.concat(F.lit("negative recency for customer "), F.col(cfg.customer))),
     ).otherwise(recency)  # CHK-3, fused into the projection
-    return per_customer.select(
+    return with_snap.select(
         F.col(cfg.customer).alias(rcfg.id_out),
         guarded.cast("int").alias("Recency"),
         F.col("Frequency").cast("long").alias("Frequency"),

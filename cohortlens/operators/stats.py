@@ -7,7 +7,8 @@ one task, which does not survive a group holding a third of all rows with
 many distinct values. ``exact_quantiles`` instead:
 
 1. per group: ``count`` and ``percentile_approx`` at p - m and p + m
-   (rank error of the sketch is far below the margin m);
+   (rank error of the sketch is far below the margin m); groups of at
+   most ``accuracy`` rows simply use [min, max];
 2. one pass over the rows: values below the bracket collapse into a single
    count per (group, p) map-side, values inside are counted per distinct
    value, values above are dropped;
@@ -57,20 +58,34 @@ def exact_quantiles(
     long = melt(df, value_cols, group_cols).filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
     bounds = [max(0.0, p - m) for p in probs] + [min(1.0, p + m) for p in probs]
-    stats = long.groupBy(*keys).agg(
+    sketch = long.groupBy(*keys).agg(
         F.count("value").alias("_n"),
+        F.min("value").alias("_min"),
+        F.max("value").alias("_max"),
         F.percentile_approx("value", bounds, accuracy).alias("_b"),
     )
+    # Groups of at most `accuracy` rows use [min, max] as the bracket (at
+    # most `accuracy` distinct values); above that the margin covers both the
+    # sketch's rank error and the one-rank gap between its ceil(p n) rank and
+    # the floor/ceil of p (n - 1) that interpolation needs.
+    small = F.col("_n") <= accuracy
+    idx = F.sequence(F.lit(0), F.lit(npr - 1))
+    stats = sketch.select(
+        *keys,
+        "_n",
+        F.transform(idx, lambda i: F.when(small, F.col("_min")).otherwise(F.col("_b")[i])).alias("_lo"),
+        F.transform(idx, lambda i: F.when(small, F.col("_max")).otherwise(F.col("_b")[i + npr])).alias("_hi"),
+    )
     # One row per (group, column): AQE broadcasts it when it is measured small.
     joined = long.join(stats, keys)
 
-    v, b = F.col("value"), F.col("_b")
+    v, lo, hi = F.col("value"), F.col("_lo"), F.col("_hi")
     entries = F.transform(
-        F.sequence(F.lit(0), F.lit(npr - 1)),
+        idx,
         lambda i: F.struct(
             i.alias("i"),
-            F.when(v >= b[i], v).alias("v"),  # null marks "below the bracket"
-            (v <= b[i + npr]).alias("keep"),
+            F.when(v >= lo[i], v).alias("v"),  # null marks "below the bracket"
+            (v <= hi[i]).alias("keep"),
         ),
     )
     tagged = joined.select(*keys, "_n", F.explode(F.filter(entries, lambda e: e["keep"])).alias("e"))

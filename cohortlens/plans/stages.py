@@ -53,7 +53,8 @@ def orders_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_rfm(orders_clean(spark, sf_dir), TX, RFM)
+    """RFM over a checkpointed per-customer table (transactions read once)."""
+    return build_rfm(orders_clean(spark, sf_dir), TX, RFM, materialize)
 
 
 def events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,19 +66,15 @@ def events_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_rfm(events_clean(spark, sf_dir), TX, RFM)
+    return build_rfm(events_clean(spark, sf_dir), TX, RFM, materialize)
 
 
 # -- Entry B ----------------------------------------------------------------
 
-def orders_rfm_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialize(orders_rfm(spark, sf_dir))
-
-
 def orders_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RFM + logs + z-scores, materialised (raw R/F/M carried along, so
     profiling needs no join back to the RFM table)."""
-    return materialize(rfm_features(orders_rfm_table(spark, sf_dir)))
+    return materialize(rfm_features(orders_rfm(spark, sf_dir)))
 
 
 def orders_fixed_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +82,7 @@ def orders_fixed_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialize(rfm_features(materialize(events_rfm(spark, sf_dir))))
+    return materialize(rfm_features(events_rfm(spark, sf_dir)))
 
 
 def events_fixed_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
