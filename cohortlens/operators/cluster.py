@@ -142,17 +142,18 @@ def _fit_table(df: DataFrame, features: Sequence[str]) -> tuple[DataFrame, DataF
     return base, vec.select("_features").persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def _fit_once(table: DataFrame, k: int, seed: int, cfg: ClusterConfig) -> tuple[float, int, list[list[float]]]:
+    model = KMeans(
+        k=k, seed=seed, maxIter=cfg.max_iter, tol=cfg.tol, featuresCol="_features", predictionCol="_p"
+    ).fit(table)
+    return model.summary.trainingCost, seed, [list(map(float, c)) for c in model.clusterCenters()]
+
+
 def _best_of_restarts(
     table: DataFrame, k: int, cfg: ClusterConfig, pool: ThreadPoolExecutor
 ) -> tuple[float, list[list[float]]]:
-    def fit(seed: int) -> tuple[float, int, list[list[float]]]:
-        model = KMeans(
-            k=k, seed=seed, maxIter=cfg.max_iter, tol=cfg.tol, featuresCol="_features", predictionCol="_p"
-        ).fit(table)
-        return model.summary.trainingCost, seed, [list(map(float, c)) for c in model.clusterCenters()]
-
-    results = list(pool.map(fit, [cfg.seed + i for i in range(cfg.n_init)]))
-    cost, _, centres = min(results, key=lambda r: (r[0], r[1]))
+    futures = [pool.submit(_fit_once, table, k, cfg.seed + i, cfg) for i in range(cfg.n_init)]
+    cost, _, centres = min((f.result() for f in futures), key=lambda r: (r[0], r[1]))
     return cost, centres
 
 
@@ -182,18 +183,34 @@ def kmeans_clusters(df: DataFrame, cfg: ClusterConfig = ClusterConfig()) -> Data
 
 
 def kmeans_sweep(df: DataFrame, cfg: ClusterConfig = ClusterConfig()) -> DataFrame:
-    """ML-2: (k, inertia, silhouette) for k in [k_min, k_max]."""
+    """ML-2: (k, inertia, silhouette) for k in [k_min, k_max].
+
+    All (k, restart) fits are independent, so they are submitted to the
+    pool together; the per-k silhouettes (two passes each) follow in the
+    same pool. Only k x 3 centre coordinates and scalars reach the driver.
+    """
     spark = df.sparkSession
     base, table = _fit_table(df, cfg.features)
-    rows = []
+    ks = list(range(cfg.k_min, cfg.k_max + 1))
     try:
         with ThreadPoolExecutor(max(1, cfg.fit_threads)) as pool:
-            for k in range(cfg.k_min, cfg.k_max + 1):
-                cost, centres = _best_of_restarts(table, k, cfg, pool)
-                centres = stable_order(centres)
-                labelled = assign_nearest(base, centres, cfg.features, "_cluster")
-                sil = silhouette(labelled, cfg.features, "_cluster").first()[0]
-                rows.append((k, float(cost), float(sil) if sil is not None else None))
+            fits = {
+                k: [pool.submit(_fit_once, table, k, cfg.seed + i, cfg) for i in range(cfg.n_init)] for k in ks
+            }
+            best = {}
+            for k in ks:
+                cost, _, centres = min((f.result() for f in fits[k]), key=lambda r: (r[0], r[1]))
+                best[k] = (cost, stable_order(centres))
+
+            def score(k: int) -> float | None:
+                labelled = assign_nearest(base, best[k][1], cfg.features, "_cluster")
+                return silhouette(labelled, cfg.features, "_cluster").first()[0]
+
+            sils = {k: pool.submit(score, k) for k in ks}
+            rows = [
+                (k, float(best[k][0]), None if sils[k].result() is None else float(sils[k].result()))
+                for k in ks
+            ]
     finally:
         table.unpersist()
     return spark.createDataFrame(rows, "k int, inertia double, silhouette_sq_euclidean double")

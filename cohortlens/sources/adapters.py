@@ -12,9 +12,9 @@ time-of-day summaries and the whole-day recency rule have real input.
   Invoice = event_id, Customer ID = user_id, InvoiceDate = ts,
   Quantity = 1, Price = value, StockCode = Description = event_type.
 
-All joins are equi-joins left for AQE to plan (sort-merge at scale,
-broadcast when a side is measured small at run time). ``nation`` has a fixed
-25 rows by the TPC-H definition, so it is the one side broadcast by hint.
+Join sides other than the line items are broadcast only behind a size
+check (``broadcast_if_small``); beyond the threshold the joins are
+sort-merge, with AQE skew splitting. The line items are never the build side.
 """
 
 from __future__ import annotations
@@ -23,12 +23,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.config import TxConfig
-from cohortlens.sources.files import load_testdata
+from cohortlens.sources.files import load_testdata, spread
+from cohortlens.sources.sizing import broadcast_if_small, size_estimate
 
 
 def orders_transactions(spark: SparkSession, sf_dir: str, cfg: TxConfig = TxConfig()) -> DataFrame:
-    li = load_testdata(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_quantity", "l_returnflag"
+    li = spread(
+        load_testdata(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
     )
     orders = load_testdata(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     part = load_testdata(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
@@ -36,12 +37,19 @@ def orders_transactions(spark: SparkSession, sf_dir: str, cfg: TxConfig = TxConf
     nation = load_testdata(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
     cust_country = customer.join(
-        F.broadcast(nation), customer.c_nationkey == nation.n_nationkey, "inner"
+        broadcast_if_small(nation), customer.c_nationkey == nation.n_nationkey, "inner"
     ).select("c_custkey", "n_name")
-    order_side = orders.join(cust_country, orders.o_custkey == cust_country.c_custkey, "inner")
-    joined = li.join(order_side, li.l_orderkey == order_side.o_orderkey, "inner").join(
-        part, li.l_partkey == part.p_partkey, "inner"
+    order_side = orders.join(
+        broadcast_if_small(cust_country, size_estimate(customer) + size_estimate(nation)),
+        orders.o_custkey == cust_country.c_custkey,
+        "inner",
     )
+    # N:1 joins keep the orders' rows; the sum of the inputs' estimates
+    # bounds the joined side (Spark's own estimate is their product).
+    order_bound = size_estimate(orders) + size_estimate(customer) + size_estimate(nation)
+    joined = li.join(
+        broadcast_if_small(order_side, order_bound), li.l_orderkey == order_side.o_orderkey, "inner"
+    ).join(broadcast_if_small(part), li.l_partkey == part.p_partkey, "inner")
     invoice = F.concat(
         F.when(F.col("l_returnflag") == "R", F.lit(cfg.cancel_prefix)).otherwise(F.lit("")),
         F.col("o_orderkey").cast("string"),
@@ -59,7 +67,7 @@ def orders_transactions(spark: SparkSession, sf_dir: str, cfg: TxConfig = TxConf
 
 
 def events_transactions(spark: SparkSession, sf_dir: str, cfg: TxConfig = TxConfig()) -> DataFrame:
-    ev = load_testdata(spark, sf_dir, "events")
+    ev = spread(load_testdata(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value", "user_id"))
     return ev.select(
         F.col("event_id").cast("string").alias(cfg.invoice),
         F.col("event_type").alias(cfg.stock),

@@ -96,6 +96,19 @@ def write_table(
     writer.format(fmt).save(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a fact-table scan over all cores when it has fewer input
+    splits than the default parallelism (e.g. one large row group).
+
+    A no-op for real inputs, whose split count far exceeds the cores.
+    Round-robin (not hash) so that a hot key cannot concentrate rows.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def load_testdata(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver-generated table, e.g. ``lineitem``."""
     return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", name)
