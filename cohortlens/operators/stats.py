@@ -9,9 +9,10 @@ many distinct values. ``exact_quantiles`` instead:
 1. per group: ``count`` and ``percentile_approx`` at p - m and p + m
    (rank error of the sketch is far below the margin m); groups of at
    most ``accuracy`` rows simply use [min, max];
-2. one pass over the rows: values below the bracket collapse into a single
-   count per (group, p) map-side, values inside are counted per distinct
-   value, values above are dropped;
+2. one pass over the rows: each row adds to a (P + 1)-bucket histogram of
+   the lower bounds (collapsed map-side) and, when it falls inside a
+   bracket, to a count per distinct value there; the histogram's prefix
+   sums give the rows below each bracket;
 3. a cumulative count over the (bounded) bracket finds the values at ranks
    floor(p (n-1)) and ceil(p (n-1)), interpolated linearly (pandas / DuckDB
    ``quantile_cont``).
@@ -51,7 +52,7 @@ def exact_quantiles(
 
     Returns (group_cols..., field, p, value). Nulls and NaN are skipped.
     """
-    probs = [float(p) for p in probs]
+    probs = sorted({float(p) for p in probs})
     npr = len(probs)
     m = margin if margin is not None else 10.0 / accuracy
     keys = [*group_cols, "field"]
@@ -70,42 +71,54 @@ def exact_quantiles(
     # the floor/ceil of p (n - 1) that interpolation needs.
     small = F.col("_n") <= accuracy
     idx = F.sequence(F.lit(0), F.lit(npr - 1))
+    raw_lo = F.transform(idx, lambda i: F.when(small, F.col("_min")).otherwise(F.col("_b")[i]))
     stats = sketch.select(
         *keys,
         "_n",
-        F.transform(idx, lambda i: F.when(small, F.col("_min")).otherwise(F.col("_b")[i])).alias("_lo"),
+        # running max keeps the lower bounds non-decreasing in p
+        F.transform(raw_lo, lambda x, i: F.array_max(F.slice(raw_lo, 1, i + 1))).alias("_lo"),
         F.transform(idx, lambda i: F.when(small, F.col("_max")).otherwise(F.col("_b")[i + npr])).alias("_hi"),
     )
     # One row per (group, column): AQE broadcasts it when it is measured small.
     joined = long.join(stats, keys)
 
+    # Each row emits one histogram entry -- bucket b = number of lower bounds
+    # <= value, marked by i = -1 - b -- plus one entry per bracket that holds
+    # it (usually none or one). Histogram entries collapse map-side into at
+    # most P + 1 groups per (group, field).
     v, lo, hi = F.col("value"), F.col("_lo"), F.col("_hi")
-    entries = F.transform(
-        idx,
-        lambda i: F.struct(
-            i.alias("i"),
-            F.when(v >= lo[i], v).alias("v"),  # null marks "below the bracket"
-            (v <= hi[i]).alias("keep"),
-        ),
+    bucket = F.size(F.filter(lo, lambda x: x <= v))
+    hist_entry = F.array(F.struct((F.lit(-1) - bucket).alias("i"), F.lit(None).cast("double").alias("v")))
+    in_bracket = F.filter(
+        F.transform(idx, lambda i: F.struct(i.alias("i"), v.alias("v"))),
+        lambda e: (v >= lo[e["i"]]) & (v <= hi[e["i"]]),
     )
-    tagged = joined.select(*keys, "_n", F.explode(F.filter(entries, lambda e: e["keep"])).alias("e"))
+    tagged = joined.select(*keys, "_n", F.explode(F.concat(hist_entry, in_bracket)).alias("e"))
     counted = tagged.groupBy(*keys, "_n", F.col("e.i").alias("i"), F.col("e.v").alias("v")).agg(
         F.count(F.lit(1)).alias("_c")
     )
 
-    w = Window.partitionBy(*keys, "i").orderBy(F.col("v").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    # Rows below bracket i are those in buckets 0..i (lower bounds ascend).
+    hist = counted.filter(F.col("i") < 0).withColumn("_bucket", F.lit(-1) - F.col("i"))
+    below = hist.groupBy(*keys).agg(
+        F.array(
+            *[F.sum(F.when(F.col("_bucket") <= j, F.col("_c")).otherwise(0)) for j in range(npr)]
+        ).alias("_below")
     )
+    inside = counted.filter(F.col("i") >= 0).join(below, keys)
+
+    w = Window.partitionBy(*keys, "i").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     p_arr = F.array(*[F.lit(p) for p in probs])
     pos = p_arr[F.col("i")] * (F.col("_n") - 1)
-    ranked = counted.select(
+    run = F.sum("_c").over(w) + F.col("_below")[F.col("i")]
+    ranked = inside.select(
         *keys,
         "_n",
         "i",
         "v",
         pos.alias("_pos"),
-        (F.sum("_c").over(w) - F.col("_c")).alias("_start"),
-        F.sum("_c").over(w).alias("_end"),
+        (run - F.col("_c")).alias("_start"),
+        run.alias("_end"),
     )
     r0, r1 = F.floor("_pos"), F.ceil("_pos")
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlens.config import TxConfig
-from cohortlens.functions.scalar import parse_timestamp
+from cohortlens.functions.scalar import normalize_id, parse_timestamp
 from cohortlens.sources.schema import raw_transactions_schema
 
 
@@ -73,6 +73,50 @@ def read_clean_transactions(
     return df.withColumn(cfg.date, guarded.cast("timestamp_ntz"))
 
 
+def read_profile_inputs(
+    spark: SparkSession, rfm_path: str, clustered_path: str, fmt: str = "parquet",
+    id_col: str = "CustomerID", cluster_col: str = "Cluster",
+) -> DataFrame:
+    """SRC-6 + JOIN-1: RFM table joined with the customer -> cluster map."""
+    rfm = read_table(spark, rfm_path, "profile", fmt)
+    clusters = read_table(spark, clustered_path, "profile", fmt)
+    require_columns(clusters, [id_col, cluster_col], "profile")
+    return rfm.join(clusters.select(id_col, cluster_col), id_col, "inner")
+
+
+def read_temporal_inputs(
+    spark: SparkSession, tx_path: str, clustered_path: str, cfg: TxConfig = TxConfig(),
+    fmt: str = "parquet", id_col: str = "CustomerID", cluster_col: str = "Cluster",
+) -> DataFrame:
+    """SRC-7 + JOIN-2: transactions with a parseable date, both sides' ids
+    normalised (SCL-1..3), joined with the cluster map.
+
+    Output: the transaction columns with ``cfg.customer`` renamed to
+    ``id_col``, plus ``cluster_col``.
+    """
+    tx = read_table(spark, tx_path, "temporal", fmt)
+    parsed = parse_timestamp(F.col(cfg.date), tx.schema[cfg.date].dataType, cfg.date_format)
+    tx = (
+        tx.withColumn(cfg.date, parsed)
+        .filter(F.col(cfg.date).isNotNull())
+        .withColumnRenamed(cfg.customer, id_col)
+        .withColumn(id_col, normalize_id(F.col(id_col)))
+    )
+    clusters = read_table(spark, clustered_path, "temporal", fmt)
+    clusters = clusters.select(normalize_id(F.col(id_col)).alias(id_col), cluster_col)
+    return tx.join(clusters, id_col, "inner")
+
+
+def read_chart_inputs(
+    spark: SparkSession, rfm_path: str, clustered_path: str, temporal_path: str, fmt: str = "parquet"
+) -> tuple[DataFrame, DataFrame]:
+    """SRC-8: (RFM joined with clusters, temporal profile)."""
+    return (
+        read_profile_inputs(spark, rfm_path, clustered_path, fmt),
+        read_table(spark, temporal_path, "charts", fmt),
+    )
+
+
 def write_table(
     df: DataFrame,
     path: str,

@@ -134,3 +134,16 @@ def test_rfm_features_columns(spark):
     for c in ("R_log", "F_log", "M_log", "R_scaled", "F_scaled", "M_scaled", "Monetary"):
         assert c in out.columns
     assert out.filter("CustomerID = 'a'").first().R_log == 0.0
+
+
+def test_exact_quantiles_sketch_path_unsorted_probs_and_hot_value(spark):
+    # 6 000 rows > accuracy=500, so the bracketed (sketch) path is used; a
+    # third of the rows share one value, as a hot key would.
+    rnd = random.Random(3)
+    vals = [7.0] * 2000 + [float(rnd.randint(0, 3000)) / 4 for _ in range(4000)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    probs = [0.99, 0.5, 0.05, 0.3333, 0.75]
+    got = {r.p: r.value for r in exact_quantiles(df, ["v"], probs, accuracy=500).collect()}
+    arr = np.array(vals)
+    for p in probs:
+        assert got[p] == pytest.approx(float(np.quantile(arr, p)), abs=1e-9)
