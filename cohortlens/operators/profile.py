@@ -22,7 +22,7 @@ def cluster_medians(
 
     Uses the bracketed exact quantile, so no task holds a whole cluster.
     """
-    q = exact_quantiles(df, cols, [0.5], [cluster_col])
+    q = exact_quantiles(df, cols, [0.5], [cluster_col], groups_bounded=True)  # k clusters
     out = q.groupBy(cluster_col).agg(
         *[F.max(F.when(F.col("field") == c, F.col("value"))).alias(f"{c}_median") for c in cols]
     )
@@ -40,15 +40,19 @@ def cluster_profile(
 ) -> DataFrame:
     """AGG-7: customers, mean and median of R, F, M per cluster, by Monetary_mean desc.
 
-    Means come from one partial/final aggregate; medians from
-    ``cluster_medians``; the two k-row results are joined.
+    Means and counts are computed in the same pass as the median sketch
+    (``exact_quantiles(extra_aggs=...)``), so the input is read twice in all.
+    Customers counts non-null ids (R, F, M are non-null per customer).
     """
-    means = df.groupBy(cluster_col).agg(
-        F.count(id_col).cast("long").alias("Customers"),
-        *[F.avg(F.col(c).cast("double")).alias(f"{c}_mean") for c in cols],
+    base = df.filter(F.col(id_col).isNotNull()) if id_col in df.columns else df
+    q = exact_quantiles(
+        base, cols, [0.5], [cluster_col], extra_aggs={"_mean": F.avg, "_count": F.count}, groups_bounded=True
+    )  # k clusters
+    joined = q.groupBy(cluster_col).agg(
+        F.max(F.col("_count")).cast("long").alias("Customers"),
+        *[F.max(F.when(F.col("field") == c, F.col("_mean"))).alias(f"{c}_mean") for c in cols],
+        *[F.max(F.when(F.col("field") == c, F.col("value"))).alias(f"{c}_median") for c in cols],
     )
-    meds = cluster_medians(df, cluster_col, cols, digits=None)
-    joined = means.join(meds, cluster_col, "left")
 
     def r(c: str):
         return F.round(c, digits).alias(c) if digits is not None else F.col(c)

@@ -23,7 +23,7 @@ than returning an approximation.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,11 +47,24 @@ def exact_quantiles(
     group_cols: Sequence[str] = (),
     accuracy: int = 10000,
     margin: float | None = None,
+    extra_aggs: dict[str, Callable[[Column], Column]] | None = None,
+    groups_bounded: bool | None = None,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles per (group, field, p).
 
-    Returns (group_cols..., field, p, value). Nulls and NaN are skipped.
+    Returns (group_cols..., field, p, value, *extra_aggs). Nulls and NaN are
+    skipped. ``extra_aggs`` (name -> aggregate of the value column) are
+    computed in the same pass as the sketch, e.g. mean and std for describe.
+
+    ``groups_bounded`` says the number of groups has a small proven bound
+    (true without group columns: one row per field; callers grouping by a
+    k-means cluster pass True). The per-group bracket table is then
+    broadcast, so the rows are never shuffled by a low-cardinality group
+    key (which would put a whole group in one task). Otherwise the join is
+    left to AQE, with skew splitting for hot groups.
     """
+    if groups_bounded is None:
+        groups_bounded = not group_cols
     probs = sorted({float(p) for p in probs})
     npr = len(probs)
     m = margin if margin is not None else 10.0 / accuracy
@@ -59,11 +72,13 @@ def exact_quantiles(
     long = melt(df, value_cols, group_cols).filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
     bounds = [max(0.0, p - m) for p in probs] + [min(1.0, p + m) for p in probs]
+    extras = dict(extra_aggs or {})
     sketch = long.groupBy(*keys).agg(
         F.count("value").alias("_n"),
         F.min("value").alias("_min"),
         F.max("value").alias("_max"),
         F.percentile_approx("value", bounds, accuracy).alias("_b"),
+        *[fn(F.col("value")).alias(name) for name, fn in extras.items()],
     )
     # Groups of at most `accuracy` rows use [min, max] as the bracket (at
     # most `accuracy` distinct values); above that the margin covers both the
@@ -79,8 +94,7 @@ def exact_quantiles(
         F.transform(raw_lo, lambda x, i: F.array_max(F.slice(raw_lo, 1, i + 1))).alias("_lo"),
         F.transform(idx, lambda i: F.when(small, F.col("_max")).otherwise(F.col("_b")[i + npr])).alias("_hi"),
     )
-    # One row per (group, column): AQE broadcasts it when it is measured small.
-    joined = long.join(stats, keys)
+    joined = long.join(F.broadcast(stats) if groups_bounded else stats, keys)
 
     # Each row emits one histogram entry -- bucket b = number of lower bounds
     # <= value, marked by i = -1 - b -- plus one entry per bracket that holds
@@ -135,7 +149,12 @@ def exact_quantiles(
         F.col("_v0").isNull() | F.col("_v1").isNull(),
         F.raise_error(F.lit("exact_quantiles: target rank outside bracket; raise accuracy")),
     ).otherwise(value)
-    return picked.select(*keys, p_arr[F.col("i")].alias("p"), checked.cast("double").alias("value"))
+    out = picked.select(*keys, p_arr[F.col("i")].alias("p"), checked.cast("double").alias("value"))
+    if extras:
+        # k-row side (one row per group and field); same sketch subtree, reused.
+        ex = sketch.select(*keys, *extras)
+        out = out.join(F.broadcast(ex) if groups_bounded else ex, keys)
+    return out
 
 
 def describe(
@@ -149,20 +168,18 @@ def describe(
     (field, count, mean, std [sample], min, p<NN>..., max); percentile
     columns are named p25, p50, p90 ... from the requested fractions.
     """
-    long = melt(df, cols).filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    moments = long.groupBy("field").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    q = exact_quantiles(df, cols, percentiles)
+    moments = {
+        "count": F.count,
+        "mean": F.avg,
+        "std": F.stddev_samp,
+        "min": F.min,
+        "max": F.max,
+    }
+    q = exact_quantiles(df, cols, percentiles, extra_aggs=moments)
     names = [f"p{round(p * 100):d}" for p in percentiles]
-    qwide = q.groupBy("field").agg(
-        *[F.max(F.when(F.col("p") == p, F.col("value"))).alias(n) for p, n in zip(percentiles, names)]
+    out = q.groupBy("field", *moments).agg(
+        *[F.max(F.when(F.col("p") == float(p), F.col("value"))).alias(n) for p, n in zip(percentiles, names)]
     )
-    out = moments.join(qwide, "field", "left")
     order = ["mean", "std", "min", *names, "max"]
 
     def r(c: str) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from cohortlens.config import TxConfig
 from cohortlens.functions.scalar import normalize_id, parse_timestamp
-from cohortlens.sources.schema import raw_transactions_schema
+from cohortlens.sources.schema import TESTDATA_SCHEMAS, raw_transactions_schema
 
 
 class MissingInputError(FileNotFoundError):
@@ -27,9 +27,12 @@ def read_table(
     path: str,
     stage: str,
     fmt: str = "parquet",
-    schema: T.StructType | None = None,
+    schema: T.StructType | str | None = None,
 ) -> DataFrame:
-    """Read one table; a missing path raises ``MissingInputError`` (SRC-2)."""
+    """Read one table; a missing path raises ``MissingInputError`` (SRC-2).
+
+    ``schema`` (a StructType or DDL string) skips schema inference.
+    """
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
@@ -154,5 +157,5 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def load_testdata(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver-generated table, e.g. ``lineitem``."""
-    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", name)
+    """One driver-generated table, e.g. ``lineitem`` (declared schema when known)."""
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", name, schema=TESTDATA_SCHEMAS.get(name))
