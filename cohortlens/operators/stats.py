@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.scalar import is_missing
 from cohortlens.functions.stats import adjusted_skewness
+from cohortlens.session import ensure_checkpoint_dir
+from cohortlens.sources.sizing import input_bytes
 
 
 def melt(df: DataFrame, value_cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -40,6 +42,69 @@ def melt(df: DataFrame, value_cols: Sequence[str], keys: Sequence[str] = ()) ->
     return df.select(*keys, F.inline(pairs))
 
 
+# Refinement: quantile grid points per bracket and the slack (in grid
+# steps) that covers the fine sketch's rank error.
+_REFINE_GRID = 1000
+_REFINE_ACCURACY = 100_000
+_REFINE_SLACK = 2
+
+
+def _running_max(arr: Column) -> Column:
+    return F.transform(arr, lambda x, i: F.array_max(F.slice(arr, 1, i + 1)))
+
+
+def _bucket_entries(lo: Column, hi: Column, v: Column, npr: int) -> Column:
+    """One histogram entry (i = -1 - #lower bounds <= v) plus one entry per
+    bracket [lo_i, hi_i] holding v."""
+    idx = F.sequence(F.lit(0), F.lit(npr - 1))
+    bucket = F.size(F.filter(lo, lambda x: x <= v))
+    hist_entry = F.array(F.struct((F.lit(-1) - bucket).alias("i"), F.lit(None).cast("double").alias("v")))
+    in_bracket = F.filter(
+        F.transform(idx, lambda i: F.struct(i.alias("i"), v.alias("v"))),
+        lambda e: (v >= lo[e["i"]]) & (v <= hi[e["i"]]),
+    )
+    return F.concat(hist_entry, in_bracket)
+
+
+def _below_counts(hist: DataFrame, keys: Sequence[str], npr: int) -> DataFrame:
+    """Rows below bracket i = rows in histogram buckets 0..i (bounds ascend)."""
+    b = F.lit(-1) - F.col("i")
+    return hist.groupBy(*keys).agg(
+        F.array(*[F.sum(F.when(b <= j, F.col("_c")).otherwise(0)) for j in range(npr)]).alias("_below")
+    )
+
+
+def _refine(
+    long: DataFrame, stats: DataFrame, keys: Sequence[str], probs: Sequence[float], groups_bounded: bool
+) -> DataFrame:
+    """One pass: a fine quantile grid over each bracket's rows; the target
+    ranks' grid cells (plus slack) become the new, ~200x narrower brackets."""
+    npr = len(probs)
+    bounds = stats.select(*keys, "_n", "_lo", "_hi")
+    j = long.join(F.broadcast(bounds) if groups_bounded else bounds, keys)
+    e = j.select(*keys, F.explode(_bucket_entries(F.col("_lo"), F.col("_hi"), F.col("value"), npr)).alias("e"))
+    grid = [g / _REFINE_GRID for g in range(_REFINE_GRID + 1)]
+    per = e.groupBy(*keys, F.col("e.i").alias("i")).agg(
+        F.count(F.lit(1)).alias("_c"),
+        F.percentile_approx("e.v", grid, _REFINE_ACCURACY).alias("_g"),
+    )
+    below = _below_counts(per.filter(F.col("i") < 0), keys, npr)
+    br = per.filter(F.col("i") >= 0).join(below, keys).join(stats.select(*keys, "_n"), keys)
+    p_arr = F.array(*[F.lit(p) for p in probs])
+    pos = p_arr[F.col("i")] * (F.col("_n") - 1)
+    base = F.col("_below")[F.col("i")]
+    cell0 = F.floor((F.floor(pos) - base) / F.col("_c") * _REFINE_GRID).cast("int")
+    cell1 = F.floor((F.ceil(pos) - base) / F.col("_c") * _REFINE_GRID).cast("int")
+    lo_i = F.col("_g")[F.greatest(F.lit(0), cell0 - _REFINE_SLACK)]
+    hi_i = F.col("_g")[F.least(F.lit(_REFINE_GRID), cell1 + 1 + _REFINE_SLACK)]
+    narrowed = br.select(*keys, F.struct("i", lo_i.alias("lo"), hi_i.alias("hi")).alias("b"))
+    arrays = narrowed.groupBy(*keys).agg(F.array_sort(F.collect_list("b")).alias("_bs"))
+    lo = F.transform(F.col("_bs"), lambda x: x["lo"])
+    return arrays.select(*keys, _running_max(lo).alias("_lo"), F.transform(F.col("_bs"), lambda x: x["hi"]).alias("_hi")).join(
+        stats.drop("_lo", "_hi"), keys
+    )
+
+
 def exact_quantiles(
     df: DataFrame,
     value_cols: Sequence[str],
@@ -49,6 +114,8 @@ def exact_quantiles(
     margin: float | None = None,
     extra_aggs: dict[str, Callable[[Column], Column]] | None = None,
     groups_bounded: bool | None = None,
+    max_bracket: int = 2_000_000,
+    eager_bytes: int = 10 << 30,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles per (group, field, p).
 
@@ -62,6 +129,15 @@ def exact_quantiles(
     broadcast, so the rows are never shuffled by a low-cardinality group
     key (which would put a whole group in one task). Otherwise the join is
     left to AQE, with skew splitting for hot groups.
+
+    A bracket holds about 2 (m + 1/accuracy) n rows, so the final window
+    sorts at most ~2 million values per task for groups of up to ~1e9 rows.
+    Inputs of more than ``eager_bytes`` (sum of leaf input sizes) take the
+    eager path:
+    the sketch table (one row per group and field) is checkpointed, and while
+    a bracket could exceed ``max_bracket`` values, refinement passes narrow
+    every bracket with a fine quantile grid computed over the bracket's rows
+    only. Smaller inputs stay one lazy job (shuffles shared by AQE).
     """
     if groups_bounded is None:
         groups_bounded = not group_cols
@@ -91,34 +167,34 @@ def exact_quantiles(
         *keys,
         "_n",
         # running max keeps the lower bounds non-decreasing in p
-        F.transform(raw_lo, lambda x, i: F.array_max(F.slice(raw_lo, 1, i + 1))).alias("_lo"),
+        _running_max(raw_lo).alias("_lo"),
         F.transform(idx, lambda i: F.when(small, F.col("_max")).otherwise(F.col("_b")[i + npr])).alias("_hi"),
+        *extras,
     )
-    joined = long.join(F.broadcast(stats) if groups_bounded else stats, keys)
+    if input_bytes(long) > eager_bytes:
+        ensure_checkpoint_dir(df.sparkSession)
+        stats = stats.checkpoint(eager=True)
+        n_max = stats.agg(F.max("_n")).first()[0] or 0
+        bracket = n_max if n_max <= accuracy else (2 * m + 2.0 / accuracy) * n_max + 2
+        while bracket > max_bracket:
+            stats = _refine(long, stats, keys, probs, groups_bounded).checkpoint(eager=True)
+            bracket = bracket * (2 * _REFINE_SLACK + 2) / _REFINE_GRID + 2
+
+    bounds_only = stats.select(*keys, "_n", "_lo", "_hi")
+    joined = long.join(F.broadcast(bounds_only) if groups_bounded else bounds_only, keys)
 
     # Each row emits one histogram entry -- bucket b = number of lower bounds
     # <= value, marked by i = -1 - b -- plus one entry per bracket that holds
     # it (usually none or one). Histogram entries collapse map-side into at
     # most P + 1 groups per (group, field).
-    v, lo, hi = F.col("value"), F.col("_lo"), F.col("_hi")
-    bucket = F.size(F.filter(lo, lambda x: x <= v))
-    hist_entry = F.array(F.struct((F.lit(-1) - bucket).alias("i"), F.lit(None).cast("double").alias("v")))
-    in_bracket = F.filter(
-        F.transform(idx, lambda i: F.struct(i.alias("i"), v.alias("v"))),
-        lambda e: (v >= lo[e["i"]]) & (v <= hi[e["i"]]),
-    )
-    tagged = joined.select(*keys, "_n", F.explode(F.concat(hist_entry, in_bracket)).alias("e"))
+    entries = _bucket_entries(F.col("_lo"), F.col("_hi"), F.col("value"), npr)
+    tagged = joined.select(*keys, "_n", F.explode(entries).alias("e"))
     counted = tagged.groupBy(*keys, "_n", F.col("e.i").alias("i"), F.col("e.v").alias("v")).agg(
         F.count(F.lit(1)).alias("_c")
     )
 
     # Rows below bracket i are those in buckets 0..i (lower bounds ascend).
-    hist = counted.filter(F.col("i") < 0).withColumn("_bucket", F.lit(-1) - F.col("i"))
-    below = hist.groupBy(*keys).agg(
-        F.array(
-            *[F.sum(F.when(F.col("_bucket") <= j, F.col("_c")).otherwise(0)) for j in range(npr)]
-        ).alias("_below")
-    )
+    below = _below_counts(counted.filter(F.col("i") < 0), keys, npr)
     inside = counted.filter(F.col("i") >= 0).join(below, keys)
 
     w = Window.partitionBy(*keys, "i").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -152,7 +228,7 @@ def exact_quantiles(
     out = picked.select(*keys, p_arr[F.col("i")].alias("p"), checked.cast("double").alias("value"))
     if extras:
         # k-row side (one row per group and field); same sketch subtree, reused.
-        ex = sketch.select(*keys, *extras)
+        ex = stats.select(*keys, *extras)
         out = out.join(F.broadcast(ex) if groups_bounded else ex, keys)
     return out
 

@@ -147,3 +147,20 @@ def test_exact_quantiles_sketch_path_unsorted_probs_and_hot_value(spark):
     arr = np.array(vals)
     for p in probs:
         assert got[p] == pytest.approx(float(np.quantile(arr, p)), abs=1e-9)
+
+
+@pytest.mark.parametrize("max_bracket", [40, 5])
+def test_exact_quantiles_refinement_rounds(spark, max_bracket):
+    # Tiny max_bracket forces one or more refinement passes over the data.
+    rnd = random.Random(11)
+    data = [(g, 7.0 if rnd.random() < 0.3 else rnd.uniform(-50, 50)) for g in range(3) for _ in range(3000)]
+    df = spark.createDataFrame(data, "g int, v double")
+    probs = [0.01, 0.5, 0.9, 0.999]
+    got = exact_quantiles(
+        df, ["v"], probs, ["g"], accuracy=500, max_bracket=max_bracket, groups_bounded=True, eager_bytes=0
+    )
+    res = {(r.g, r.p): r.value for r in got.collect()}
+    for g in range(3):
+        arr = np.array([v for gg, v in data if gg == g])
+        for p in probs:
+            assert res[(g, p)] == pytest.approx(float(np.quantile(arr, p)), abs=1e-9)
