@@ -88,7 +88,8 @@ def _densify(
     grid = counts.select(cluster_col).distinct().select(
         cluster_col, F.explode(F.array(*[F.lit(c) for c in categories])).alias(slot_col)
     )
-    return grid.join(counts, [cluster_col, slot_col], "left").fillna(0, subset=[name])
+    # counts has at most clusters x categories rows (a proven small bound).
+    return grid.join(F.broadcast(counts), [cluster_col, slot_col], "left").fillna(0, subset=[name])
 
 
 def _top_share(
