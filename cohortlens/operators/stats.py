@@ -89,7 +89,10 @@ def _refine(
         F.percentile_approx("e.v", grid, _REFINE_ACCURACY).alias("_g"),
     )
     below = _below_counts(per.filter(F.col("i") < 0), keys, npr)
-    br = per.filter(F.col("i") >= 0).join(below, keys).join(stats.select(*keys, "_n"), keys)
+    sizes = stats.select(*keys, "_n")
+    if groups_bounded:
+        below, sizes = F.broadcast(below), F.broadcast(sizes)
+    br = per.filter(F.col("i") >= 0).join(below, keys).join(sizes, keys)
     p_arr = F.array(*[F.lit(p) for p in probs])
     pos = p_arr[F.col("i")] * (F.col("_n") - 1)
     base = F.col("_below")[F.col("i")]
@@ -195,7 +198,7 @@ def exact_quantiles(
 
     # Rows below bracket i are those in buckets 0..i (lower bounds ascend).
     below = _below_counts(counted.filter(F.col("i") < 0), keys, npr)
-    inside = counted.filter(F.col("i") >= 0).join(below, keys)
+    inside = counted.filter(F.col("i") >= 0).join(F.broadcast(below) if groups_bounded else below, keys)
 
     w = Window.partitionBy(*keys, "i").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     p_arr = F.array(*[F.lit(p) for p in probs])
