@@ -32,6 +32,7 @@ from cohortlens.functions.scalar import is_missing
 from cohortlens.functions.stats import adjusted_skewness
 from cohortlens.session import ensure_checkpoint_dir
 from cohortlens.sources.sizing import input_bytes
+from cohortlens.sources.stage_tables import reusable
 
 
 def melt(df: DataFrame, value_cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -148,7 +149,10 @@ def exact_quantiles(
     npr = len(probs)
     m = margin if margin is not None else 10.0 / accuracy
     keys = [*group_cols, "field"]
-    long = melt(df, value_cols, group_cols).filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    # Every later pass (sketch, histogram, brackets) reads the values again:
+    # an upstream with joins or shuffles is written once as a stage table
+    # rather than re-planned per pass; a plain file scan is simply re-read.
+    long = reusable(melt(df, value_cols, group_cols).filter(F.col("value").isNotNull() & ~F.isnan("value")))
 
     bounds = [max(0.0, p - m) for p in probs] + [min(1.0, p + m) for p in probs]
     extras = dict(extra_aggs or {})

@@ -83,13 +83,22 @@ def _densify(
     counts: DataFrame, cluster_col: str, slot_col: str, categories: Sequence[str], name: str
 ) -> DataFrame:
     """Every observed cluster x every category, 0 where absent (pandas
-    ``observed=False`` on a categorical key). Built with a generator over
-    the distinct clusters, not a cross join."""
-    grid = counts.select(cluster_col).distinct().select(
-        cluster_col, F.explode(F.array(*[F.lit(c) for c in categories])).alias(slot_col)
+    ``observed=False`` on a categorical key).
+
+    One pass over ``counts``, no join and no cross join: ``counts`` already
+    holds one row per (cluster, slot), so each cluster's slot -> count map
+    has at most len(categories) entries (plus any out-of-range slot, which
+    is ignored); a generator then emits one row per category.
+    """
+    per_cluster = counts.groupBy(cluster_col).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col(slot_col), F.col(name)))).alias("_m")
+    )
+    grid = per_cluster.select(
+        cluster_col, "_m", F.explode(F.array(*[F.lit(c) for c in categories])).alias(slot_col)
+    )
+    return grid.select(
+        cluster_col, slot_col, F.coalesce(F.col("_m")[F.col(slot_col)], F.lit(0)).cast("long").alias(name)
     )
-    # counts has at most clusters x categories rows (a proven small bound).
-    return grid.join(F.broadcast(counts), [cluster_col, slot_col], "left").fillna(0, subset=[name])
 
 
 def _top_share(

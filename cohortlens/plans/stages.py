@@ -11,8 +11,6 @@ only builds a plan; nothing runs until an action.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortlens.config import RFMConfig, TemporalConfig, TxConfig
@@ -21,32 +19,14 @@ from cohortlens.operators.cluster import FIXED_CENTRES, assign_nearest, attach_c
 from cohortlens.operators.features import rfm_features
 from cohortlens.operators.rfm import build_rfm
 from cohortlens.operators.temporal import activity_cube, temporal_profile
-from cohortlens.session import ensure_checkpoint_dir
 from cohortlens.sources.adapters import events_transactions, orders_transactions
+from cohortlens.sources.stage_tables import materialize
 
 TX = TxConfig()
 RFM = RFMConfig()
 TEMPORAL = TemporalConfig()
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Stage boundary: write ``df`` as a Parquet table under the reliable
-    checkpoint directory (``spark.checkpoint.dir``, a shared folder on a
-    cluster) and continue from the written files.
-
-    Used at the customer-grain tables (RFM, scaled features), where the
-    reference also hands off through files. It cuts the lineage, so a lost
-    executor re-reads the table instead of recomputing from the raw
-    transactions; statistics subqueries downstream scan a small table
-    instead of re-embedding the upstream plan; and the scan carries its real
-    file size, so later broadcast decisions see the true table size.
-    """
-    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{root}/cohortlens-tables/{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 # -- Entry A ----------------------------------------------------------------
 
 def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,14 +44,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory, setting one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only when nothing is configured (local tests) do we create a
-    scratch folder.
+    as is. Only when nothing is configured and the master is local (tests)
+    do we create a scratch folder; a cluster without the setting is an
+    error, since a machine-local folder would not survive executor loss.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir and not sc.master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: stage tables and checkpoints need "
+            "a folder shared by the cluster (e.g. on HDFS or an object store)"
+        )
     target = conf_dir or tempfile.mkdtemp(prefix="cohortlens-ckpt-")
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target

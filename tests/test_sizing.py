@@ -32,3 +32,34 @@ def test_spread_only_when_under_parallelism(spark):
     many = spark.range(100).repartition(spark.sparkContext.defaultParallelism * 2)
     assert spread(many).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism * 2
     assert spread(one).agg(F.sum("id")).first()[0] == sum(range(100))
+
+
+def test_plain_scan_detection(spark, tmp_path):
+    from cohortlens.sources.stage_tables import is_plain_scan, materialize, reusable
+
+    path = str(tmp_path / "t")
+    spark.range(50).withColumn("g", F.col("id") % 3).write.parquet(path)
+    scan = spark.read.parquet(path)
+    assert is_plain_scan(scan.filter("id > 3").select((F.col("id") * 2).alias("x")))
+    assert not is_plain_scan(scan.groupBy("g").count())
+    assert not is_plain_scan(scan.join(scan.select("g"), "g"))
+    assert not is_plain_scan(scan.dropDuplicates(["g"]))
+    assert reusable(scan) is scan
+    agg = scan.groupBy("g").agg(F.sum("id").alias("s"))
+    written = materialize(agg)
+    assert is_plain_scan(written)
+    assert sorted(tuple(r) for r in written.collect()) == sorted(tuple(r) for r in agg.collect())
+    assert is_plain_scan(reusable(agg))
+
+
+def test_cluster_without_checkpoint_dir_fails():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from cohortlens.session import ensure_checkpoint_dir
+
+    sc = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    fake = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: d))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(fake)

@@ -94,3 +94,24 @@ def test_share_matrices_sum_to_one(enriched):
             assert sum(r[c] for c in cols) == pytest.approx(1.0)
     rank = [(r.Cluster, r.day_of_week, r.rank) for r in charts.dow_ranking(prof).collect()]
     assert rank[0] == (0, "Monday", 1)
+
+
+def test_unobserved_category_appears_with_zero(spark):
+    # cluster 0 has no Late rows, cluster 1 only Late rows: both get all three
+    # periods, absent ones with 0 (pandas observed=False on a categorical).
+    df = spark.createDataFrame(
+        [(0, "c1", "Early"), (0, "c1", "Early"), (0, "c2", "Mid"), (1, "c3", "Late")],
+        "Cluster int, CustomerID string, month_period string",
+    )
+    top = top_preferences(df, "Cluster", "month_period", 3, categories=PERIODS)
+    got = [(r[0], r[1], r[2], r[4]) for r in top.orderBy("Cluster", "rank").collect()]
+    assert got == [
+        (0, "Early", 2, 1), (0, "Mid", 1, 2), (0, "Late", 0, 3),
+        (1, "Late", 1, 1), (1, "Early", 0, 2), (1, "Mid", 0, 3),
+    ]
+    uniq = top_unique_customers(df, "Cluster", "month_period", "CustomerID", 3, PERIODS)
+    got = [(r[0], r[1], r[2], r[4]) for r in uniq.orderBy("Cluster", "rank").collect()]
+    assert got == [
+        (0, "Early", 1, 1), (0, "Mid", 1, 2), (0, "Late", 0, 3),
+        (1, "Late", 1, 1), (1, "Early", 0, 2), (1, "Mid", 0, 3),
+    ]
