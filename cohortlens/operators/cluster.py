@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.config import ClusterConfig
 from cohortlens.operators.features import SCALED_COLS
+from cohortlens.sources.stage_tables import is_plain_scan
 
 # Literal centres in (R_scaled, F_scaled, M_scaled) space used
 # by the deterministic, SQL-checkable assignment queries. Our own choice:
@@ -130,12 +131,15 @@ def silhouette(
 
 
 def _fit_table(df: DataFrame, features: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Checkpoint the features (reliable storage, cuts lineage), then persist
-    an assembled-vector copy sized to its row count for the iterative fits.
+    """Checkpoint the features (reliable storage, cuts lineage) unless they
+    already are a plain scan of written files, then persist an
+    assembled-vector copy sized to its row count for the iterative fits.
 
-    Returns (checkpointed features, persisted vectors).
+    Returns (checkpointed or scanned features, persisted vectors).
     """
-    base = df.select(*features).checkpoint(eager=True)
+    base = df.select(*features)
+    if not is_plain_scan(base):
+        base = base.checkpoint(eager=True)
     n = base.count()
     parts = max(1, min(base.rdd.getNumPartitions(), math.ceil(n / ROWS_PER_FIT_PARTITION)))
     vec = VectorAssembler(inputCols=list(features), outputCol="_features").transform(base.coalesce(parts))

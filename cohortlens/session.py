@@ -19,6 +19,35 @@ DEFAULT_CONF = {
 }
 
 
+# Sizing for a cluster reading ~100 TB, applied only on a non-local master
+# and only to keys the deployment did not set (spark-submit / builder):
+# 512 MiB scan splits (~200 k scan tasks for 100 TB); a high initial shuffle
+# partition count for the first, fact-sized shuffle (cleaning's dedup,
+# RFM's per-invoice aggregate), which AQE coalesces to ~256 MiB partitions
+# for every smaller shuffle after it; skewed join partitions above 1 GiB
+# are split. Broadcast stays at Spark's 10 MiB default: every dimension
+# broadcast is size-checked against it (``sources/sizing.py``).
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.shuffle.partitions": "16384",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+}
+
+
+def apply_cluster_sizing(spark: SparkSession) -> dict[str, str]:
+    """Set ``CLUSTER_CONF`` keys the deployment left unset (non-local
+    masters only); returns what was set."""
+    sc = spark.sparkContext
+    if sc.master.startswith("local"):
+        return {}
+    conf = sc.getConf()
+    applied = {k: v for k, v in CLUSTER_CONF.items() if not conf.contains(k)}
+    for k, v in applied.items():
+        spark.conf.set(k, v)
+    return applied
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "cohortlens",
@@ -36,6 +65,7 @@ def build_session(
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    apply_cluster_sizing(spark)
     ensure_checkpoint_dir(spark)
     return spark
 

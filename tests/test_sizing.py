@@ -63,3 +63,18 @@ def test_cluster_without_checkpoint_dir_fails():
     fake = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: d))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(fake)
+
+
+def test_cluster_sizing_only_off_local(spark):
+    from types import SimpleNamespace
+
+    from cohortlens.session import CLUSTER_CONF, apply_cluster_sizing
+
+    assert apply_cluster_sizing(spark) == {}  # local master: untouched
+    set_keys = {}
+    preset = {"spark.sql.shuffle.partitions"}
+    sc = SimpleNamespace(master="yarn", getConf=lambda: SimpleNamespace(contains=lambda k: k in preset))
+    fake = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(set=lambda k, v: set_keys.__setitem__(k, v)))
+    applied = apply_cluster_sizing(fake)
+    assert "spark.sql.shuffle.partitions" not in applied  # a deployment's own value wins
+    assert applied == set_keys == {k: v for k, v in CLUSTER_CONF.items() if k not in preset}
