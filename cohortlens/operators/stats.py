@@ -348,3 +348,33 @@ def quality_report(
         "revenue_describe": describe(df, [revenue_col]),
         "missing_ratio": missing_ratio(df),
     }
+
+
+def rfm_diagnostics(
+    rfm: DataFrame,
+    cols: Sequence[str] = ("Recency", "Frequency", "Monetary"),
+    id_col: str = "CustomerID",
+    top_n: int = 10,
+    head_n: int = 5,
+) -> dict[str, DataFrame]:
+    """STA-6: the RFM table's checks as named tidy DataFrames.
+
+    ``head``       first ``head_n`` customers by id (TOP-2; per-group order of
+                   the reference's grouped table)
+    ``describe``   STA-1 with percentiles 50 / 90 / 95 / 99 (exact)
+    ``skewness``   STA-2, bias-adjusted, largest first
+    ``top_<col>``  TOP-1: ``top_n`` customers by each column, ties by id
+
+    Every entry is lazy; the top-n and head tables are per-task top-k
+    (TakeOrderedAndProject), never a global sort of all customers.
+    """
+    from cohortlens.operators.rfm import top_customers
+
+    out = {
+        "head": rfm.orderBy(id_col).limit(head_n),
+        "describe": describe(rfm, cols),
+        "skewness": skewness(rfm, cols),
+    }
+    for c in reversed(cols):  # Monetary, Frequency, Recency: the reference's order
+        out[f"top_{c.lower()}"] = top_customers(rfm, c, top_n, id_col)
+    return out

@@ -43,3 +43,20 @@ def test_negative_recency_fails(spark):
     clean = clean_transactions(cleaning_df(spark))
     with pytest.raises(Exception, match="negative recency"):
         build_rfm(clean, rcfg=RFMConfig(snapshot_add_days=-1)).collect()
+
+
+def test_rfm_diagnostics(spark):
+    from cohortlens.operators.stats import rfm_diagnostics
+
+    df = spark.createDataFrame(
+        [(f"c{i:02d}", i % 7, 1 + i % 4, float(i * i)) for i in range(30)],
+        "CustomerID string, Recency int, Frequency long, Monetary double",
+    )
+    d = rfm_diagnostics(df, top_n=3)
+    assert list(d) == ["head", "describe", "skewness", "top_monetary", "top_frequency", "top_recency"]
+    assert [r.CustomerID for r in d["head"].collect()] == ["c00", "c01", "c02", "c03", "c04"]
+    assert [r.CustomerID for r in d["top_monetary"].collect()] == ["c29", "c28", "c27"]
+    assert [r.CustomerID for r in d["top_frequency"].collect()] == ["c03", "c07", "c11"]
+    desc = {r.field: r for r in d["describe"].collect()}
+    assert desc["Monetary"]["count"] == 30 and desc["Monetary"]["p50"] == pytest.approx(210.5)
+    assert [r.field for r in d["skewness"].collect()][0] == "Monetary"
