@@ -109,6 +109,25 @@ def _refine(
     )
 
 
+# Size bound of the single-pass exact quantile path (see exact_quantiles).
+SINGLE_PASS_CONF = "cohortlens.quantiles.singlePassBytes"
+SINGLE_PASS_BYTES = 64 << 20
+
+
+def _single_pass_quantiles(
+    long: DataFrame, keys: Sequence[str], probs: Sequence[float], extras: dict[str, Callable[[Column], Column]]
+) -> DataFrame:
+    """Size-checked path of ``exact_quantiles``: one aggregate per (group,
+    field) with the exact ``percentile`` and the extra aggregates."""
+    p_arr = F.array(*[F.lit(p) for p in probs])
+    agg = long.groupBy(*keys).agg(
+        F.percentile("value", list(probs)).alias("_q"),
+        *[fn(F.col("value")).alias(name) for name, fn in extras.items()],
+    )
+    pairs = F.transform(F.col("_q"), lambda v, i: F.struct(p_arr[i].alias("p"), v.cast("double").alias("value")))
+    return agg.select(*keys, F.inline(pairs), *extras)
+
+
 def exact_quantiles(
     df: DataFrame,
     value_cols: Sequence[str],
@@ -120,6 +139,7 @@ def exact_quantiles(
     groups_bounded: bool | None = None,
     max_bracket: int = 2_000_000,
     eager_bytes: int = 10 << 30,
+    single_pass_bytes: int | None = None,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles per (group, field, p).
 
@@ -142,6 +162,14 @@ def exact_quantiles(
     a bracket could exceed ``max_bracket`` values, refinement passes narrow
     every bracket with a fine quantile grid computed over the bracket's rows
     only. Smaller inputs stay one lazy job (shuffles shared by AQE).
+
+    Inputs of at most ``single_pass_bytes`` (default: session conf
+    ``cohortlens.quantiles.singlePassBytes``, else 64 MiB of files read by
+    the plan, i.e. a few million values in all; -1 disables) skip the
+    brackets: one
+    aggregate with Spark's exact ``percentile``, whose per-group
+    value -> count map is then bounded by that size. Same definition
+    (linear interpolation at p (n - 1)), one stage instead of eight.
     """
     if groups_bounded is None:
         groups_bounded = not group_cols
@@ -149,13 +177,18 @@ def exact_quantiles(
     npr = len(probs)
     m = margin if margin is not None else 10.0 / accuracy
     keys = [*group_cols, "field"]
+    extras = dict(extra_aggs or {})
+    long = melt(df, value_cols, group_cols).filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    if single_pass_bytes is None:
+        single_pass_bytes = int(df.sparkSession.conf.get(SINGLE_PASS_CONF, str(SINGLE_PASS_BYTES)))
+    if input_bytes(long) <= single_pass_bytes:
+        return _single_pass_quantiles(long, keys, probs, extras)
     # Every later pass (sketch, histogram, brackets) reads the values again:
     # an upstream with joins or shuffles is written once as a stage table
     # rather than re-planned per pass; a plain file scan is simply re-read.
-    long = reusable(melt(df, value_cols, group_cols).filter(F.col("value").isNotNull() & ~F.isnan("value")))
+    long = reusable(long)
 
     bounds = [max(0.0, p - m) for p in probs] + [min(1.0, p + m) for p in probs]
-    extras = dict(extra_aggs or {})
     sketch = long.groupBy(*keys).agg(
         F.count("value").alias("_n"),
         F.min("value").alias("_min"),

@@ -57,7 +57,12 @@ def test_full_days_is_zone_free(spark, tz):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def test_describe_matches_pandas_fixture(spark):
+@pytest.mark.parametrize("single_pass", [-1, None], ids=["brackets", "single_pass"])
+def test_describe_matches_pandas_fixture(spark, single_pass, monkeypatch):
+    if single_pass is not None:  # describe has no knob: force the bracketed path
+        import cohortlens.operators.stats as S
+
+        monkeypatch.setattr(S, "input_bytes", lambda df: 1 << 62)
     df = spark.createDataFrame([(x,) for x in X], "x double")
     r = describe(df, ["x"], (0.5, 0.9)).first()
     assert r["count"] == 7
@@ -74,7 +79,17 @@ def test_adjusted_skewness(spark):
     assert skewness(const, ["x"]).first()["skewness"] == 0.0
 
 
-def test_exact_quantiles_against_numpy(spark):
+# -1 forces the bracketed path (the one used at scale); None keeps the
+# default, under which these small inputs take the single-pass percentile.
+PATHS = pytest.mark.parametrize("single_pass", [-1, None], ids=["brackets", "single_pass"])
+
+
+def _path(single_pass):
+    return {} if single_pass is None else {"single_pass_bytes": single_pass}
+
+
+@PATHS
+def test_exact_quantiles_against_numpy(spark, single_pass):
     rnd = random.Random(7)
     data = []
     for g in range(3):
@@ -85,16 +100,17 @@ def test_exact_quantiles_against_numpy(spark):
             data.append((g, v))
     df = spark.createDataFrame(data, "g int, v double")
     probs = [0.0, 0.1, 0.5, 0.9, 0.95, 0.99, 1.0]
-    got = {(r.g, r.p): r.value for r in exact_quantiles(df, ["v"], probs, ["g"]).collect()}
+    got = {(r.g, r.p): r.value for r in exact_quantiles(df, ["v"], probs, ["g"], **_path(single_pass)).collect()}
     for g in range(3):
         vals = np.array([v for gg, v in data if gg == g])
         for p in probs:
             assert got[(g, p)] == pytest.approx(float(np.quantile(vals, p)), abs=1e-9)
 
 
-def test_exact_quantiles_tiny_accuracy_still_exact(spark):
+@PATHS
+def test_exact_quantiles_tiny_accuracy_still_exact(spark, single_pass):
     df = spark.createDataFrame([(float(i % 97),) for i in range(5000)], "v double")
-    got = exact_quantiles(df, ["v"], [0.5, 0.75], accuracy=100).orderBy("p").collect()
+    got = exact_quantiles(df, ["v"], [0.5, 0.75], accuracy=100, **_path(single_pass)).orderBy("p").collect()
     vals = np.array([float(i % 97) for i in range(5000)])
     assert [r.value for r in got] == [float(np.quantile(vals, 0.5)), float(np.quantile(vals, 0.75))]
 
@@ -143,7 +159,7 @@ def test_exact_quantiles_sketch_path_unsorted_probs_and_hot_value(spark):
     vals = [7.0] * 2000 + [float(rnd.randint(0, 3000)) / 4 for _ in range(4000)]
     df = spark.createDataFrame([(v,) for v in vals], "v double")
     probs = [0.99, 0.5, 0.05, 0.3333, 0.75]
-    got = {r.p: r.value for r in exact_quantiles(df, ["v"], probs, accuracy=500).collect()}
+    got = {r.p: r.value for r in exact_quantiles(df, ["v"], probs, accuracy=500, single_pass_bytes=-1).collect()}
     arr = np.array(vals)
     for p in probs:
         assert got[p] == pytest.approx(float(np.quantile(arr, p)), abs=1e-9)
@@ -157,7 +173,8 @@ def test_exact_quantiles_refinement_rounds(spark, max_bracket):
     df = spark.createDataFrame(data, "g int, v double")
     probs = [0.01, 0.5, 0.9, 0.999]
     got = exact_quantiles(
-        df, ["v"], probs, ["g"], accuracy=500, max_bracket=max_bracket, groups_bounded=True, eager_bytes=0
+        df, ["v"], probs, ["g"], accuracy=500, max_bracket=max_bracket, groups_bounded=True, eager_bytes=0,
+        single_pass_bytes=-1,
     )
     res = {(r.g, r.p): r.value for r in got.collect()}
     for g in range(3):
