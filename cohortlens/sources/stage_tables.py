@@ -49,7 +49,8 @@ def materialize(df: DataFrame) -> DataFrame:
     root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{root}/cohortlens-tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # The schema is known: reading it back needs no footer inference.
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def reusable(df: DataFrame) -> DataFrame:
