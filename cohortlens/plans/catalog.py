@@ -23,10 +23,10 @@ from cohortlens.plans.stages import TEMPORAL, TX
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# KMeans fits registered as queries: the reference's k range and seed; five
-# restarts per k instead of twenty keep the sweep to 35 distributed fits,
-# eight of them in flight at a time.
-QUERY_KMEANS = ClusterConfig(n_init=5, fit_threads=8)
+# KMeans fits registered as queries: the reference's k range, seed and 20
+# restarts per k (140 distributed fits for the sweep), eight in flight at a
+# time from the driver's pool.
+QUERY_KMEANS = ClusterConfig(fit_threads=8)
 
 
 def _round(df: DataFrame, cols, digits: int) -> DataFrame:
