@@ -33,6 +33,7 @@ from cohortlens.sources.files import (
     write_table,
 )
 from cohortlens.sources.schema import SCALED_COLUMNS
+from cohortlens.sources.stage_tables import materialize
 
 
 def run_stages(
@@ -63,7 +64,9 @@ def run_stages(
     clean = read_clean_transactions(spark, paths["clean_transactions"], cfg, fmt)
     save("quality_missing_ratio", missing_ratio(clean))
     save("quality_revenue", describe(clean, [cfg.revenue]))
-    save("rfm_raw", build_rfm(clean, cfg, rcfg))
+    # per-customer table written once: the snapshot max scans it, not the
+    # transactions again
+    save("rfm_raw", build_rfm(clean, cfg, rcfg, materialize))
 
     # Entry B: features, clusters, profile
     rfm = read_table(spark, paths["rfm_raw"], "features", fmt)
