@@ -130,33 +130,55 @@ def silhouette(
     return df.select(score.alias("_s")).agg(F.avg("_s").alias("silhouette_sq_euclidean"))
 
 
-def _fit_table(df: DataFrame, features: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def _fit_table(df: DataFrame, features: Sequence[str]) -> tuple[DataFrame, DataFrame, float]:
     """Checkpoint the features (reliable storage, cuts lineage) unless they
     already are a plain scan of written files, then persist an
     assembled-vector copy sized to its row count for the iterative fits.
 
-    Returns (checkpointed or scanned features, persisted vectors).
+    Returns (checkpointed or scanned features, persisted vectors, mean
+    population variance of the features), the last two from one pass.
     """
     base = df.select(*features)
     if not is_plain_scan(base):
         base = base.checkpoint(eager=True)
-    n = base.count()
+    row = base.agg(F.count(F.lit(1)), *[F.var_pop(F.col(c).cast("double")) for c in features]).first()
+    n = row[0]
+    mean_var = sum(v or 0.0 for v in row[1:]) / len(features)
     parts = max(1, min(base.rdd.getNumPartitions(), math.ceil(n / ROWS_PER_FIT_PARTITION)))
     vec = VectorAssembler(inputCols=list(features), outputCol="_features").transform(base.coalesce(parts))
-    return base, vec.select("_features").persist(StorageLevel.MEMORY_AND_DISK)
+    return base, vec.select("_features").persist(StorageLevel.MEMORY_AND_DISK), mean_var
 
 
-def _fit_once(table: DataFrame, k: int, seed: int, cfg: ClusterConfig) -> tuple[float, int, list[list[float]]]:
+def spark_tol(tol: float, mean_var: float, k: int) -> float:
+    """MLlib tolerance that enforces the reference's stopping rule.
+
+    The reference's library stops when the *total* squared centre shift is
+    at most tol x (mean feature variance); MLlib stops when *every* centre
+    moves at most its tol (Euclidean). A per-centre bound of
+    sqrt(tol x mean_var / k) implies the reference's total bound; passing
+    tol unchanged would instead demand shifts ~10^4 times smaller.
+    """
+    return math.sqrt(max(tol * mean_var, 0.0) / k)
+
+
+def _fit_once(
+    table: DataFrame, k: int, seed: int, cfg: ClusterConfig, mean_var: float
+) -> tuple[float, int, list[list[float]]]:
     model = KMeans(
-        k=k, seed=seed, maxIter=cfg.max_iter, tol=cfg.tol, featuresCol="_features", predictionCol="_p"
+        k=k,
+        seed=seed,
+        maxIter=cfg.max_iter,
+        tol=spark_tol(cfg.tol, mean_var, k),
+        featuresCol="_features",
+        predictionCol="_p",
     ).fit(table)
     return model.summary.trainingCost, seed, [list(map(float, c)) for c in model.clusterCenters()]
 
 
 def _best_of_restarts(
-    table: DataFrame, k: int, cfg: ClusterConfig, pool: ThreadPoolExecutor
+    table: DataFrame, k: int, cfg: ClusterConfig, pool: ThreadPoolExecutor, mean_var: float
 ) -> tuple[float, list[list[float]]]:
-    futures = [pool.submit(_fit_once, table, k, cfg.seed + i, cfg) for i in range(cfg.n_init)]
+    futures = [pool.submit(_fit_once, table, k, cfg.seed + i, cfg, mean_var) for i in range(cfg.n_init)]
     cost, _, centres = min((f.result() for f in futures), key=lambda r: (r[0], r[1]))
     return cost, centres
 
@@ -171,10 +193,10 @@ def fit_kmeans(
 ) -> tuple[list[list[float]], float]:
     """ML-1: best-of-n_init KMeans; returns (stably ordered centres, inertia)."""
     k = k or cfg.final_k
-    _, table = _fit_table(df, cfg.features)
+    _, table, mean_var = _fit_table(df, cfg.features)
     try:
         with ThreadPoolExecutor(max(1, cfg.fit_threads)) as pool:
-            cost, centres = _best_of_restarts(table, k, cfg, pool)
+            cost, centres = _best_of_restarts(table, k, cfg, pool, mean_var)
     finally:
         table.unpersist()
     return stable_order(centres), cost
@@ -194,12 +216,13 @@ def kmeans_sweep(df: DataFrame, cfg: ClusterConfig = ClusterConfig()) -> DataFra
     same pool. Only k x 3 centre coordinates and scalars reach the driver.
     """
     spark = df.sparkSession
-    base, table = _fit_table(df, cfg.features)
+    base, table, mean_var = _fit_table(df, cfg.features)
     ks = list(range(cfg.k_min, cfg.k_max + 1))
     try:
         with ThreadPoolExecutor(max(1, cfg.fit_threads)) as pool:
             fits = {
-                k: [pool.submit(_fit_once, table, k, cfg.seed + i, cfg) for i in range(cfg.n_init)] for k in ks
+                k: [pool.submit(_fit_once, table, k, cfg.seed + i, cfg, mean_var) for i in range(cfg.n_init)]
+                for k in ks
             }
             best = {}
             for k in ks:

@@ -116,3 +116,16 @@ def test_attach_clusters_inner(spark):
     rfm = spark.createDataFrame([("a", 1), ("b", 2)], "CustomerID string, Recency int")
     cl = spark.createDataFrame([("a", 0)], "CustomerID string, Cluster int")
     assert [tuple(r) for r in attach_clusters(rfm, cl).collect()] == [("a", 1, 0)]
+
+
+def test_spark_tol_implies_reference_stopping_rule():
+    import math
+
+    from cohortlens.operators.cluster import spark_tol
+
+    # every centre within spark_tol => total squared shift within tol x mean variance
+    for tol, var, k in [(1e-4, 1.0, 3), (1e-4, 2.5, 8), (1e-3, 0.2, 2)]:
+        t = spark_tol(tol, var, k)
+        assert k * t * t == pytest.approx(tol * var)
+    assert spark_tol(1e-4, 0.0, 3) == 0.0
+    assert math.isclose(spark_tol(1e-4, 1.0, 1), 1e-2)
