@@ -14,10 +14,20 @@ from pyspark.sql import DataFrame
 
 from cohortlens.session import ensure_checkpoint_dir
 
-# Logical operators that neither shuffle nor combine inputs: a plan built
-# only from these is as cheap to re-read as its files.
+# Logical operators that neither shuffle nor combine inputs, over leaves
+# that are cheap to re-read (files, local rows, checkpointed RDDs, cached
+# tables): a plan built only from these costs a scan per pass.
 _ROW_LOCAL = frozenset(
-    {"Project", "Filter", "Generate", "LogicalRelation", "Relation", "LocalRelation", "LogicalRDD"}
+    {
+        "Project",
+        "Filter",
+        "Generate",
+        "LogicalRelation",
+        "Relation",
+        "LocalRelation",
+        "LogicalRDD",
+        "InMemoryRelation",
+    }
 )
 
 

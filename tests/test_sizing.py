@@ -50,6 +50,11 @@ def test_plain_scan_detection(spark, tmp_path):
     assert is_plain_scan(written)
     assert sorted(tuple(r) for r in written.collect()) == sorted(tuple(r) for r in agg.collect())
     assert is_plain_scan(reusable(agg))
+    cached = agg.cache()
+    try:
+        assert is_plain_scan(cached.filter("s > 0"))  # cached result: re-read, not re-written
+    finally:
+        cached.unpersist()
 
 
 def test_cluster_without_checkpoint_dir_fails():
