@@ -83,3 +83,9 @@ def top_customers(
     Planned as TakeOrderedAndProject: each task keeps its own top n.
     """
     return rfm.orderBy(F.desc(by), F.asc(id_col)).limit(n)
+
+
+def first_rows(df: DataFrame, n: int = 5, id_col: str = "CustomerID") -> DataFrame:
+    """TOP-2: the first n rows by id (the reference's ``head()`` of a table
+    grouped by customer). Planned as TakeOrderedAndProject."""
+    return df.orderBy(F.asc(id_col)).limit(n)

@@ -401,10 +401,10 @@ def rfm_diagnostics(
     Every entry is lazy; the top-n and head tables are per-task top-k
     (TakeOrderedAndProject), never a global sort of all customers.
     """
-    from cohortlens.operators.rfm import top_customers
+    from cohortlens.operators.rfm import first_rows, top_customers
 
     out = {
-        "head": rfm.orderBy(id_col).limit(head_n),
+        "head": first_rows(rfm, head_n, id_col),
         "describe": describe(rfm, cols),
         "skewness": skewness(rfm, cols),
     }

@@ -17,7 +17,7 @@ from cohortlens.functions.scalar import WEEKDAY_NAMES
 from cohortlens.operators import charts, cluster, profile, stats, temporal
 from cohortlens.operators.clean import clean_audit
 from cohortlens.operators.features import LOG_COLS, RAW_COLS, SCALED_COLS, log_transform
-from cohortlens.operators.rfm import top_customers
+from cohortlens.operators.rfm import first_rows, top_customers
 from cohortlens.plans import stages
 from cohortlens.plans.stages import TEMPORAL, TX
 
@@ -73,6 +73,10 @@ def rfm_skew(spark, sf):
     return stats.skewness(stages.orders_rfm(spark, sf), RAW_COLS)
 
 
+def rfm_head(spark, sf):
+    return first_rows(stages.orders_rfm(spark, sf), 5)
+
+
 def _top(col: str) -> Query:
     return lambda spark, sf: top_customers(stages.orders_rfm(spark, sf), col, 10)
 
@@ -204,6 +208,7 @@ def queries() -> dict[str, Query]:
         "rfm_top_monetary": _top("Monetary"),
         "rfm_top_frequency": _top("Frequency"),
         "rfm_top_recency": _top("Recency"),
+        "rfm_head": rfm_head,
         "rfm_log": rfm_log,
         "rfm_log_skew": rfm_log_skew,
         "rfm_scaled": rfm_scaled,

@@ -318,6 +318,7 @@ def oracle_sql() -> dict[str, str]:
     q["rfm_skew"] = ORDERS_RFM + _skew("rfm", rfm_cols)
     for name, col in (("monetary", "Monetary"), ("frequency", "Frequency"), ("recency", "Recency")):
         q[f"rfm_top_{name}"] = ORDERS_RFM + f"SELECT * FROM rfm ORDER BY {col} DESC, CustomerID ASC LIMIT 10"
+    q["rfm_head"] = ORDERS_RFM + "SELECT * FROM rfm ORDER BY CustomerID LIMIT 5"
 
     # Entry B
     logs = ["R_log", "F_log", "M_log"]
