@@ -19,6 +19,10 @@ many distinct values. ``exact_quantiles`` instead:
 
 If a target rank ever fell outside its bracket the job fails loudly rather
 than returning an approximation.
+
+Inputs whose plan reads at most ``cohortlens.quantiles.singlePassBytes``
+(64 MiB by default) skip the brackets and use ``percentile`` directly: the
+value map of any group is then bounded by the input size.
 """
 
 from __future__ import annotations
