@@ -124,6 +124,13 @@ def kmeans_sweep(spark, sf):
     return cluster.kmeans_sweep(stages.orders_features(spark, sf), QUERY_KMEANS)
 
 
+def cluster_profile_kmeans(spark, sf):
+    """The reference's published profile: AGG-7 over fitted KMeans clusters
+    (ML-1, best of 20, stable labels). Iterative fit: rows-only check."""
+    labelled = cluster.kmeans_clusters(stages.orders_features(spark, sf), QUERY_KMEANS)
+    return profile.cluster_profile(labelled)
+
+
 def cluster_profile(spark, sf):
     return profile.cluster_profile(stages.orders_fixed_clusters(spark, sf))
 
@@ -190,6 +197,18 @@ def temporal_profile(spark, sf):
     return stages.events_temporal_profile(spark, sf)
 
 
+def temporal_profile_kmeans(spark, sf):
+    """The reference's published timing table: AGG-12 over the activity of
+    customers labelled by fitted KMeans clusters on their own RFM.
+    Iterative fit: rows-only check."""
+    cube = temporal.activity_cube(stages.events_clean(spark, sf), TX.customer, TX.date, TEMPORAL)
+    labelled = cluster.kmeans_clusters(stages.events_features(spark, sf), QUERY_KMEANS)
+    activity = cluster.attach_clusters(cube, labelled, TEMPORAL.id_col, TEMPORAL.cluster_col)
+    return temporal.temporal_profile(
+        activity, TEMPORAL.cluster_col, TEMPORAL.id_col, weight_col="transactions", one_row_per_customer_slot=True
+    )
+
+
 def _chart(fn) -> Query:
     return lambda spark, sf: fn(stages.events_temporal_profile(spark, sf))
 
@@ -218,6 +237,7 @@ def queries() -> dict[str, Query]:
         "silhouette_fixed_centres": silhouette_fixed_centres,
         "kmeans_counts": kmeans_counts,
         "kmeans_sweep": kmeans_sweep,
+        "cluster_profile_kmeans": cluster_profile_kmeans,
         "cluster_profile": cluster_profile,
         "cluster_medians": cluster_medians,
         "cluster_sizes": cluster_sizes,
@@ -234,6 +254,7 @@ def queries() -> dict[str, Query]:
         "top_hour_unique": _top_unique("hour", 5),
         "top_period_unique": _top_unique("month_period", 3, TEMPORAL.labels),
         "temporal_profile": temporal_profile,
+        "temporal_profile_kmeans": temporal_profile_kmeans,
         "hour_share": _chart(charts.hour_share),
         "dow_share": _chart(charts.dow_share),
         "dow_hour_share": _chart(charts.dow_hour_share),
