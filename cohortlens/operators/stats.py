@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.scalar import is_missing
 from cohortlens.functions.stats import adjusted_skewness
+from cohortlens.operators.rfm import first_rows, top_customers
 from cohortlens.session import ensure_checkpoint_dir
 from cohortlens.sources.sizing import input_bytes
 from cohortlens.sources.stage_tables import reusable
@@ -170,10 +171,10 @@ def exact_quantiles(
     Inputs of at most ``single_pass_bytes`` (default: session conf
     ``cohortlens.quantiles.singlePassBytes``, else 64 MiB of files read by
     the plan, i.e. a few million values in all; -1 disables) skip the
-    brackets: one
-    aggregate with Spark's exact ``percentile``, whose per-group
-    value -> count map is then bounded by that size. Same definition
-    (linear interpolation at p (n - 1)), one stage instead of eight.
+    brackets: one aggregate with Spark's exact ``percentile``, whose
+    per-group value -> count map is then bounded by that size. Same
+    definition (linear interpolation at p (n - 1)), one stage instead of
+    eight.
     """
     if groups_bounded is None:
         groups_bounded = not group_cols
@@ -402,11 +403,11 @@ def rfm_diagnostics(
     ``skewness``   STA-2, bias-adjusted, largest first
     ``top_<col>``  TOP-1: ``top_n`` customers by each column, ties by id
 
-    Every entry is lazy; the top-n and head tables are per-task top-k
-    (TakeOrderedAndProject), never a global sort of all customers.
+    The top-n and head tables are per-task top-k (TakeOrderedAndProject),
+    never a global sort of all customers. All entries are lazy, except
+    that ``describe`` on a very large input writes its stage tables first
+    (see ``exact_quantiles``).
     """
-    from cohortlens.operators.rfm import first_rows, top_customers
-
     out = {
         "head": first_rows(rfm, head_n, id_col),
         "describe": describe(rfm, cols),
