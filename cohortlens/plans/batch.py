@@ -52,16 +52,21 @@ def run_stages(
     """
     out = out_dir.rstrip("/")
     paths: dict[str, str] = {}
+    schemas = {}
 
     def save(name: str, df: DataFrame, **kw) -> str:
         paths[name] = f"{out}/{name}"
+        schemas[name] = df.schema  # CSV tables are read back with their written types
         write_table(df, paths[name], fmt=fmt, **kw)
         return paths[name]
 
+    def load(name: str, stage: str) -> DataFrame:
+        return read_table(spark, paths[name], stage, fmt, schemas[name])
+
     # Entry A: cleaning and RFM
     save("clean_transactions", clean_transactions(raw, cfg), sort_by=[cfg.customer, cfg.date])
     save("clean_audit", clean_audit(raw, cfg))
-    clean = read_clean_transactions(spark, paths["clean_transactions"], cfg, fmt)
+    clean = read_clean_transactions(spark, paths["clean_transactions"], cfg, fmt, schemas["clean_transactions"])
     save("quality_missing_ratio", missing_ratio(clean))
     save("quality_revenue", describe(clean, [cfg.revenue]))
     # per-customer table written once: the snapshot max scans it, not the
@@ -69,19 +74,22 @@ def run_stages(
     save("rfm_raw", build_rfm(clean, cfg, rcfg, materialize))
 
     # Entry B: features, clusters, profile
-    rfm = read_table(spark, paths["rfm_raw"], "features", fmt)
+    rfm = load("rfm_raw", "features")
     save("rfm_scaled", rfm_features(rfm).select(*SCALED_COLUMNS))
-    feats = read_table(spark, paths["rfm_scaled"], "clustering", fmt)
+    feats = load("rfm_scaled", "clustering")
     save("k_evaluation", kmeans_sweep(feats, kcfg))
     save("rfm_clustered", kmeans_clusters(feats, kcfg))
-    joined = read_profile_inputs(spark, paths["rfm_raw"], paths["rfm_clustered"], fmt, rcfg.id_out, kcfg.cluster_col)
+    joined = read_profile_inputs(
+        spark, paths["rfm_raw"], paths["rfm_clustered"], fmt, rcfg.id_out, kcfg.cluster_col,
+        schemas["rfm_raw"], schemas["rfm_clustered"],
+    )
     save("cluster_profile", cluster_profile(joined, kcfg.cluster_col, rcfg.id_out))
     save("cluster_sizes", cluster_sizes(joined, kcfg.cluster_col))
     save("segments", segment_names(cluster_medians(joined, kcfg.cluster_col, digits=None), kcfg.cluster_col))
     save("segment_revenue", segment_revenue_share(joined, kcfg.cluster_col))
 
     # Entry C: activity timing (pre-aggregated per customer before the join)
-    clusters = read_table(spark, paths["rfm_clustered"], "temporal", fmt)
+    clusters = load("rfm_clustered", "temporal")
     cube = activity_cube(clean, cfg.customer, cfg.date, tcfg)
     activity = attach_clusters(cube, clusters, tcfg.id_col, tcfg.cluster_col)
     save(
@@ -89,7 +97,7 @@ def run_stages(
         temporal_profile(activity, tcfg.cluster_col, tcfg.id_col, "transactions", one_row_per_customer_slot=True),
         partition_by=[tcfg.cluster_col],
     )
-    profile = read_table(spark, paths["temporal_profile"], "charts", fmt)
+    profile = load("temporal_profile", "charts")
     save("hour_share", charts.hour_share(profile, tcfg.cluster_col))
     save("dow_share", charts.dow_share(profile, tcfg.cluster_col))
     save("dow_hour_share", charts.dow_hour_share(profile))

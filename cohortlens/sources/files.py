@@ -62,11 +62,16 @@ def require_columns(df: DataFrame, columns: Sequence[str], stage: str) -> DataFr
 
 
 def read_clean_transactions(
-    spark: SparkSession, path: str, cfg: TxConfig = TxConfig(), fmt: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    cfg: TxConfig = TxConfig(),
+    fmt: str = "parquet",
+    schema: T.StructType | str | None = None,
 ) -> DataFrame:
     """SRC-3 + CHK-1 + CHK-2: clean transactions; any unparseable date fails
-    the job that first reads it (guard fused into the scan's projection)."""
-    df = read_table(spark, path, "rfm", fmt=fmt)
+    the job that first reads it (guard fused into the scan's projection).
+    ``schema`` types a CSV table (Parquet carries its own)."""
+    df = read_table(spark, path, "rfm", fmt=fmt, schema=schema)
     require_columns(df, [cfg.customer, cfg.invoice, cfg.date, cfg.revenue], "rfm")
     parsed = parse_timestamp(F.col(cfg.date), df.schema[cfg.date].dataType, cfg.date_format)
     guarded = F.when(
@@ -79,10 +84,11 @@ def read_clean_transactions(
 def read_profile_inputs(
     spark: SparkSession, rfm_path: str, clustered_path: str, fmt: str = "parquet",
     id_col: str = "CustomerID", cluster_col: str = "Cluster",
+    rfm_schema: T.StructType | str | None = None, clustered_schema: T.StructType | str | None = None,
 ) -> DataFrame:
     """SRC-6 + JOIN-1: RFM table joined with the customer -> cluster map."""
-    rfm = read_table(spark, rfm_path, "profile", fmt)
-    clusters = read_table(spark, clustered_path, "profile", fmt)
+    rfm = read_table(spark, rfm_path, "profile", fmt, rfm_schema)
+    clusters = read_table(spark, clustered_path, "profile", fmt, clustered_schema)
     require_columns(clusters, [id_col, cluster_col], "profile")
     return rfm.join(clusters.select(id_col, cluster_col), id_col, "inner")
 

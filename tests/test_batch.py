@@ -40,3 +40,20 @@ def test_run_stages_end_to_end(spark):
     # SRC-7: the reference-style reader gives the same per-slot totals
     tx = read_temporal_inputs(spark, paths["clean_transactions"], paths["rfm_clustered"], TxConfig())
     assert tx.count() == clean_n
+
+
+@pytest.mark.skipif(not os.path.exists(f"{SF}/events.parquet"), reason="test tables absent")
+def test_command_line_runs_every_stage(spark, capsys):
+    from cohortlens.__main__ import main
+
+    d = tempfile.mkdtemp(prefix="cohortlens-cli-")
+    ev = events_transactions(spark, SF).withColumn("InvoiceDate", F.date_format("InvoiceDate", "yyyy-MM-dd HH:mm:ss"))
+    write_table(ev.coalesce(1), f"{d}/raw", fmt="csv")
+    paths = main(
+        ["--input", f"{d}/raw", "--out", f"{d}/out", "--k-min", "2", "--k-max", "3", "--n-init", "2", "--format", "csv"]
+    )
+    printed = capsys.readouterr().out.splitlines()
+    assert [line.split("\t")[0] for line in printed] == list(paths)
+    prof = read_table(spark, paths["cluster_profile"], "profile", "csv")
+    assert prof.count() == 3
+    assert sorted(r.k for r in read_table(spark, paths["k_evaluation"], "k", "csv").collect()) == ["2", "3"]
