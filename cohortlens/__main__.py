@@ -1,12 +1,14 @@
-"""Command line: run every stage over a raw transactions file.
+"""Command line: run the stages over a raw transactions file.
 
-    python -m cohortlens --input raw.csv --out /shared/out
-    spark-submit --master yarn -m cohortlens ...   (or a wrapper calling main())
+    python -m cohortlens --input raw.csv --out /shared/out            # all stages
+    python -m cohortlens --out /shared/out --stage clusters --k 4     # one stage
 
 Reads the raw table (CSV with a header by default, explicit schema), runs
-cleaning, RFM, features, the k sweep, the final KMeans, profiles, activity
-timing and the chart tables (``plans.batch.run_stages``), and overwrites one
-table per stage under ``--out``. Prints one line per written table.
+cleaning, RFM, features, the k sweep and final KMeans, profiles, activity
+timing and the chart tables (``plans.batch``), and overwrites each stage's
+tables under ``--out``. ``--stage`` runs one stage over the tables earlier
+stages left in ``--out``, as the reference's separate scripts do. Prints one
+line per written table.
 
 On a cluster, ``--out`` and ``spark.checkpoint.dir`` must be shared folders;
 the master and resources come from ``spark-submit`` unless ``--master`` is
@@ -20,11 +22,13 @@ import sys
 from collections.abc import Sequence
 
 from cohortlens.config import ClusterConfig, TxConfig
+from cohortlens.plans.batch import STAGES
 
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="cohortlens", description=__doc__.splitlines()[0])
-    p.add_argument("--input", required=True, help="raw transactions (file or folder)")
+    p.add_argument("--input", help="raw transactions (file or folder); needed by the clean stage")
+    p.add_argument("--stage", default="all", choices=["all", *STAGES], help="run one stage only")
     p.add_argument("--out", required=True, help="folder for the stage tables (overwritten)")
     p.add_argument("--input-format", default="csv", choices=["csv", "parquet"])
     p.add_argument("--format", default="parquet", choices=["parquet", "csv"], help="format of the written tables")
@@ -39,7 +43,11 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def main(argv: Sequence[str] | None = None) -> dict[str, str]:
-    args = _parser().parse_args(argv)
+    parser = _parser()
+    args = parser.parse_args(argv)
+    stages = STAGES if args.stage == "all" else (args.stage,)
+    if "clean" in stages and not args.input:
+        parser.error("--input is required to run the clean stage")
     from cohortlens.plans.batch import run_stages
     from cohortlens.session import build_session
     from cohortlens.sources.files import read_raw_transactions, read_table
@@ -47,14 +55,15 @@ def main(argv: Sequence[str] | None = None) -> dict[str, str]:
 
     spark = build_session(args.master, app_name="cohortlens")
     cfg = TxConfig(date_format=args.date_format) if args.date_format else TxConfig()
-    if args.input_format == "csv":
+    raw = None
+    if args.input and args.input_format == "csv":
         raw = read_raw_transactions(spark, args.input, cfg)
-    else:
+    elif args.input:
         raw = read_table(spark, args.input, "cleaning", "parquet", raw_transactions_schema(cfg))
     kcfg = ClusterConfig(
         final_k=args.k, k_min=args.k_min, k_max=args.k_max, n_init=args.n_init, seed=args.seed
     )
-    paths = run_stages(spark, raw, args.out, cfg=cfg, kcfg=kcfg, fmt=args.format)
+    paths = run_stages(spark, raw, args.out, cfg=cfg, kcfg=kcfg, fmt=args.format, stages=stages)
     for name, path in paths.items():
         print(f"{name}\t{path}")
     return paths

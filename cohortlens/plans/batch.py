@@ -1,13 +1,23 @@
-"""Run every stage over files, as the reference's scripts do, end to end.
+"""Run the stages over files, as the reference's scripts do.
 
-Each stage reads the previous stage's table (SRC-3..8) and overwrites its
-own (SNK-1..3) under ``out_dir``, so a failed stage can be rerun alone and
-the written tables are the lineage cut points. ``out_dir`` must be a shared
-folder on a cluster.
+Each stage reads the previous stages' tables (SRC-3..8) from ``out_dir`` with
+declared schemas and overwrites its own (SNK-1..3) there, so a stage can run
+alone, in its own process, and the written tables are the lineage cut points.
+``out_dir`` must be a shared folder on a cluster.
+
+  clean     raw -> clean_transactions (sorted), clean_audit, quality_*
+  rfm       clean_transactions -> rfm_raw
+  features  rfm_raw -> rfm_scaled
+  clusters  rfm_scaled -> k_evaluation, rfm_clustered
+  profile   rfm_raw + rfm_clustered -> cluster_profile, cluster_sizes, segments, segment_revenue
+  temporal  clean_transactions + rfm_clustered -> temporal_profile (partitioned by cluster)
+  charts    temporal_profile -> hour_share, dow_share, dow_hour_share, period_share, dow_ranking
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortlens.config import ClusterConfig, RFMConfig, TemporalConfig, TxConfig
@@ -32,75 +42,117 @@ from cohortlens.sources.files import (
     read_table,
     write_table,
 )
-from cohortlens.sources.schema import SCALED_COLUMNS
+from cohortlens.sources.schema import (
+    RFM_SCHEMA,
+    SCALED_COLUMNS,
+    SCALED_SCHEMA,
+    TEMPORAL_PROFILE_SCHEMA,
+    clean_transactions_schema,
+    clustered_schema,
+)
 from cohortlens.sources.stage_tables import materialize
 
 
-def run_stages(
+STAGES = ("clean", "rfm", "features", "clusters", "profile", "temporal", "charts")
+
+
+def run_stage(
     spark: SparkSession,
-    raw: DataFrame,
+    stage: str,
     out_dir: str,
+    raw: DataFrame | None = None,
     cfg: TxConfig = TxConfig(),
     rcfg: RFMConfig = RFMConfig(),
     kcfg: ClusterConfig = ClusterConfig(),
     tcfg: TemporalConfig = TemporalConfig(),
     fmt: str = "parquet",
 ) -> dict[str, str]:
-    """Clean -> RFM -> features -> clusters -> profiles -> timing -> charts.
+    """Run one stage of ``STAGES``; ``raw`` is needed by ``clean`` only.
 
-    Returns the path of every table written.
+    Returns the path of every table the stage wrote.
     """
     out = out_dir.rstrip("/")
     paths: dict[str, str] = {}
-    schemas = {}
 
-    def save(name: str, df: DataFrame, **kw) -> str:
-        paths[name] = f"{out}/{name}"
-        schemas[name] = df.schema  # CSV tables are read back with their written types
+    def path(name: str) -> str:
+        return f"{out}/{name}"
+
+    def save(name: str, df: DataFrame, **kw) -> None:
+        paths[name] = path(name)
         write_table(df, paths[name], fmt=fmt, **kw)
-        return paths[name]
-
-    def load(name: str, stage: str) -> DataFrame:
-        return read_table(spark, paths[name], stage, fmt, schemas[name])
-
-    # Entry A: cleaning and RFM
-    save("clean_transactions", clean_transactions(raw, cfg), sort_by=[cfg.customer, cfg.date])
-    save("clean_audit", clean_audit(raw, cfg))
-    clean = read_clean_transactions(spark, paths["clean_transactions"], cfg, fmt, schemas["clean_transactions"])
-    save("quality_missing_ratio", missing_ratio(clean))
-    save("quality_revenue", describe(clean, [cfg.revenue]))
-    # per-customer table written once: the snapshot max scans it, not the
-    # transactions again
-    save("rfm_raw", build_rfm(clean, cfg, rcfg, materialize))
-
-    # Entry B: features, clusters, profile
-    rfm = load("rfm_raw", "features")
-    save("rfm_scaled", rfm_features(rfm).select(*SCALED_COLUMNS))
-    feats = load("rfm_scaled", "clustering")
-    save("k_evaluation", kmeans_sweep(feats, kcfg))
-    save("rfm_clustered", kmeans_clusters(feats, kcfg))
-    joined = read_profile_inputs(
-        spark, paths["rfm_raw"], paths["rfm_clustered"], fmt, rcfg.id_out, kcfg.cluster_col,
-        schemas["rfm_raw"], schemas["rfm_clustered"],
-    )
-    save("cluster_profile", cluster_profile(joined, kcfg.cluster_col, rcfg.id_out))
-    save("cluster_sizes", cluster_sizes(joined, kcfg.cluster_col))
-    save("segments", segment_names(cluster_medians(joined, kcfg.cluster_col, digits=None), kcfg.cluster_col))
-    save("segment_revenue", segment_revenue_share(joined, kcfg.cluster_col))
-
-    # Entry C: activity timing (pre-aggregated per customer before the join)
-    clusters = load("rfm_clustered", "temporal")
-    cube = activity_cube(clean, cfg.customer, cfg.date, tcfg)
-    activity = attach_clusters(cube, clusters, tcfg.id_col, tcfg.cluster_col)
-    save(
-        "temporal_profile",
-        temporal_profile(activity, tcfg.cluster_col, tcfg.id_col, "transactions", one_row_per_customer_slot=True),
-        partition_by=[tcfg.cluster_col],
-    )
-    profile = load("temporal_profile", "charts")
-    save("hour_share", charts.hour_share(profile, tcfg.cluster_col))
-    save("dow_share", charts.dow_share(profile, tcfg.cluster_col))
-    save("dow_hour_share", charts.dow_hour_share(profile))
-    save("period_share", charts.period_share(profile, tcfg.cluster_col, tcfg))
-    save("dow_ranking", charts.dow_ranking(profile, tcfg.cluster_col))
+
+    def load(name: str, schema) -> DataFrame:
+        return read_table(spark, path(name), stage, fmt, schema)
+
+    def clean() -> DataFrame:
+        return read_clean_transactions(spark, path("clean_transactions"), cfg, fmt, clean_transactions_schema(cfg))
+
+    def profile_inputs() -> DataFrame:
+        return read_profile_inputs(
+            spark, path("rfm_raw"), path("rfm_clustered"), fmt, rcfg.id_out, kcfg.cluster_col,
+            RFM_SCHEMA, clustered_schema(kcfg.cluster_col),
+        )
+
+    if stage == "clean":
+        if raw is None:
+            raise ValueError("stage 'clean' needs the raw transactions")
+        save("clean_transactions", clean_transactions(raw, cfg), sort_by=[cfg.customer, cfg.date])
+        save("clean_audit", clean_audit(raw, cfg))
+        written = clean()
+        save("quality_missing_ratio", missing_ratio(written))
+        save("quality_revenue", describe(written, [cfg.revenue]))
+    elif stage == "rfm":
+        # per-customer table written once: the snapshot max scans it, not the
+        # transactions again
+        save("rfm_raw", build_rfm(clean(), cfg, rcfg, materialize))
+    elif stage == "features":
+        save("rfm_scaled", rfm_features(load("rfm_raw", RFM_SCHEMA)).select(*SCALED_COLUMNS))
+    elif stage == "clusters":
+        feats = load("rfm_scaled", SCALED_SCHEMA)
+        save("k_evaluation", kmeans_sweep(feats, kcfg))
+        save("rfm_clustered", kmeans_clusters(feats, kcfg))
+    elif stage == "profile":
+        joined = profile_inputs()
+        save("cluster_profile", cluster_profile(joined, kcfg.cluster_col, rcfg.id_out))
+        save("cluster_sizes", cluster_sizes(joined, kcfg.cluster_col))
+        save("segments", segment_names(cluster_medians(joined, kcfg.cluster_col, digits=None), kcfg.cluster_col))
+        save("segment_revenue", segment_revenue_share(joined, kcfg.cluster_col))
+    elif stage == "temporal":
+        # pre-aggregated per customer and slot before the join with the clusters
+        clusters = load("rfm_clustered", clustered_schema(kcfg.cluster_col))
+        cube = activity_cube(clean(), cfg.customer, cfg.date, tcfg)
+        activity = attach_clusters(cube, clusters, tcfg.id_col, tcfg.cluster_col)
+        save(
+            "temporal_profile",
+            temporal_profile(activity, tcfg.cluster_col, tcfg.id_col, "transactions", one_row_per_customer_slot=True),
+            partition_by=[tcfg.cluster_col],
+        )
+    elif stage == "charts":
+        profile = load("temporal_profile", TEMPORAL_PROFILE_SCHEMA)
+        save("hour_share", charts.hour_share(profile, tcfg.cluster_col))
+        save("dow_share", charts.dow_share(profile, tcfg.cluster_col))
+        save("dow_hour_share", charts.dow_hour_share(profile))
+        save("period_share", charts.period_share(profile, tcfg.cluster_col, tcfg))
+        save("dow_ranking", charts.dow_ranking(profile, tcfg.cluster_col))
+    else:
+        raise ValueError(f"unknown stage {stage!r}; expected one of {STAGES}")
+    return paths
+
+
+def run_stages(
+    spark: SparkSession,
+    raw: DataFrame,
+    out_dir: str,
+    cfg: TxConfig = TxConfig(),
+    rcfg: RFMConfig = RFMConfig(),
+    kcfg: ClusterConfig = ClusterConfig(),
+    tcfg: TemporalConfig = TemporalConfig(),
+    fmt: str = "parquet",
+    stages: Sequence[str] = STAGES,
+) -> dict[str, str]:
+    """Clean -> RFM -> features -> clusters -> profiles -> timing -> charts
+    (or the listed ``stages``, in that order). Returns every table written."""
+    paths: dict[str, str] = {}
+    for stage in stages:
+        paths.update(run_stage(spark, stage, out_dir, raw, cfg, rcfg, kcfg, tcfg, fmt))
     return paths

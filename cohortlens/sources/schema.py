@@ -27,6 +27,16 @@ def raw_transactions_schema(cfg: TxConfig = TxConfig()) -> T.StructType:
     )
 
 
+def clean_transactions_schema(cfg: TxConfig = TxConfig()) -> T.StructType:
+    """Clean transactions as written by the cleaning stage: the raw columns
+    with a parsed ``timestamp_ntz`` date, plus Revenue."""
+    fields = [
+        T.StructField(f.name, T.TimestampNTZType()) if f.name == cfg.date else f
+        for f in raw_transactions_schema(cfg).fields
+    ]
+    return T.StructType([*fields, T.StructField(cfg.revenue, T.DoubleType())])
+
+
 RFM_SCHEMA = T.StructType(
     [
         T.StructField("CustomerID", T.StringType()),
@@ -38,6 +48,15 @@ RFM_SCHEMA = T.StructType(
 
 SCALED_COLUMNS = ("CustomerID", "R_log", "F_log", "M_log", "R_scaled", "F_scaled", "M_scaled")
 
+SCALED_SCHEMA = T.StructType(
+    [T.StructField("CustomerID", T.StringType())] + [T.StructField(c, T.DoubleType()) for c in SCALED_COLUMNS[1:]]
+)
+
+
+def clustered_schema(cluster_col: str = "Cluster") -> T.StructType:
+    """Scaled features plus the cluster label, as written by the clustering stage."""
+    return T.StructType([*SCALED_SCHEMA.fields, T.StructField(cluster_col, T.IntegerType())])
+
 TEMPORAL_PROFILE_SCHEMA = T.StructType(
     [
         T.StructField("Cluster", T.IntegerType()),

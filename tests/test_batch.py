@@ -57,3 +57,14 @@ def test_command_line_runs_every_stage(spark, capsys):
     prof = read_table(spark, paths["cluster_profile"], "profile", "csv")
     assert prof.count() == 3
     assert sorted(r.k for r in read_table(spark, paths["k_evaluation"], "k", "csv").collect()) == ["2", "3"]
+
+    # one stage alone over the CSV tables left by the full run, as a separate script would
+    again = main(["--out", f"{d}/out", "--stage", "clusters", "--k", "2", "--k-min", "2", "--k-max", "2",
+                  "--n-init", "2", "--format", "csv"])
+    assert set(again) == {"k_evaluation", "rfm_clustered"}
+    clustered = read_table(spark, again["rfm_clustered"], "c", "csv")
+    assert clustered.select("Cluster").distinct().count() == 2
+    main(["--out", f"{d}/out", "--stage", "profile", "--format", "csv"])
+    assert read_table(spark, paths["cluster_profile"], "profile", "csv").count() == 2
+    with pytest.raises(SystemExit):
+        main(["--out", f"{d}/out", "--stage", "clean"])  # clean needs --input
