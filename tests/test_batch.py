@@ -68,3 +68,32 @@ def test_command_line_runs_every_stage(spark, capsys):
     assert read_table(spark, paths["cluster_profile"], "profile", "csv").count() == 2
     with pytest.raises(SystemExit):
         main(["--out", f"{d}/out", "--stage", "clean"])  # clean needs --input
+
+
+def test_declared_stage_schemas_match_written_tables(spark):
+    # single-stage runs read CSV tables back with these declared schemas
+    from cohortlens.config import RFMConfig
+    from cohortlens.operators.clean import clean_transactions
+    from cohortlens.operators.cluster import FIXED_CENTRES, assign_nearest
+    from cohortlens.operators.features import rfm_features
+    from cohortlens.operators.rfm import build_rfm
+    from cohortlens.sources.schema import (
+        RFM_SCHEMA,
+        SCALED_COLUMNS,
+        SCALED_SCHEMA,
+        clean_transactions_schema,
+        clustered_schema,
+    )
+    from tests.fixtures import cleaning_df
+
+    def types(schema):
+        return [(f.name, f.dataType.simpleString()) for f in schema.fields]
+
+    clean = clean_transactions(cleaning_df(spark))
+    assert types(clean.schema) == types(clean_transactions_schema())
+    rfm = build_rfm(clean, TxConfig(), RFMConfig())
+    assert types(rfm.schema) == types(RFM_SCHEMA)
+    scaled = rfm_features(rfm).select(*SCALED_COLUMNS)
+    assert types(scaled.schema) == types(SCALED_SCHEMA)
+    labelled = assign_nearest(scaled, FIXED_CENTRES)
+    assert types(labelled.schema) == types(clustered_schema())
