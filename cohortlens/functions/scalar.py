@@ -55,7 +55,11 @@ def parse_timestamp(c: Column, dtype: DataType, fmt: str | None = None) -> Colum
         return c.cast("timestamp_ntz")
     if fmt is None:
         return c.try_cast("timestamp_ntz")
-    return F.try_to_timestamp(c.cast("string"), F.lit(fmt)).cast("timestamp_ntz")
+    # Parsed straight to a zone-free value: going through a zoned timestamp
+    # would move wall-clock times in a DST gap of the session zone. The
+    # try_ guard makes unparseable text null instead of an (ANSI) error.
+    text, pattern = c.cast("string"), F.lit(fmt)
+    return F.when(F.try_to_timestamp(text, pattern).isNotNull(), F.to_timestamp_ntz(text, pattern))
 
 
 def full_days_between(start: Column, end: Column) -> Column:

@@ -181,3 +181,18 @@ def test_exact_quantiles_refinement_rounds(spark, max_bracket):
         arr = np.array([v for gg, v in data if gg == g])
         for p in probs:
             assert res[(g, p)] == pytest.approx(float(np.quantile(arr, p)), abs=1e-9)
+
+
+def test_custom_date_format_is_zone_free(spark):
+    from pyspark.sql import types as T
+
+    from cohortlens.functions.scalar import parse_timestamp
+
+    df = spark.createDataFrame([("3/8/2020 2:30",), ("12/1/2009 7:45",), ("2009-12-01 07:45:00",)], "s string")
+    parsed = parse_timestamp(F.col("s"), T.StringType(), "M/d/yyyy H:mm").alias("t")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # 2:30 falls in its DST gap
+        got = [r.t for r in df.select(parsed).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == [dt.datetime(2020, 3, 8, 2, 30), dt.datetime(2009, 12, 1, 7, 45), None]
