@@ -97,3 +97,12 @@ def test_declared_stage_schemas_match_written_tables(spark):
     assert types(scaled.schema) == types(SCALED_SCHEMA)
     labelled = assign_nearest(scaled, FIXED_CENTRES)
     assert types(labelled.schema) == types(clustered_schema())
+
+
+def test_run_stage_rejects_bad_calls(spark):
+    from cohortlens.plans.batch import run_stage
+
+    with pytest.raises(ValueError, match="unknown stage"):
+        run_stage(spark, "plot", "/nonexistent")
+    with pytest.raises(ValueError, match="raw transactions"):
+        run_stage(spark, "clean", "/nonexistent")
