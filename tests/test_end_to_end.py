@@ -26,3 +26,23 @@ def test_kmeans_profile_and_timing_totals(spark):
     assert tot.t == stages.events_clean(spark, SF).count()
     assert tot.d <= 0  # a cell never has more distinct customers than rows
     assert timing.select("Cluster").distinct().count() <= 3
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])
+def test_time_queries_do_not_depend_on_session_zone(spark, zone):
+    from cohortlens.plans.catalog import queries
+
+    q = queries()
+    names = ["rfm", "rfm_events", "time_features", "temporal_profile", "top_period", "date_range_uniques"]
+
+    def run():
+        return {n: sorted(map(tuple, q[n](spark, SF).collect()), key=repr) for n in names}
+
+    base = run()
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        shifted = run()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for n in names:
+        assert shifted[n] == base[n], n
