@@ -28,21 +28,32 @@ def test_kmeans_profile_and_timing_totals(spark):
     assert timing.select("Cluster").distinct().count() <= 3
 
 
-@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])
-def test_time_queries_do_not_depend_on_session_zone(spark, zone):
+@pytest.mark.parametrize(
+    "key,value",
+    [
+        ("spark.sql.session.timeZone", "America/New_York"),
+        ("spark.sql.session.timeZone", "Asia/Kolkata"),
+        ("spark.sql.ansi.enabled", "false"),
+    ],
+)
+def test_results_do_not_depend_on_session_settings(spark, key, value):
     from cohortlens.plans.catalog import queries
 
     q = queries()
-    names = ["rfm", "rfm_events", "time_features", "temporal_profile", "top_period", "date_range_uniques"]
+    names = [
+        "rfm", "rfm_events", "time_features", "temporal_profile", "top_period", "date_range_uniques",
+        "clean_audit", "revenue_describe", "cluster_profile", "top_hour_unique",
+    ]
 
     def run():
         return {n: sorted(map(tuple, q[n](spark, SF).collect()), key=repr) for n in names}
 
     base = run()
+    old = spark.conf.get(key)
     try:
-        spark.conf.set("spark.sql.session.timeZone", zone)
-        shifted = run()
+        spark.conf.set(key, value)
+        changed = run()
     finally:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        spark.conf.set(key, old)
     for n in names:
-        assert shifted[n] == base[n], n
+        assert changed[n] == base[n], n
