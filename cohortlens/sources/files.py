@@ -96,6 +96,7 @@ def read_profile_inputs(
 def read_temporal_inputs(
     spark: SparkSession, tx_path: str, clustered_path: str, cfg: TxConfig = TxConfig(),
     fmt: str = "parquet", id_col: str = "CustomerID", cluster_col: str = "Cluster",
+    tx_schema: T.StructType | str | None = None, clustered_schema: T.StructType | str | None = None,
 ) -> DataFrame:
     """SRC-7 + JOIN-2: transactions with a parseable date, both sides' ids
     normalised (SCL-1..3), joined with the cluster map.
@@ -103,7 +104,7 @@ def read_temporal_inputs(
     Output: the transaction columns with ``cfg.customer`` renamed to
     ``id_col``, plus ``cluster_col``.
     """
-    tx = read_table(spark, tx_path, "temporal", fmt)
+    tx = read_table(spark, tx_path, "temporal", fmt, tx_schema)
     parsed = parse_timestamp(F.col(cfg.date), tx.schema[cfg.date].dataType, cfg.date_format)
     tx = (
         tx.withColumn(cfg.date, parsed)
@@ -111,18 +112,23 @@ def read_temporal_inputs(
         .withColumnRenamed(cfg.customer, id_col)
         .withColumn(id_col, normalize_id(F.col(id_col)))
     )
-    clusters = read_table(spark, clustered_path, "temporal", fmt)
+    clusters = read_table(spark, clustered_path, "temporal", fmt, clustered_schema)
     clusters = clusters.select(normalize_id(F.col(id_col)).alias(id_col), cluster_col)
     return tx.join(clusters, id_col, "inner")
 
 
 def read_chart_inputs(
-    spark: SparkSession, rfm_path: str, clustered_path: str, temporal_path: str, fmt: str = "parquet"
+    spark: SparkSession, rfm_path: str, clustered_path: str, temporal_path: str, fmt: str = "parquet",
+    schemas: tuple | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """SRC-8: (RFM joined with clusters, temporal profile)."""
+    """SRC-8: (RFM joined with clusters, temporal profile). ``schemas`` =
+    (rfm, clustered, temporal profile) types CSV tables."""
+    rfm_s, clustered_s, temporal_s = schemas or (None, None, None)
     return (
-        read_profile_inputs(spark, rfm_path, clustered_path, fmt),
-        read_table(spark, temporal_path, "charts", fmt),
+        read_profile_inputs(
+            spark, rfm_path, clustered_path, fmt, rfm_schema=rfm_s, clustered_schema=clustered_s
+        ),
+        read_table(spark, temporal_path, "charts", fmt, temporal_s),
     )
 
 

@@ -66,6 +66,27 @@ def test_command_line_runs_every_stage(spark, capsys):
     assert clustered.select("Cluster").distinct().count() == 2
     main(["--out", f"{d}/out", "--stage", "profile", "--format", "csv"])
     assert read_table(spark, paths["cluster_profile"], "profile", "csv").count() == 2
+
+    # SRC-7 / SRC-8 over the CSV tables, typed by the declared schemas
+    from cohortlens.sources.files import read_chart_inputs
+    from cohortlens.sources.schema import (
+        RFM_SCHEMA,
+        TEMPORAL_PROFILE_SCHEMA,
+        clean_transactions_schema,
+        clustered_schema,
+    )
+
+    tx = read_temporal_inputs(
+        spark, paths["clean_transactions"], paths["rfm_clustered"], TxConfig(), "csv",
+        tx_schema=clean_transactions_schema(), clustered_schema=clustered_schema(),
+    )
+    assert dict(tx.dtypes)["InvoiceDate"] == "timestamp_ntz" and dict(tx.dtypes)["Cluster"] == "int"
+    prof_in, timing = read_chart_inputs(
+        spark, paths["rfm_raw"], paths["rfm_clustered"], paths["temporal_profile"], "csv",
+        (RFM_SCHEMA, clustered_schema(), TEMPORAL_PROFILE_SCHEMA),
+    )
+    assert dict(prof_in.dtypes)["Monetary"] == "double"
+    assert timing.agg(F.sum("transactions")).first()[0] == tx.count()
     with pytest.raises(SystemExit):
         main(["--out", f"{d}/out", "--stage", "clean"])  # clean needs --input
 
