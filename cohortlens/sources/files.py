@@ -38,6 +38,10 @@ def read_table(
         reader = reader.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", True).option("mode", "PERMISSIVE")
+        if schema is not None:
+            # check the header against the declared columns instead of
+            # applying the schema by position (a reordered file fails loudly)
+            reader = reader.option("enforceSchema", False)
     try:
         return reader.format(fmt).load(path)
     except AnalysisException as exc:

@@ -14,7 +14,11 @@ def read_raw_stream(
     spark: SparkSession, path: str, cfg: TxConfig = TxConfig(), max_files_per_trigger: int | None = None
 ) -> DataFrame:
     """Raw transaction CSV files arriving in ``path`` (explicit schema)."""
-    reader = spark.readStream.schema(raw_transactions_schema(cfg)).option("header", True)
+    reader = (
+        spark.readStream.schema(raw_transactions_schema(cfg))
+        .option("header", True)
+        .option("enforceSchema", False)  # header checked against the declared columns
+    )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.csv(path)

@@ -72,3 +72,15 @@ def test_entry_and_registry(spark):
         "cluster_profile_kmeans",
         "temporal_profile_kmeans",
     }
+
+
+def test_csv_with_reordered_columns_is_rejected(spark, tmp_path):
+    from cohortlens.sources.files import read_raw_transactions
+
+    path = tmp_path / "raw.csv"
+    path.write_text(
+        "StockCode,Invoice,Description,Quantity,InvoiceDate,Price,Customer ID,Country\n"
+        "A1,489434,LAMP,2,2010-01-05 08:30:00,3.5,13085,UK\n"
+    )
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        read_raw_transactions(spark, str(path)).collect()
