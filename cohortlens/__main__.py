@@ -39,6 +39,10 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--n-init", type=int, default=ClusterConfig.n_init, help="KMeans restarts per k")
     p.add_argument("--seed", type=int, default=ClusterConfig.seed)
     p.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
+    p.add_argument(
+        "--conf", action="append", default=[], metavar="KEY=VALUE",
+        help="Spark setting, repeatable (e.g. spark.checkpoint.dir=/shared/ckpt)",
+    )
     return p
 
 
@@ -53,7 +57,13 @@ def main(argv: Sequence[str] | None = None) -> dict[str, str]:
     from cohortlens.sources.files import read_raw_transactions, read_table
     from cohortlens.sources.schema import raw_transactions_schema
 
-    spark = build_session(args.master, app_name="cohortlens")
+    conf = {}
+    for item in args.conf:
+        key, sep, value = item.partition("=")
+        if not sep or not key:
+            parser.error(f"--conf expects KEY=VALUE, got {item!r}")
+        conf[key] = value
+    spark = build_session(args.master, app_name="cohortlens", extra_conf=conf)
     cfg = TxConfig(date_format=args.date_format) if args.date_format else TxConfig()
     raw = None
     if args.input and args.input_format == "csv":

@@ -89,6 +89,10 @@ def test_command_line_runs_every_stage(spark, capsys):
     assert timing.agg(F.sum("transactions")).first()[0] == tx.count()
     with pytest.raises(SystemExit):
         main(["--out", f"{d}/out", "--stage", "clean"])  # clean needs --input
+    with pytest.raises(SystemExit):
+        main(["--out", f"{d}/out", "--stage", "charts", "--conf", "no-equals-sign"])
+    main(["--out", f"{d}/out", "--stage", "charts", "--format", "csv", "--conf", "cohortlens.cli.flag=1"])
+    assert spark.conf.get("cohortlens.cli.flag") == "1"
 
 
 def test_declared_stage_schemas_match_written_tables(spark):
