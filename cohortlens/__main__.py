@@ -54,7 +54,9 @@ def main(argv: Sequence[str] | None = None) -> dict[str, str]:
         parser.error("--input is required to run the clean stage")
     from cohortlens.plans.batch import run_stages
     from cohortlens.session import build_session
-    from cohortlens.sources.files import read_raw_transactions, read_table
+    from pyspark.sql import functions as F
+
+    from cohortlens.sources.files import read_raw_transactions, read_table, require_columns
     from cohortlens.sources.schema import raw_transactions_schema
 
     conf = {}
@@ -69,7 +71,11 @@ def main(argv: Sequence[str] | None = None) -> dict[str, str]:
     if args.input and args.input_format == "csv":
         raw = read_raw_transactions(spark, args.input, cfg)
     elif args.input:
-        raw = read_table(spark, args.input, "cleaning", "parquet", raw_transactions_schema(cfg))
+        # Parquet keeps its own types (e.g. a timestamp date, a long quantity):
+        # read them, then cast to the raw schema the cleaning rules expect.
+        fields = raw_transactions_schema(cfg).fields
+        found = require_columns(read_table(spark, args.input, "cleaning", "parquet"), [f.name for f in fields], "cleaning")
+        raw = found.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in fields])
     kcfg = ClusterConfig(
         final_k=args.k, k_min=args.k_min, k_max=args.k_max, n_init=args.n_init, seed=args.seed
     )

@@ -131,3 +131,20 @@ def test_run_stage_rejects_bad_calls(spark):
         run_stage(spark, "plot", "/nonexistent")
     with pytest.raises(ValueError, match="raw transactions"):
         run_stage(spark, "clean", "/nonexistent")
+
+
+@pytest.mark.skipif(not os.path.exists(f"{SF}/events.parquet"), reason="test tables absent")
+def test_command_line_reads_typed_parquet(spark, capsys):
+    from cohortlens.__main__ import main
+
+    d = tempfile.mkdtemp(prefix="cohortlens-cli-pq-")
+    # natural Parquet types: timestamp_ntz date, bigint quantity and customer id
+    ev = events_transactions(spark, SF).withColumns(
+        {"Quantity": F.col("Quantity").cast("bigint"), "Customer ID": F.col("Customer ID").cast("bigint")}
+    )
+    ev.write.parquet(f"{d}/raw")
+    paths = main(["--input", f"{d}/raw", "--input-format", "parquet", "--out", f"{d}/out", "--stage", "clean"])
+    audit = {r.rule: r.rows for r in read_table(spark, paths["clean_audit"], "audit").collect()}
+    assert audit["rows_in"] == ev.count()
+    assert audit["date_invalid"] == 0
+    assert read_table(spark, paths["clean_transactions"], "clean").count() == audit["rows_out"]
