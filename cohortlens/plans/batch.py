@@ -81,16 +81,22 @@ def run_stage(
         paths[name] = path(name)
         write_table(df, paths[name], fmt=fmt, **kw)
 
+    def typed(schema):
+        # Parquet carries its own types; CSV text is typed by the declared schema
+        return schema if fmt == "csv" else None
+
     def load(name: str, schema) -> DataFrame:
-        return read_table(spark, path(name), stage, fmt, schema)
+        return read_table(spark, path(name), stage, fmt, typed(schema))
 
     def clean() -> DataFrame:
-        return read_clean_transactions(spark, path("clean_transactions"), cfg, fmt, clean_transactions_schema(cfg))
+        return read_clean_transactions(
+            spark, path("clean_transactions"), cfg, fmt, typed(clean_transactions_schema(cfg))
+        )
 
     def profile_inputs() -> DataFrame:
         return read_profile_inputs(
             spark, path("rfm_raw"), path("rfm_clustered"), fmt, rcfg.id_out, kcfg.cluster_col,
-            RFM_SCHEMA, clustered_schema(kcfg.cluster_col),
+            typed(RFM_SCHEMA), typed(clustered_schema(kcfg.cluster_col)),
         )
 
     if stage == "clean":

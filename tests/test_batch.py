@@ -148,3 +148,17 @@ def test_command_line_reads_typed_parquet(spark, capsys):
     assert audit["rows_in"] == ev.count()
     assert audit["date_invalid"] == 0
     assert read_table(spark, paths["clean_transactions"], "clean").count() == audit["rows_out"]
+
+
+def test_parquet_stages_keep_the_callers_types(spark):
+    # a raw frame with a bigint quantity: Parquet stage tables are read back
+    # with their own types, so the later stages still run
+    from cohortlens.plans.batch import run_stages
+    from tests.fixtures import cleaning_df
+
+    d = tempfile.mkdtemp(prefix="cohortlens-pq-types-")
+    raw = cleaning_df(spark).withColumn("Quantity", F.col("Quantity").cast("bigint"))
+    paths = run_stages(spark, raw, d, stages=("clean", "rfm", "features"))
+    rfm = read_table(spark, paths["rfm_raw"], "rfm")
+    assert sorted((r.CustomerID, r.Frequency) for r in rfm.collect()) == [("13085", 2), ("13090", 0)]
+    assert read_table(spark, paths["rfm_scaled"], "features").count() == 2
