@@ -191,8 +191,9 @@ def _links(buckets: DataFrame, blobs: DataFrame, percent: int) -> DataFrame:
     is not linked with h, so its E = |D| - c (|x| + |h|) is positive; this
     bounds the overlap of D(x) and D(y) from below, for x outside h's group by
     E / (1 + c) and inside by more than (|D(x)| + c (|h| - |x|)) / 2. So the
-    rarest |D| - bound + 1 items of the two share one (a prefix filter), which
-    for copies with edits of their own are mostly items of no other copy. All
+    rarest |D| - bound + 1 items of the two share one (a prefix filter), and at
+    the first they share enough items must follow (a positional filter). For
+    copies with edits of their own these are mostly items of no other copy. All
     other pairs are settled without being listed.
     """
     met = materialize(buckets.where("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct())
@@ -220,10 +221,13 @@ def _links(buckets: DataFrame, blobs: DataFrame, percent: int) -> DataFrame:
     overlap = F.greatest(F.lit(1), F.when(F.col("inside"), inside).otherwise(outside))
     often = items.groupBy("family", "item").agg(F.count("*").alias("often")).where("often > 1")
     ranked = items.join(often, ["family", "item"], "left").withColumn("i", F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("often", F.lit(1)), "item")))
-    prefix = materialize(ranked.where((F.col("i") <= F.col("d") - overlap + 1) & F.col("often").isNotNull()).select("family", "item", "node", "root", "n"))
-    other = prefix.select("family", "item", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"))
-    near = (F.col("node") > F.col("b")) & (F.col("root") != F.col("rb")) & (F.least("n", "nb") * 100 >= F.greatest("n", "nb") * percent)
-    rest = prefix.join(other, ["family", "item"]).where(near).select(F.col("node").alias("a"), "b").distinct()
+    prefix = materialize(ranked.where((F.col("i") <= F.col("d") - overlap + 1) & F.col("often").isNotNull()).select("family", "item", "node", "root", "n", "d", "i"))
+    other = prefix.select("family", "item", *[F.col(x).alias(f"b_{x}") for x in ("node", "root", "n", "d", "i")])
+    # At a pair's first shared item, what follows in both must hold the rest of the overlap that a link needs.
+    needs = (F.col("d") + F.col("b_d") - c * (F.col("n") + F.col("b_n"))) / 2 - 1e-6
+    follows = F.least(F.col("d") - F.col("i"), F.col("b_d") - F.col("b_i")) + 1
+    near = (F.col("node") > F.col("b_node")) & (F.col("root") != F.col("b_root")) & (F.least("n", "b_n") * 100 >= F.greatest("n", "b_n") * percent) & (follows >= needs)
+    rest = prefix.join(other, ["family", "item"]).where(near).select(F.col("node").alias("a"), F.col("b_node").alias("b")).distinct()
     return components(links.unionAll(_verify(rest, blobs, percent)))
 
 
