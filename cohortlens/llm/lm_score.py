@@ -38,7 +38,7 @@ ALPHA = 0.4
 FREQUENT = 1e-5
 HOT = 1e-4
 #: Bigram rows of a hash partition.
-PART_ROWS = 4_000_000
+PART_ROWS = 2_000_000
 _BLOCK = 1 << 23
 _START = stream(1, 77)[0]
 _G = np.uint64(0x9E3779B97F4A7C15)
@@ -112,12 +112,12 @@ def _unpack(blob: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
-_ROWS = ("u8", "u8", "i8", "u4")  # second word, first word, document, times
+_ROWS = ("u8", "u8", "u4", "u4")  # second word, first word, number of the document among the block's, times
 _SUMS = ("i8", "f8", "i8", "i8")  # document, sum, backed off, words
 
 
 def _deal(f: Frequent, parts: int):
-    """(part, rows, sums): the bigram rows of a block for each part; sums of hot pairs go along with one of them."""
+    """(part, rows, docs, sums): the bigram rows of a block for each part; sums of hot pairs go along with one of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "text", _BLOCK):
@@ -146,13 +146,18 @@ def _deal(f: Frequent, parts: int):
             first, second, rid, times, part = (x[order] for x in (first, second, rid, times, part))
             cuts = np.flatnonzero(np.diff(part, prepend=-1))
             edges = np.append(cuts, len(part))
-            blobs = [_pack(second[a:b], first[a:b], rid[a:b], times[a:b].astype(np.uint32)) for a, b in zip(edges, edges[1:], strict=False)]
+            blobs, names = [], []
+            for a, b in zip(edges, edges[1:], strict=False):
+                docs, at = np.unique(rid[a:b], return_inverse=True)
+                blobs.append(_pack(second[a:b], first[a:b], at.astype(np.uint32), times[a:b].astype(np.uint32)))
+                names.append(docs.tobytes())
             numbers = part[cuts].tolist()
             if sums:
                 numbers.append(int(rid[0] if len(rid) else batch.column("rid")[0].as_py()) % parts)
                 blobs.append(b"")
+                names.append(b"")
             extra = [b""] * (len(blobs) - 1) + [sums] if sums else [b""] * len(blobs)
-            yield pa.record_batch([pa.array(numbers, pa.int64()), pa.array(blobs, pa.binary()), pa.array(extra, pa.binary())], names=["part", "rows", "sums"])
+            yield pa.record_batch([pa.array(numbers, pa.int64()), pa.array(blobs, pa.binary()), pa.array(names, pa.binary()), pa.array(extra, pa.binary())], names=["part", "rows", "docs", "sums"])
 
     return run
 
@@ -178,7 +183,11 @@ def _meet(f: Frequent):
     """A part's rows to sums per document, and (rid, word, times) for first words whose count is elsewhere."""
 
     def run(table: pa.Table) -> pa.Table:
-        rows = [_unpack(x.as_py(), *_ROWS) for x in table.column("rows") if len(x.as_py())]
+        rows = []
+        for x, docs in zip(table.column("rows"), table.column("docs"), strict=True):
+            if len(x.as_py()):
+                second, first, at, times = _unpack(x.as_py(), *_ROWS)
+                rows.append((second, first, np.frombuffer(docs.as_py(), dtype=np.int64)[at], times))
         done = [_unpack(x.as_py(), *_SUMS) for x in table.column("sums") if len(x.as_py())]
         out = []
         if done:
@@ -246,7 +255,7 @@ def score(docs: DataFrame, share: float = FREQUENT, hot: float = HOT, part_rows:
     words = materialize(rows.select("text").mapInArrow(_count_words, "word long, c long").groupBy("word").agg(F.sum("c").alias("c")))
     f = frequent(rows, words, share, hot)
     parts = max(1, ceil(f.total / part_rows))
-    dealt = rows.select("rid", "text").mapInArrow(_deal(f, parts), "part long, rows binary, sums binary")
+    dealt = rows.select("rid", "text").mapInArrow(_deal(f, parts), "part long, rows binary, docs binary, sums binary")
     met = materialize(dealt.groupBy("part").applyInArrow(_meet(f), _OUT))
     asked = met.where("word is not null").select("rid", "word", "times").join(words, "word")
     late = asked.select("rid", (-F.col("times") * F.log("c")).alias("s"), F.lit(0).cast("long").alias("missed"), F.lit(0).cast("long").alias("n"))
