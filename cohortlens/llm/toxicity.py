@@ -26,7 +26,7 @@ from cohortlens.llm.text import buffers, by_bytes, hash_spans, spans
 BUCKETS = 1 << 17
 DIM = 8
 WINDOW = 4
-MAX_DOCS = 8000
+MAX_DOCS = 5000
 _LETTER = np.full(256, 0x20, dtype=np.uint8)
 _LETTER[0x30:0x3A] = np.arange(0x30, 0x3A)
 _LETTER[0x61:0x7B] = _LETTER[0x41:0x5B] = np.arange(0x61, 0x7B)
@@ -185,7 +185,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS
         rate = F.when(F.col("y") == y, F.lit(min(1.0, max_docs / 2 / n))).otherwise(rate)
     fit = fit.withColumn("rate", rate).where((F.xxhash64("doc_id") % 1000003 + 1000003) % 1000003 < F.col("rate") * 1000003)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return texts.join(fit, "doc_id").select("text", F.col("y").cast("int").alias("y"), (1 / F.col("rate")).alias("weight"))
+    return texts.join(fit, "doc_id").select("text", F.col("y").cast("int").alias("y"), F.try_divide(F.lit(1.0), F.col("rate")).alias("weight"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> tuple[np.ndarray, float]:
