@@ -22,8 +22,9 @@ class TxConfig:
     date_format: str | None = None
     # Invoices whose text starts with this prefix are cancellations.
     cancel_prefix: str = "C"
-    # Decimal places money is exact to; sums run in decimal(18, money_scale).
-    money_scale: int = 2
+    # Decimal places of money sums, which run in decimal(38, money_scale) so that
+    # their order does not matter; far below any price, so nothing is cut.
+    money_scale: int = 8
 
 
 @dataclass(frozen=True)

@@ -26,8 +26,9 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
-from cohortlens.config import ClusterConfig
+from cohortlens.config import ClusterConfig, TxConfig
 from cohortlens.operators.features import SCALED_COLS
 from cohortlens.sources.stage_tables import is_plain_scan
 
@@ -44,9 +45,6 @@ FIXED_CENTRES = (
 # for k = 3, as documented by the reference.
 SEGMENT_NAMES = ("Champions", "Potential Loyalists", "Hibernating")
 
-# Rows per partition of the feature table handed to the iterative fits.
-ROWS_PER_FIT_PARTITION = 1_000_000
-
 
 def _sq_dist(x: Column, c: Column) -> Column:
     """Sum of squared differences of two equal-length double arrays."""
@@ -133,7 +131,7 @@ def silhouette(
 def _fit_table(df: DataFrame, features: Sequence[str]) -> tuple[DataFrame, DataFrame, float]:
     """Checkpoint the features (reliable storage, cuts lineage) unless they
     already are a plain scan of written files, then persist an
-    assembled-vector copy sized to its row count for the iterative fits.
+    assembled-vector copy, in the table's own partitions, for the iterative fits.
 
     Returns (checkpointed or scanned features, persisted vectors, mean
     population variance of the features), the last two from one pass.
@@ -141,11 +139,9 @@ def _fit_table(df: DataFrame, features: Sequence[str]) -> tuple[DataFrame, DataF
     base = df.select(*features)
     if not is_plain_scan(base):
         base = base.checkpoint(eager=True)
-    row = base.agg(F.count(F.lit(1)), *[F.var_pop(F.col(c).cast("double")) for c in features]).first()
-    n = row[0]
-    mean_var = sum(v or 0.0 for v in row[1:]) / len(features)
-    parts = max(1, min(base.rdd.getNumPartitions(), math.ceil(n / ROWS_PER_FIT_PARTITION)))
-    vec = VectorAssembler(inputCols=list(features), outputCol="_features").transform(base.coalesce(parts))
+    row = base.agg(*[F.var_pop(F.col(c).cast("double")) for c in features]).first()
+    mean_var = sum(v or 0.0 for v in row) / len(features)
+    vec = VectorAssembler(inputCols=list(features), outputCol="_features").transform(base)
     return base, vec.select("_features").persist(StorageLevel.MEMORY_AND_DISK), mean_var
 
 
@@ -284,11 +280,12 @@ def segment_names(
 
 
 def segment_revenue_share(
-    df: DataFrame, cluster_col: str = "Cluster", money_col: str = "Monetary", digits: int = 6
+    df: DataFrame, cluster_col: str = "Cluster", money_col: str = "Monetary", digits: int = 6,
+    money_scale: int = TxConfig.money_scale,
 ) -> DataFrame:
     """SEG-2: share of total revenue per cluster (per-cluster sums, k rows)."""
     per = df.groupBy(cluster_col).agg(
-        F.sum(F.col(money_col).cast("decimal(18,2)")).alias("_rev"),
+        F.sum(F.col(money_col).cast(DecimalType(38, money_scale))).alias("_rev"),
         F.count(F.lit(1)).cast("long").alias("Customers"),
     )
     total = F.sum("_rev").over(Window.partitionBy())

@@ -48,7 +48,7 @@ def build_rfm(
     read exactly once. Without it the function stays lazy and the subquery
     re-evaluates the (column-pruned) aggregation.
     """
-    money = DecimalType(18, cfg.money_scale)
+    money = DecimalType(38, cfg.money_scale)
     per_invoice = clean.groupBy(cfg.customer, cfg.invoice).agg(
         F.max(cfg.date).alias("_last"),
         F.sum(F.col(cfg.revenue).cast(money)).alias("_money"),

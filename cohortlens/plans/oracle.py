@@ -77,7 +77,7 @@ rfm AS (
   SELECT "Customer ID" AS CustomerID,
          CAST(date_sub('day', max("InvoiceDate"), any_value(s)) AS INTEGER) AS Recency,
          CAST(count(DISTINCT "Invoice") AS BIGINT) AS Frequency,
-         CAST(sum(CAST("Revenue" AS DECIMAL(18,2))) AS DOUBLE) AS Monetary
+         CAST(sum(CAST("Revenue" AS DECIMAL(38,8))) AS DOUBLE) AS Monetary
   FROM clean CROSS JOIN snap
   GROUP BY "Customer ID"
 )"""
@@ -390,7 +390,7 @@ SELECT Cluster, segment_rank,
        CASE segment_rank {names} ELSE 'Segment ' || CAST(segment_rank AS VARCHAR) END AS segment
 FROM rk"""
     q["segment_revenue_share"] = ORDERS_ASSIGNED.rstrip("\n") + """,
-per AS (SELECT Cluster, CAST(sum(CAST(Monetary AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
+per AS (SELECT Cluster, CAST(sum(CAST(Monetary AS DECIMAL(38,8))) AS DOUBLE) AS revenue,
                CAST(count(*) AS BIGINT) AS Customers FROM assigned GROUP BY Cluster)
 SELECT Cluster, Customers, revenue, """ + r("revenue / sum(revenue) OVER ()", 6) + " AS revenue_share FROM per"
 

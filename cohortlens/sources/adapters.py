@@ -23,14 +23,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.config import TxConfig
-from cohortlens.sources.files import load_testdata, spread
+from cohortlens.sources.files import load_testdata
 from cohortlens.sources.sizing import broadcast_if_small, size_estimate
 
 
 def orders_transactions(spark: SparkSession, sf_dir: str, cfg: TxConfig = TxConfig()) -> DataFrame:
-    li = spread(
-        load_testdata(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
-    )
+    li = load_testdata(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
     orders = load_testdata(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     part = load_testdata(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     customer = load_testdata(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -67,7 +65,7 @@ def orders_transactions(spark: SparkSession, sf_dir: str, cfg: TxConfig = TxConf
 
 
 def events_transactions(spark: SparkSession, sf_dir: str, cfg: TxConfig = TxConfig()) -> DataFrame:
-    ev = spread(load_testdata(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value", "user_id"))
+    ev = load_testdata(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value", "user_id")
     return ev.select(
         F.col("event_id").cast("string").alias(cfg.invoice),
         F.col("event_type").alias(cfg.stock),

@@ -28,16 +28,19 @@ def read_table(
     stage: str,
     fmt: str = "parquet",
     schema: T.StructType | str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read one table; a missing path raises ``MissingInputError`` (SRC-2).
 
-    ``schema`` (a StructType or DDL string) skips schema inference.
+    ``schema`` (a StructType or DDL string) skips schema inference. CSV quotes
+    are doubled inside quoted text, as the sink writes them. ``multi_line``
+    allows line breaks there, which makes a file one split.
     """
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", True).option("mode", "PERMISSIVE")
+        reader = reader.options(header=True, mode="PERMISSIVE", escape='"', multiLine=multi_line)
         if schema is not None:
             # check the header against the declared columns instead of
             # applying the schema by position (a reordered file fails loudly)
@@ -52,9 +55,30 @@ def read_table(
         raise
 
 
-def read_raw_transactions(spark: SparkSession, path: str, cfg: TxConfig = TxConfig()) -> DataFrame:
-    """SRC-1: raw transactions CSV with header, explicit schema."""
-    return read_table(spark, path, "cleaning", fmt="csv", schema=raw_transactions_schema(cfg))
+def read_raw_transactions(
+    spark: SparkSession, path: str, cfg: TxConfig = TxConfig(), multi_line: bool = False
+) -> DataFrame:
+    """SRC-1: raw transactions CSV; columns are found by their names in the header.
+
+    Extra columns and any order are allowed and Description may be absent;
+    other absent columns raise ``KeyError``. Numbers are read as doubles, and
+    text that is no number as null. A record with more or fewer fields than
+    the header fails the job, as does a quoted line break unless
+    ``multi_line`` is set, so no purchase is lost as another rule's.
+    """
+    named = read_table(spark, path, "cleaning", fmt="csv").columns  # reads the header only
+    text = T.StructType([T.StructField(c, T.StringType()) for c in named])
+    reader = spark.read.schema(text).options(header=True, enforceSchema=False, mode="FAILFAST", escape='"', multiLine=multi_line)
+    df = reader.csv(path)
+    wanted = raw_transactions_schema(cfg).fields
+    require_columns(df, [f.name for f in wanted if f.name != cfg.description], "cleaning")
+    return df.select(
+        *[
+            F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name)
+            for f in wanted
+            if f.name in named
+        ]
+    )
 
 
 def require_columns(df: DataFrame, columns: Sequence[str], stage: str) -> DataFrame:
@@ -155,23 +179,10 @@ def write_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(header=True, escape='"')
     writer.format(fmt).save(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a fact-table scan over all cores when it has fewer input
-    splits than the default parallelism (e.g. one large row group).
-
-    A no-op for real inputs, whose split count far exceeds the cores.
-    Round-robin (not hash) so that a hot key cannot concentrate rows.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
-
-
 def load_testdata(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver-generated table, e.g. ``lineitem`` (declared schema when known)."""
     return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", name, schema=TESTDATA_SCHEMAS.get(name))

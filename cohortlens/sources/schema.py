@@ -18,7 +18,7 @@ def raw_transactions_schema(cfg: TxConfig = TxConfig()) -> T.StructType:
             T.StructField(cfg.invoice, T.StringType()),
             T.StructField(cfg.stock, T.StringType()),
             T.StructField(cfg.description, T.StringType()),
-            T.StructField(cfg.quantity, T.IntegerType()),
+            T.StructField(cfg.quantity, T.DoubleType()),
             T.StructField(cfg.date, T.StringType()),
             T.StructField(cfg.price, T.DoubleType()),
             T.StructField(cfg.customer, T.StringType()),

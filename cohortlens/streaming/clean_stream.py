@@ -17,6 +17,7 @@ def read_raw_stream(
     reader = (
         spark.readStream.schema(raw_transactions_schema(cfg))
         .option("header", True)
+        .option("escape", '"')
         .option("enforceSchema", False)  # header checked against the declared columns
     )
     if max_files_per_trigger:

@@ -24,7 +24,8 @@ CLEANING_ROWS = [
 
 
 def cleaning_df(spark, extra=()):
-    return spark.createDataFrame(CLEANING_ROWS + list(extra), raw_transactions_schema())
+    rows = [(*r[:3], r[3] if r[3] is None else float(r[3]), *r[4:]) for r in CLEANING_ROWS + list(extra)]
+    return spark.createDataFrame(rows, raw_transactions_schema())
 
 
 # FIXTURES §3: (Cluster, CustomerID, InvoiceDate).

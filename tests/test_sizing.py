@@ -1,6 +1,5 @@
 from pyspark.sql import functions as F
 
-from cohortlens.sources.files import spread
 from cohortlens.sources.sizing import broadcast_if_small, broadcast_threshold, size_estimate
 
 
@@ -26,14 +25,6 @@ def test_threshold_parsing(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-def test_spread_only_when_under_parallelism(spark):
-    one = spark.range(100).coalesce(1)
-    assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(100).repartition(spark.sparkContext.defaultParallelism * 2)
-    assert spread(many).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism * 2
-    assert spread(one).agg(F.sum("id")).first()[0] == sum(range(100))
-
-
 def test_plain_scan_detection(spark, tmp_path):
     from cohortlens.sources.stage_tables import is_plain_scan, materialize, reusable
 

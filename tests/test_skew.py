@@ -22,7 +22,7 @@ def skewed(spark):
         cust = "hot" if i % 3 == 0 else f"c{rnd.randint(0, 400)}"
         inv = f"{i // 4 if cust == 'hot' else i}"
         ts = dt.datetime(2011, 1, 1) + dt.timedelta(minutes=rnd.randint(0, 60 * 24 * 60))
-        rows.append((inv, "S", "D", rnd.randint(1, 5), ts.strftime("%Y-%m-%d %H:%M:%S"), 1.25, cust, "UK"))
+        rows.append((inv, "S", "D", float(rnd.randint(1, 5)), ts.strftime("%Y-%m-%d %H:%M:%S"), 1.25, cust, "UK"))
     return rows, spark.createDataFrame(rows, raw_transactions_schema())
 
 

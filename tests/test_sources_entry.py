@@ -4,6 +4,7 @@ import tempfile
 import pytest
 
 import __spark_entry__ as E
+from cohortlens.plans.catalog import queries as catalog_queries
 from cohortlens.operators.clean import clean_transactions
 from cohortlens.sources.files import (
     MissingInputError,
@@ -66,7 +67,7 @@ def test_entry_and_registry(spark):
     q, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(q)
     # only the iterative KMeans fits lack a SQL oracle
-    assert set(q) - set(sql) == {
+    assert set(catalog_queries()) - set(sql) == {
         "kmeans_counts",
         "kmeans_sweep",
         "cluster_profile_kmeans",
@@ -74,13 +75,46 @@ def test_entry_and_registry(spark):
     }
 
 
-def test_csv_with_reordered_columns_is_rejected(spark, tmp_path):
-    from cohortlens.sources.files import read_raw_transactions
+RAW_HEADER = "Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country"
+FIVE = [
+    '1,A,"PLATE 12"" ROUND, RED",2,2010-01-05 08:30:00,3.5,13085,UK',
+    '2,A,"TWO\nLINES",1,2010-01-05 08:31:00,3.5,13085,UK',
+    "3,A,LAMP,6.0,2010-01-05 08:32:00,3.5,13085,UK",
+    "4,A,LAMP,1,2010-01-05 08:33:00,0.001,13086,UK",
+    "5,A,MUG,1,2010-01-05 08:34:00,3.5,13085.0,UK",
+]
 
+
+def test_csv_keeps_every_valid_purchase(spark, tmp_path):
+    from cohortlens.operators.clean import clean_transactions
+    from cohortlens.operators.rfm import build_rfm
+    from cohortlens.sources.files import write_table
+
+    path = tmp_path / "raw.csv"
+    path.write_text("\n".join([RAW_HEADER, *FIVE]) + "\n")
+    raw = read_raw_transactions(spark, str(path), multi_line=True)
+    clean = clean_transactions(raw)
+    got = {r.Invoice: r for r in clean.collect()}
+    assert len(got) == 5 and got["3"].Quantity == 6
+    assert got["1"].Description == 'PLATE 12" ROUND, RED' and got["2"].Description == "TWO\nLINES"
+    money = {r.CustomerID: r.Monetary for r in build_rfm(clean).collect()}
+    assert money["13086"] == 0.001
+    write_table(raw, str(tmp_path / "out"), fmt="csv")
+    again = read_raw_transactions(spark, str(tmp_path / "out"), multi_line=True)
+    assert sorted(map(str, again.collect())) == sorted(map(str, raw.collect()))
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_raw_transactions(spark, str(path)).collect()
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
     path = tmp_path / "raw.csv"
     path.write_text(
-        "StockCode,Invoice,Description,Quantity,InvoiceDate,Price,Customer ID,Country\n"
-        "A1,489434,LAMP,2,2010-01-05 08:30:00,3.5,13085,UK\n"
+        "StockCode,Extra,Invoice,Quantity,InvoiceDate,Price,Customer ID,Country\n"
+        "A1,x,489434,2,2010-01-05 08:30:00,3.5,13085,UK\n"
     )
-    with pytest.raises(Exception, match="(?i)header|schema"):
-        read_raw_transactions(spark, str(path)).collect()
+    got = read_raw_transactions(spark, str(path))
+    assert "Description" not in got.columns and "Extra" not in got.columns
+    assert got.first().Invoice == "489434" and got.first().Quantity == 2.0
+    path.write_text("Invoice,Price\n1,2\n")
+    with pytest.raises(KeyError):
+        read_raw_transactions(spark, str(path))
