@@ -35,7 +35,7 @@ from cohortlens.llm.text import by_bytes, mix, stream, word_hashes
 from cohortlens.sources.stage_tables import materialize
 
 ALPHA = 0.4
-FREQUENT = 1e-5
+FREQUENT = 1e-6
 HOT = 1e-4
 #: Bigram rows of a hash partition.
 PART_ROWS = 2_000_000
@@ -183,21 +183,25 @@ def _meet(f: Frequent):
     """A part's rows to sums per document, and (rid, word, times) for first words whose count is elsewhere."""
 
     def run(table: pa.Table) -> pa.Table:
-        rows = []
-        for x, docs in zip(table.column("rows"), table.column("docs"), strict=True):
+        rows, names, known = [], [], 0
+        for x, own in zip(table.column("rows"), table.column("docs"), strict=True):
             if len(x.as_py()):
                 second, first, at, times = _unpack(x.as_py(), *_ROWS)
-                rows.append((second, first, np.frombuffer(docs.as_py(), dtype=np.int64)[at], times))
+                names.append(np.frombuffer(own.as_py(), dtype=np.int64))
+                rows.append((second, first, at + np.uint32(known), times))
+                known += len(names[-1])
         done = [_unpack(x.as_py(), *_SUMS) for x in table.column("sums") if len(x.as_py())]
         out = []
         if done:
             out.append((*(np.concatenate(x) for x in zip(*done, strict=True)), None, None))
         if rows:
-            second, first, rid, times = (np.concatenate(x) for x in zip(*rows, strict=True))
-            del rows
-            times = times.astype(np.int64)
+            second, first, doc, times = (np.concatenate(x) for x in zip(*rows, strict=True))
+            docs = np.concatenate(names)
+            del rows, names
             order = np.lexsort((first, second))
-            second, first, rid, times = second[order], first[order], rid[order], times[order]
+            second, first = second[order], first[order]
+            doc, times = doc[order], times[order].astype(np.int64)
+            del order
             word_new = np.append(True, second[1:] != second[:-1])
             pair_new = word_new | np.append(True, first[1:] != first[:-1])
 
@@ -210,9 +214,10 @@ def _meet(f: Frequent):
             c2 = np.where(c2 > 0, c2, totals(word_new))
             c1 = f.find(f.words, f.counts, first)
             value, missed = _values(c12, times, c1, c2, f.total)
-            out.append((*_sums(rid, value, missed, times), None, None))
+            sums = [np.bincount(doc, x, len(docs)) for x in (value, missed, times)]
+            out.append((docs, sums[0], *(x.astype(np.int64) for x in sums[1:]), None, None))
             ask = (c1 == 0) & (c12 > times)
-            out.append((rid[ask], None, None, None, first[ask].view(np.int64), times[ask]))
+            out.append((docs[doc[ask]], None, None, None, first[ask].view(np.int64), times[ask]))
         kinds = (pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
         names = ["rid", "s", "missed", "n", "word", "times"]
         tables = [pa.table([pa.nulls(len(o[0]), k) if x is None else pa.array(x, k) for x, k in zip(o, kinds, strict=True)], names=names) for o in out]
