@@ -130,7 +130,7 @@ def redact(text: str, spans: list[tuple[int, int, str]]) -> str:
 
 def _scan(reach: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, "text", 1 << 24):
+        for batch in by_bytes(batches, "text", 1 << 21):
             rows = []
             for x in batch.column("text"):
                 spans = linked_spans(x.as_py() or "", reach)
@@ -159,7 +159,7 @@ def scan(docs: DataFrame, reach: int = REACH) -> DataFrame:
 
 def _redacted(reach: int):
     def run(texts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(texts, "text", 1 << 24):
+        for batch in by_bytes(texts, "text", 1 << 21):
             new = [None if (t := x.as_py()) is None else redact(t, linked_spans(t, reach)) for x in batch.column("text")]
             i = batch.schema.get_field_index("text")
             yield batch.set_column(i, batch.schema.field(i), pa.array(new, batch.schema.field(i).type))
