@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.llm.components import components
-from cohortlens.llm.text import by_bytes, mix, shingle_hashes, stream, word_hashes
+from cohortlens.llm.text import by_bytes, mix, release, shingle_hashes, stream, word_hashes
 from cohortlens.sources.stage_tables import materialize
 
 SLOTS = 128
@@ -136,6 +136,7 @@ def _linked(percent: int):
                 both = int(np.count_nonzero(other[at] == p))
                 keep.append(100 * both >= percent * (len(p) + len(other) - both))
             yield pa.record_batch([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        release()
 
     return run
 

@@ -7,6 +7,7 @@ are the words of the text. Null and empty texts have no words.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -127,6 +128,13 @@ def word_counts(column: pa.Array) -> np.ndarray:
     return np.diff(spans(*buffers(column))[2])
 
 
+def release() -> None:
+    """Give freed memory back to the system: Spark keeps idle Python workers for later stages."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def by_bytes(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 23) -> Iterator[pa.RecordBatch]:
     """The batches cut so that each holds texts of at most ``most`` bytes, or one longer text."""
     for batch in batches:
@@ -136,6 +144,7 @@ def by_bytes(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 23)
             j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + most, side="right")) - 1)
             yield batch.slice(i, j - i)
             i = j
+    release()
 
 
 def shingle_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
