@@ -25,18 +25,34 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("a <> b").distinct()
 
 
+def _unsettled(edges: DataFrame) -> int:
+    """Nodes that keep the edges (a, b), a > b, from being a forest of stars: several
+    times on the left, or on both sides. One map-side combined count."""
+    left = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = left.unionAll(edges.select("b", F.lit(0), F.lit(1)))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)").count()
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of every node of the edges (a long, b long); root is the
-    least node reachable. Nodes without an edge, or only with loops, have no row.
+    """(node, root) of every node of the edges (a long, b long) but the roots; root is
+    the least node reachable. Nodes without an edge, or only with loops, have no row.
 
-    Logarithmically many rounds, each written as a table.
+    Logarithmically many rounds, each written as a table, until all are stars.
     """
     edges = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
-    state = None
-    while True:
-        now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        # A forest of stars has each node once on the left and no root on it.
-        if now["n"] == 0 or now == state:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        state = now
+    while _unsettled(edges):
         edges = materialize(_star(_star(edges, large=True), large=False))
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+
+def merged(groups: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, root) of groups, as ``components`` returns them, and further edges (a, b):
+    only the graph of the groups' roots is solved anew."""
+    ends = edges.select("a", "b")
+    for end in ("a", "b"):
+        of = groups.select(F.col("node").alias(end), F.col("root").alias(f"r{end}"))
+        ends = ends.join(of, end, "left").withColumn(f"r{end}", F.coalesce(f"r{end}", end))
+    above = components(ends.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+    over = above.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    moved = groups.join(over, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    return materialize(moved.unionAll(above))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.components import components
+from cohortlens.llm.components import components, merged
 from cohortlens.llm.text import by_bytes, mix, release, shingle_hashes, stream, word_hashes
 from cohortlens.sources.stage_tables import materialize
 
@@ -198,17 +198,15 @@ def _links(buckets: DataFrame, blobs: DataFrame, percent: int) -> DataFrame:
     other pairs are settled without being listed.
     """
     met = materialize(buckets.where("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct())
-    links = materialize(_verify(met, blobs, percent))
     families = components(met).select("node", F.col("root").alias("hub"))
-    groups = components(links)
+    groups = components(_verify(met, blobs, percent))
     state = families.join(groups, "node", "left").select("node", "hub", F.coalesce("root", "node").alias("root"))
     hub_root = groups.select(F.col("node").alias("hub"), F.col("root").alias("hub_root"))
     state = state.join(hub_root, "hub", "left").withColumn("hub_root", F.coalesce("hub_root", "hub"))
     open_ = state.groupBy("hub").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi"), F.first("hub_root").alias("hr")).where("size > 1 and (lo <> hi or lo <> hr)")
     pairs = state.join(open_.select("hub"), "hub").select("node", "hub")
     hub_links = materialize(_verify(pairs.select(F.col("node").alias("a"), F.col("hub").alias("b")).join(met, ["a", "b"], "left_anti"), blobs, percent))
-    links = links.unionAll(hub_links)
-    groups = components(links)
+    groups = merged(groups, hub_links)
     x = blobs.select("node", "n", F.col("items").alias("x"))
     y = blobs.select(F.col("node").alias("hub"), F.col("n").alias("nh"), F.col("items").alias("y"))
     member = pairs.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -229,7 +227,7 @@ def _links(buckets: DataFrame, blobs: DataFrame, percent: int) -> DataFrame:
     follows = F.least(F.col("d") - F.col("i"), F.col("b_d") - F.col("b_i")) + 1
     near = (F.col("node") > F.col("b_node")) & (F.col("root") != F.col("b_root")) & (F.least("n", "b_n") * 100 >= F.greatest("n", "b_n") * percent) & (follows >= needs)
     rest = prefix.join(other, ["family", "item"]).where(near).select(F.col("node").alias("a"), F.col("b_node").alias("b")).distinct()
-    return components(links.unionAll(_verify(rest, blobs, percent)))
+    return merged(groups, _verify(rest, blobs, percent))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, width: int = WIDTH, slots: int = SLOTS) -> DataFrame:
