@@ -1,9 +1,8 @@
 """Clustering (ML-1..6, SEG-1, SEG-2).
 
-- Assignment, inertia and silhouette are column expressions over an array
-  of k centres / k per-cluster statistics (k is a parameter, so the array
-  has a proven size bound); they run inside whole-stage codegen and never
-  pair rows with rows.
+- Assignment and inertia are plain arithmetic over k literal centres, inside
+  whole-stage codegen. The silhouette uses an array of k per-cluster
+  statistics, whose functions run interpreted. None pairs rows with rows.
 - Fitting uses MLlib ``KMeans``. Spark has no ``n_init``: restarts are
   independent fits with derived seeds, submitted from a small driver thread
   pool over one checkpointed, persisted feature table; the lowest training
@@ -18,8 +17,10 @@
 from __future__ import annotations
 
 import math
+import operator
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
@@ -46,18 +47,10 @@ FIXED_CENTRES = (
 SEGMENT_NAMES = ("Champions", "Potential Loyalists", "Hibernating")
 
 
-def _sq_dist(x: Column, c: Column) -> Column:
-    """Sum of squared differences of two equal-length double arrays."""
-    return F.aggregate(F.zip_with(x, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
-
-
-def centres_literal(centres: Sequence[Sequence[float]]) -> Column:
-    return F.array(
-        *[
-            F.struct(F.lit(i).alias("id"), F.array(*[F.lit(float(v)) for v in c]).alias("c"))
-            for i, c in enumerate(centres)
-        ]
-    )
+def _sq_dist(features: Sequence[str], centre: Sequence[float]) -> Column:
+    """Squared distance to a centre, written out so that it runs in whole-stage codegen."""
+    terms = [(F.col(c).cast("double") - F.lit(float(v))) for c, v in zip(features, centre)]
+    return reduce(operator.add, [t * t for t in terms])
 
 
 def assign_nearest(
@@ -67,15 +60,17 @@ def assign_nearest(
     cluster_col: str = "Cluster",
     distance_col: str | None = None,
 ) -> DataFrame:
-    """ML-5: nearest centre (squared Euclidean); ties go to the lower id."""
-    x = F.array(*[F.col(c).cast("double") for c in features])
-    best = F.array_min(
-        F.transform(centres_literal(centres), lambda s: F.struct(_sq_dist(x, s["c"]).alias("d"), s["id"].alias("id")))
-    )
-    out = df.withColumn("_best", best).withColumn(cluster_col, F.col("_best.id").cast("int"))
+    """ML-5: nearest centre (squared Euclidean); ties go to the lower id, and a
+    null feature gives a null cluster."""
+    names = [f"_d{i}" for i in range(len(centres))]
+    out = df.withColumns({n: _sq_dist(features, c) for n, c in zip(names, centres)})
+    least = F.least(*names) if len(names) > 1 else F.col(names[0])
+    out = out.withColumn("_least", least)
+    label = F.coalesce(*[F.when(F.col(n) == F.col("_least"), F.lit(i)) for i, n in enumerate(names)])
+    out = out.withColumn(cluster_col, label.cast("int"))
     if distance_col:
-        out = out.withColumn(distance_col, F.col("_best.d"))
-    return out.drop("_best")
+        out = out.withColumn(distance_col, F.col("_least"))
+    return out.drop("_least", *names)
 
 
 def inertia(
@@ -239,6 +234,43 @@ def kmeans_sweep(df: DataFrame, cfg: ClusterConfig = ClusterConfig()) -> DataFra
     return spark.createDataFrame(rows, "k int, inertia double, silhouette_sq_euclidean double")
 
 
+def fit_facts(
+    labelled: DataFrame,
+    centres: Sequence[Sequence[float]],
+    features: Sequence[str] = SCALED_COLS,
+    cluster_col: str = "Cluster",
+    tolerance: float = 0.05,
+) -> DataFrame:
+    """What any valid fit must meet, from the labelled rows (one row): clusters
+    used, rows labelled, and whether each centre is its members' mean."""
+    per = labelled.groupBy(F.col(cluster_col).alias("_id")).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.avg(c).alias(f"_m{j}") for j, c in enumerate(features)]
+    )
+    off = [
+        F.abs(F.col(f"_m{j}") - F.element_at(F.array(*[F.lit(float(c[j])) for c in centres]), F.col("_id") + 1))
+        for j in range(len(features))
+    ]
+    return per.agg(
+        F.count("_id").cast("long").alias("clusters"),
+        F.sum("_n").cast("long").alias("customers"),
+        F.bool_and(reduce(operator.and_, [o <= tolerance for o in off])).alias("centres_are_means"),
+    )
+
+
+def sweep_facts(sweep: DataFrame) -> DataFrame:
+    """What any valid sweep must meet (one row): the k tried, inertia never
+    rising with k, silhouettes within [-1, 1]. Reads k_max - k_min + 1 rows."""
+    before = F.lag("inertia").over(Window.partitionBy().orderBy("k"))
+    steps = sweep.withColumn("_falls", F.coalesce(F.col("inertia") <= before, F.lit(True)))
+    return steps.agg(
+        F.count("k").cast("long").alias("fits"),
+        F.min("k").alias("k_min"),
+        F.max("k").alias("k_max"),
+        F.bool_and("_falls").alias("inertia_never_rises"),
+        F.bool_and(F.abs("silhouette_sq_euclidean") <= 1).alias("silhouettes_valid"),
+    )
+
+
 def cluster_sizes(df: DataFrame, cluster_col: str = "Cluster", name: str = "Customers") -> DataFrame:
     """ML-6 / CHT-1: members per cluster, ordered by cluster."""
     return df.groupBy(cluster_col).agg(F.count(F.lit(1)).cast("long").alias(name)).orderBy(cluster_col)

@@ -1,28 +1,23 @@
 """Statistics and data-quality summaries (STA-1..6, AGG-3..6).
 
-Exact quantiles without a whole group in one task
--------------------------------------------------
-``percentile``/``median`` merge a value->count map of the entire group in
-one task, which does not survive a group holding a third of all rows with
-many distinct values. ``exact_quantiles`` instead:
-
-1. per group: ``count`` and ``percentile_approx`` at p - m and p + m
-   (rank error of the sketch is far below the margin m); groups of at
-   most ``accuracy`` rows simply use [min, max];
-2. one pass over the rows: each row adds to a (P + 1)-bucket histogram of
-   the lower bounds (collapsed map-side) and, when it falls inside a
-   bracket, to a count per distinct value there; the histogram's prefix
-   sums give the rows below each bracket;
-3. a cumulative count over the (bounded) bracket finds the values at ranks
-   floor(p (n-1)) and ceil(p (n-1)), interpolated linearly (pandas / DuckDB
-   ``quantile_cont``).
-
-If a target rank ever fell outside its bracket the job fails loudly rather
-than returning an approximation.
-
-Inputs whose plan reads at most ``cohortlens.quantiles.singlePassBytes``
-(64 MiB by default) skip the brackets and use ``percentile`` directly: the
-value map of any group is then bounded by the input size.
+Exact quantiles by counting
+---------------------------
+``percentile``/``median`` merge a value->count map of the entire group in one
+task, and sketches of every scan task meet in one task per group. Instead,
+``exact_quantiles`` counts values in ranges, in four passes that are the same
+at every input size:
+
+1. ranges of 1/16 of a power of two (at most about 67 000 over all doubles);
+   running counts find the ranges that hold the ranks floor(p (n-1)) and
+   ceil(p (n-1));
+2. and 3. each such range, cut into 65 536 equal parts;
+4. exact values of the parts found. A range of pass 1 spans at most 2^48
+   doubles, a part of pass 3 therefore about 2^17 at most.
+
+Every pass counts map-side and shuffles by (group, range), so a task gets a
+share of the counts, never a group's rows; the running count sees at most the
+number of ranges per group. Ranks interpolate linearly (pandas / DuckDB
+``quantile_cont``).
 """
 
 from __future__ import annotations
@@ -35,8 +30,7 @@ from pyspark.sql import functions as F
 from cohortlens.functions.scalar import is_missing
 from cohortlens.functions.stats import adjusted_skewness
 from cohortlens.operators.rfm import first_rows, top_customers
-from cohortlens.session import ensure_checkpoint_dir
-from cohortlens.sources.sizing import input_bytes
+from cohortlens.sources.sizing import broadcast_if_small
 from cohortlens.sources.stage_tables import reusable
 
 
@@ -48,89 +42,39 @@ def melt(df: DataFrame, value_cols: Sequence[str], keys: Sequence[str] = ()) ->
     return df.select(*keys, F.inline(pairs))
 
 
-# Refinement: quantile grid points per bracket and the slack (in grid
-# steps) that covers the fine sketch's rank error.
-_REFINE_GRID = 1000
-_REFINE_ACCURACY = 100_000
-_REFINE_SLACK = 2
+# Ranges per power of two of the first pass, and parts of a range of the next two.
+_PER_OCTAVE = 16
+_PARTS = 1 << 16
+# Bytes of a row of the table of ranges, generously, for its broadcast check.
+_RANGE_BYTES = 256
 
 
-def _running_max(arr: Column) -> Column:
-    return F.transform(arr, lambda x, i: F.array_max(F.slice(arr, 1, i + 1)))
+def _octave_range(v: Column) -> Column:
+    """Number of the value's range, ascending with the value; 0 for zero."""
+    exponent = F.least(F.log2(F.abs(v)), F.lit(1100.0))  # infinities get a range of their own
+    step = F.floor(exponent * _PER_OCTAVE) + F.lit(1100 * _PER_OCTAVE)
+    return F.when(v == 0, F.lit(0)).when(v > 0, step).otherwise(-step).cast("long")
 
 
-def _bucket_entries(lo: Column, hi: Column, v: Column, npr: int) -> Column:
-    """One histogram entry (i = -1 - #lower bounds <= v) plus one entry per
-    bracket [lo_i, hi_i] holding v."""
-    idx = F.sequence(F.lit(0), F.lit(npr - 1))
-    bucket = F.size(F.filter(lo, lambda x: x <= v))
-    hist_entry = F.array(F.struct((F.lit(-1) - bucket).alias("i"), F.lit(None).cast("double").alias("v")))
-    in_bracket = F.filter(
-        F.transform(idx, lambda i: F.struct(i.alias("i"), v.alias("v"))),
-        lambda e: (v >= lo[e["i"]]) & (v <= hi[e["i"]]),
-    )
-    return F.concat(hist_entry, in_bracket)
-
-
-def _below_counts(hist: DataFrame, keys: Sequence[str], npr: int) -> DataFrame:
-    """Rows below bracket i = rows in histogram buckets 0..i (bounds ascend)."""
-    b = F.lit(-1) - F.col("i")
-    return hist.groupBy(*keys).agg(
-        F.array(*[F.sum(F.when(b <= j, F.col("_c")).otherwise(0)) for j in range(npr)]).alias("_below")
-    )
-
+def _part(v: Column, lo: Column, hi: Column) -> Column:
+    """Number of the equal part of [lo, hi] that holds the value."""
+    part = F.least(F.floor((v - lo) / (hi - lo) * _PARTS), F.lit(_PARTS - 1))
+    return F.when(hi > lo, part).otherwise(F.lit(0)).cast("long")
 
-def _refine(
-    long: DataFrame, stats: DataFrame, keys: Sequence[str], probs: Sequence[float], groups_bounded: bool
-) -> DataFrame:
-    """One pass: a fine quantile grid over each bracket's rows; the target
-    ranks' grid cells (plus slack) become the new, ~200x narrower brackets."""
-    npr = len(probs)
-    bounds = stats.select(*keys, "_n", "_lo", "_hi")
-    j = long.join(F.broadcast(bounds) if groups_bounded else bounds, keys)
-    e = j.select(*keys, F.explode(_bucket_entries(F.col("_lo"), F.col("_hi"), F.col("value"), npr)).alias("e"))
-    grid = [g / _REFINE_GRID for g in range(_REFINE_GRID + 1)]
-    per = e.groupBy(*keys, F.col("e.i").alias("i")).agg(
-        F.count(F.lit(1)).alias("_c"),
-        F.percentile_approx("e.v", grid, _REFINE_ACCURACY).alias("_g"),
-    )
-    below = _below_counts(per.filter(F.col("i") < 0), keys, npr)
-    sizes = stats.select(*keys, "_n")
-    if groups_bounded:
-        below, sizes = F.broadcast(below), F.broadcast(sizes)
-    br = per.filter(F.col("i") >= 0).join(below, keys).join(sizes, keys)
-    p_arr = F.array(*[F.lit(p) for p in probs])
-    pos = p_arr[F.col("i")] * (F.col("_n") - 1)
-    base = F.col("_below")[F.col("i")]
-    cell0 = F.floor((F.floor(pos) - base) / F.col("_c") * _REFINE_GRID).cast("int")
-    cell1 = F.floor((F.ceil(pos) - base) / F.col("_c") * _REFINE_GRID).cast("int")
-    lo_i = F.col("_g")[F.greatest(F.lit(0), cell0 - _REFINE_SLACK)]
-    hi_i = F.col("_g")[F.least(F.lit(_REFINE_GRID), cell1 + 1 + _REFINE_SLACK)]
-    narrowed = br.select(*keys, F.struct("i", lo_i.alias("lo"), hi_i.alias("hi")).alias("b"))
-    arrays = narrowed.groupBy(*keys).agg(F.array_sort(F.collect_list("b")).alias("_bs"))
-    lo = F.transform(F.col("_bs"), lambda x: x["lo"])
-    return arrays.select(*keys, _running_max(lo).alias("_lo"), F.transform(F.col("_bs"), lambda x: x["hi"]).alias("_hi")).join(
-        stats.drop("_lo", "_hi"), keys
-    )
 
-
-# Size bound of the single-pass exact quantile path (see exact_quantiles).
-SINGLE_PASS_CONF = "cohortlens.quantiles.singlePassBytes"
-SINGLE_PASS_BYTES = 64 << 20
-
-
-def _single_pass_quantiles(
-    long: DataFrame, keys: Sequence[str], probs: Sequence[float], extras: dict[str, Callable[[Column], Column]]
-) -> DataFrame:
-    """Size-checked path of ``exact_quantiles``: one aggregate per (group,
-    field) with the exact ``percentile`` and the extra aggregates."""
-    p_arr = F.array(*[F.lit(p) for p in probs])
-    agg = long.groupBy(*keys).agg(
-        F.percentile("value", list(probs)).alias("_q"),
-        *[fn(F.col("value")).alias(name) for name, fn in extras.items()],
-    )
-    pairs = F.transform(F.col("_q"), lambda v, i: F.struct(p_arr[i].alias("p"), v.cast("double").alias("value")))
-    return agg.select(*keys, F.inline(pairs), *extras)
+def _hits(counts: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """The counted ranges that hold a target rank, with the rows before them
+    (``_before``) and the targets inside (``_at``: number of p, upper rank or not)."""
+    w = Window.partitionBy(*keys, "_from").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counts.withColumn("_end", F.col("_before") + F.sum("_c").over(w))
+    ranked = ranked.withColumn("_before", F.col("_end") - F.col("_c"))
+    targets = []
+    for i, p in enumerate(probs):
+        pos = F.lit(p) * (F.col("_n") - 1)
+        for upper, rank in ((False, F.floor(pos)), (True, F.ceil(pos))):
+            inside = (rank >= F.col("_before")) & (rank < F.col("_end"))
+            targets.append(F.when(inside, F.struct(F.lit(i).alias("i"), F.lit(upper).alias("upper"))))
+    return ranked.withColumn("_at", F.array_compact(F.array(*targets))).filter(F.size("_at") > 0)
 
 
 def exact_quantiles(
@@ -138,143 +82,58 @@ def exact_quantiles(
     value_cols: Sequence[str],
     probs: Sequence[float],
     group_cols: Sequence[str] = (),
-    accuracy: int = 10000,
-    margin: float | None = None,
     extra_aggs: dict[str, Callable[[Column], Column]] | None = None,
-    groups_bounded: bool | None = None,
-    max_bracket: int = 2_000_000,
-    eager_bytes: int = 10 << 30,
-    single_pass_bytes: int | None = None,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles per (group, field, p).
 
-    Returns (group_cols..., field, p, value, *extra_aggs). Nulls and NaN are
-    skipped. ``extra_aggs`` (name -> aggregate of the value column) are
-    computed in the same pass as the sketch, e.g. mean and std for describe.
-
-    ``groups_bounded`` says the number of groups has a small proven bound
-    (true without group columns: one row per field; callers grouping by a
-    k-means cluster pass True). The per-group bracket table is then
-    broadcast, so the rows are never shuffled by a low-cardinality group
-    key (which would put a whole group in one task). Otherwise the join is
-    left to AQE, with skew splitting for hot groups.
-
-    A bracket holds about 2 (m + 1/accuracy) n rows, so the final window
-    sorts at most ~2 million values per task for groups of up to ~1e9 rows.
-    Inputs of more than ``eager_bytes`` (sum of leaf input sizes) take the
-    eager path:
-    the sketch table (one row per group and field) is checkpointed, and while
-    a bracket could exceed ``max_bracket`` values, refinement passes narrow
-    every bracket with a fine quantile grid computed over the bracket's rows
-    only. Smaller inputs stay one lazy job (shuffles shared by AQE).
-
-    Inputs of at most ``single_pass_bytes`` (default: session conf
-    ``cohortlens.quantiles.singlePassBytes``, else 64 MiB of files read by
-    the plan, i.e. a few million values in all; -1 disables) skip the
-    brackets: one aggregate with Spark's exact ``percentile``, whose
-    per-group value -> count map is then bounded by that size. Same
-    definition (linear interpolation at p (n - 1)), one stage instead of
-    eight.
+    Returns (group_cols..., field, p, value, *extra_aggs). Null and NaN values
+    and rows with a null group key are skipped. ``extra_aggs`` (name ->
+    aggregate of the value column) are computed per (group, field), e.g. mean
+    and std for describe.
+
+    The values are read once per pass: an input with joins or shuffles is
+    written as a stage table first, a plain scan is read again. The table of
+    ranges has at most two rows per (group, field, p). It is broadcast if the
+    number of groups, counted for grouped calls, bounds it under
+    ``spark.sql.autoBroadcastJoinThreshold``; beyond that, values and ranges
+    are joined by group, with AQE splitting hot ones.
     """
-    if groups_bounded is None:
-        groups_bounded = not group_cols
     probs = sorted({float(p) for p in probs})
-    npr = len(probs)
-    m = margin if margin is not None else 10.0 / accuracy
     keys = [*group_cols, "field"]
     extras = dict(extra_aggs or {})
     long = melt(df, value_cols, group_cols).filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    if single_pass_bytes is None:
-        single_pass_bytes = int(df.sparkSession.conf.get(SINGLE_PASS_CONF, str(SINGLE_PASS_BYTES)))
-    if input_bytes(long) <= single_pass_bytes:
-        return _single_pass_quantiles(long, keys, probs, extras)
-    # Every later pass (sketch, histogram, brackets) reads the values again:
-    # an upstream with joins or shuffles is written once as a stage table
-    # rather than re-planned per pass; a plain file scan is simply re-read.
+    for g in group_cols:
+        long = long.filter(F.col(g).isNotNull())
     long = reusable(long)
-
-    bounds = [max(0.0, p - m) for p in probs] + [min(1.0, p + m) for p in probs]
-    sketch = long.groupBy(*keys).agg(
-        F.count("value").alias("_n"),
-        F.min("value").alias("_min"),
-        F.max("value").alias("_max"),
-        F.percentile_approx("value", bounds, accuracy).alias("_b"),
-        *[fn(F.col("value")).alias(name) for name, fn in extras.items()],
-    )
-    # Groups of at most `accuracy` rows use [min, max] as the bracket (at
-    # most `accuracy` distinct values); above that the margin covers both the
-    # sketch's rank error and the one-rank gap between its ceil(p n) rank and
-    # the floor/ceil of p (n - 1) that interpolation needs.
-    small = F.col("_n") <= accuracy
-    idx = F.sequence(F.lit(0), F.lit(npr - 1))
-    raw_lo = F.transform(idx, lambda i: F.when(small, F.col("_min")).otherwise(F.col("_b")[i]))
-    stats = sketch.select(
-        *keys,
-        "_n",
-        # running max keeps the lower bounds non-decreasing in p
-        _running_max(raw_lo).alias("_lo"),
-        F.transform(idx, lambda i: F.when(small, F.col("_max")).otherwise(F.col("_b")[i + npr])).alias("_hi"),
-        *extras,
+    groups = long.select(*group_cols).distinct().count() if group_cols else 1
+    bound = groups * len(value_cols) * 2 * len(probs) * _RANGE_BYTES
+
+    v = F.col("value")
+    span = [F.count(F.lit(1)).alias("_c"), F.min("value").alias("_lo"), F.max("value").alias("_hi")]
+    counts = long.groupBy(*keys, _octave_range(v).alias("_b")).agg(*span)
+    counts = counts.withColumns(
+        {"_n": F.sum("_c").over(Window.partitionBy(*keys)), "_before": F.lit(0).cast("long"), "_from": F.lit(0.0)}
     )
-    if input_bytes(long) > eager_bytes:
-        ensure_checkpoint_dir(df.sparkSession)
-        stats = stats.checkpoint(eager=True)
-        n_max = stats.agg(F.max("_n")).first()[0] or 0
-        bracket = n_max if n_max <= accuracy else (2 * m + 2.0 / accuracy) * n_max + 2
-        while bracket > max_bracket:
-            stats = _refine(long, stats, keys, probs, groups_bounded).checkpoint(eager=True)
-            bracket = bracket * (2 * _REFINE_SLACK + 2) / _REFINE_GRID + 2
-
-    bounds_only = stats.select(*keys, "_n", "_lo", "_hi")
-    joined = long.join(F.broadcast(bounds_only) if groups_bounded else bounds_only, keys)
-
-    # Each row emits one histogram entry -- bucket b = number of lower bounds
-    # <= value, marked by i = -1 - b -- plus one entry per bracket that holds
-    # it (usually none or one). Histogram entries collapse map-side into at
-    # most P + 1 groups per (group, field).
-    entries = _bucket_entries(F.col("_lo"), F.col("_hi"), F.col("value"), npr)
-    tagged = joined.select(*keys, "_n", F.explode(entries).alias("e"))
-    counted = tagged.groupBy(*keys, "_n", F.col("e.i").alias("i"), F.col("e.v").alias("v")).agg(
-        F.count(F.lit(1)).alias("_c")
+    for last in (False, False, True):
+        ranges = _hits(counts, keys, probs).select(*keys, "_n", "_before", F.col("_lo").alias("_from"), F.col("_hi").alias("_to"))
+        near = long.join(broadcast_if_small(ranges, bound), keys).filter((v >= F.col("_from")) & (v <= F.col("_to")))
+        bucket = v if last else _part(v, F.col("_from"), F.col("_to"))
+        counts = near.groupBy(*keys, "_n", "_before", "_from", bucket.alias("_b")).agg(*span)
+
+    found = _hits(counts, keys, probs).select(*keys, "_n", F.col("_lo").alias("_v"), F.explode("_at").alias("_t"))
+    picked = found.groupBy(*keys, "_n", F.col("_t.i").alias("_i")).agg(
+        F.max(F.when(~F.col("_t.upper"), F.col("_v"))).alias("_v0"),
+        F.max(F.when(F.col("_t.upper"), F.col("_v"))).alias("_v1"),
     )
-
-    # Rows below bracket i are those in buckets 0..i (lower bounds ascend).
-    below = _below_counts(counted.filter(F.col("i") < 0), keys, npr)
-    inside = counted.filter(F.col("i") >= 0).join(F.broadcast(below) if groups_bounded else below, keys)
-
-    w = Window.partitionBy(*keys, "i").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    p_arr = F.array(*[F.lit(p) for p in probs])
-    pos = p_arr[F.col("i")] * (F.col("_n") - 1)
-    run = F.sum("_c").over(w) + F.col("_below")[F.col("i")]
-    ranked = inside.select(
-        *keys,
-        "_n",
-        "i",
-        "v",
-        pos.alias("_pos"),
-        (run - F.col("_c")).alias("_start"),
-        run.alias("_end"),
-    )
-    r0, r1 = F.floor("_pos"), F.ceil("_pos")
-
-    def at(rank: Column) -> Column:
-        hit = F.col("v").isNotNull() & (F.col("_start") <= rank) & (rank < F.col("_end"))
-        return F.max(F.when(hit, F.col("v")))
-
-    picked = ranked.groupBy(*keys, "i").agg(
-        at(r0).alias("_v0"), at(r1).alias("_v1"), F.first("_pos").alias("_pos")
+    p = F.array(*[F.lit(x) for x in probs])[F.col("_i")]
+    pos = p * (F.col("_n") - 1)
+    value = F.when(F.col("_v0") == F.col("_v1"), F.col("_v0")).otherwise(
+        F.col("_v0") + (F.col("_v1") - F.col("_v0")) * (pos - F.floor(pos))
     )
-    frac = F.col("_pos") - F.floor("_pos")
-    value = F.col("_v0") + (F.col("_v1") - F.col("_v0")) * frac
-    checked = F.when(
-        F.col("_v0").isNull() | F.col("_v1").isNull(),
-        F.raise_error(F.lit("exact_quantiles: target rank outside bracket; raise accuracy")),
-    ).otherwise(value)
-    out = picked.select(*keys, p_arr[F.col("i")].alias("p"), checked.cast("double").alias("value"))
+    out = picked.select(*keys, p.alias("p"), value.cast("double").alias("value"))
     if extras:
-        # k-row side (one row per group and field); same sketch subtree, reused.
-        ex = stats.select(*keys, *extras)
-        out = out.join(F.broadcast(ex) if groups_bounded else ex, keys)
+        per_group = long.groupBy(*keys).agg(*[fn(v).alias(name) for name, fn in extras.items()])
+        out = out.join(broadcast_if_small(per_group, bound), keys)
     return out
 
 
@@ -405,8 +264,8 @@ def rfm_diagnostics(
 
     The top-n and head tables are per-task top-k (TakeOrderedAndProject),
     never a global sort of all customers. All entries are lazy, except
-    that ``describe`` on a very large input writes its stage tables first
-    (see ``exact_quantiles``).
+    that ``describe`` writes an input with joins or shuffles as a stage
+    table first (see ``exact_quantiles``).
     """
     out = {
         "head": first_rows(rfm, head_n, id_col),

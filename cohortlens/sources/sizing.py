@@ -21,20 +21,6 @@ def size_estimate(df: DataFrame) -> int:
     return int(size if isinstance(size, int) else size.toString())
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Sum of the leaf inputs' size estimates (file sizes for file scans).
-
-    Unlike the root estimate, this does not multiply through joins; it is
-    the input volume a plan reads.
-    """
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    total = 0
-    for i in range(leaves.size()):
-        size = leaves.apply(i).stats().sizeInBytes()
-        total += int(size if isinstance(size, int) else size.toString())
-    return total
-
-
 def broadcast_threshold(df: DataFrame) -> int:
     raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
     raw = raw.strip().lower()

@@ -57,12 +57,7 @@ def test_full_days_is_zone_free(spark, tz):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-@pytest.mark.parametrize("single_pass", [-1, None], ids=["brackets", "single_pass"])
-def test_describe_matches_pandas_fixture(spark, single_pass, monkeypatch):
-    if single_pass is not None:  # describe has no knob: force the bracketed path
-        import cohortlens.operators.stats as S
-
-        monkeypatch.setattr(S, "input_bytes", lambda df: 1 << 62)
+def test_describe_matches_pandas_fixture(spark):
     df = spark.createDataFrame([(x,) for x in X], "x double")
     r = describe(df, ["x"], (0.5, 0.9)).first()
     assert r["count"] == 7
@@ -79,17 +74,7 @@ def test_adjusted_skewness(spark):
     assert skewness(const, ["x"]).first()["skewness"] == 0.0
 
 
-# -1 forces the bracketed path (the one used at scale); None keeps the
-# default, under which these small inputs take the single-pass percentile.
-PATHS = pytest.mark.parametrize("single_pass", [-1, None], ids=["brackets", "single_pass"])
-
-
-def _path(single_pass):
-    return {} if single_pass is None else {"single_pass_bytes": single_pass}
-
-
-@PATHS
-def test_exact_quantiles_against_numpy(spark, single_pass):
+def test_exact_quantiles_against_numpy(spark):
     rnd = random.Random(7)
     data = []
     for g in range(3):
@@ -100,17 +85,16 @@ def test_exact_quantiles_against_numpy(spark, single_pass):
             data.append((g, v))
     df = spark.createDataFrame(data, "g int, v double")
     probs = [0.0, 0.1, 0.5, 0.9, 0.95, 0.99, 1.0]
-    got = {(r.g, r.p): r.value for r in exact_quantiles(df, ["v"], probs, ["g"], **_path(single_pass)).collect()}
+    got = {(r.g, r.p): r.value for r in exact_quantiles(df, ["v"], probs, ["g"]).collect()}
     for g in range(3):
         vals = np.array([v for gg, v in data if gg == g])
         for p in probs:
             assert got[(g, p)] == pytest.approx(float(np.quantile(vals, p)), abs=1e-9)
 
 
-@PATHS
-def test_exact_quantiles_tiny_accuracy_still_exact(spark, single_pass):
+def test_exact_quantiles_many_ties(spark):
     df = spark.createDataFrame([(float(i % 97),) for i in range(5000)], "v double")
-    got = exact_quantiles(df, ["v"], [0.5, 0.75], accuracy=100, **_path(single_pass)).orderBy("p").collect()
+    got = exact_quantiles(df, ["v"], [0.5, 0.75]).orderBy("p").collect()
     vals = np.array([float(i % 97) for i in range(5000)])
     assert [r.value for r in got] == [float(np.quantile(vals, 0.5)), float(np.quantile(vals, 0.75))]
 
@@ -152,37 +136,50 @@ def test_rfm_features_columns(spark):
     assert out.filter("CustomerID = 'a'").first().R_log == 0.0
 
 
-def test_exact_quantiles_sketch_path_unsorted_probs_and_hot_value(spark):
-    # 6 000 rows > accuracy=500, so the bracketed (sketch) path is used; a
-    # third of the rows share one value, as a hot key would.
+def test_exact_quantiles_unsorted_probs_and_hot_value(spark):
+    # a third of the rows share one value, as a hot key would
     rnd = random.Random(3)
     vals = [7.0] * 2000 + [float(rnd.randint(0, 3000)) / 4 for _ in range(4000)]
     df = spark.createDataFrame([(v,) for v in vals], "v double")
     probs = [0.99, 0.5, 0.05, 0.3333, 0.75]
-    got = {r.p: r.value for r in exact_quantiles(df, ["v"], probs, accuracy=500, single_pass_bytes=-1).collect()}
+    got = {r.p: r.value for r in exact_quantiles(df, ["v"], probs).collect()}
     arr = np.array(vals)
     for p in probs:
         assert got[p] == pytest.approx(float(np.quantile(arr, p)), abs=1e-9)
 
 
-@pytest.mark.parametrize("max_bracket", [40, 5])
-def test_exact_quantiles_refinement_rounds(spark, max_bracket):
-    # Tiny max_bracket forces one or more refinement passes over the data.
+@pytest.mark.parametrize("threshold", ["10485760", "-1"], ids=["broadcast", "join"])
+def test_exact_quantiles_both_joins(spark, threshold):
     rnd = random.Random(11)
     data = [(g, 7.0 if rnd.random() < 0.3 else rnd.uniform(-50, 50)) for g in range(3) for _ in range(3000)]
     df = spark.createDataFrame(data, "g int, v double")
     probs = [0.01, 0.5, 0.9, 0.999]
-    got = exact_quantiles(
-        df, ["v"], probs, ["g"], accuracy=500, max_bracket=max_bracket, groups_bounded=True, eager_bytes=0,
-        single_pass_bytes=-1,
-    )
-    res = {(r.g, r.p): r.value for r in got.collect()}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        res = {(r.g, r.p): r.value for r in exact_quantiles(df, ["v"], probs, ["g"]).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     for g in range(3):
         arr = np.array([v for gg, v in data if gg == g])
         for p in probs:
             assert res[(g, p)] == pytest.approx(float(np.quantile(arr, p)), abs=1e-9)
 
 
+def test_exact_quantiles_extreme_values(spark):
+    # neighbouring doubles, denormals, both signs, both zeros, infinities, nulls and NaN
+    near = [1.0 + i * 2.0**-52 for i in range(40)] + [3e15 + i * 0.5 for i in range(40)]
+    vals = [*near, 5e-324, 1e-323, -5e-324, 0.0, -0.0, 1.7e308, -1.7e308, float("inf"), float("-inf")]
+    df = spark.createDataFrame([(v,) for v in [*vals, None, float("nan")]], "v double")
+    ordered = sorted(vals)
+    probs = [i / (len(vals) - 1) for i in range(len(vals))]
+    got = {r.p: r.value for r in exact_quantiles(df, ["v"], probs).collect()}
+    for i, p in enumerate(probs):
+        if p * (len(vals) - 1) == i:  # an exact rank: the value itself
+            assert got[p] == ordered[i]
+    assert exact_quantiles(df.filter("v > 1 and v < 1"), ["v"], [0.5]).collect() == []
+
+
 def test_custom_date_format_is_zone_free(spark):
     from pyspark.sql import types as T
 

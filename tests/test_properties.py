@@ -17,13 +17,9 @@ values = st.lists(
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(vals=values, probs=st.lists(st.floats(0, 1), min_size=1, max_size=4, unique=True))
-@pytest.mark.parametrize("single_pass_bytes", [-1, 64 << 20], ids=["brackets", "single_pass"])
-def test_exact_quantiles_match_numpy(spark, single_pass_bytes, vals, probs):
+def test_exact_quantiles_match_numpy(spark, vals, probs):
     df = spark.createDataFrame([(v,) for v in vals], "v double")
-    got = {
-        r.p: r.value
-        for r in exact_quantiles(df, ["v"], probs, accuracy=50, single_pass_bytes=single_pass_bytes).collect()
-    }
+    got = {r.p: r.value for r in exact_quantiles(df, ["v"], probs).collect()}
     for p in probs:
         assert got[float(p)] == pytest.approx(float(np.quantile(np.array(vals), p)), rel=1e-12, abs=1e-9)
 

@@ -60,8 +60,7 @@ def _run(spark, sf_dir):
         attach_clusters(cube, feats), weight_col="transactions", one_row_per_customer_slot=True
     )
     prof.write.format("noop").mode("overwrite").save()
-    spark.sparkContext.setJobGroup("cluster_medians", "per-cluster exact medians, bracketed path")
-    spark.conf.set("cohortlens.quantiles.singlePassBytes", "-1")
+    spark.sparkContext.setJobGroup("cluster_medians", "per-cluster exact medians")
     cluster_medians(feats).write.format("noop").mode("overwrite").save()
     return steps
 
