@@ -18,8 +18,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
-from cohortlens.config import TemporalConfig
+from cohortlens.config import TemporalConfig, TxConfig
 from cohortlens.functions.scalar import cut, ordinal, weekday_name
 
 SLOT_KEYS = ("day_of_week", "hour", "month_period")
@@ -58,6 +59,31 @@ def activity_cube(
     return e.groupBy(tcfg.id_col, *SLOT_KEYS).agg(F.count(F.lit(1)).cast("long").alias("transactions"))
 
 
+def invoice_activity(clean: DataFrame, cfg: TxConfig = TxConfig(), tcfg: TemporalConfig = TemporalConfig()) -> DataFrame:
+    """Clean transactions per (customer, invoice, day_of_week, hour, month_period):
+    latest date, revenue and number of ``transactions``.
+
+    Both ``build_rfm`` (same column names, sums of sums) and ``activity_cube``
+    (weighted) can be derived from it, so the transactions are read once. The
+    invoice in the key spreads a hot customer.
+    """
+    e = enrich_time_features(clean.select(cfg.customer, cfg.invoice, cfg.date, cfg.revenue), cfg.date, tcfg)
+    return e.groupBy(cfg.customer, cfg.invoice, *SLOT_KEYS).agg(
+        F.max(cfg.date).alias(cfg.date),
+        F.sum(F.col(cfg.revenue).cast(DecimalType(38, cfg.money_scale))).alias(cfg.revenue),
+        F.count(F.lit(1)).cast("long").alias("transactions"),
+    )
+
+
+def customer_activity(
+    visits: DataFrame, id_col: str = "Customer ID", tcfg: TemporalConfig = TemporalConfig()
+) -> DataFrame:
+    """``activity_cube`` from ``invoice_activity``."""
+    return visits.groupBy(F.col(id_col).alias(tcfg.id_col), *SLOT_KEYS).agg(
+        F.sum("transactions").cast("long").alias("transactions")
+    )
+
+
 def _weight(weight_col: str | None) -> Column:
     return F.sum(weight_col) if weight_col else F.count(F.lit(1))
 

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.config import ClusterConfig
-from cohortlens.functions.scalar import WEEKDAY_NAMES
 from cohortlens.operators import charts, cluster, profile, stats, temporal
 from cohortlens.operators.clean import clean_audit
 from cohortlens.operators.features import LOG_COLS, RAW_COLS, SCALED_COLS, log_transform
@@ -197,18 +196,72 @@ def temporal_profile(spark, sf):
     return stages.events_temporal_profile(spark, sf)
 
 
+def _kmeans_activity(spark, sf):
+    visits = stages.events_visits(spark, sf)
+    labelled = cluster.kmeans_clusters(stages.visits_features(visits), QUERY_KMEANS)
+    cube = temporal.customer_activity(visits, TX.customer, TEMPORAL)
+    return cluster.attach_clusters(cube, labelled, TEMPORAL.id_col, TEMPORAL.cluster_col)
+
+
 def temporal_profile_kmeans(spark, sf):
     """The reference's published timing table: AGG-12 over the activity of
     customers labelled by fitted KMeans clusters on their own RFM.
     Iterative fit: rows-only check."""
-    cube = temporal.activity_cube(stages.events_clean(spark, sf), TX.customer, TX.date, TEMPORAL)
-    labelled = cluster.kmeans_clusters(stages.events_features(spark, sf), QUERY_KMEANS)
-    activity = cluster.attach_clusters(cube, labelled, TEMPORAL.id_col, TEMPORAL.cluster_col)
-    return temporal.temporal_profile(
-        activity, TEMPORAL.cluster_col, TEMPORAL.id_col, weight_col="transactions", one_row_per_customer_slot=True
+    return stages.activity_profile(_kmeans_activity(spark, sf))
+
+
+def temporal_kmeans_facts(spark, sf):
+    """Totals that the timing table must have whatever the fit: its transactions,
+    and one cluster of the k for each."""
+    prof = temporal_profile_kmeans(spark, sf)
+    return prof.agg(
+        F.sum("transactions").cast("long").alias("transactions"),
+        F.count_distinct(TEMPORAL.cluster_col).cast("long").alias("clusters"),
     )
 
 
+def kmeans_fit_facts(spark, sf):
+    """ML-1, ML-6: what any valid fit must meet, computed from the fitted model."""
+    features = stages.orders_features(spark, sf)
+    centres, _ = cluster.fit_kmeans(features, QUERY_KMEANS.final_k, QUERY_KMEANS)
+    return cluster.fit_facts(cluster.assign_nearest(features, centres), centres)
+
+
+def kmeans_sweep_facts(spark, sf):
+    """ML-2: what any valid sweep must meet, computed from the sweep's rows."""
+    return cluster.sweep_facts(kmeans_sweep(spark, sf))
+
+
+def _sparse(slot: str, unique: bool) -> Query:
+    def q(spark, sf):
+        activity = stages.events_activity(spark, sf, stages.sparse_events_raw)
+        if unique:
+            return temporal.top_unique_customers(
+                activity, TEMPORAL.cluster_col, slot, TEMPORAL.id_col, 3, TEMPORAL.labels
+            )
+        return temporal.top_preferences(
+            activity, TEMPORAL.cluster_col, slot, 3, weight_col="transactions", categories=TEMPORAL.labels
+        )
+
+    return q
+
+
+def sparse_period_share(spark, sf):
+    return charts.period_share(stages.events_temporal_profile(spark, sf, stages.sparse_events_raw))
+
+
+def clustered_transactions(spark, sf):
+    """JOIN-1, JOIN-4: every clean order line with its customer's cluster."""
+    clean = stages.orders_clean(spark, sf).withColumnRenamed(TX.customer, "CustomerID")
+    joined = cluster.attach_clusters(clean, stages.orders_fixed_clusters(spark, sf))
+    return joined.select(TX.invoice, TX.stock, "CustomerID", "Cluster")
+
+
+def active_weekdays(spark, sf):
+    """SET-2: the weekdays on which anything was sold."""
+    return charts.distinct_values(time_features(spark, sf), "day_of_week")
+
+
 def _chart(fn) -> Query:
     return lambda spark, sf: fn(stages.events_temporal_profile(spark, sf))
 
@@ -260,8 +313,18 @@ def queries() -> dict[str, Query]:
         "dow_hour_share": _chart(charts.dow_hour_share),
         "period_share": _chart(charts.period_share),
         "dow_ranking": _chart(charts.dow_ranking),
+        "dirty_clean_transactions": stages.dirty_clean,
+        "dirty_clean_audit": lambda spark, sf: clean_audit(stages.dirty_raw(spark, sf), TX),
+        "dirty_missing_ratio": lambda spark, sf: stats.missing_ratio(stages.dirty_clean(spark, sf)),
+        "dirty_rfm": stages.dirty_rfm,
+        "sparse_top_period": _sparse("month_period", unique=False),
+        "sparse_top_period_unique": _sparse("month_period", unique=True),
+        "sparse_period_share": sparse_period_share,
+        "clustered_transactions": clustered_transactions,
+        "active_weekdays": active_weekdays,
+        "kmeans_fit_facts": kmeans_fit_facts,
+        "kmeans_sweep_facts": kmeans_sweep_facts,
+        "temporal_kmeans_facts": temporal_kmeans_facts,
     }
     return q
 
-
-__all__ = ["WEEKDAY_NAMES", "queries"]

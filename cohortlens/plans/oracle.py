@@ -10,9 +10,14 @@ negative zero into zero, as Spark's decimal rounding does).
 
 from __future__ import annotations
 
-from cohortlens.functions.scalar import WEEKDAY_NAMES
-from cohortlens.operators.clean import AUDIT_STEPS
-from cohortlens.operators.cluster import FIXED_CENTRES, SEGMENT_NAMES
+# Fixed values, written out here so that the SQL does not depend on the code it checks.
+WEEKDAY_NAMES = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
+AUDIT_STEPS = (
+    "rows_in", "customer_null", "date_invalid", "cancelled", "quantity_null", "quantity_non_positive",
+    "price_null", "price_non_positive", "description_null", "duplicate", "rows_out",
+)
+FIXED_CENTRES = ((1.0, -1.0, -1.0), (-1.0, 1.0, 1.0), (0.0, 0.0, 0.0))
+SEGMENT_NAMES = ("Champions", "Potential Loyalists", "Hibernating")
 
 # -- adapters ---------------------------------------------------------------
 
@@ -44,6 +49,33 @@ RAW_EVENTS = """raw AS (
   FROM events
 )"""
 
+# Order lines damaged by rule number, and events without dates after the 20th (sources/adapters.py, plans/stages.py).
+RAW_DIRTY = RAW_ORDERS.replace("raw AS", "sound AS", 1) + """,
+numbered AS (
+  SELECT *, (CAST("StockCode" AS BIGINT) + 5 * "Quantity") % 19 AS rule FROM sound
+),
+damaged AS (
+  SELECT rule, "Invoice",
+         CASE WHEN rule <> 14 THEN "StockCode" END AS "StockCode",
+         CASE WHEN rule <> 9 THEN "Description" END AS "Description",
+         CAST(CASE rule WHEN 2 THEN NULL WHEN 3 THEN 0 WHEN 4 THEN -"Quantity" ELSE "Quantity" END AS INTEGER) AS "Quantity",
+         CASE WHEN rule <> 1 THEN CAST("InvoiceDate" AS TIMESTAMP) END AS "InvoiceDate",
+         CASE rule WHEN 5 THEN NULL WHEN 6 THEN CAST('NaN' AS DOUBLE) WHEN 7 THEN CAST(0 AS DOUBLE)
+                   WHEN 8 THEN -"Price" WHEN 15 THEN CAST(0.001 AS DOUBLE) ELSE "Price" END AS "Price",
+         CASE rule WHEN 0 THEN NULL WHEN 10 THEN "Customer ID" || '.0' WHEN 11 THEN ' ' || "Customer ID" || ' '
+                   ELSE "Customer ID" END AS "Customer ID",
+         CASE WHEN rule <> 13 THEN "Country" END AS "Country"
+  FROM numbered
+),
+raw AS (
+  SELECT * EXCLUDE (rule) FROM damaged
+  UNION ALL SELECT * EXCLUDE (rule) FROM damaged WHERE rule = 12
+)"""
+RAW_SPARSE = RAW_EVENTS.replace("raw AS", "every AS", 1) + """,
+raw AS (
+  SELECT * REPLACE (CASE WHEN day("InvoiceDate") <= 20 THEN "InvoiceDate" END AS "InvoiceDate") FROM every
+)"""
+
 # -- cleaning ---------------------------------------------------------------
 
 TAGGED = r"""tagged AS (
@@ -215,7 +247,7 @@ def _missing(source: str, cols_types) -> str:
     )
 
 
-def _audit() -> str:
+def _audit(raw: str) -> str:
     counts = ", ".join(
         f"count(*) FILTER (WHERE reason = '{s}') AS {s}" for s in AUDIT_STEPS[1:-2]
     )
@@ -227,7 +259,7 @@ def _audit() -> str:
     rows.append(f"SELECT {n - 1}, 'rows_out', CAST(rows_out AS BIGINT) FROM outc")
     return (
         with_ctes(
-            RAW_ORDERS,
+            raw,
             TAGGED,
             CLEAN,
             f"counts AS (SELECT count(*) AS rows_in, count(*) FILTER (WHERE reason IS NULL) AS kept, {counts} FROM tagged)",
@@ -243,7 +275,7 @@ def _slot_order(slot: str) -> str:
     return slot
 
 
-def _top(slot: str, n: int, unique: bool, dense: bool) -> str:
+def _top(slot: str, n: int, unique: bool, dense: bool, activity: str = EVENTS_ACTIVITY) -> str:
     name = "unique_customers" if unique else "transactions"
     pct = "pct_unique_within_cluster" if unique else "pct_within_cluster"
     agg = "count(DISTINCT CustomerID)" if unique else "count(*)"
@@ -271,14 +303,14 @@ def _top(slot: str, n: int, unique: bool, dense: bool) -> str:
         f"{_slot_order(slot)} ASC) AS INTEGER) AS rank FROM pct)"
     )
     return (
-        EVENTS_ACTIVITY.rstrip("\n")
+        activity.rstrip("\n")
         + ",\n"
         + ",\n".join(ctes)
         + f"\nSELECT Cluster, {slot}, {name}, {pct}, rank FROM ranked WHERE rank <= {n}"
     )
 
 
-def _share(row_keys, col_key, values, names) -> str:
+def _share(row_keys, col_key, values, names, profile: str = EVENTS_PROFILE) -> str:
     rk = ", ".join(row_keys)
     lit = (lambda v: f"'{v}'") if isinstance(values[0], str) else str
     cols = ", ".join(
@@ -288,7 +320,7 @@ def _share(row_keys, col_key, values, names) -> str:
     if row_keys == ["day_of_week"]:
         days = ", ".join(f"'{d}'" for d in WEEKDAY_NAMES)
         extra = f", CAST(list_position([{days}], day_of_week) - 1 AS INTEGER) AS dow_num"
-    return EVENTS_PROFILE.rstrip("\n") + f""",
+    return profile.rstrip("\n") + f""",
 s AS (SELECT {rk}, {col_key}, sum(unique_customers) AS v FROM prof GROUP BY {rk}, {col_key}),
 sh AS (SELECT {rk}, {col_key}, v / sum(v) OVER (PARTITION BY {rk}) AS share FROM s)
 SELECT {rk}{extra}, {cols} FROM sh GROUP BY {rk}"""
@@ -303,7 +335,7 @@ def oracle_sql() -> dict[str, str]:
     ]
     # Entry A
     q["clean_transactions"] = ORDERS_CLEAN + "SELECT * FROM clean"
-    q["clean_audit"] = _audit()
+    q["clean_audit"] = _audit(RAW_ORDERS)
     q["missing_ratio"] = ORDERS_CLEAN + _missing("clean", raw_cols)
     q["revenue_describe"] = ORDERS_CLEAN + _describe("clean", ["Revenue"], (0.5, 0.9, 0.95, 0.99))
     q["date_range_uniques"] = ORDERS_CLEAN + (
@@ -418,4 +450,33 @@ s AS (SELECT Cluster, day_of_week, CAST(sum(unique_customers) AS BIGINT) AS uniq
       FROM prof GROUP BY Cluster, day_of_week)
 SELECT *, CAST(row_number() OVER (PARTITION BY Cluster ORDER BY unique_customers DESC,
        list_position([{days}], day_of_week) ASC) AS INTEGER) AS rank FROM s"""
+
+    # Damaged inputs, joins and sets
+    dirty = with_ctes(RAW_DIRTY, TAGGED, CLEAN)
+    q["dirty_clean_transactions"] = dirty + "SELECT * FROM clean"
+    q["dirty_clean_audit"] = _audit(RAW_DIRTY)
+    q["dirty_missing_ratio"] = dirty + _missing("clean", raw_cols)
+    q["dirty_rfm"] = with_ctes(RAW_DIRTY, TAGGED, CLEAN, RFM) + "SELECT * FROM rfm"
+    sparse = with_ctes(RAW_SPARSE, TAGGED, CLEAN, RFM, LOGGED, SCALED, ASSIGNED, ENRICHED, ACTIVITY)
+    q["sparse_top_period"] = _top("month_period", 3, unique=False, dense=True, activity=sparse)
+    q["sparse_top_period_unique"] = _top("month_period", 3, unique=True, dense=True, activity=sparse)
+    periods = ["Early", "Mid", "Late"]
+    q["sparse_period_share"] = _share(["Cluster"], "month_period", periods, periods, sparse.rstrip("\n") + ",\n" + PROFILE)
+    q["clustered_transactions"] = ORDERS_ASSIGNED + (
+        'SELECT c."Invoice", c."StockCode", a.CustomerID, a.Cluster '
+        'FROM clean c JOIN assigned a ON c."Customer ID" = a.CustomerID'
+    )
+    q["active_weekdays"] = EVENTS_ENRICHED + "SELECT DISTINCT day_of_week FROM enriched"
+
+    # What any valid fit meets
+    q["kmeans_fit_facts"] = ORDERS_RFM + (
+        "SELECT CAST(3 AS BIGINT) AS clusters, CAST(count(*) AS BIGINT) AS customers, TRUE AS centres_are_means FROM rfm"
+    )
+    q["kmeans_sweep_facts"] = (
+        "SELECT CAST(7 AS BIGINT) AS fits, CAST(2 AS INTEGER) AS k_min, CAST(8 AS INTEGER) AS k_max, "
+        "TRUE AS inertia_never_rises, TRUE AS silhouettes_valid"
+    )
+    q["temporal_kmeans_facts"] = EVENTS_CLEAN + (
+        "SELECT CAST(count(*) AS BIGINT) AS transactions, CAST(3 AS BIGINT) AS clusters FROM clean"
+    )
     return q
