@@ -4,19 +4,19 @@ Exact quantiles by counting
 ---------------------------
 ``percentile``/``median`` merge a value->count map of the entire group in one
 task, and sketches of every scan task meet in one task per group. Instead,
-``exact_quantiles`` counts values in ranges, in four passes that are the same
+``exact_quantiles`` counts values in ranges, in three passes that are the same
 at every input size:
 
-1. ranges of 1/16 of a power of two (at most about 67 000 over all doubles);
-   running counts find the ranges that hold the ranks floor(p (n-1)) and
-   ceil(p (n-1));
-2. and 3. each such range, cut into 65 536 equal parts;
-4. exact values of the parts found. A range of pass 1 spans at most 2^48
-   doubles, a part of pass 3 therefore about 2^17 at most.
+1. ranges of 1/1024 of a power of two (about 2^22 over all doubles, some ten
+   thousand over usual ones); running counts find the ranges that hold the
+   ranks floor(p (n-1)) and ceil(p (n-1));
+2. each such range, cut into 2^21 equal parts;
+3. exact values of the parts found. A range of pass 1 spans about 2^42
+   doubles, a part of pass 2 therefore about 2^22 at most.
 
 Every pass counts map-side and shuffles by (group, range), so a task gets a
 share of the counts, never a group's rows; the running count sees at most the
-number of ranges per group. Ranks interpolate linearly (pandas / DuckDB
+number of ranges per group, sorted by Spark's spilling window. Ranks interpolate linearly (pandas / DuckDB
 ``quantile_cont``).
 """
 
@@ -42,9 +42,9 @@ def melt(df: DataFrame, value_cols: Sequence[str], keys: Sequence[str] = ()) ->
     return df.select(*keys, F.inline(pairs))
 
 
-# Ranges per power of two of the first pass, and parts of a range of the next two.
-_PER_OCTAVE = 16
-_PARTS = 1 << 16
+# Ranges per power of two of the first pass, and parts of a range of the second.
+_PER_OCTAVE = 1024
+_PARTS = 1 << 21
 # Bytes of a row of the table of ranges, generously, for its broadcast check.
 _RANGE_BYTES = 256
 
@@ -114,7 +114,7 @@ def exact_quantiles(
     counts = counts.withColumns(
         {"_n": F.sum("_c").over(Window.partitionBy(*keys)), "_before": F.lit(0).cast("long"), "_from": F.lit(0.0)}
     )
-    for last in (False, False, True):
+    for last in (False, True):
         ranges = _hits(counts, keys, probs).select(*keys, "_n", "_before", F.col("_lo").alias("_from"), F.col("_hi").alias("_to"))
         near = long.join(broadcast_if_small(ranges, bound), keys).filter((v >= F.col("_from")) & (v <= F.col("_to")))
         bucket = v if last else _part(v, F.col("_from"), F.col("_to"))

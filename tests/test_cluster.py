@@ -129,3 +129,34 @@ def test_spark_tol_implies_reference_stopping_rule():
         assert k * t * t == pytest.approx(tol * var)
     assert spark_tol(1e-4, 0.0, 3) == 0.0
     assert math.isclose(spark_tol(1e-4, 1.0, 1), 1e-2)
+
+
+def test_facts_turn_red_on_a_broken_fit(spark):
+    from cohortlens.operators.cluster import assign_nearest, fit_facts, sweep_facts
+
+    pts = [(0.0, 0.0, 0.0), (0.2, 0.0, 0.0), (4.0, 4.0, 4.0), (4.0, 4.2, 4.0)]
+    df = spark.createDataFrame(pts, "R_scaled double, F_scaled double, M_scaled double")
+    good = [(0.1, 0.0, 0.0), (4.0, 4.1, 4.0)]
+    got = fit_facts(assign_nearest(df, good), good).first()
+    assert tuple(got) == (2, 4, True)
+    moved = [(0.1, 0.0, 0.0), (4.0, 5.0, 4.0)]
+    assert not fit_facts(assign_nearest(df, moved), moved).first().centres_are_means
+    unused = [*good, (90.0, 90.0, 90.0)]
+    assert fit_facts(assign_nearest(df, unused), unused).first().clusters == 2
+    schema = "k int, inertia double, silhouette_sq_euclidean double"
+    falling = spark.createDataFrame([(2, 9.0, 0.5), (3, 4.0, 0.6), (4, 4.0, -1.0)], schema)
+    assert tuple(sweep_facts(falling).first()) == (3, 2, 4, True, True)
+    rising = spark.createDataFrame([(2, 9.0, 0.5), (3, 9.5, 0.6), (4, 4.0, 1.5)], schema)
+    assert tuple(sweep_facts(rising).first()) == (3, 2, 4, False, False)
+
+
+def test_assignment_runs_in_codegen_and_null_features_have_no_cluster(spark, capsys):
+    from cohortlens.operators.cluster import FIXED_CENTRES, assign_nearest
+
+    rows = [(0.9, -1.0, -1.0), (None, 0.0, 0.0)]
+    df = spark.createDataFrame(rows, "R_scaled double, F_scaled double, M_scaled double")
+    assert [r.Cluster for r in assign_nearest(df, FIXED_CENTRES).collect()] == [0, None]
+    scan = spark.range(3).selectExpr("id / 2 AS R_scaled", "id * 1.0D AS F_scaled", "1 - id * 1.0D AS M_scaled")
+    assign_nearest(scan, FIXED_CENTRES).explain()
+    plan = capsys.readouterr().out
+    assert "transform(" not in plan and "aggregate(" not in plan and "*(1) Project" in plan

@@ -10,7 +10,7 @@ import pytest
 
 from cohortlens.operators.clean import clean_transactions
 from cohortlens.operators.rfm import build_rfm
-from cohortlens.operators.temporal import activity_cube, temporal_profile
+from cohortlens.operators.temporal import activity_cube, customer_activity, invoice_activity, temporal_profile
 from cohortlens.sources.schema import raw_transactions_schema
 
 
@@ -71,3 +71,13 @@ def test_activity_cube_bounds_hot_customer(spark, skewed):
         one_row_per_customer_slot=True,
     )
     assert prof.groupBy().sum("transactions").first()[0] == clean.count()
+
+
+def test_invoice_activity_feeds_rfm_and_cube(spark, skewed):
+    _, df = skewed
+    clean = clean_transactions(df)
+    visits = invoice_activity(clean)
+    assert sorted(map(tuple, build_rfm(visits).collect())) == sorted(map(tuple, build_rfm(clean).collect()))
+    cube = activity_cube(clean, "Customer ID", "InvoiceDate")
+    derived = customer_activity(visits).select(cube.columns)
+    assert sorted(map(tuple, derived.collect())) == sorted(map(tuple, cube.collect()))

@@ -118,3 +118,12 @@ def test_csv_columns_are_found_by_name(spark, tmp_path):
     path.write_text("Invoice,Price\n1,2\n")
     with pytest.raises(KeyError):
         read_raw_transactions(spark, str(path))
+
+
+def test_damaged_lines_trigger_every_rule(spark):
+    from cohortlens.plans.catalog import queries
+
+    audit = {r.rule: r.rows for r in queries()["dirty_clean_audit"](spark, "/root/testdata/sf0.001").collect()}
+    assert all(n > 0 for n in audit.values()), audit
+    dropped = sum(n for rule, n in audit.items() if rule not in ("rows_in", "rows_out"))
+    assert audit["rows_in"] - dropped == audit["rows_out"]
