@@ -52,7 +52,7 @@ def main() -> None:
         "tables that read fewer columns than the table has (nation has 3 and is read",
         "with 2). `fact scans` counts scans of the fact tables (lineitem, events):",
         "each query reads its fact table at most once; stage tables written while",
-        "building a query (RFM, features, a multi-pass quantile's values) are",
+        "building a query (RFM, features, event activity, a quantile's values) are",
         "separate jobs that also read it once.",
         "",
         "| query | " + " | ".join(PATTERNS) + " | pruned scans |",
