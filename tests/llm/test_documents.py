@@ -1,5 +1,6 @@
 """Operators on documents: brute force on small tables, and odd inputs."""
 
+import base64
 import collections
 import hashlib
 import math
@@ -350,3 +351,19 @@ def test_two_shapes_of_a_language_get_centroids_of_their_own():
     model = language_id.fit_model(pa.array(texts), np.array(["l1"] * 40 + ["l2"] * 20, dtype=object), k=2)
     pred, score, rejected = model.predict(pa.array(["bab aba", "yzy zyz", "nom mno", "漢字漢字", "12"]))
     assert pred[:3] == ["l1", "l1", "l2"] and not rejected[:3].any() and rejected[3] and pred[4] == "und"
+
+
+def test_far_texts_are_rejected_and_short_ones_stay(llm):
+    docs = llm.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rng = np.random.default_rng(7)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    noise = [" ".join("".join(rng.choice(letters, rng.integers(2, 10))) for _ in range(n)) for n in (30, 100, 300, 1000) for _ in range(10)]
+    noise += [base64.b64encode(rng.bytes(n)).decode() for n in (100, 500, 3000) for _ in range(10)]
+    clean = docs.where("lang <> 'fr'").limit(300)
+    short = [t[a : a + n] for (t,) in pairs(clean, "text") for n in (20, 40) for a in (len(t) // 3,)]
+    model = language_id.fit(docs.where("lang <> 'fr'"))
+    unseen = [t for (t,) in pairs(docs.where("lang = 'fr' and length(text) > 200").limit(300), "text")]
+    assert model.predict(pa.array(noise))[2].mean() == 1
+    assert model.predict(pa.array(unseen))[2].mean() > 0.9
+    assert model.predict(pa.array(short))[2].mean() < 0.01
+    assert model.predict(pa.array([t for (t,) in pairs(clean, "text")]))[2].mean() < 0.01
