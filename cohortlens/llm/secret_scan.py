@@ -32,7 +32,8 @@ _WORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 # A run that is long enough is the same match with a least count: matches take whole runs.
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
-_KEY = re.compile(r"(?<![A-Za-z0-9+/=_.-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_.-])")
+# A sentence may end after a key, and an assignment's '=' stand before it; '=' after it is padding.
+_KEY = re.compile(r"(?<![A-Za-z0-9+/_.-])[A-Za-z0-9+/]{40}(?!\.*[A-Za-z0-9+/=_-])")
 _LOGIN = re.compile(r"""(?:user(?:name)?|login|account)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{3,64})""", re.I | re.A)
 _ENDPOINT = re.compile(r"(?:https?|jdbc:[a-z]+|postgres(?:ql)?|mysql|redis|mongodb|amqp|ftp|ssh|s3)://[^\s\"'<>]{4,200}", re.A)
 _SCOPE = re.compile(r"\n[\x20\t]*\n")
