@@ -10,8 +10,9 @@ entry whose stored parent distance already proves it too far, by the
 triangle inequality, is never measured. Queries step together, so that a page
 meets all queries that open it in one product.
 
-Products are exact: components are integers below 2**``BITS`` in size and sums
-are checked against 2**53. Only bounds are rounded; they give way by ``SLACK``.
+Products are exact: vectors of which sums of products stay below 2**53 go into
+the tree, where only bounds are rounded and give way by ``SLACK``. Pairs with a
+larger vector are multiplied in parts of few bits, whose sums are exact.
 """
 
 from __future__ import annotations
@@ -26,7 +27,10 @@ from cohortlens.llm.search_blocks import Best, top_k
 PAGE = 128
 BLOCK_ROWS = 8192
 SLACK = 1e-6
-BITS = 22
+#: Scores beyond a long, on either side.
+OVER, UNDER = np.iinfo(np.int64).max, np.iinfo(np.int64).min
+#: Pairs of larger vectors that are multiplied at once.
+PAIRS = 1 << 20
 #: Nodes that a query opens between two looks at its frontier: at first, and at most (doubling).
 STRIDE, MOST_STRIDE = 4, 64
 
@@ -82,8 +86,71 @@ class Tree:
 
 
 def search(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    if x.shape[1] * float(np.abs(x).max()) * float(np.abs(q).max()) >= 2**53:
-        raise ValueError("inner products of these vectors do not fit exact arithmetic")
+    """(row of the query, id, score) of each query's best k, or the best k among small and
+    among large rows."""
+    if not (np.isfinite(x).all() and np.isfinite(q).all()):
+        raise ValueError("components are not finite once they are scaled")
+    if x.shape[1] * float(np.abs(x).max()) * float(np.abs(q).max()) < 2**53:
+        return _tree_search(ids, x, qids, q, k)
+    most = np.sqrt(2**53 / x.shape[1]) * (1 - 1e-9)
+    low, low_q = np.abs(x).max(axis=1) < most, np.abs(q).max(axis=1) < most
+    every = np.ones(len(x), dtype=bool)
+    found = []
+    for rows, queries, by in ((low, low_q, _tree_search), (~low, low_q, _large_search), (every, ~low_q, _large_search)):
+        if rows.any() and queries.any():
+            n, i, s = by(ids[rows], x[rows], qids[queries], q[queries], k)
+            found.append((np.flatnonzero(queries)[n], i, s))
+    n, i, s = (np.concatenate(f) for f in zip(*found, strict=True))
+    return n, i, s
+
+
+def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Exact inner products of whole numbers of any size, as longs; ``OVER`` and ``UNDER``
+    stand for those that do not fit."""
+    dim = x.shape[1]
+    bits = (53 - dim.bit_length()) // 2
+    parts = range(-(-64 // bits))
+
+    def part(v: np.ndarray, i: int) -> np.ndarray:
+        return np.copysign(np.fmod(np.floor(np.ldexp(np.abs(v), -bits * i)), 2.0**bits), v)
+
+    out = np.zeros((len(q), len(x)), dtype=np.uint64)  # modulo 2**64
+    right = [part(x, j) for j in parts]
+    for i in parts:
+        left = part(q, i)
+        for j in parts:
+            if bits * (i + j) < 64 and left.any() and right[j].any():
+                out += (left @ right[j].T).astype(np.int64).astype(np.uint64) << np.uint64(bits * (i + j))
+    eq, ex = int(np.frexp(np.abs(q).max())[1]), int(np.frexp(np.abs(x).max())[1])
+    a, b = np.ldexp(q, -eq), np.ldexp(x, -ex)
+    about = a @ b.T
+    off = (np.abs(a) @ np.abs(b).T) * (dim * 2.0**-50) + 2.0**-1000
+    limit = np.ldexp(1.0, 63 - eq - ex)
+    exact = out.view(np.int64)
+    sure = np.abs(about) + off < limit / 2
+    over, under = about - off >= limit, about + off < -limit
+    exact[over], exact[under] = OVER, UNDER
+    for i, j in zip(*np.nonzero(~(sure | over | under)), strict=True):
+        s = sum(int(c) * int(d) for c, d in zip(q[i], x[j], strict=True))
+        exact[i, j] = min(max(s, UNDER), OVER)
+    return exact
+
+
+def _large_search(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.argsort(ids)
+    ids, x = ids[order], x[order]
+    step, found = max(1, PAIRS // len(x)), []
+    for a in range(0, len(q), step):
+        s = products(q[a : a + step], x)
+        top = np.argsort(~s, axis=1, kind="stable")[:, : k + 1]  # larger scores first, then smaller ids
+        other = ids[top] != qids[a : a + step][:, None]
+        n, c = np.nonzero(other & (np.cumsum(other, axis=1) <= k))
+        found.append((n + a, ids[top[n, c]], s[n, top[n, c]]))
+    n, i, s = (np.concatenate(f) for f in zip(*found, strict=True))
+    return n, i, s
+
+
+def _tree_search(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     tree = Tree(x)
     n = len(q)
     length = (q * q).sum(axis=1)
@@ -143,7 +210,8 @@ def search(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray, k: i
                     flat.append((who[some][a], ids[rows[cols]][b], s[a, b]))
         if flat:
             best.add(*(np.concatenate(f) for f in zip(*flat, strict=True)))
-    return best.rows()
+    found = best.rows()
+    return found[0], found[1], found[2].astype(np.int64)
 
 
 def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64) -> DataFrame:
@@ -151,12 +219,14 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int =
     floor(scale * component), ties to smaller vec_ids.
 
     Needs vec_id and embedding. Vectors null, empty, or holding null or non-finite
-    components, and rows with a null vec_id, take no part; nor do vectors with a
-    component of 2**22 or more after scaling, whose products would not be exact.
+    components, and rows with a null vec_id, take no part. Scores are exact at any
+    size of the components; the query fails if one it returns does not fit a long.
     Rows that share a vec_id count as one.
     """
-    scaled = F.transform(F.col("embedding").cast("array<double>"), lambda c: F.floor(c * scale).cast("double"))
-    rows = vectors.where(F.col("vec_id").isNotNull() & finite())
-    rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), scaled.alias("v")).where(~F.exists("v", lambda c: F.abs(c) >= 2.0**BITS))
-    found = top_k(rows, is_query, k, search, BLOCK_ROWS)
-    return found.withColumn("score", F.col("score").cast("long"))
+    # From 2**53 on a double is whole.
+    whole = lambda c: F.when(F.abs(c) < 2.0**53, F.floor(c).cast("double")).otherwise(c)
+    scaled = F.transform(F.col("embedding").cast("array<double>"), lambda c: whole(c * scale))
+    rows = vectors.where(F.col("vec_id").isNotNull() & finite()).select(F.col("vec_id").cast("long").alias("vec_id"), scaled.alias("v"))
+    found = top_k(rows, is_query, k, search, BLOCK_ROWS, "long")
+    fits = (F.col("score") < F.lit(int(OVER))) & (F.col("score") > F.lit(int(UNDER)))
+    return found.withColumn("score", F.when(fits, F.col("score")).otherwise(F.raise_error(F.lit("an inner product does not fit a long")).cast("long")))

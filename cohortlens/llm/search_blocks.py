@@ -25,21 +25,23 @@ def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
     return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).astype(np.float64)
 
 
-def _run(search: Search, k: int):
+def _run(search: Search, k: int, score: str):
+    kind = pa.int64() if score == "long" else pa.float64()
+
     def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
         names = ["query_id", "vec_id", "score"]
         if not rows.num_rows or not queries.num_rows:
-            return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], names=names)
+            return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], kind)], names=names)
         dim = len(rows.column("v")[0])
         qids = queries.column("vec_id").to_numpy()
         q, ids, scores = search(rows.column("vec_id").to_numpy(), _matrix(rows.column("v"), dim), qids, _matrix(queries.column("v"), dim), k)
-        return pa.table([pa.array(qids[q], pa.int64()), pa.array(ids, pa.int64()), pa.array(scores, pa.float64())], names=names)
+        return pa.table([pa.array(qids[q], pa.int64()), pa.array(ids, pa.int64()), pa.array(scores, kind)], names=names)
 
     return run
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int, search: Search, block_rows: int) -> DataFrame:
-    """(query_id, rank, vec_id, score double) for rows (vec_id, v array<double>) without nulls.
+def top_k(vectors: DataFrame, is_query: Column, k: int, search: Search, block_rows: int, score: str = "double") -> DataFrame:
+    """(query_id, rank, vec_id, score double or long) for rows (vec_id, v array<double>) without nulls.
 
     Rows that share a vec_id count as one vector, the least. A query only meets
     vectors of its own dimension.
@@ -53,7 +55,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, search: Search, block_ro
     left = rows.select("dim", F.pmod(hashed, F.lit(blocks)).cast("int").alias("block"), every(chunks).alias("chunk"), "vec_id", "v")
     right = rows.where("is_query").select("dim", F.pmod(hashed, F.lit(chunks)).cast("int").alias("chunk"), every(blocks).alias("block"), "vec_id", "v")
     key = ["dim", "block", "chunk"]
-    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_run(search, k), "query_id long, vec_id long, score double")
+    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_run(search, k, score), f"query_id long, vec_id long, score {score}")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -1,6 +1,7 @@
 """Searches over vectors, and WARC archives, against brute force and round trips."""
 
 import hashlib
+import math
 import os
 
 import numpy as np
@@ -42,6 +43,35 @@ def test_exact_search_equals_brute_force(llm, monkeypatch):
     assert got == brute(list(ints), ints, [i for i in ints if i % 5 == 0], 20, lambda a, b: int(a @ b))
 
 
+def test_large_components_take_part_exactly(llm, monkeypatch):
+    monkeypatch.setattr(mtree, "BLOCK_ROWS", 60)
+    rng = np.random.default_rng(4)
+    x = np.round(rng.normal(size=(200, 6)) * 100)
+    x[::7] *= 2.0**12  # beyond 2**22 once scaled
+    x[::15] *= 2.0**4
+    x[40:60] = x[45] + rng.integers(0, 2, (20, 6))  # products that differ in few of many bits
+    df = llm.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    ints = {i: [math.floor(64 * c) for c in v] for i, v in enumerate(x.tolist())}
+    got = {}
+    for r in mtree.exact_top_k(df, is_query()).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    want = brute(list(ints), ints, range(0, 200, 5), 20, lambda a, b: sum(c * d for c, d in zip(a, b, strict=True)))
+    assert got == want and max(s for w in want.values() for _, _, s in w) > 2**53
+    wide = llm.createDataFrame([(i, [2.0**50 * (1 - 2 * (i == 1)), 2.0**20]) for i in range(3)], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="does not fit a long"):
+        mtree.exact_top_k(wide, is_query()).collect()
+
+
+def test_products_of_any_size():
+    rng = np.random.default_rng(6)
+    for top in (2**22, 2**30, 2**45, 2**62, 2**100):
+        x = np.array([[float(int(c * top)) for c in r] for r in rng.uniform(-1, 1, (30, 700))])
+        x[5] = -x[6]
+        x[7, 1:] = x[8, 2:] = 0
+        exact = [[sum(int(c) * int(d) for c, d in zip(a, b, strict=True)) for b in x] for a in x[:8]]
+        assert mtree.products(x[:8], x).tolist() == [[min(max(s, int(mtree.UNDER)), int(mtree.OVER)) for s in r] for r in exact]
+
+
 def test_tree_bounds_hold_and_prune():
     rng = np.random.default_rng(3)
     x = np.round(np.repeat(rng.normal(size=(20, 6)) * 500, 100, axis=0) + rng.normal(size=(2000, 6)) * 5)
