@@ -4,10 +4,11 @@ Base spans are matches of three patterns, leftmost and not overlapping per
 kind. Then weak parts, too common to report alone, are joined with their
 complements: a bare 40-character key counts only near an access identifier, a
 short secret or a login only near an endpoint or an identifier. Parts meet by
-an interval join: each part's interval is widened by ``REACH`` code points,
-cut to its scope (a paragraph), and joined with the intervals it overlaps by
-binary search over the sorted starts, so a text with many parts costs
-n log n, not all pairs.
+an interval join: each part's interval is widened to its scope (a paragraph),
+or by ``reach`` code points inside it, and joined with the intervals it overlaps
+by binary search over the sorted starts, so a text with many parts costs
+n log n, not all pairs. Parts that overlap a base span are complements too, but
+not reported again.
 """
 
 from __future__ import annotations
@@ -34,8 +35,8 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
 # A sentence may end after a key, and an assignment's '=' stand before it; '=' after it is padding.
 _KEY = re.compile(r"(?<![A-Za-z0-9+/_.-])[A-Za-z0-9+/]{40}(?!\.*[A-Za-z0-9+/=_-])")
-_LOGIN = re.compile(r"""(?:user(?:name)?|login|account)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{3,64})""", re.I | re.A)
-_ENDPOINT = re.compile(r"(?:https?|jdbc:[a-z]+|postgres(?:ql)?|mysql|redis|mongodb|amqp|ftp|ssh|s3)://[^\s\"'<>]{4,200}", re.A)
+_LOGIN = re.compile(r"""(?:user(?:name)?|login|account)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{3,})""", re.I | re.A)
+_ENDPOINT = re.compile(r"(?:https?|jdbc:[a-z]+|postgres(?:ql)?|mysql|redis|mongodb|amqp|ftp|ssh|s3)://[^\s\"'<>]{4,}", re.A)
 _SCOPE = re.compile(r"\n[\x20\t]*\n")
 #: Weak kinds and the kinds of which one must be near.
 COMPLEMENTS = {"key": ("access",), "login": ("assign", "short"), "short": ("endpoint", "login", "access"), "endpoint": ("assign", "short", "key")}
@@ -53,8 +54,8 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-def _weak(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    """Weak parts that do not overlap a base span."""
+def _weak(text: str, base: list[tuple[int, int, str]]) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
+    """All weak parts, and those that do not overlap a base span."""
     out = []
     low = text.lower()
     if any(k == "access" for _, _, k in base):
@@ -75,22 +76,23 @@ def _weak(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, s
         i = bisect_left(starts, e) - 1
         return i < 0 or ends[i] <= s
 
-    return [x for x in out if free(x[0], x[1])]
+    return out, [x for x in out if free(x[0], x[1])]
 
 
-def linked_spans(text: str, reach: int = REACH) -> list[tuple[int, int, str]]:
-    """All spans: the base ones, and weak parts with a complement in reach and scope.
+def linked_spans(text: str, reach: int | None = REACH) -> list[tuple[int, int, str]]:
+    """All spans: the base ones, and weak parts with a complement in reach and scope
+    (anywhere in the scope if reach is None).
 
     Weak parts count as complements only when they may be one; a weak pair
     (login and short secret, say) reports both.
     """
     base = base_spans(text)
-    weak = _weak(text, base)
+    every, weak = _weak(text, base)
     if not weak:
         return base
     borders = [m.start() for m in _SCOPE.finditer(text)]
     by: dict[str, list[tuple[int, int]]] = {}
-    for s, e, k in sorted(base + weak):
+    for s, e, k in sorted(base + every):
         by.setdefault(k, []).append((s, e))
     # Spans of a kind do not overlap, so both their starts and their ends ascend.
     starts = {k: [s for s, _ in v] for k, v in by.items()}
@@ -100,9 +102,11 @@ def linked_spans(text: str, reach: int = REACH) -> list[tuple[int, int, str]]:
         if kind not in by:
             return False
         i = bisect_right(borders, s)
-        lo = max(s - reach, borders[i - 1] if i else 0)
+        lo = borders[i - 1] if i else 0
         j = bisect_left(borders, e)
-        hi = min(e + reach, borders[j] if j < len(borders) else len(text))
+        hi = borders[j] if j < len(borders) else len(text)
+        if reach is not None:
+            lo, hi = max(s - reach, lo), min(e + reach, hi)
         a = bisect_right(ends[kind], lo)
         return a < len(ends[kind]) and starts[kind][a] < hi
 
@@ -129,7 +133,7 @@ def redact(text: str, spans: list[tuple[int, int, str]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def _scan(reach: int):
+def _scan(reach: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "text", 1 << 21):
             rows = []
@@ -147,18 +151,19 @@ def _scan(reach: int):
     return run
 
 
-def scan(docs: DataFrame, reach: int = REACH) -> DataFrame:
+def scan(docs: DataFrame, reach: int | None = None) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans) per row of docs.
 
     Null text counts as empty: no spans, the hash of the empty string. Repeated
-    rows are scanned each; other columns are ignored. One pass, no shuffle.
+    rows are scanned each; other columns are ignored. Parts are linked within their
+    whole scope unless ``reach`` is given. One pass, no shuffle.
     """
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         _scan(reach), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
     )
 
 
-def _redacted(reach: int):
+def _redacted(reach: int | None):
     def run(texts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(texts, "text", 1 << 21):
             new = [None if (t := x.as_py()) is None else redact(t, linked_spans(t, reach)) for x in batch.column("text")]
@@ -168,7 +173,7 @@ def _redacted(reach: int):
     return run
 
 
-def redact_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
+def redact_secrets(docs: DataFrame, reach: int | None = None) -> DataFrame:
     """docs with all spans in text replaced; n_chars, if there, follows. Texts without secrets, and nulls, stay as they are."""
     out = docs.mapInArrow(_redacted(reach), docs.schema)
     return out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
