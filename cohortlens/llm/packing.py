@@ -67,19 +67,24 @@ def _pack_block(capacity: int, spread: bool):
     return run
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, block_docs: int = BLOCK_DOCS, spread_sources: bool = True, cluster: str | None = None) -> DataFrame:
+def pack(docs: DataFrame, capacity: int = CAPACITY, block_docs: int = BLOCK_DOCS, spread_sources: bool = True, cluster: str | None = None, groups: DataFrame | None = None) -> DataFrame:
     """(doc_id, piece, words, block, bin, fill): a row for each piece of each row of docs.
 
     Needs doc_id, text and source. ``cluster`` names a column with the duplicate
     cluster; by default equal texts are one. Pieces of one text are a cluster of
-    their own by that. Null and empty texts and those without words have no
+    their own by that. ``groups``, rows of ``near_duplicates`` of the same docs,
+    gives near copies one cluster instead. Null and empty texts and those without words have no
     words to pack: one row with piece 0, words 0 and null bin. A null source or
     cluster is a source or cluster without conflicts. A bin is named by block and
     bin. Repeated rows are packed each, in different bins.
     """
     h = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce("text", F.lit("")))))
     own = F.col(cluster).cast("string") if cluster else F.md5("text")
-    sized = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), own.alias("cluster"), word_count().alias("size"), h.alias("h")))
+    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), own.alias("cluster"), word_count().alias("size"), h.alias("h"), F.xxhash64("text").alias("th"))
+    if groups is not None:
+        one = groups.where("component is not null").groupBy(F.col("doc_id").alias("its_id"), F.col("th").alias("its_th")).agg(F.min("component").alias("component"))
+        sized = sized.join(one, sized.doc_id.eqNullSafe(one.its_id) & (sized.th == one.its_th), "left").withColumn("cluster", F.col("component").cast("string"))
+    sized = materialize(sized.select("doc_id", "source", "cluster", "size", "h"))
     blocks = max(1, ceil(sized.count() / block_docs))
     some = sized.where("size > 0").withColumn("pieces", F.ceil(F.col("size") / capacity).cast("long"))
     piece = some.withColumn("piece", F.explode(F.expr("sequence(0L, pieces - 1)")))

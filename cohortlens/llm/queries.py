@@ -46,7 +46,8 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_table(spark, sf_dir, "documents"))
+    docs = _table(spark, sf_dir, "documents")
+    return packing.pack(docs, groups=near_dedup.near_duplicates(docs, percent=85))
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

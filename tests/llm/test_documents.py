@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from cohortlens.llm import language_id, lm_score, mixing, near_dedup, packing, secret_scan, toxicity
+from cohortlens.llm import language_id, lm_score, mixing, near_dedup, packing, queries, secret_scan, toxicity
 from cohortlens.llm.components import components
 from cohortlens.llm.text import by_bytes, stream, word_counts, word_hashes
 
@@ -361,6 +361,21 @@ def test_packing_is_whole_and_without_conflicts(corpus, odd, empty):
     assert packing.pack(empty).count() == 0
 
 
+def test_near_copies_do_not_share_a_sequence(llm, odd, tmp_path):
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join([*base[:-1], f"end{i}"]) for i in range(5)] + [" ".join(base), " ".join(base).upper(), "  ".join(base), " ".join(base)]
+    texts += ["some other words", None, " ", "word " * 5000]
+    rows = [(i, t, f"s{i}") for i, t in enumerate(texts)] + [(None, texts[0], "n"), (0, texts[0], "m")]
+    llm.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op7_packing(llm, str(tmp_path)).collect()
+    assert collections.Counter(r.doc_id for r in got) == collections.Counter([*range(12), None, 0, *[12] * 3])
+    bins = [(r.block, r.bin) for r in got if r.doc_id is None or r.doc_id < 9]
+    assert len(set(bins)) == len(bins) == 11 and None not in {b for _, b in bins}
+    assert [r.bin for r in got if r.doc_id in (10, 11)] == [None] * 2
+    found = packing.pack(odd, groups=near_dedup.near_duplicates(odd)).collect()
+    assert sorted((str(r.doc_id), r.piece, r.words) for r in found) == sorted((str(r.doc_id), r.piece, r.words) for r in packing.pack(odd).collect())
+
+
 # 9: language
 
 
