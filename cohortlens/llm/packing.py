@@ -3,7 +3,7 @@
 Texts (cut into pieces if longer than a sequence) go into sequences of
 ``capacity`` words. No sequence holds two pieces of one duplicate cluster, nor
 two of one source while ``spread_sources`` is set. Documents are dealt by hash
-into blocks of about ``block_docs``; each block is packed on its own, largest
+into blocks of about ``block_docs`` pieces; each block is packed on its own, largest
 piece first. Open bins stand in order of their residual room, each with a bitmap
 of the sources and one of the clusters it holds. A piece takes the first bin,
 from its own size upwards, whose bitmaps have none of its bits: the tightest
@@ -85,8 +85,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, block_docs: int = BLOCK_DOCS
         one = groups.where("component is not null").groupBy(F.col("doc_id").alias("its_id"), F.col("th").alias("its_th")).agg(F.min("component").alias("component"))
         sized = sized.join(one, sized.doc_id.eqNullSafe(one.its_id) & (sized.th == one.its_th), "left").withColumn("cluster", F.col("component").cast("string"))
     sized = materialize(sized.select("doc_id", "source", "cluster", "size", "h"))
-    blocks = max(1, ceil(sized.count() / block_docs))
     some = sized.where("size > 0").withColumn("pieces", F.ceil(F.col("size") / capacity).cast("long"))
+    blocks = max(1, ceil((some.agg(F.sum("pieces")).first()[0] or 0) / block_docs))
     piece = some.withColumn("piece", F.explode(F.expr("sequence(0L, pieces - 1)")))
     words = F.least(F.lit(capacity).cast("long"), F.col("size") - F.col("piece") * capacity)
     block = F.pmod(F.xxhash64("h", "piece"), F.lit(blocks))

@@ -361,6 +361,13 @@ def test_packing_is_whole_and_without_conflicts(corpus, odd, empty):
     assert packing.pack(empty).count() == 0
 
 
+def test_blocks_follow_the_pieces(llm):
+    docs = llm.createDataFrame([(i, "w " * 6000, "s") for i in range(4)], "doc_id long, text string, source string")
+    got = packing.pack(docs, capacity=10, block_docs=64).collect()
+    assert len(got) == 2400 and max(collections.Counter(r.block for r in got).values()) < 2 * 64
+    assert len({r.block for r in got}) > 30 and packing.pack(docs.where("doc_id < 0")).count() == 0
+
+
 def test_near_copies_do_not_share_a_sequence(llm, odd, tmp_path):
     base = [f"w{i}" for i in range(60)]
     texts = [" ".join([*base[:-1], f"end{i}"]) for i in range(5)] + [" ".join(base), " ".join(base).upper(), "  ".join(base), " ".join(base)]
