@@ -72,6 +72,41 @@ r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score D
 SELECT * FROM r WHERE rank <= 20
 """
 
+#: The alignment folded to its period, from the last turn to the first: no table of lengths as in the operator.
+_TURNS = r"""
+WITH RECURSIVE bytes AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+c AS (SELECT k.*, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(key, ''), lambda ch: ord(ch)::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 20 AS kind FROM k, bytes),
+m AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy FROM c WHERE kind <> 0),
+f AS (SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS cut, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS again FROM m),
+r AS (SELECT conv_id, turn, role, text, left(role, 1) AS r, CASE WHEN blank THEN 'b' WHEN again THEN 'd' WHEN cut THEN 't' ELSE 'f' END AS code,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), again) AS pos, lead(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), again) AS follows FROM f),
+n AS (SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (code = 'b') AS blank, count(*) FILTER (code = 'd') AS duplicate, count(*) FILTER (code = 't') AS truncated,
+  count(*) FILTER (follows IS NOT NULL AND r || follows NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS turns FROM r GROUP BY conv_id),
+-- next: u nothing or begins with u, a begins with a, v begins with u, s an s comes first; after so many insertions a state goes on from another
+go(state, inserts, source) AS (VALUES ('u', 0, 'u'), ('u', 1, 'a'), ('a', 0, 'a'), ('a', 1, 'u'), ('v', 0, 'v'), ('v', 1, 'a'), ('v', 2, 'u'), ('s', 0, 's')),
+eat(source, after, letter) AS (VALUES ('u', 'a', 'u'), ('a', 'u', 'a'), ('v', 'a', 'u'), ('s', 'v', 's')),
+best AS (
+  SELECT conv_id, turns AS i, state, least.c AS cost, least.a AS audit FROM (SELECT conv_id, turns, unnest(['u', 'a', 'v']) AS state, unnest([{'c': 0, 'a': ''}, {'c': 3, 'a': 'I'}, {'c': 6, 'a': 'II'}]) AS least FROM n)
+  UNION ALL
+  SELECT conv_id, i, state, least.c, least.a FROM (
+    SELECT o.conv_id, o.i, go.state, min({'c': 3 * go.inserts + o.cost, 'a': repeat('I', go.inserts) || o.audit}) AS least FROM go JOIN (
+      SELECT b.conv_id, b.i - 1 AS i, b.state AS source, 4 + b.cost AS cost, 'D' || b.audit AS audit FROM best b WHERE b.i > 0
+      UNION ALL
+      SELECT b.conv_id, b.i - 1, eat.source, (CASE WHEN r.r = eat.letter THEN 0 ELSE 3 END) + (CASE r.code WHEN 't' THEN 3 ELSE 0 END) + b.cost, (CASE WHEN r.r = eat.letter THEN 'K' ELSE 'R' END) || b.audit
+      FROM best b JOIN eat ON eat.after = b.state JOIN r ON r.conv_id = b.conv_id AND r.pos = b.i WHERE r.code IN ('t', 'f') AND (eat.source <> 's' OR r.r = 's')
+    ) o ON o.source = go.source GROUP BY o.conv_id, o.i, go.state)
+),
+won AS (SELECT conv_id, least.c AS cost, least.a AS audit FROM (SELECT conv_id, min({'c': cost, 'a': audit}) AS least FROM best WHERE i = 0 AND state IN ('u', 's') GROUP BY conv_id)),
+e AS (SELECT conv_id, audit, unnest(range(1, len(audit) + 1)) AS j FROM won),
+e1 AS (SELECT conv_id, j, audit[j] AS edit, len(replace(audit[1:j], 'I', '')) AS pos, len(replace(audit[1:j], 'D', '')) - len(replace(audit, 'D', '')) % 2 AS made FROM e),
+e2 AS (SELECT e1.conv_id, j, CASE edit WHEN 'K' THEN r.role ELSE CASE WHEN made % 2 = 1 THEN 'user' ELSE 'assistant' END END || ':' || CASE edit WHEN 'I' THEN '' ELSE r.text END AS line FROM e1 LEFT JOIN r ON r.conv_id = e1.conv_id AND r.pos = e1.pos WHERE edit <> 'D'),
+p AS (SELECT conv_id, string_agg(line, chr(10) ORDER BY j) AS whole FROM e2 GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal,
+  coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN n USING (conv_id) LEFT JOIN won USING (conv_id) LEFT JOIN p USING (conv_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     found = {
@@ -80,6 +115,7 @@ def oracle_sql() -> dict[str, str]:
         "op5_lm_score": _LM,
         "op8_warc": _WARC,
         "op10_exact_top_k": _TOP_K,
+        "op11_turn_repair": _TURNS,
         "pipeline": corpus_pipeline.ORACLE_SQL,
     }
     return {k: v for k, v in found.items() if v}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cohortlens.llm import ann, concat_cut, language_id, lm_score, mixing, mtree, near_dedup, packing, secret_scan, toxicity, warc
+from cohortlens.llm import ann, concat_cut, language_id, lm_score, mixing, mtree, near_dedup, packing, secret_scan, toxicity, turn_repair, warc
 from cohortlens.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,10 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mtree.exact_top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair(_table(spark, sf_dir, "conversations"))
+
+
 def op13_concat_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = concat_cut.pieces(_table(spark, sf_dir, "documents"))
     digest = F.crc32("ids").alias("ids_crc32")
@@ -88,6 +92,7 @@ def queries() -> dict[str, Query]:
         op8_warc,
         op9_language,
         op10_exact_top_k,
+        op11_turn_repair,
         op13_concat_cut,
     )
     return {f.__name__: _shipped(f) for f in found} | {"pipeline": _shipped(corpus_pipeline.run)}
