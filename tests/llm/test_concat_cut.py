@@ -95,23 +95,26 @@ def test_empty_table(llm, empty):
     assert concat_cut.pieces(empty).collect() == [] and concat_cut.sequences(empty).collect() == []
 
 
-def test_ids_of_cut_texts_are_those_of_whole_texts(model):
+def test_ids_are_those_of_the_tokenizer(model):
     rng = random.Random(5)
-    alphabet = ["a", "Zb", "9", " ", "  ", "\n", " \n", "\t", "'s", " 're", "é", "漢", " ", " ", "\x1c", "\x85", "!", "...", "<|endoftext|>", "\U0001f600", "x" * 90]
+    alphabet = ["a", "Zb", "9", " ", "  ", "\n", " \n", "\t", "'s", " 're", "é", "漢", "\xa0", "\u2028", "\x1c", "\x85", "!", "...", "<|endoftext|>", "\U0001f600", "x" * 90]
     texts = ["", " ", "\n ", *["".join(rng.choices(alphabet, k=rng.randrange(1, 40))) for _ in range(3000)]]
+    texts += ["".join(map(chr, rng.choices([*range(0xD800), *range(0xE000, 0x110000)], k=50))) for _ in range(2000)]
+    texts += [" " * 300000, "\n" * 300000 + "a", "x" * 100000, "漢" * 50000]
     tokens = concat_cut.Tokens(model)
-    want = [w[:-1] for w in whole(model, texts)]
-    for n in (7, 500):
-        got = [b for i in range(0, len(texts), n) for b in tokens(texts[i : i + n])]
-        assert [np.frombuffer(b, "<u2").tolist() for b in got] == want
-
-
-def test_remembered_pieces_stay_bounded(model, monkeypatch):
-    monkeypatch.setattr(concat_cut, "REMEMBERED", 50)
-    tokens = concat_cut.Tokens(model)
-    texts = [" ".join(f"w{i * j}" for j in range(1, 9)) for i in range(60)]
-    got = [np.frombuffer(b, "<u2").tolist() for i in range(0, 60, 4) for b in tokens(texts[i : i + 4])]
-    assert got == [w[:-1] for w in whole(model, texts)] and len(tokens.known) <= 50
+    assert tokens.fast
+    assert [np.frombuffer(tokens(t), "<u2").tolist() for t in texts] == [w[:-1] for w in whole(model, texts)]
+
+
+def test_other_vocabularies(llm, model):
+    """One with words, lower case and no blanks, of which no byte ranks can be taken."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    with open(path, encoding="utf-8") as f:
+        other = f.read()
+    texts = ["Some  Words", None, "ÄÖ! 12"]
+    assert concat_cut.Tokens(other).fast is None
+    df = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    check(concat_cut.pieces(df, vocabulary=path, length=4).collect(), list(enumerate(whole(other, texts))), 4)
 
 
 def test_long_text_leaves_in_bounded_batches(llm, model, monkeypatch):
