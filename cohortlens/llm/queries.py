@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cohortlens.llm import ann, concat_cut, language_id, lm_score, mixing, mtree, near_dedup, packing, secret_scan, toxicity, turn_repair, warc
+from cohortlens.llm import ann, concat_cut, language_id, lm_score, mixing, mtree, multi_index, near_dedup, packing, secret_scan, toxicity, turn_repair, warc
 from cohortlens.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,12 @@ def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_repair.repair(_table(spark, sf_dir, "conversations"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return multi_index.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 def op13_concat_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = concat_cut.pieces(_table(spark, sf_dir, "documents"))
     digest = F.crc32("ids").alias("ids_crc32")
@@ -93,6 +99,7 @@ def queries() -> dict[str, Query]:
         op9_language,
         op10_exact_top_k,
         op11_turn_repair,
+        op12_hard_negatives,
         op13_concat_cut,
     )
     return {f.__name__: _shipped(f) for f in found} | {"pipeline": _shipped(corpus_pipeline.run)}
