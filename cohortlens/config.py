@@ -50,8 +50,6 @@ class ClusterConfig:
     max_iter: int = 300
     tol: float = 1e-4
     cluster_col: str = "Cluster"
-    # Parallel fits submitted from the driver (each fit is a distributed job).
-    fit_threads: int = 4
 
 
 @dataclass(frozen=True)

@@ -1,37 +1,35 @@
 """Clustering (ML-1..6, SEG-1, SEG-2).
 
-- Assignment and inertia are plain arithmetic over k literal centres, inside
-  whole-stage codegen. The silhouette uses an array of k per-cluster
-  statistics, whose functions run interpreted. None pairs rows with rows.
-- Fitting uses MLlib ``KMeans``. Spark has no ``n_init``: restarts are
-  independent fits with derived seeds, submitted from a small driver thread
-  pool over one checkpointed, persisted feature table; the lowest training
-  cost wins. Labels are then made stable by sorting centres (Monetary desc,
-  Frequency desc, Recency asc), so ids do not depend on partitioning.
-- Silhouette uses squared Euclidean distance (Spark's ``ClusteringEvaluator``
-  definition), which decomposes into per-cluster sums and is linear in the
-  rows. The plain-Euclidean score of the reference needs every pair of
-  rows and is not offered at table scale.
+- Assignment, inertia and the squared silhouette are plain arithmetic over
+  literal centres and per-cluster statistics, inside whole-stage codegen. None
+  pairs rows with rows.
+- Fitting (``lloyd``) advances all restarts of all k by one pass over the
+  features; the lowest cost of each k wins. Labels are then made stable by
+  sorting centres (Monetary desc, Frequency desc, Recency asc), so ids do not
+  depend on partitioning.
+- Two silhouettes: with squared Euclidean distance (Spark's
+  ``ClusteringEvaluator`` definition), which decomposes into per-cluster sums,
+  and with plain Euclidean distance, the reference's, from a cell tree
+  (``cell_tree``) with a proven error bound. Both score all labellings of a
+  sweep together.
 """
 
 from __future__ import annotations
 
-import math
 import operator
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from cohortlens.config import ClusterConfig, TxConfig
+from cohortlens.operators.cell_tree import euclidean_silhouettes
 from cohortlens.operators.features import SCALED_COLS
-from cohortlens.sources.stage_tables import is_plain_scan
+from cohortlens.operators.lloyd import Fit, fit_all
+from cohortlens.sources.stage_tables import is_plain_scan, materialize
 
 # Literal centres in (R_scaled, F_scaled, M_scaled) space used
 # by the deterministic, SQL-checkable assignment queries. Our own choice:
@@ -81,97 +79,80 @@ def inertia(
     return assigned.agg(F.sum("_d").alias("inertia"))
 
 
-def silhouette(
-    df: DataFrame, features: Sequence[str] = SCALED_COLS, cluster_col: str = "Cluster"
-) -> DataFrame:
-    """ML-4: mean silhouette with squared Euclidean distance (one row).
+def _squared_score(features: Sequence[str], label: str, stats: Sequence) -> Column:
+    """A row's squared silhouette from literal (id, n, sums, psi) of its labelling's clusters.
 
-    For point x and cluster C with n_C points, sum y_C and sum of squared
-    norms psi_C, the mean squared distance is |x|^2 - 2 x.y_C/n_C + psi_C/n_C.
+    For point x and cluster C with n_C points, sum y_C and sum of squared norms
+    psi_C, the mean squared distance is |x|^2 - 2 x.y_C/n_C + psi_C/n_C.
     a = own-cluster mean * n/(n-1) (excluding x itself), b = min over other
     clusters; singletons score 0; s = 1 - a/b if a < b, b/a - 1 if a > b.
     """
-    d = len(features)
-    x = F.array(*[F.col(c).cast("double") for c in features])
-    norm2 = F.aggregate(F.transform(x, lambda v: v * v), F.lit(0.0), lambda s, v: s + v)
-    per_cluster = df.groupBy(F.col(cluster_col).alias("id")).agg(
-        F.count(F.lit(1)).cast("double").alias("n"),
-        F.array(*[F.sum(F.col(c).cast("double")) for c in features]).alias("y"),
-        F.sum(norm2).alias("psi"),
-    )
-    # k rows -> one array, inlined as a scalar subquery (size bounded by k).
-    # Bound to a column first: subqueries may not appear inside lambdas.
-    stats_value = per_cluster.select(F.collect_list(F.struct("id", "n", "y", "psi")).alias("s")).scalar()
-    df = df.withColumn("_stats", stats_value)
-    stats = F.col("_stats")
-
-    def mean_sq(s: Column) -> Column:
-        dot = F.aggregate(F.sequence(F.lit(0), F.lit(d - 1)), F.lit(0.0), lambda acc, i: acc + x[i] * s["y"][i])
-        return norm2 - F.lit(2.0) * dot / s["n"] + s["psi"] / s["n"]
-
-    own_id = F.col(cluster_col)
-    own = F.filter(stats, lambda s: s["id"] == own_id)[0]
-    a = mean_sq(own) * own["n"] / (own["n"] - 1)
-    b = F.array_min(F.transform(F.filter(stats, lambda s: s["id"] != own_id), mean_sq))
+    x = [F.col(c).cast("double") for c in features]
+    norm2 = reduce(operator.add, [v * v for v in x])
+    own, others = [], []
+    for id_, n, y, psi in stats:
+        dot = reduce(operator.add, [v * F.lit(s) for v, s in zip(x, y, strict=True)])
+        mean = norm2 - F.lit(2.0) * dot / F.lit(n) + F.lit(psi / n)
+        mine = F.col(label) == F.lit(id_)
+        own.append(F.when(mine, mean * F.lit(n / (n - 1)) if n > 1 else F.lit(None)))
+        others.append(F.when(~mine, mean))
+    a = F.coalesce(*own)
+    b = F.least(*others) if len(others) > 1 else F.lit(None).cast("double")
     score = (
-        F.when(own["n"] <= 1, F.lit(0.0))
-        .when(b.isNull(), F.lit(0.0))
+        F.when(a.isNull() | b.isNull(), F.lit(0.0))
         .when(a < b, F.lit(1.0) - a / b)
         .when(a > b, b / a - F.lit(1.0))
         .otherwise(F.lit(0.0))
     )
-    return df.select(score.alias("_s")).agg(F.avg("_s").alias("silhouette_sq_euclidean"))
+    return F.when(F.col(label).isNotNull(), score)
 
 
-def _fit_table(df: DataFrame, features: Sequence[str]) -> tuple[DataFrame, DataFrame, float]:
-    """Checkpoint the features (reliable storage, cuts lineage) unless they
-    already are a plain scan of written files, then persist an
-    assembled-vector copy, in the table's own partitions, for the iterative fits.
+def squared_silhouettes(
+    df: DataFrame, label_cols: Sequence[str], features: Sequence[str] = SCALED_COLS
+) -> DataFrame:
+    """ML-4 with squared Euclidean distance, of every column of cluster labels (one row,
+    a column for each): two passes in all. The first gathers (n, sums, psi) of every
+    labelling's clusters, whose number the caller bounds; they are literals of the second."""
+    x = [F.col(c).cast("double") for c in features]
+    labels = F.array(*[F.struct(F.lit(i).alias("t"), F.col(c).cast("long").alias("id")) for i, c in enumerate(label_cols)])
+    long = df.select(*[v.alias(f"_x{a}") for a, v in enumerate(x)], F.inline(labels)).where("id IS NOT NULL")
+    names = [f"_x{a}" for a in range(len(x))]
+    per = long.groupBy("t", "id").agg(
+        F.count("*").alias("n"), *[F.sum(c).alias(c) for c in names], F.sum(reduce(operator.add, [F.col(c) * F.col(c) for c in names])).alias("psi")
+    )
+    stats: dict[int, list] = {i: [] for i in range(len(label_cols))}
+    for r in sorted(per.collect(), key=lambda r: (r["t"], r["id"])):
+        stats[r["t"]].append((r["id"], float(r["n"]), [r[c] for c in names], r["psi"]))
+    return df.agg(*[F.avg(_squared_score(features, c, stats[i])).alias(c) for i, c in enumerate(label_cols)])
 
-    Returns (checkpointed or scanned features, persisted vectors, mean
-    population variance of the features), the last two from one pass.
-    """
-    base = df.select(*features)
-    if not is_plain_scan(base):
-        base = base.checkpoint(eager=True)
-    row = base.agg(*[F.var_pop(F.col(c).cast("double")) for c in features]).first()
-    mean_var = sum(v or 0.0 for v in row) / len(features)
-    vec = VectorAssembler(inputCols=list(features), outputCol="_features").transform(base)
-    return base, vec.select("_features").persist(StorageLevel.MEMORY_AND_DISK), mean_var
-
-
-def spark_tol(tol: float, mean_var: float, k: int) -> float:
-    """MLlib tolerance that enforces the reference's stopping rule.
-
-    The reference's library stops when the *total* squared centre shift is
-    at most tol x (mean feature variance); MLlib stops when *every* centre
-    moves at most its tol (Euclidean). A per-centre bound of
-    sqrt(tol x mean_var / k) implies the reference's total bound; passing
-    tol unchanged would instead demand shifts ~10^4 times smaller.
-    """
-    return math.sqrt(max(tol * mean_var, 0.0) / k)
 
+def silhouette(
+    df: DataFrame, features: Sequence[str] = SCALED_COLS, cluster_col: str = "Cluster"
+) -> DataFrame:
+    """ML-4: mean silhouette with squared Euclidean distance (one row)."""
+    return squared_silhouettes(df, [cluster_col], features).withColumnRenamed(cluster_col, "silhouette_sq_euclidean")
 
-def _fit_once(
-    table: DataFrame, k: int, seed: int, cfg: ClusterConfig, mean_var: float
-) -> tuple[float, int, list[list[float]]]:
-    model = KMeans(
-        k=k,
-        seed=seed,
-        maxIter=cfg.max_iter,
-        tol=spark_tol(cfg.tol, mean_var, k),
-        featuresCol="_features",
-        predictionCol="_p",
-    ).fit(table)
-    return model.summary.trainingCost, seed, [list(map(float, c)) for c in model.clusterCenters()]
 
+def silhouette_euclidean(
+    df: DataFrame, features: Sequence[str] = SCALED_COLS, cluster_col: str = "Cluster", cells: int = 16384, tolerance: float = 1e-4
+) -> DataFrame:
+    """ML-4 as the reference scores it: (silhouette, error_bound), one row. See ``cell_tree``."""
+    scored = euclidean_silhouettes(df, [cluster_col], features, cells, tolerance)
+    return scored.select("silhouette", "error_bound")
 
-def _best_of_restarts(
-    table: DataFrame, k: int, cfg: ClusterConfig, pool: ThreadPoolExecutor, mean_var: float
-) -> tuple[float, list[list[float]]]:
-    futures = [pool.submit(_fit_once, table, k, cfg.seed + i, cfg, mean_var) for i in range(cfg.n_init)]
-    cost, _, centres = min((f.result() for f in futures), key=lambda r: (r[0], r[1]))
-    return cost, centres
+
+def _fit_table(df: DataFrame, features: Sequence[str]) -> tuple[DataFrame, DataFrame, float]:
+    """(rows, persisted features, mean population variance of the features).
+
+    The rows are written first unless they already are a plain scan of written
+    files; the features without nulls stay in memory, or on the executors'
+    disks, for the passes.
+    """
+    base = df if is_plain_scan(df) else materialize(df)
+    table = base.select(*[F.col(c).cast("double").alias(c) for c in features]).dropna()
+    table = table.persist(StorageLevel.MEMORY_AND_DISK)
+    row = table.agg(*[F.var_pop(c) for c in features]).first()
+    return base, table, sum(v or 0.0 for v in row) / len(features)
 
 
 def stable_order(centres: list[list[float]]) -> list[list[float]]:
@@ -179,18 +160,28 @@ def stable_order(centres: list[list[float]]) -> list[list[float]]:
     return sorted(centres, key=lambda c: (-c[2], -c[1], c[0]))
 
 
+def fit_sweep(df: DataFrame, ks: Sequence[int], cfg: ClusterConfig = ClusterConfig()) -> dict[int, tuple[list[list[float]], float]]:
+    """ML-1 for every k: (stably ordered centres, inertia) of the best of n_init fits,
+    all of which advance together (``lloyd``)."""
+    base, table, mean_var = _fit_table(df, cfg.features)
+    wanted = [(k, cfg.seed + i) for k in ks for i in range(cfg.n_init)]
+    try:
+        fits = fit_all(base, table, wanted, mean_var, cfg.tol, cfg.max_iter)
+    finally:
+        table.unpersist()
+    best: dict[int, Fit] = {}
+    for (k, _), fit in zip(wanted, fits, strict=True):
+        if k not in best or fit.cost < best[k].cost:
+            best[k] = fit
+    return {k: (stable_order(f.centres.tolist()), f.cost) for k, f in best.items()}
+
+
 def fit_kmeans(
     df: DataFrame, k: int | None = None, cfg: ClusterConfig = ClusterConfig()
 ) -> tuple[list[list[float]], float]:
     """ML-1: best-of-n_init KMeans; returns (stably ordered centres, inertia)."""
     k = k or cfg.final_k
-    _, table, mean_var = _fit_table(df, cfg.features)
-    try:
-        with ThreadPoolExecutor(max(1, cfg.fit_threads)) as pool:
-            cost, centres = _best_of_restarts(table, k, cfg, pool, mean_var)
-    finally:
-        table.unpersist()
-    return stable_order(centres), cost
+    return fit_sweep(df, [k], cfg)[k]
 
 
 def kmeans_clusters(df: DataFrame, cfg: ClusterConfig = ClusterConfig()) -> DataFrame:
@@ -199,39 +190,35 @@ def kmeans_clusters(df: DataFrame, cfg: ClusterConfig = ClusterConfig()) -> Data
     return assign_nearest(df, centres, cfg.features, cfg.cluster_col)
 
 
-def kmeans_sweep(df: DataFrame, cfg: ClusterConfig = ClusterConfig()) -> DataFrame:
-    """ML-2: (k, inertia, silhouette) for k in [k_min, k_max].
+def sweep_ks(cfg: ClusterConfig) -> list[int]:
+    return list(range(cfg.k_min, cfg.k_max + 1))
+
+
+def score_sweep(df: DataFrame, fits: dict[int, tuple[list[list[float]], float]], cfg: ClusterConfig = ClusterConfig()) -> DataFrame:
+    """ML-2: (k, inertia, silhouette, error_bound, silhouette_sq_euclidean) of the fits of
+    ``sweep_ks(cfg)``. All k are scored together: two passes for the squared
+    silhouette, three for the Euclidean one, whatever the number of k."""
+    ks = sweep_ks(cfg)
+    labelled = df
+    for k in ks:
+        labelled = assign_nearest(labelled, fits[k][0], cfg.features, f"_k{k}")
+    labelled = labelled.select(*cfg.features, *[f"_k{k}" for k in ks])
+    names = [f"_k{k}" for k in ks]
+    squared = squared_silhouettes(labelled, names, cfg.features).first()
+    plain = {r["labelling"]: r for r in euclidean_silhouettes(labelled, names, cfg.features).collect()}
+    number = lambda v: None if v is None else float(v)
+    rows = [
+        (k, float(fits[k][1]), number(plain[n]["silhouette"]), number(plain[n]["error_bound"]), number(squared[n]))
+        for k, n in zip(ks, names, strict=True)
+    ]
+    kinds = "k int, inertia double, silhouette double, error_bound double, silhouette_sq_euclidean double"
+    return df.sparkSession.createDataFrame(rows, kinds)
 
-    All (k, restart) fits are independent, so they are submitted to the
-    pool together; the per-k silhouettes (two passes each) follow in the
-    same pool. Only k x 3 centre coordinates and scalars reach the driver.
-    """
-    spark = df.sparkSession
-    base, table, mean_var = _fit_table(df, cfg.features)
-    ks = list(range(cfg.k_min, cfg.k_max + 1))
-    try:
-        with ThreadPoolExecutor(max(1, cfg.fit_threads)) as pool:
-            fits = {
-                k: [pool.submit(_fit_once, table, k, cfg.seed + i, cfg, mean_var) for i in range(cfg.n_init)]
-                for k in ks
-            }
-            best = {}
-            for k in ks:
-                cost, _, centres = min((f.result() for f in fits[k]), key=lambda r: (r[0], r[1]))
-                best[k] = (cost, stable_order(centres))
-
-            def score(k: int) -> float | None:
-                labelled = assign_nearest(base, best[k][1], cfg.features, "_cluster")
-                return silhouette(labelled, cfg.features, "_cluster").first()[0]
-
-            sils = {k: pool.submit(score, k) for k in ks}
-            rows = [
-                (k, float(best[k][0]), None if sils[k].result() is None else float(sils[k].result()))
-                for k in ks
-            ]
-    finally:
-        table.unpersist()
-    return spark.createDataFrame(rows, "k int, inertia double, silhouette_sq_euclidean double")
+
+def kmeans_sweep(df: DataFrame, cfg: ClusterConfig = ClusterConfig()) -> DataFrame:
+    """ML-2: fits of all k in [k_min, k_max] and their scores (``score_sweep``)."""
+    df = df if is_plain_scan(df) else materialize(df)
+    return score_sweep(df, fit_sweep(df, sweep_ks(cfg), cfg), cfg)
 
 
 def fit_facts(
@@ -259,7 +246,7 @@ def fit_facts(
 
 def sweep_facts(sweep: DataFrame) -> DataFrame:
     """What any valid sweep must meet (one row): the k tried, inertia never
-    rising with k, silhouettes within [-1, 1]. Reads k_max - k_min + 1 rows."""
+    rising with k, both silhouettes within [-1, 1]. Reads k_max - k_min + 1 rows."""
     before = F.lag("inertia").over(Window.partitionBy().orderBy("k"))
     steps = sweep.withColumn("_falls", F.coalesce(F.col("inertia") <= before, F.lit(True)))
     return steps.agg(
@@ -267,7 +254,7 @@ def sweep_facts(sweep: DataFrame) -> DataFrame:
         F.min("k").alias("k_min"),
         F.max("k").alias("k_max"),
         F.bool_and("_falls").alias("inertia_never_rises"),
-        F.bool_and(F.abs("silhouette_sq_euclidean") <= 1).alias("silhouettes_valid"),
+        F.bool_and((F.abs("silhouette_sq_euclidean") <= 1) & (F.abs("silhouette") <= 1)).alias("silhouettes_valid"),
     )
 
 

@@ -397,6 +397,22 @@ SELECT """ + r(
         4,
     ) + " AS silhouette_sq_euclidean FROM per_point"
 
+    q["silhouette_euclidean"] = ORDERS_ASSIGNED.rstrip("\n") + """,
+pts AS (SELECT row_number() OVER () AS pid, Cluster, R_scaled AS x0, F_scaled AS x1, M_scaled AS x2 FROM assigned),
+sizes AS (SELECT Cluster, count(*) AS n FROM pts GROUP BY Cluster),
+sums AS (
+  SELECT p.pid, any_value(p.Cluster) AS own, o.Cluster AS other,
+         sum(sqrt((p.x0 - o.x0) * (p.x0 - o.x0) + (p.x1 - o.x1) * (p.x1 - o.x1) + (p.x2 - o.x2) * (p.x2 - o.x2))) AS d
+  FROM pts p CROSS JOIN pts o GROUP BY p.pid, o.Cluster
+),
+ab AS (
+  SELECT pid, max(CASE WHEN own = other THEN n END) AS own_n, max(CASE WHEN own = other THEN d / greatest(n - 1, 1) END) AS a,
+         min(CASE WHEN own <> other THEN d / n END) AS b
+  FROM sums JOIN sizes ON sizes.Cluster = sums.other GROUP BY pid
+)
+SELECT """ + r("avg(CASE WHEN own_n <= 1 OR b IS NULL OR greatest(a, b) = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END)", 4) + """ AS silhouette,
+       TRUE AS within_bound FROM ab"""
+
     profile_cols = []
     for c in rfm_cols:
         profile_cols.append(f"{r(f'avg(CAST({c} AS DOUBLE))', 4)} AS {c}_mean")

@@ -20,7 +20,7 @@ def test_run_stages_end_to_end(spark):
     write_table(ev.coalesce(2), f"{d}/raw", fmt="csv")
     raw = read_raw_transactions(spark, f"{d}/raw")
     paths = run_stages(
-        spark, raw, f"{d}/out", kcfg=ClusterConfig(k_min=2, k_max=3, n_init=2, fit_threads=4, max_iter=50)
+        spark, raw, f"{d}/out", kcfg=ClusterConfig(k_min=2, k_max=3, n_init=2, max_iter=50)
     )
     read = lambda name: read_table(spark, paths[name], name)
     clean_n = read("clean_transactions").count()

@@ -75,7 +75,7 @@ def test_silhouette_matches_numpy_and_spark(spark):
 
 def test_kmeans_recovers_blobs_and_labels_are_stable(spark):
     df = _blobs(spark)
-    cfg = ClusterConfig(n_init=2, fit_threads=2, max_iter=50)
+    cfg = ClusterConfig(n_init=2, max_iter=50)
     a = kmeans_clusters(df.repartition(1), cfg)
     b = kmeans_clusters(df.repartition(8), cfg)
     pa = {r.CustomerID: r.Cluster for r in a.select("CustomerID", "Cluster").collect()}
@@ -89,7 +89,7 @@ def test_kmeans_recovers_blobs_and_labels_are_stable(spark):
 
 def test_sweep_inertia_falls_with_k(spark):
     df = _blobs(spark, n=60)
-    cfg = ClusterConfig(k_min=2, k_max=4, n_init=2, fit_threads=2, max_iter=50)
+    cfg = ClusterConfig(k_min=2, k_max=4, n_init=2, max_iter=50)
     sweep = kmeans_sweep(df, cfg).orderBy("k").collect()
     assert [r.k for r in sweep] == [2, 3, 4]
     assert sweep[0].inertia > sweep[1].inertia >= sweep[2].inertia * 0.999
@@ -97,7 +97,7 @@ def test_sweep_inertia_falls_with_k(spark):
 
 
 def test_fit_returns_stably_ordered_centres(spark):
-    centres, cost = fit_kmeans(_blobs(spark, n=50), 3, ClusterConfig(n_init=1, fit_threads=1))
+    centres, cost = fit_kmeans(_blobs(spark, n=50), 3, ClusterConfig(n_init=1))
     assert centres == stable_order(centres)
     assert centres[0][2] > 4  # highest Monetary first
     assert cost > 0
@@ -118,17 +118,39 @@ def test_attach_clusters_inner(spark):
     assert [tuple(r) for r in attach_clusters(rfm, cl).collect()] == [("a", 1, 0)]
 
 
-def test_spark_tol_implies_reference_stopping_rule():
-    import math
-
-    from cohortlens.operators.cluster import spark_tol
-
-    # every centre within spark_tol => total squared shift within tol x mean variance
-    for tol, var, k in [(1e-4, 1.0, 3), (1e-4, 2.5, 8), (1e-3, 0.2, 2)]:
-        t = spark_tol(tol, var, k)
-        assert k * t * t == pytest.approx(tol * var)
-    assert spark_tol(1e-4, 0.0, 3) == 0.0
-    assert math.isclose(spark_tol(1e-4, 1.0, 1), 1e-2)
+def test_fits_advance_together_and_stop_by_the_references_rule(spark, monkeypatch):
+    """All fits of a sweep, in one place with numpy, from the same starting centres."""
+    from cohortlens.operators import lloyd
+
+    rng = np.random.default_rng(8)
+    x = np.round(rng.normal(size=(700, 3)) + rng.integers(0, 4, (700, 1)) * 2.0, 3)
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(x)], "id long, a double, b double, c double").repartition(5)
+    table, wanted, var, tol = df.select("a", "b", "c"), [(k, s) for k in (2, 3, 5) for s in (1, 2)], float(x.var(axis=0).mean()), 1e-4
+    monkeypatch.setattr(lloyd, "SAMPLE", 150)
+    got = lloyd.fit_all(df, table, wanted, var, tol, 300)
+    first = np.array(df.orderBy(lloyd.F.xxhash64(*df.columns), "a", "b", "c").select("a", "b", "c").limit(150).collect())
+    assert max(f.passes for f in got) > 1
+    for fit, (k, seed) in zip(got, wanted, strict=True):
+        c, passes = lloyd.start(first, k, seed, tol * var, 300), 0
+        while True:
+            own = ((x[:, None] - c) ** 2).sum(axis=2).argmin(axis=1)
+            moved = np.stack([x[own == i].mean(axis=0) for i in range(k)])
+            shift, c, passes = ((moved - c) ** 2).sum(), moved, passes + 1
+            if shift <= tol * var:
+                break
+        assert fit.passes == passes and np.allclose(fit.centres, c)
+        assert fit.cost == pytest.approx(((x[:, None] - c) ** 2).sum(axis=2).min(axis=1).sum())
+    assert lloyd.fit_all(df, table, [(3, 1)], var, 0.0, 1)[0].passes == 1  # max_iter
+    with pytest.raises(ValueError, match="at least one row"):
+        lloyd.fit_all(df.limit(0), table.limit(0), [(2, 1)], var, tol, 5)
+
+
+def test_fit_reads_every_row_not_its_sample(spark, monkeypatch):
+    from cohortlens.operators import lloyd
+
+    monkeypatch.setattr(lloyd, "SAMPLE", 10)
+    centres, cost = fit_kmeans(_blobs(spark), 3, ClusterConfig(n_init=4))
+    assert all(max(c) == pytest.approx(5, abs=0.1) for c in centres) and cost == pytest.approx(1200 * 3 * 0.09, rel=0.1)
 
 
 def test_facts_turn_red_on_a_broken_fit(spark):
@@ -143,10 +165,10 @@ def test_facts_turn_red_on_a_broken_fit(spark):
     assert not fit_facts(assign_nearest(df, moved), moved).first().centres_are_means
     unused = [*good, (90.0, 90.0, 90.0)]
     assert fit_facts(assign_nearest(df, unused), unused).first().clusters == 2
-    schema = "k int, inertia double, silhouette_sq_euclidean double"
-    falling = spark.createDataFrame([(2, 9.0, 0.5), (3, 4.0, 0.6), (4, 4.0, -1.0)], schema)
+    schema = "k int, inertia double, silhouette_sq_euclidean double, silhouette double"
+    falling = spark.createDataFrame([(2, 9.0, 0.5, 0.4), (3, 4.0, 0.6, 0.5), (4, 4.0, -1.0, 1.0)], schema)
     assert tuple(sweep_facts(falling).first()) == (3, 2, 4, True, True)
-    rising = spark.createDataFrame([(2, 9.0, 0.5), (3, 9.5, 0.6), (4, 4.0, 1.5)], schema)
+    rising = spark.createDataFrame([(2, 9.0, 0.5, 0.4), (3, 9.5, 0.6, 0.5), (4, 4.0, 1.5, 0.1)], schema)
     assert tuple(sweep_facts(rising).first()) == (3, 2, 4, False, False)
 
 
