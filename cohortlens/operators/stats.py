@@ -210,14 +210,20 @@ def missing_ratio(df: DataFrame, top_n: int = 10) -> DataFrame:
 def date_range_uniques(df: DataFrame, date_col: str, customer_col: str, invoice_col: str) -> DataFrame:
     """AGG-3 + AGG-4: first/last date, distinct customers and invoices.
 
-    Distinct counts are planned as a shuffle on the counted value (no
-    single-task set), followed by a one-row merge.
+    Rows first collapse to one per (customer, invoice), map-side; only these are
+    doubled, one for each kind of id, and grouped by it. No row of ``df`` is
+    expanded and no set of ids meets in one task.
     """
-    return df.agg(
-        F.min(date_col).alias("min_date"),
-        F.max(date_col).alias("max_date"),
-        F.count_distinct(customer_col).cast("long").alias("customers"),
-        F.count_distinct(invoice_col).cast("long").alias("invoices"),
+    pairs = df.groupBy(customer_col, invoice_col).agg(F.min(date_col).alias("_min"), F.max(date_col).alias("_max"))
+    ids = F.array(
+        *[F.struct(F.lit(i).alias("_kind"), F.col(c).cast("string").alias("_id")) for i, c in enumerate((customer_col, invoice_col))]
+    )
+    each = pairs.select("_min", "_max", F.inline(ids)).groupBy("_kind", "_id").agg(F.min("_min").alias("_min"), F.max("_max").alias("_max"))
+    return each.agg(
+        F.min("_min").alias("min_date"),
+        F.max("_max").alias("max_date"),
+        F.count_if((F.col("_kind") == 0) & F.col("_id").isNotNull()).cast("long").alias("customers"),
+        F.count_if((F.col("_kind") == 1) & F.col("_id").isNotNull()).cast("long").alias("invoices"),
     )
 
 

@@ -127,7 +127,7 @@ def _densify(
     )
 
 
-def _top_share(
+def top_share(
     counts: DataFrame,
     cluster_col: str,
     slot_col: str,
@@ -175,7 +175,7 @@ def top_preferences(
         .groupBy(cluster_col, slot_col)
         .agg(_weight(weight_col).cast("long").alias("transactions"))
     )
-    return _top_share(counts, cluster_col, slot_col, "transactions", "pct_within_cluster", top_n, categories)
+    return top_share(counts, cluster_col, slot_col, "transactions", "pct_within_cluster", top_n, categories)
 
 
 def top_unique_customers(
@@ -196,7 +196,7 @@ def top_unique_customers(
         .groupBy(cluster_col, slot_col)
         .agg(F.count_distinct(id_col).cast("long").alias("unique_customers"))
     )
-    return _top_share(
+    return top_share(
         counts, cluster_col, slot_col, "unique_customers", "pct_unique_within_cluster", top_n, categories
     )
 

@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortlens.config import ClusterConfig
-from cohortlens.operators import charts, cluster, profile, stats, temporal
+from cohortlens.operators import charts, cluster, profile, stats, temporal, timing
 from cohortlens.operators.clean import clean_audit
 from cohortlens.operators.features import LOG_COLS, RAW_COLS, SCALED_COLS, log_transform
 from cohortlens.operators.rfm import first_rows, top_customers
@@ -199,6 +199,40 @@ def temporal_profile(spark, sf):
     return stages.events_temporal_profile(spark, sf)
 
 
+def _bitmaps(spark, sf):
+    """The events' activity as bitmaps of dense customer numbers."""
+    visits = stages.events_visits(spark, sf)
+    clusters = cluster.assign_nearest(stages.visits_features(visits), cluster.FIXED_CENTRES)
+    numbered = timing.number_customers(clusters, TEMPORAL.id_col, TEMPORAL.cluster_col)
+    return timing.activity_bitmaps(temporal.customer_activity(visits, TX.customer, TEMPORAL), numbered, TEMPORAL)
+
+
+def slot_transactions(spark, sf):
+    """AGG-9..11 of all slot kinds, by one GROUPING SETS."""
+    return timing.transactions_by_slot(timing.profile_of(_bitmaps(spark, sf), TEMPORAL), TEMPORAL)
+
+
+def slot_customers(spark, sf):
+    """AGG-13, TOP-4's counts of all slot kinds, by OR of bitmaps."""
+    return timing.customers_by_slot(_bitmaps(spark, sf), TEMPORAL)
+
+
+def bitmap_profile(spark, sf):
+    """AGG-12 by counting bitmaps."""
+    return timing.profile_of(_bitmaps(spark, sf), TEMPORAL)
+
+
+def _positions(query: Query, order_cols) -> Query:
+    """SRT-2/3/5: the keys of an ordered result with the place that each row has in it."""
+
+    def q(spark, sf):
+        placed = query(spark, sf).withColumn("_id", F.monotonically_increasing_id())
+        place = F.row_number().over(Window.orderBy("_id")).cast("int")  # a few rows per cluster
+        return placed.select(*order_cols, place.alias("position"))
+
+    return q
+
+
 def _kmeans_activity(spark, sf):
     visits = stages.events_visits(spark, sf)
     labelled = cluster.kmeans_clusters(stages.visits_features(visits), QUERY_KMEANS)
@@ -311,6 +345,12 @@ def queries() -> dict[str, Query]:
         "top_hour_unique": _top_unique("hour", 5),
         "top_period_unique": _top_unique("month_period", 3, TEMPORAL.labels),
         "temporal_profile": temporal_profile,
+        "slot_transactions": slot_transactions,
+        "slot_customers": slot_customers,
+        "bitmap_profile": bitmap_profile,
+        "cluster_profile_order": _positions(cluster_profile, ["Cluster"]),
+        "hour_counts_order": _positions(_counts("hour"), ["Cluster", "hour"]),
+        "hour_share_order": _positions(_chart(charts.hour_share), ["Cluster"]),
         "temporal_profile_kmeans": temporal_profile_kmeans,
         "hour_share": _chart(charts.hour_share),
         "dow_share": _chart(charts.dow_share),

@@ -454,6 +454,23 @@ SELECT Cluster, Customers, revenue, """ + r("revenue / sum(revenue) OVER ()", 6)
         q[f"top_{short}"] = _top(slot, n, unique=False, dense=dense)
         q[f"top_{short}_unique"] = _top(slot, n, unique=True, dense=dense)
     q["temporal_profile"] = EVENTS_PROFILE + "SELECT * FROM prof"
+    q["bitmap_profile"] = q["temporal_profile"]
+    slots = ("day_of_week", "hour", "month_period")
+    for name, agg in (("transactions", "count(*)"), ("unique_customers", "count(DISTINCT CustomerID)")):
+        q[f"slot_{name.removeprefix('unique_')}"] = EVENTS_ACTIVITY + "\nUNION ALL\n".join(
+            f"SELECT Cluster, '{s}' AS kind, CAST({s} AS VARCHAR) AS slot, CAST({agg} AS BIGINT) AS {name} FROM activity GROUP BY Cluster, {s}"
+            for s in slots
+        )
+    q["cluster_profile_order"] = ORDERS_ASSIGNED + (
+        f"SELECT Cluster, CAST(row_number() OVER (ORDER BY {r('avg(Monetary)', 4)} DESC, Cluster) AS INTEGER) AS position FROM assigned GROUP BY Cluster"
+    )
+    q["hour_counts_order"] = EVENTS_ACTIVITY + (
+        "SELECT Cluster, hour, CAST(row_number() OVER (ORDER BY Cluster, count(*) DESC, hour) AS INTEGER) AS position "
+        "FROM activity GROUP BY Cluster, hour"
+    )
+    q["hour_share_order"] = EVENTS_PROFILE + (
+        "SELECT Cluster, CAST(row_number() OVER (ORDER BY Cluster) AS INTEGER) AS position FROM prof GROUP BY Cluster"
+    )
     hours = list(range(24))
     hnames = [f"h{h}" for h in hours]
     q["hour_share"] = _share(["Cluster"], "hour", hours, hnames)
