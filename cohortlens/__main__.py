@@ -32,7 +32,10 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--out", required=True, help="folder for the stage tables (overwritten)")
     p.add_argument("--input-format", default="csv", choices=["csv", "parquet"])
     p.add_argument("--format", default="parquet", choices=["parquet", "csv"], help="format of the written tables")
-    p.add_argument("--date-format", default=None, help="InvoiceDate pattern, e.g. 'M/d/yyyy H:mm' (default ISO)")
+    p.add_argument(
+        "--date-format", default="auto",
+        help="InvoiceDate pattern, e.g. 'M/d/yyyy H:mm', or 'iso'; by default the one format that reads all dates",
+    )
     p.add_argument("--k", type=int, default=ClusterConfig.final_k, help="final number of clusters")
     p.add_argument("--k-min", type=int, default=ClusterConfig.k_min)
     p.add_argument("--k-max", type=int, default=ClusterConfig.k_max)
@@ -66,7 +69,7 @@ def main(argv: Sequence[str] | None = None) -> dict[str, str]:
             parser.error(f"--conf expects KEY=VALUE, got {item!r}")
         conf[key] = value
     spark = build_session(args.master, app_name="cohortlens", extra_conf=conf)
-    cfg = TxConfig(date_format=args.date_format) if args.date_format else TxConfig()
+    cfg = TxConfig(date_format=None if args.date_format == "iso" else args.date_format)
     raw = None
     if args.input and args.input_format == "csv":
         raw = read_raw_transactions(spark, args.input, cfg)

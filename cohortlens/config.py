@@ -18,7 +18,8 @@ class TxConfig:
     customer: str = "Customer ID"
     country: str = "Country"
     revenue: str = "Revenue"
-    # Date text format; None reads ISO text (``try_cast`` to timestamp_ntz).
+    # Date text format; None reads ISO text (``try_cast`` to timestamp_ntz), and
+    # "auto" lets the batch run find the one format that reads all dates.
     date_format: str | None = None
     # Invoices whose text starts with this prefix are cancellations.
     cancel_prefix: str = "C"

@@ -20,6 +20,7 @@ from cohortlens.functions.scalar import (
 )
 
 REASON = "_drop_reason"
+COPIES = "_copies"
 
 # Audit rows in policy order (step number = position).
 AUDIT_STEPS = (
@@ -81,32 +82,39 @@ def clean_transactions(df: DataFrame, cfg: TxConfig = TxConfig()) -> DataFrame:
     return kept.dropDuplicates()
 
 
-def clean_audit(df: DataFrame, cfg: TxConfig = TxConfig()) -> DataFrame:
-    """CLN-2: rows removed per rule plus totals, in one scan.
+def counted_transactions(df: DataFrame, cfg: TxConfig = TxConfig()) -> DataFrame:
+    """Distinct clean rows and, per drop reason, one row without content: (content..., reason, copies).
 
-    Rows that fail a rule are keyed by their reason only (so they collapse
-    into a handful of groups map-side); kept rows are keyed by their whole
-    content, which yields the duplicate count as sum(copies - 1).
-    Output: (step int, rule string, rows bigint), one row per AUDIT_STEPS.
+    Rows that fail a rule are keyed by their reason only, so they collapse into a
+    handful of groups map-side; kept rows are keyed by their whole content. Both
+    the clean table and its audit come from this one shuffle: see ``audit_metrics``.
     """
     tagged = tag_transactions(df, cfg)
     content = [c for c in tagged.columns if c != REASON]
-    reason = F.col(REASON)
-    per_key = tagged.groupBy(
-        reason, F.when(reason.isNull(), F.struct(*[F.col(c) for c in content])).alias("_row")
-    ).agg(F.count(F.lit(1)).alias("_n"))
+    row = F.when(F.col(REASON).isNull(), F.struct(*[F.col(f"`{c}`") for c in content]))
+    per_key = tagged.groupBy(F.col(REASON), row.alias("_row")).agg(F.count(F.lit(1)).alias(COPIES))
+    return per_key.select(*[F.col("_row").getField(c).alias(c) for c in content], REASON, COPIES)
 
-    n = F.col("_n")
+
+def audit_metrics() -> dict[str, Column]:
+    """CLN-2 as aggregates over ``counted_transactions``, by rule."""
+    reason, n = F.col(REASON), F.col(COPIES)
     metrics = {
         "rows_in": F.sum(n),
-        **{
-            r: F.sum(F.when(reason == r, n).otherwise(0))
-            for r in AUDIT_STEPS[1:-2]
-        },
+        **{r: F.sum(F.when(reason == r, n).otherwise(0)) for r in AUDIT_STEPS[1:-2]},
         "duplicate": F.sum(F.when(reason.isNull(), n - 1).otherwise(0)),
         "rows_out": F.count_if(reason.isNull()),
     }
-    wide = per_key.agg(*[F.coalesce(e, F.lit(0)).cast("long").alias(k) for k, e in metrics.items()])
+    return {k: F.coalesce(m, F.lit(0)).cast("long") for k, m in metrics.items()}
+
+
+def clean_audit(df: DataFrame, cfg: TxConfig = TxConfig()) -> DataFrame:
+    """CLN-2: rows removed per rule plus totals, in one scan.
+
+    The duplicates are the sum of (copies - 1) over ``counted_transactions``.
+    Output: (step int, rule string, rows bigint), one row per AUDIT_STEPS.
+    """
+    wide = counted_transactions(df, cfg).agg(*[m.alias(k) for k, m in audit_metrics().items()])
     return wide.select(
         F.inline(
             F.array(

@@ -20,7 +20,7 @@ def cluster_medians(
 ) -> DataFrame:
     """AGG-8 / CHT-2: exact median of each column per cluster, one row per cluster.
 
-    Uses exact quantiles by counting, so no task holds a whole cluster.
+    Uses ``exact_quantiles``, so no task holds a whole cluster.
     """
     q = exact_quantiles(df, cols, [0.5], [cluster_col])
     out = q.groupBy(cluster_col).agg(
@@ -40,14 +40,14 @@ def cluster_profile(
 ) -> DataFrame:
     """AGG-7: customers, mean and median of R, F, M per cluster, by Monetary_mean desc.
 
-    Means and counts come with the medians (``exact_quantiles(extra_aggs=...)``).
+    Means and counts come with the medians (``exact_quantiles``).
     Customers counts non-null ids (R, F, M are non-null per customer).
     """
     base = df.filter(F.col(id_col).isNotNull()) if id_col in df.columns else df
-    q = exact_quantiles(base, cols, [0.5], [cluster_col], extra_aggs={"_mean": F.avg, "_count": F.count})
+    q = exact_quantiles(base, cols, [0.5], [cluster_col])
     joined = q.groupBy(cluster_col).agg(
-        F.max(F.col("_count")).cast("long").alias("Customers"),
-        *[F.max(F.when(F.col("field") == c, F.col("_mean"))).alias(f"{c}_mean") for c in cols],
+        F.max("n").cast("long").alias("Customers"),
+        *[F.max(F.when(F.col("field") == c, F.col("mean"))).alias(f"{c}_mean") for c in cols],
         *[F.max(F.when(F.col("field") == c, F.col("value"))).alias(f"{c}_median") for c in cols],
     )
 

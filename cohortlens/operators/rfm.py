@@ -25,56 +25,72 @@ def snapshot_date(clean: DataFrame, cfg: TxConfig = TxConfig(), rcfg: RFMConfig
     return _snapshot_from_latest(clean.select(F.max(cfg.date)).scalar(), rcfg)
 
 
-def build_rfm(
-    clean: DataFrame,
-    cfg: TxConfig = TxConfig(),
-    rcfg: RFMConfig = RFMConfig(),
-    materialize: Callable[[DataFrame], DataFrame] | None = None,
-) -> DataFrame:
-    """AGG-2: one row per customer -> (CustomerID, Recency, Frequency, Monetary).
-
-    Recency   whole 24-hour days from the last purchase to the snapshot
-    Frequency distinct non-null invoices
-    Monetary  revenue summed exactly in decimal, returned as double
+def per_customer(clean: DataFrame, cfg: TxConfig = TxConfig()) -> DataFrame:
+    """AGG-1: (customer, _last, Frequency, _money, _bad), one row per customer.
 
     Written as two aggregations: (customer, invoice) first, then customer.
     The first shuffle spreads a very active customer over its invoices, and
     the second only moves one pre-aggregated row per (task, customer).
-
-    The snapshot is the max over the per-customer table, bound to a column
-    once so the subquery is not inlined per use. Pass ``materialize`` (e.g.
-    a reliable checkpoint) to write the per-customer table first: the
-    snapshot subquery then scans that small table and the transactions are
-    read exactly once. Without it the function stays lazy and the subquery
-    re-evaluates the (column-pruned) aggregation.
+    ``_bad`` is the number of the customer's rows without a date (CHK-2).
     """
     money = DecimalType(38, cfg.money_scale)
     per_invoice = clean.groupBy(cfg.customer, cfg.invoice).agg(
         F.max(cfg.date).alias("_last"),
         F.sum(F.col(cfg.revenue).cast(money)).alias("_money"),
+        F.count_if(F.col(cfg.date).isNull()).alias("_bad"),
     )
-    per_customer = per_invoice.groupBy(cfg.customer).agg(
+    return per_invoice.groupBy(cfg.customer).agg(
         F.max("_last").alias("_last"),
         F.count(cfg.invoice).alias("Frequency"),
         F.sum("_money").alias("_money"),
+        F.sum("_bad").alias("_bad"),
     )
-    if materialize is not None:
-        per_customer = materialize(per_customer)
-    snap = _snapshot_from_latest(per_customer.select(F.max("_last")).scalar(), rcfg)
-    with_snap = per_customer.withColumn("_snap", snap)
+
+
+def rfm_of(customers: DataFrame, cfg: TxConfig = TxConfig(), rcfg: RFMConfig = RFMConfig(), guard: bool = True) -> DataFrame:
+    """AGG-2 from ``per_customer``: (CustomerID, Recency, Frequency, Monetary).
+
+    The snapshot is the max over the per-customer table, bound to a column once
+    so the subquery is not inlined per use. With ``guard`` a negative recency
+    fails the job (CHK-3); without it the caller counts them.
+    """
+    snap = _snapshot_from_latest(customers.select(F.max("_last")).scalar(), rcfg)
+    with_snap = customers.withColumn("_snap", snap)
     recency = full_days_between(F.col("_last"), F.col("_snap"))
-    guarded = F.when(
-        recency < 0,
-        F.raise_error(F.concat(F.lit("negative recency for customer "), F.col(cfg.customer))),
-    ).otherwise(recency)  # CHK-3, fused into the projection
+    if guard:
+        recency = F.when(
+            recency < 0,
+            F.raise_error(F.concat(F.lit("negative recency for customer "), F.col(cfg.customer))),
+        ).otherwise(recency)
     return with_snap.select(
         F.col(cfg.customer).alias(rcfg.id_out),
-        guarded.cast("int").alias("Recency"),
+        recency.cast("int").alias("Recency"),
         F.col("Frequency").cast("long").alias("Frequency"),
         F.col("_money").cast("double").alias("Monetary"),
     )
 
 
+def build_rfm(
+    clean: DataFrame,
+    cfg: TxConfig = TxConfig(),
+    rcfg: RFMConfig = RFMConfig(),
+    materialize: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """AGG-2: one row per customer -> (CustomerID, Recency, Frequency, Monetary).
+
+    Recency   whole 24-hour days from the last purchase to the snapshot
+    Frequency distinct non-null invoices
+    Monetary  revenue summed exactly in decimal, returned as double
+
+    Pass ``materialize`` (e.g. a reliable checkpoint) to write the per-customer
+    table first: the snapshot subquery then scans that small table and the
+    transactions are read exactly once. Without it the function stays lazy and
+    the subquery re-evaluates the (column-pruned) aggregation.
+    """
+    customers = per_customer(clean, cfg).drop("_bad")
+    return rfm_of(materialize(customers) if materialize is not None else customers, cfg, rcfg)
+
+
 def top_customers(
     rfm: DataFrame, by: str, n: int = 10, id_col: str = "CustomerID"
 ) -> DataFrame:

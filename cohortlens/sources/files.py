@@ -2,14 +2,23 @@
 
 Parquet is the default format at the edges; CSV is supported for the
 reference's file layout. Readers never infer a schema.
+
+A written table is a folder of versions and a log. A write fills a new version's
+folder and then appends one line to the log, in one small file; readers follow
+the newest line. So a table is replaced at once or not at all: a job that fails
+half way, or whose check fails, leaves the old version in place, and a reader
+that has begun keeps the version that it has. Folders without a log are read
+as they are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import time
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +31,29 @@ class MissingInputError(FileNotFoundError):
     """An input of a stage is absent; names the stage that needs it."""
 
 
+LOG = "_versions"
+
+
+def _missing(exc: AnalysisException) -> bool:
+    return "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc)
+
+
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """Folders of a table's committed versions, the newest last; none for a folder without a log."""
+    try:
+        lines = spark.read.schema("line string").text(f"{path.rstrip('/')}/{LOG}").collect()  # a line for each write
+    except AnalysisException as exc:
+        if _missing(exc):
+            return []
+        raise
+    return [f"{path.rstrip('/')}/{line.split(' ')[1]}" for line in sorted(r["line"] for r in lines)]
+
+
+def current(spark: SparkSession, path: str) -> str:
+    """The folder that holds a table's files now."""
+    return (versions(spark, path) or [path])[-1]
+
+
 def read_table(
     spark: SparkSession,
     path: str,
@@ -29,9 +61,12 @@ def read_table(
     fmt: str = "parquet",
     schema: T.StructType | str | None = None,
     multi_line: bool = False,
+    logged: bool = True,
 ) -> DataFrame:
     """Read one table; a missing path raises ``MissingInputError`` (SRC-2).
 
+    A table with a log of versions is read at its newest one, unless ``logged``
+    is off: then the path is taken as it is.
     ``schema`` (a StructType or DDL string) skips schema inference. CSV quotes
     are doubled inside quoted text, as the sink writes them. ``multi_line``
     allows line breaks there, which makes a file one split.
@@ -46,9 +81,9 @@ def read_table(
             # applying the schema by position (a reordered file fails loudly)
             reader = reader.option("enforceSchema", False)
     try:
-        return reader.format(fmt).load(path)
+        return reader.format(fmt).load(current(spark, path) if logged else path)
     except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
+        if _missing(exc):
             raise MissingInputError(
                 f"{stage}: input not found at {path}; run the producing stage first"
             ) from exc
@@ -69,7 +104,7 @@ def read_raw_transactions(
     named = read_table(spark, path, "cleaning", fmt="csv").columns  # reads the header only
     text = T.StructType([T.StructField(c, T.StringType()) for c in named])
     reader = spark.read.schema(text).options(header=True, enforceSchema=False, mode="FAILFAST", escape='"', multiLine=multi_line)
-    df = reader.csv(path)
+    df = reader.csv(current(spark, path))
     wanted = raw_transactions_schema(cfg).fields
     require_columns(df, [f.name for f in wanted if f.name != cfg.description], "cleaning")
     return df.select(
@@ -95,13 +130,17 @@ def read_clean_transactions(
     cfg: TxConfig = TxConfig(),
     fmt: str = "parquet",
     schema: T.StructType | str | None = None,
+    guard: bool = True,
 ) -> DataFrame:
     """SRC-3 + CHK-1 + CHK-2: clean transactions; any unparseable date fails
     the job that first reads it (guard fused into the scan's projection).
+    Without ``guard`` such dates are null, for a caller that counts them.
     ``schema`` types a CSV table (Parquet carries its own)."""
     df = read_table(spark, path, "rfm", fmt=fmt, schema=schema)
     require_columns(df, [cfg.customer, cfg.invoice, cfg.date, cfg.revenue], "rfm")
     parsed = parse_timestamp(F.col(cfg.date), df.schema[cfg.date].dataType, cfg.date_format)
+    if not guard:
+        return df.withColumn(cfg.date, parsed)
     guarded = F.when(
         parsed.isNull(),
         F.raise_error(F.concat(F.lit("invalid InvoiceDate after cleaning: "), F.col(cfg.date).cast("string"))),
@@ -166,23 +205,49 @@ def write_table(
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
-) -> None:
-    """SNK-1/2/3: overwrite one table (CSV with a header row).
+    metrics: dict[str, Column] | None = None,
+    keep: Column | None = None,
+    columns: Sequence[str] | None = None,
+    check: Callable[[dict], None] | None = None,
+) -> dict:
+    """SNK-1/2/3: replace one table (CSV with a header row); returns the metrics.
 
     ``sort_by`` gives the reference's sorted layout without a single-task
     sort: range partitioning followed by a sort within each partition.
+    ``metrics`` are aggregates of all rows of ``df``, observed while the table is
+    written. They are taken after the last shuffle, in the stage that writes, whose
+    tasks Spark counts once each, also if executors are lost. Only then do
+    ``keep`` and ``columns`` choose the rows and columns to write. ``check`` gets
+    the metrics; if it raises, the table is not replaced.
     """
-    out = df
+    spark, path = df.sparkSession, path.rstrip("/")
+    out = df.repartitionByRange(*sort_by) if sort_by else df
+    seen = Observation() if metrics else None
+    if seen is not None:
+        out = out.observe(seen, *[m.alias(name) for name, m in metrics.items()])
+    if keep is not None:
+        out = out.where(keep)
+    if columns is not None:
+        out = out.select(*[f"`{c}`" for c in columns])
     if sort_by:
-        out = out.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
-    writer = out.write.mode("overwrite")
+        out = out.sortWithinPartitions(*sort_by)
+    version = f"v-{uuid.uuid4().hex}"
+    writer = out.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
         writer = writer.options(header=True, escape='"')
-    writer.format(fmt).save(path)
+    writer.format(fmt).save(f"{path}/{version}")
+    found = dict(seen.get) if seen is not None else {}
+    if check is not None:
+        check(found)
+    before = versions(spark, path)
+    spark.createDataFrame([(f"{time.time_ns():020d} {version}",)], "line string").coalesce(1).write.mode("append").text(f"{path}/{LOG}")
+    for old in before[-2:-1]:  # the version before the last: no reader starts on it any more
+        spark.createDataFrame([], "emptied string").write.mode("overwrite").parquet(old)
+    return found
 
 
 def load_testdata(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver-generated table, e.g. ``lineitem`` (declared schema when known)."""
-    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", name, schema=TESTDATA_SCHEMAS.get(name))
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", name, schema=TESTDATA_SCHEMAS.get(name), logged=False)

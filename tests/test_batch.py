@@ -7,11 +7,48 @@ from pyspark.sql import functions as F
 from cohortlens.config import ClusterConfig, TxConfig
 from cohortlens.plans.batch import run_stages
 from cohortlens.sources.adapters import events_transactions
-from cohortlens.sources.files import read_raw_transactions, read_table, read_temporal_inputs, write_table
+from cohortlens.sources.files import current, read_raw_transactions, read_table, read_temporal_inputs, write_table
 
 SF = "/root/testdata/sf0.001"
 
 
+def check_reports(spark, read, paths):
+    """Every table that stands for a printed report, against the operators on the written tables."""
+    from cohortlens.operators import cluster, stats, temporal
+    from cohortlens.operators.features import LOG_COLS, SCALED_COLS
+
+    same = lambda name, df: assert_same(read(name), df)
+    clean, rfm, scaled, clustered = (read(n) for n in ("clean_transactions", "rfm_raw", "rfm_scaled", "rfm_clustered"))
+    same("quality_range", stats.date_range_uniques(clean, "InvoiceDate", "Customer ID", "Invoice"))
+    same("quality_missing_ratio", stats.missing_ratio(clean))
+    same("quality_revenue", stats.describe(clean, ["Revenue"]))
+    diagnostics = stats.rfm_diagnostics(rfm)
+    assert {f"rfm_{n}" for n in diagnostics} < set(paths)
+    for name, table in diagnostics.items():
+        same(f"rfm_{name}", table)
+    same("log_skewness", stats.skewness(scaled, LOG_COLS))
+    same("scaled_summary", stats.describe(scaled, SCALED_COLS, (0.25, 0.5, 0.75)))
+    best = {r.k: r for r in read("k_evaluation").collect()}
+    for k, r in best.items():
+        assert -1 <= r.silhouette <= 1 and r.error_bound < 1e-3 and r.inertia > 0, k
+    same("cluster_sizes", cluster.cluster_sizes(clustered))
+    cube = temporal.activity_cube(clean)
+    activity = cluster.attach_clusters(cube, clustered)
+    same("temporal_profile", temporal.temporal_profile(activity, weight_col="transactions", one_row_per_customer_slot=True))
+    for slot, short, n in (("day_of_week", "dow", 3), ("hour", "hour", 5), ("month_period", "period", 3)):
+        dense = ("Early", "Mid", "Late") if short == "period" else None
+        same(f"{short}_counts", temporal.slot_counts(activity, "Cluster", slot, "transactions"))
+        same(f"top_{short}", temporal.top_preferences(activity, "Cluster", slot, n, "transactions", dense))
+        same(f"top_{short}_unique", temporal.top_unique_customers(activity, "Cluster", slot, "CustomerID", n, dense))
+
+
+def assert_same(got, want):
+    columns = sorted(want.columns)
+    assert sorted(got.columns) == columns
+    text = lambda df: sorted(str(tuple(r)) for r in df.select(*columns).collect())
+    assert text(got) == text(want)
+
+
 @pytest.mark.skipif(not os.path.exists(f"{SF}/events.parquet"), reason="test tables absent")
 def test_run_stages_end_to_end(spark):
     d = tempfile.mkdtemp(prefix="cohortlens-batch-")
@@ -33,10 +70,12 @@ def test_run_stages_end_to_end(spark):
     assert sum(r.Customers for r in read("cluster_profile").collect()) == rfm_n
     prof = read("temporal_profile")
     assert prof.agg(F.sum("transactions")).first()[0] == clean_n
-    assert sorted(p for p in os.listdir(paths["temporal_profile"]) if p.startswith("Cluster="))
+    assert sorted(p for p in os.listdir(current(spark, paths["temporal_profile"])) if p.startswith("Cluster="))
     for r in read("period_share").collect():
         assert r.Early + r.Mid + r.Late == pytest.approx(1.0)
 
+    check_reports(spark, read, paths)
+
     # SRC-7: the reference-style reader gives the same per-slot totals
     tx = read_temporal_inputs(spark, paths["clean_transactions"], paths["rfm_clustered"], TxConfig())
     assert tx.count() == clean_n

@@ -193,3 +193,58 @@ def test_custom_date_format_is_zone_free(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == [dt.datetime(2020, 3, 8, 2, 30), dt.datetime(2009, 12, 1, 7, 45), None]
+
+
+def test_a_rank_outside_its_bracket_is_counted(spark, monkeypatch):
+    """Brackets made useless: the counting way answers, with the same values."""
+    from cohortlens.operators import stats
+
+    rng = np.random.default_rng(12)
+    x = np.round(rng.lognormal(size=30000), 2)
+    df = spark.createDataFrame([(int(i % 3), float(v)) for i, v in enumerate(x)], "g int, v double").repartition(6)
+    probs = [0.0, 0.01, 0.5, 0.9, 0.999, 1.0]
+    want = {(g, p): float(np.quantile(x[g::3], p)) for g in range(3) for p in probs}
+    used = []
+    counted = stats.counted_quantiles
+    monkeypatch.setattr(stats, "counted_quantiles", lambda *a: used.append(1) or counted(*a))
+    for margin, fell_back in ((0.002, 0), (1e-9, 1)):
+        monkeypatch.setattr(stats, "MARGIN", margin)
+        rows = exact_quantiles(df, ["v"], probs, ["g"]).collect()
+        got = {(r.g, r.p): r.value for r in rows}
+        assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+        assert len(used) == fell_back or margin == 1e-9  # so narrow a bracket may still hold its ranks
+        for r in rows:
+            part = x[r.g :: 3]
+            assert (r.n, r.min, r.max) == (len(part), part.min(), part.max())
+            assert (r.mean, r.std) == (pytest.approx(part.mean()), pytest.approx(part.std(ddof=1)))
+
+
+def test_values_are_read_twice(spark):
+    """Reads of the written values, by the rows that scans put out."""
+    import json
+    import os
+    import subprocess
+    import sys
+    import tempfile
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    d = tempfile.mkdtemp(prefix="cohortlens-reads-")
+    pq.write_table(pa.table({"v": np.arange(50000) * 1.5}), f"{d}/t.parquet")
+    script = f"""
+import sys; sys.path.insert(0, {os.getcwd()!r})
+from cohortlens.session import build_session
+from cohortlens.operators.stats import describe
+spark = build_session("local[2]", shuffle_partitions=2, extra_conf={{"spark.eventLog.enabled": "true", "spark.eventLog.dir": "file://{d}", "spark.eventLog.rolling.enabled": "false", "spark.eventLog.compress": "false"}})
+describe(spark.read.parquet("{d}/t.parquet"), ["v"]).collect()
+spark.stop()
+"""
+    subprocess.run([sys.executable, "-c", script], check=True, capture_output=True, timeout=300)
+    (log,) = [os.path.join(d, f) for f in os.listdir(d) if f.startswith(("local-", "app-"))]
+    read = 0
+    for line in open(log):
+        e = json.loads(line)
+        if e["Event"] == "SparkListenerTaskEnd" and (m := e.get("Task Metrics")):
+            read += m["Input Metrics"]["Records Read"]
+    assert 100000 <= read < 110000  # the values twice, and small tables

@@ -8,6 +8,7 @@ from cohortlens.plans.catalog import queries as catalog_queries
 from cohortlens.operators.clean import clean_transactions
 from cohortlens.sources.files import (
     MissingInputError,
+    current,
     read_clean_transactions,
     read_raw_transactions,
     read_table,
@@ -55,7 +56,7 @@ def test_partitioned_sink(spark):
     df = spark.createDataFrame([(0, "Monday", 9, "Early", 2, 1), (1, "Sunday", 10, "Late", 1, 1)],
                                "Cluster int, day_of_week string, hour int, month_period string, transactions long, unique_customers long")
     write_table(df, d, partition_by=["Cluster"])
-    assert sorted(p for p in os.listdir(d) if p.startswith("Cluster=")) == ["Cluster=0", "Cluster=1"]
+    assert sorted(p for p in os.listdir(current(spark, d)) if p.startswith("Cluster=")) == ["Cluster=0", "Cluster=1"]
     assert read_table(spark, d, "charts").filter("Cluster = 1").count() == 1
 
 
