@@ -8,6 +8,11 @@ page_id, target_uri, payload_digest, refers_to and payload_bytes are pushed down
 a record's headers are parsed first, and if they fail a filter, or the option
 ``payload`` is false, its block is skipped by a seek and never decoded.
 
+Archives of other writers, ``.warc`` or ``.warc.gz`` of one or many members, are read
+too: record ids that are no page's give a null page_id (the id itself is record_id),
+blocks that are no HTTP message are payloads as they are, and bytes that are no
+UTF-8 are replaced. A compressed block is passed over without being decoded as text.
+
 Files are reached through pyarrow's file systems (local or shared mounts,
 hdfs, s3, gs), on the executors.
 """
@@ -15,6 +20,7 @@ hdfs, s3, gs), on the executors.
 from __future__ import annotations
 
 import base64
+import gzip
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -44,8 +50,10 @@ from pyspark.sql.types import StructType
 
 from cohortlens.llm.shipping import ship
 from cohortlens.session import ensure_checkpoint_dir
+from cohortlens.sources.sizing import broadcast_if_small
+from cohortlens.sources.stage_tables import materialize
 
-SCHEMA = "page_id long, target_uri string, record_type string, payload_digest string, payload_bytes long, refers_to long, payload string"
+SCHEMA = "page_id long, target_uri string, record_type string, payload_digest string, payload_bytes long, refers_to long, payload string, record_id string"
 #: Payloads of fewer bytes are always written out.
 LEAST_REVISIT = 1000
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -87,36 +95,56 @@ def record(page_id: int | None, uri: str | None, kind: str, digest: str, size: i
 
 
 def _page(value: str | None) -> int | None:
-    return int(x) if value and (x := value[len("<urn:page:") : -1]) else None
+    """The page of a record id of ours; none of a foreign one, or one without a number."""
+    number = (value or "").removeprefix("<urn:page:").removesuffix(">")
+    return int(number) if value != number and number.removeprefix("-").isascii() and number.removeprefix("-").isdigit() else None
 
 
 class _Records:
     """The records of a file: headers first, blocks only on demand."""
 
-    def __init__(self, file: pa.NativeFile) -> None:
-        self.file, self.size, self.at = file, file.size(), 0
+    def __init__(self, file: pa.NativeFile, packed: bool = False) -> None:
+        self.file = gzip.GzipFile(fileobj=file, mode="rb") if packed else file
+        self.packed, self.held, self.at = packed, b"", 0
+
+    def _fill(self, n: int) -> bool:
+        """Hold more bytes from the place on; False at the end of the file."""
+        more = self.file.read(n)
+        self.held += more
+        return bool(more)
+
+    def _skip(self, n: int) -> None:
+        """Go on by n bytes, by a seek where the file allows."""
+        self.at += n
+        held, self.held = len(self.held), self.held[n:]
+        n -= held
+        if n > 0 and not self.packed:
+            self.file.seek(self.at)
+        while n > 0 and self.packed and (more := self.file.read(min(n, _CHUNK))):
+            n -= len(more)
 
     def __iter__(self) -> Iterator[tuple[dict[str, str], int, int]]:
         """(headers, block's offset, block's length)."""
-        while self.at < self.size:
-            head = b""
-            while (end := head.find(b"\r\n\r\n")) < 0:
-                self.file.seek(self.at + len(head))
-                more = self.file.read(1024 if len(head) < 1024 else _CHUNK)
-                if not more:
+        while self.held or self._fill(1024):
+            while (end := self.held.find(b"\r\n\r\n")) < 0:
+                if not self._fill(1024 if len(self.held) < 4096 else _CHUNK):
                     raise ValueError(f"a WARC record at byte {self.at} has no end of headers")
-                head += more
-            lines = head[:end].decode().split("\r\n")
+            lines = self.held[:end].decode(errors="replace").split("\r\n")
             if not lines[0].startswith("WARC/"):
                 raise ValueError(f"no WARC record at byte {self.at}")
-            headers = {k.lower(): v for k, v in (line.split(": ", 1) for line in lines[1:])}
-            start, length = self.at + end + 4, int(headers["content-length"])
-            self.at = start + length + 4
+            headers = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
+            length = int(headers["content-length"])
+            self._skip(end + 4)
+            start = self.at
             yield headers, start, length
+            self._skip(start + length + 4 - self.at)
 
     def block(self, start: int, length: int) -> bytes:
-        self.file.seek(start)
-        return self.file.read(length)
+        while len(self.held) < length and self._fill(length - len(self.held)):
+            pass
+        out = self.held[:length]
+        self._skip(len(out))
+        return out
 
 
 @dataclass
@@ -125,7 +153,7 @@ class Files(InputPartition):
 
 
 def _fields(h: dict[str, str]) -> dict:
-    """A record's columns, but for the payload, from its headers."""
+    """A record's columns, without its payload, from its headers."""
     uri = h.get("warc-target-uri")
     digest = h.get("warc-payload-digest", "")
     return {
@@ -135,9 +163,18 @@ def _fields(h: dict[str, str]) -> dict:
         "payload_digest": base64.b32decode(digest[5:]).hex() if digest.startswith("sha1:") else None,
         "payload_bytes": int(h["x-payload-length"]) if "x-payload-length" in h else None,
         "refers_to": _page(h.get("warc-refers-to")),
+        "payload": None,
+        "record_id": h.get("warc-record-id"),
     }
 
 
+def _payload(headers: dict[str, str], block: bytes) -> str:
+    """A block's text, without the head of an HTTP message."""
+    if headers.get("content-type", "").startswith("application/http"):
+        block = block.split(b"\r\n\r\n", 1)[-1]
+    return block.decode(errors="replace")
+
+
 _TESTS = {
     EqualTo: lambda x, v: x is not None and x == v,
     EqualNullSafe: lambda x, v: x == v,
@@ -166,7 +203,7 @@ class WarcReader(DataSourceReader):
         fs, root = _open(self.path)
         found = fs.get_file_info(pafs.FileSelector(root, recursive=True)) if fs.get_file_info(root).type == pafs.FileType.Directory else [fs.get_file_info(root)]
         out, size = [Files([])], 0
-        for f in sorted((f for f in found if f.path.endswith(".warc")), key=lambda f: f.path):
+        for f in sorted((f for f in found if f.path.endswith((".warc", ".warc.gz"))), key=lambda f: f.path):
             if size and size + f.size > self.partition_bytes:
                 out.append(Files([]))
                 size = 0
@@ -189,15 +226,14 @@ class WarcReader(DataSourceReader):
         fs, _ = _open(self.path)
         for path in partition.paths:
             with fs.open_input_file(path) as file:
-                records = _Records(file)
+                records = _Records(file, path.endswith(".gz"))
                 for headers, start, length in records:
                     row = _fields(headers)
                     if not self._wanted(row):
                         continue
-                    payload = None
                     if self.payload and row["record_type"] == "response":
-                        payload = records.block(start, length).split(b"\r\n\r\n", 1)[1].decode()
-                    yield (*row.values(), payload)
+                        row["payload"] = _payload(headers, records.block(start, length))
+                    yield tuple(row.values())
 
 
 @dataclass
@@ -280,10 +316,14 @@ def to_records(pages: DataFrame) -> DataFrame:
         F.col("page_id").cast("long").alias("page_id"), F.col("url").alias("target_uri"), F.sha1(body.cast("binary")).alias("payload_digest"), F.octet_length(body).cast("long").alias("payload_bytes"), body.alias("payload")
     )
     most = rows.where(F.col("payload_bytes") >= LEAST_REVISIT).groupBy("payload_digest", "payload_bytes").agg(F.max("page_id").alias("most"), F.count("*").alias("n"))
-    rows = rows.join(most.where("n > 1 and most is not null"), ["payload_digest", "payload_bytes"], "left")
+    # only digests that occur again, counted before they are sent to the pages; payloads are
+    # shuffled to them only if they are too many for that
+    most = materialize(most.where("n > 1 and most is not null").drop("n"))
+    rows = rows.join(broadcast_if_small(most, 100 * most.count()), ["payload_digest", "payload_bytes"], "left")
     again = F.col("most").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("most"))
     return rows.select(
-        "page_id", "target_uri", F.when(again, "revisit").otherwise("response").alias("record_type"), "payload_digest", "payload_bytes", F.when(again, F.col("most")).alias("refers_to"), F.when(~again, F.col("payload")).alias("payload")
+        "page_id", "target_uri", F.when(again, "revisit").otherwise("response").alias("record_type"), "payload_digest", "payload_bytes", F.when(again, F.col("most")).alias("refers_to"), F.when(~again, F.col("payload")).alias("payload"),
+        F.concat(F.lit("<urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(">")).alias("record_id"),
     )
 
 

@@ -188,3 +188,52 @@ def test_pipeline_stages(llm, tmp_path):
     empty = first.where("doc_id < 0")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(llm, empty, sf).count() == 0
+
+
+def foreign(kind, id_, block, content=None, uri="http://a.example/x"):
+    head = f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID:{id_}\r\nWARC-Target-URI: {uri}\r\nContent-Type: {content or 'application/http; msgtype=response'}\r\nContent-Length: {len(block)}\r\n\r\n"
+    return head.encode() + block + b"\r\n\r\n"
+
+
+def test_foreign_and_compressed_archives(llm, tmp_path):
+    import gzip
+
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"
+    big = b"<p>" + b"y" * 3_000_000
+    records = [
+        foreign("warcinfo", "<urn:uuid:1>", b"software: other", "application/warc-fields"),
+        foreign("response", "<urn:uuid:2>", http + "<p>\u00fc\r\n\r\n".encode() + b"\xff"),
+        foreign("response", "<urn:page:x7>", http + big),
+        foreign("response", "<urn:page:7>", http),
+        foreign("resource", "<urn:uuid:4>", b"plain\r\n\r\ntext", "text/plain"),
+    ]
+    (tmp_path / "a.warc").write_bytes(b"".join(records))
+    (tmp_path / "b.warc.gz").write_bytes(b"".join(map(gzip.compress, records)))  # a member for each record
+    (tmp_path / "c.warc.gz").write_bytes(gzip.compress(b"".join(records)))
+    (tmp_path / "d.txt").write_bytes(b"no archive")
+    warc.register(llm)
+    rows = llm.read.format("warc").load(f"{tmp_path}").orderBy("record_id", "page_id").collect()
+    assert len(rows) == 3 * len(records)
+    got = {(r.record_id, r.record_type, r.page_id, r.target_uri, r.payload) for r in rows}
+    u = "http://a.example/x"
+    assert got == {
+        ("<urn:uuid:1>", "warcinfo", None, u, None),
+        ("<urn:uuid:2>", "response", None, u, "<p>\u00fc\r\n\r\n\ufffd"),
+        ("<urn:page:x7>", "response", None, u, big.decode()),
+        ("<urn:page:7>", "response", 7, u, ""),
+        ("<urn:uuid:4>", "resource", None, u, None),
+    }
+    heads = llm.read.format("warc").option("payload", "false").load(f"{tmp_path}").where("page_id = 7")
+    assert [tuple(r)[:3] for r in heads.collect()] == [(7, u, "response")] * 3
+
+
+def test_payloads_are_not_shuffled_for_few_repeated_digests(llm):
+    plan = warc.to_records(pages(llm))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    limit = llm.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        llm.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        joined = sorted(tuple(r) for r in warc.round_trip(pages(llm)).fillna(-1).collect())
+    finally:
+        llm.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert joined == sorted(tuple(r) for r in warc.round_trip(pages(llm)).fillna(-1).collect())
