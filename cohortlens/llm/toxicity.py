@@ -22,11 +22,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm.text import buffers, by_bytes, hash_spans, spans
+from cohortlens.sources.sizing import broadcast_if_small
+from cohortlens.sources.stage_tables import materialize
 
 BUCKETS = 1 << 17
 DIM = 8
 WINDOW = 4
 MAX_DOCS = 5000
+#: Characters of text that the fit holds, and so the driver.
+MAX_CHARS = 1 << 26
 _LETTER = np.full(256, 0x20, dtype=np.uint8)
 _LETTER[0x30:0x3A] = np.arange(0x30, 0x3A)
 _LETTER[0x61:0x7B] = _LETTER[0x41:0x5B] = np.arange(0x61, 0x7B)
@@ -175,26 +179,38 @@ def remainder(of: int) -> Column:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
-    """(text, y, weight): labelled texts outside the held-out fold, at most about
+    """(text, y, weight), by hash: labelled texts outside the held-out fold, at most about
     max_docs: by hash of doc_id, half of the bound for each label. A doc_id
-    labelled more than once is toxic if any row says so."""
+    labelled more than once is toxic if any row says so. The chosen ids, whose number
+    bounds them, are sent to the texts; beyond the threshold of broadcasts they are joined."""
     fit = labels.where(F.col("toxic").isNotNull() & (remainder(5) != 0)).groupBy("doc_id").agg(F.max("toxic").alias("y"))
     each = {r["y"]: r["count"] for r in fit.groupBy("y").count().collect()}
     rate = F.lit(0.0)
     for y, n in each.items():
         rate = F.when(F.col("y") == y, F.lit(min(1.0, max_docs / 2 / n))).otherwise(rate)
     fit = fit.withColumn("rate", rate).where((F.xxhash64("doc_id") % 1000003 + 1000003) % 1000003 < F.col("rate") * 1000003)
+    chosen = materialize(fit.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("y").cast("int").alias("y"), "rate"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return texts.join(fit, "doc_id").select("text", F.col("y").cast("int").alias("y"), F.try_divide(F.lit(1.0), F.col("rate")).alias("weight"))
-
-
-def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> tuple[np.ndarray, float]:
-    """The trained model; the sample, bounded by max_docs, is fitted on the driver."""
-    sample = training_sample(docs, labels, max_docs).limit(2 * max_docs).toArrow()
-    y = sample.column("y").to_numpy()
-    if len(y) == 0 or y.min() == y.max():  # one label only: its share, whatever the text
-        return np.zeros(BUCKETS, dtype=np.float32), 0.0 if len(y) == 0 else (5.0 if y[0] else -5.0)
-    return train(sample.column("text").combine_chunks(), (y == 1).astype(float), sample.column("weight").to_numpy())
+    joined = texts.join(broadcast_if_small(chosen, 40 * chosen.count()), "doc_id")
+    sample = joined.select("text", "y", F.try_divide(F.lit(1.0), F.col("rate")).alias("weight"), "doc_id")
+    return sample.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).drop("doc_id")
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_chars: int = MAX_CHARS) -> tuple[np.ndarray, float]:
+    """The trained model, fitted on the driver. The sample comes in the order of a hash,
+    so that neither files nor tasks decide what the model sees first, and ends at
+    2 * max_docs rows or max_chars of text, one partition at a time."""
+    texts, y, weight, size = [], [], [], 0
+    for r in training_sample(docs, labels, max_docs).toLocalIterator():
+        size += len(r["text"] or "")
+        if texts and (size > max_chars or len(texts) == 2 * max_docs):
+            break
+        texts.append(r["text"])
+        y.append(r["y"])
+        weight.append(r["weight"])
+    if not y or min(y) == max(y):  # one label only: its share, whatever the text
+        return np.zeros(BUCKETS, dtype=np.float32), 0.0 if not y else (5.0 if y[0] else -5.0)
+    return train(pa.array(texts, pa.string()), (np.array(y) == 1).astype(float), np.array(weight))
 
 
 def score(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
