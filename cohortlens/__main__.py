@@ -21,7 +21,7 @@ import argparse
 import sys
 from collections.abc import Sequence
 
-from cohortlens.config import ClusterConfig, TxConfig
+from cohortlens.config import ClusterConfig, RFMConfig, TxConfig
 from cohortlens.plans.batch import STAGES
 
 
@@ -40,6 +40,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--k-min", type=int, default=ClusterConfig.k_min)
     p.add_argument("--k-max", type=int, default=ClusterConfig.k_max)
     p.add_argument("--n-init", type=int, default=ClusterConfig.n_init, help="KMeans restarts per k")
+    p.add_argument("--buckets", type=int, default=RFMConfig.buckets, help="buckets of the customer tables")
     p.add_argument("--seed", type=int, default=ClusterConfig.seed)
     p.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
     p.add_argument(
@@ -82,7 +83,7 @@ def main(argv: Sequence[str] | None = None) -> dict[str, str]:
     kcfg = ClusterConfig(
         final_k=args.k, k_min=args.k_min, k_max=args.k_max, n_init=args.n_init, seed=args.seed
     )
-    paths = run_stages(spark, raw, args.out, cfg=cfg, kcfg=kcfg, fmt=args.format, stages=stages)
+    paths = run_stages(spark, raw, args.out, cfg=cfg, rcfg=RFMConfig(buckets=args.buckets), kcfg=kcfg, fmt=args.format, stages=stages)
     for name, path in paths.items():
         print(f"{name}\t{path}")
     return paths

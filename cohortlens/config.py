@@ -33,6 +33,9 @@ class RFMConfig:
     """Recency / frequency / monetary parameters."""
 
     id_out: str = "CustomerID"
+    # Buckets of the batch run's customer tables, which are joined by customer:
+    # about one for each 256 MB of the largest.
+    buckets: int = 16
     # Snapshot = midnight of the latest transaction + this many days.
     snapshot_add_days: int = 1
     top_n: int = 10

@@ -102,6 +102,9 @@ def run_stage(
         paths[name] = path(name)
         return write_table(df, paths[name], fmt=fmt, **kw)
 
+    # customer tables share their buckets, so that joins by customer need no shuffle
+    by_customer = {"buckets": (rcfg.id_out, rcfg.buckets)} if fmt == "parquet" else {}
+
     def typed(schema):
         # Parquet carries its own types; CSV text is typed by the declared schema
         return schema if fmt == "csv" else None
@@ -142,7 +145,7 @@ def run_stage(
         _refuse("bad", f"found {{n}} rows with an invalid {cfg.date} in the clean transactions")(dates.get)
         save(
             "rfm_raw", rfm_of(customers, cfg, rcfg, guard=False), metrics={"late": F.count_if(F.col("Recency") < 0)},
-            check=_refuse("late", "found {n} customers with a negative recency; check the snapshot date"),
+            check=_refuse("late", "found {n} customers with a negative recency; check the snapshot date"), **by_customer,
         )
         for name, table in rfm_diagnostics(load("rfm_raw", RFM_SCHEMA), top_n=rcfg.top_n).items():
             save(f"rfm_{name}", table)
@@ -156,7 +159,7 @@ def run_stage(
         feats = load("rfm_scaled", SCALED_SCHEMA)
         fits = fit_sweep(feats, sorted({*sweep_ks(kcfg), kcfg.final_k}), kcfg)
         save("k_evaluation", score_sweep(feats, fits, kcfg).coalesce(1))
-        save("rfm_clustered", assign_nearest(feats, fits[kcfg.final_k][0], kcfg.features, kcfg.cluster_col))
+        save("rfm_clustered", assign_nearest(feats, fits[kcfg.final_k][0], kcfg.features, kcfg.cluster_col), **by_customer)
     elif stage == "profile":
         joined = materialize(
             read_profile_inputs(

@@ -9,6 +9,9 @@ the newest line. So a table is replaced at once or not at all: a job that fails
 half way, or whose check fails, leaves the old version in place, and a reader
 that has begun keeps the version that it has. Folders without a log are read
 as they are.
+
+A table may be dealt out by a key into a fixed number of buckets, which its line in
+the log records: tables of one key and number are joined by it without a shuffle.
 """
 
 from __future__ import annotations
@@ -38,15 +41,20 @@ def _missing(exc: AnalysisException) -> bool:
     return "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc)
 
 
-def versions(spark: SparkSession, path: str) -> list[str]:
-    """Folders of a table's committed versions, the newest last; none for a folder without a log."""
+def _log(spark: SparkSession, path: str) -> list[list[str]]:
+    """A table's committed versions, the newest last: (time, folder, and key and number of buckets, if any)."""
     try:
         lines = spark.read.schema("line string").text(f"{path.rstrip('/')}/{LOG}").collect()  # a line for each write
     except AnalysisException as exc:
         if _missing(exc):
             return []
         raise
-    return [f"{path.rstrip('/')}/{line.split(' ')[1]}" for line in sorted(r["line"] for r in lines)]
+    return [line.split("\t") for line in sorted(r["line"] for r in lines)]
+
+
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """Folders of a table's committed versions, the newest last; none for a folder without a log."""
+    return [f"{path.rstrip('/')}/{line[1]}" for line in _log(spark, path)]
 
 
 def current(spark: SparkSession, path: str) -> str:
@@ -54,6 +62,19 @@ def current(spark: SparkSession, path: str) -> str:
     return (versions(spark, path) or [path])[-1]
 
 
+def _bucketed(spark: SparkSession, folder: str, schema: T.StructType | str | None, key: str, number: str) -> DataFrame:
+    """A bucketed folder as Spark's planner knows it: declared as an external table, whose
+    name is needed no longer once the plan holds its files."""
+    kinds = spark.read.schema(schema).parquet(folder) if schema is not None else spark.read.parquet(folder)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds.schema.fields)
+    name = f"cohortlens_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{key}`) INTO {int(number)} BUCKETS LOCATION '{folder}'")
+    try:
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 def read_table(
     spark: SparkSession,
     path: str,
@@ -80,8 +101,12 @@ def read_table(
             # check the header against the declared columns instead of
             # applying the schema by position (a reordered file fails loudly)
             reader = reader.option("enforceSchema", False)
+    newest = (_log(spark, path) if logged else [])[-1:]
+    folder = f"{path.rstrip('/')}/{newest[0][1]}" if newest else path
+    if newest and len(newest[0]) > 2:
+        return _bucketed(spark, folder, schema, *newest[0][2:])
     try:
-        return reader.format(fmt).load(current(spark, path) if logged else path)
+        return reader.format(fmt).load(folder)
     except AnalysisException as exc:
         if _missing(exc):
             raise MissingInputError(
@@ -209,6 +234,7 @@ def write_table(
     keep: Column | None = None,
     columns: Sequence[str] | None = None,
     check: Callable[[dict], None] | None = None,
+    buckets: tuple[str, int] | None = None,
 ) -> dict:
     """SNK-1/2/3: replace one table (CSV with a header row); returns the metrics.
 
@@ -218,9 +244,13 @@ def write_table(
     written. They are taken after the last shuffle, in the stage that writes, whose
     tasks Spark counts once each, also if executors are lost. Only then do
     ``keep`` and ``columns`` choose the rows and columns to write. ``check`` gets
-    the metrics; if it raises, the table is not replaced.
+    the metrics; if it raises, the table is not replaced. ``buckets``: a key and a
+    number of buckets, for Parquet tables with one row for each key.
     """
     spark, path = df.sparkSession, path.rstrip("/")
+    if buckets:
+        key, number = buckets
+        df = df.repartition(number, key).sortWithinPartitions(key)
     out = df.repartitionByRange(*sort_by) if sort_by else df
     seen = Observation() if metrics else None
     if seen is not None:
@@ -237,12 +267,18 @@ def write_table(
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
         writer = writer.options(header=True, escape='"')
-    writer.format(fmt).save(f"{path}/{version}")
+    if buckets:
+        name = f"cohortlens_{uuid.uuid4().hex}"
+        writer.format(fmt).option("path", f"{path}/{version}").bucketBy(number, key).saveAsTable(name)
+        spark.sql(f"DROP TABLE {name}")  # external: the files stay
+    else:
+        writer.format(fmt).save(f"{path}/{version}")
     found = dict(seen.get) if seen is not None else {}
     if check is not None:
         check(found)
     before = versions(spark, path)
-    spark.createDataFrame([(f"{time.time_ns():020d} {version}",)], "line string").coalesce(1).write.mode("append").text(f"{path}/{LOG}")
+    line = "\t".join([f"{time.time_ns():020d}", version, *map(str, buckets or ())])
+    spark.createDataFrame([(line,)], "line string").coalesce(1).write.mode("append").text(f"{path}/{LOG}")
     for old in before[-2:-1]:  # the version before the last: no reader starts on it any more
         spark.createDataFrame([], "emptied string").write.mode("overwrite").parquet(old)
     return found

@@ -152,3 +152,35 @@ def test_iso_and_month_first_files_give_the_same_rows(spark):
         run_stage(spark, "clean", d, spread.withColumn("InvoiceDate", text).drop("_t"), TxConfig(date_format="auto"))
         outs.append(sorted(map(str, read_table(spark, f"{d}/clean_transactions", "c").collect())))
     assert outs[0] == outs[1] and outs[0]
+
+
+def test_customer_tables_are_joined_without_a_shuffle(spark, capsys):
+    from cohortlens.sources.files import read_profile_inputs
+
+    d = folder()
+    people = spark.range(5000).selectExpr("CAST(id AS STRING) AS CustomerID", "CAST(id % 3 AS INT) AS Cluster")
+    money = spark.range(5000).selectExpr("CAST(id AS STRING) AS CustomerID", "id * 1.5D AS Monetary")
+    write_table(money, f"{d}/rfm", buckets=("CustomerID", 6))
+    write_table(people.repartition(4), f"{d}/clusters", buckets=("CustomerID", 6))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        joined = read_profile_inputs(spark, f"{d}/rfm", f"{d}/clusters")
+        joined.explain()
+        plan = capsys.readouterr().out
+        assert "SortMergeJoin" in plan and "Exchange" not in plan and plan.count("Bucketed: true") == 2
+        assert joined.count() == 5000 and joined.where("Monetary != CAST(CustomerID AS INT) * 1.5").count() == 0
+        write_table(people.where("Cluster < 2"), f"{d}/clusters", buckets=("CustomerID", 4))  # replaced, another number
+        assert read_profile_inputs(spark, f"{d}/rfm", f"{d}/clusters").count() == 3334
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert spark.sql("SHOW TABLES LIKE 'cohortlens_*'").count() == 0
+
+
+def test_the_profile_stage_reads_buckets(spark, capsys):
+    d = folder()
+    run_stages(spark, cleaning_df(spark), d, stages=("clean", "rfm"))
+    rfm = read_table(spark, f"{d}/rfm_raw", "r")
+    rfm.groupBy("CustomerID").count().explain()
+    plan = capsys.readouterr().out
+    assert "Exchange" not in plan and "SelectedBucketsCount: 16 out of 16" in plan
