@@ -14,9 +14,13 @@ the number of texts with words. A document's score is the mean over its words.
 3. All other bigrams go, one row per document and bigram packed in blocks of a
    hash partition, to the partition of their second word (of the pair, if
    that word is frequent). There the bigram's and the word's counts meet the
-   documents' rows; sums per document leave.
-4. First words that are not frequent are joined with the word table, and all
-   sums are added up per document.
+   documents' rows. Sums per document leave, packed in a block for each hash
+   partition of documents, and first words whose count is not there, in a block
+   for each hash partition of words.
+4. The words asked for meet the word table, partition by partition, and all sums
+   are added up per partition of documents. A document has a sum from every
+   partition that holds a bigram of it, so the sums grow with the bigrams; in
+   blocks, a partition sends one row to each other, however many documents it has.
 """
 
 from __future__ import annotations
@@ -176,11 +180,22 @@ def _sums(rid: np.ndarray, value: np.ndarray, missed: np.ndarray, times: np.ndar
     return docs, add(value), add(missed).astype(np.int64), add(times).astype(np.int64)
 
 
-_OUT = "rid long, s double, missed long, n long, word long, times long"
+_OUT = "kind int, part long, block binary"
+_ASKED = ("u8", "i8", "i4")  # first word, document, times
 
 
-def _meet(f: Frequent):
-    """A part's rows to sums per document, and (rid, word, times) for first words whose count is elsewhere."""
+def _blocks(kind: int, key: np.ndarray, parts: int, *arrays: np.ndarray) -> pa.Table:
+    """Arrays in a block for each part of their key."""
+    part = key % parts  # not negative, also for negative keys
+    order = np.argsort(part, kind="stable")
+    part, arrays = part[order], [a[order] for a in arrays]
+    edges = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
+    blocks = [_pack(*[x[a:b] for x in arrays]) for a, b in zip(edges, edges[1:], strict=False)]
+    return pa.table([pa.array([kind] * len(blocks), pa.int32()), pa.array(part[edges[:-1]], pa.int64()), pa.array(blocks, pa.binary())], names=["kind", "part", "block"])
+
+
+def _meet(f: Frequent, parts: int):
+    """A part's rows to sums per document (kind 0), and (word, document, times) for first words whose count is elsewhere (1)."""
 
     def run(table: pa.Table) -> pa.Table:
         rows, names, known = [], [], 0
@@ -191,9 +206,7 @@ def _meet(f: Frequent):
                 rows.append((second, first, at + np.uint32(known), times))
                 known += len(names[-1])
         done = [_unpack(x.as_py(), *_SUMS) for x in table.column("sums") if len(x.as_py())]
-        out = []
-        if done:
-            out.append((*(np.concatenate(x) for x in zip(*done, strict=True)), None, None))
+        out = [_blocks(0, np.zeros(0, np.int64), parts, *[np.zeros(0, k) for k in _SUMS])]
         if rows:
             second, first, doc, times = (np.concatenate(x) for x in zip(*rows, strict=True))
             docs = np.concatenate(names)
@@ -214,18 +227,52 @@ def _meet(f: Frequent):
             c2 = np.where(c2 > 0, c2, totals(word_new))
             c1 = f.find(f.words, f.counts, first)
             value, missed = _values(c12, times, c1, c2, f.total)
-            sums = [np.bincount(doc, x, len(docs)) for x in (value, missed, times)]
-            out.append((docs, sums[0], *(x.astype(np.int64) for x in sums[1:]), None, None))
+            done.append([docs, *[np.bincount(doc, x, len(docs)) for x in (value, missed, times)]])
             ask = (c1 == 0) & (c12 > times)
-            out.append((docs[doc[ask]], None, None, None, first[ask].view(np.int64), times[ask]))
-        kinds = (pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
-        names = ["rid", "s", "missed", "n", "word", "times"]
-        tables = [pa.table([pa.nulls(len(o[0]), k) if x is None else pa.array(x, k) for x, k in zip(o, kinds, strict=True)], names=names) for o in out]
-        return pa.concat_tables(tables) if tables else pa.table([pa.array([], k) for k in kinds], names=names)
+            if ask.any():
+                out.append(_blocks(1, first[ask].view(np.int64), parts, first[ask], docs[doc[ask]], times[ask].astype(np.int32)))
+        if done:
+            docs, *sums = (np.concatenate(x) for x in zip(*done, strict=True))
+            out.append(_total_blocks(docs, sums, parts))
+        return pa.concat_tables(out)
 
     return run
 
 
+def _merged(docs: np.ndarray, sums: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """(documents, sum, backed off, words), one entry per document."""
+    own, at = np.unique(docs, return_inverse=True)
+    s, missed, n = (np.bincount(at, x, len(own)) for x in sums)
+    return own, s, missed.astype(np.int64), n.astype(np.int64)
+
+
+def _total_blocks(docs: np.ndarray, sums: list[np.ndarray], parts: int) -> pa.Table:
+    docs, *sums = _merged(docs, sums)
+    return _blocks(0, docs, parts, docs, *sums)
+
+
+def _answer(parts: int):
+    """Sums per document of the first words asked for, from their part of the word table."""
+
+    def run(asked: pa.Table, words: pa.Table) -> pa.Table:
+        empty = _blocks(0, np.zeros(0, np.int64), parts, *[np.zeros(0, k) for k in _SUMS])
+        if not asked.num_rows:
+            return empty
+        word, doc, times = (np.concatenate(x) for x in zip(*[_unpack(b.as_py(), *_ASKED) for b in asked.column("block")], strict=True))
+        known = words.column("word").to_numpy().view(np.uint64)
+        order = np.argsort(known)
+        c = Frequent.find(known[order], words.column("c").to_numpy()[order], word)
+        none = np.zeros(len(doc), np.int64)
+        return pa.concat_tables([empty, _total_blocks(doc, [-times * np.log(c), none, none], parts)])
+
+    return run
+
+
+def _add_up(table: pa.Table) -> pa.Table:
+    docs, *sums = (np.concatenate(x) for x in zip(*[_unpack(b.as_py(), *_SUMS) for b in table.column("block")], strict=True))
+    return pa.table(list(map(pa.array, _merged(docs, sums))), names=["rid", "s", "missed", "n"])
+
+
 def frequent(docs: DataFrame, words: DataFrame, share: float = FREQUENT, hot: float = HOT) -> Frequent:
     """The bounded tables of frequent words and hot pairs (at most 1 / share and 1 / hot rows)."""
     start = int(np.array([_START]).view(np.int64)[0])
@@ -261,11 +308,12 @@ def score(docs: DataFrame, share: float = FREQUENT, hot: float = HOT, part_rows:
     f = frequent(rows, words, share, hot)
     parts = max(1, ceil(f.total / part_rows))
     dealt = rows.select("rid", "text").mapInArrow(_deal(f, parts), "part long, rows binary, docs binary, sums binary")
-    met = materialize(dealt.groupBy("part").applyInArrow(_meet(f), _OUT))
-    asked = met.where("word is not null").select("rid", "word", "times").join(words, "word")
-    late = asked.select("rid", (-F.col("times") * F.log("c")).alias("s"), F.lit(0).cast("long").alias("missed"), F.lit(0).cast("long").alias("n"))
-    sums = met.where("word is null").select("rid", "s", "missed", "n").unionAll(late)
-    sums = sums.groupBy("rid").agg(F.sum("s").alias("s"), F.sum("missed").alias("missed"), F.sum("n").alias("n"))
+    met = materialize(dealt.groupBy("part").applyInArrow(_meet(f, parts), _OUT))
+    asked = met.where("kind = 1").select("part", "block").groupBy("part")
+    counts = words.select(F.pmod("word", F.lit(parts)).alias("at"), "word", "c").groupBy("at")
+    late = asked.cogroup(counts).applyInArrow(_answer(parts), _OUT)
+    blocks = met.where("kind = 0").unionAll(late).select("part", "block")
+    sums = blocks.groupBy("part").applyInArrow(_add_up, "rid long, s double, missed long, n long")
     base = rows.mapInArrow(_count_texts, "doc_id long, rid long, n_words long")
     out = base.join(sums, "rid", "left")
     # Rows alike share a rid: n is n_words times their number.
