@@ -10,6 +10,11 @@ entry whose stored parent distance already proves it too far, by the
 triangle inequality, is never measured. Queries step together, so that a page
 meets all queries that open it in one product.
 
+Routers are chosen farthest first, which keeps the radii small. Measured on blocks of
+8192 vectors of 64 dimensions, for 20 rows: 11 % and 8 % of all products taken on 200
+clusters of spread 0.2 and 0.05; all of them on random vectors, which are nearly
+equally far from each other, so that no bound of a page can pass over any.
+
 Products are exact: vectors of which sums of products stay below 2**53 go into
 the tree, where only bounds are rounded and give way by ``SLACK``. Pairs with a
 larger vector are multiplied in parts of few bits, whose sums are exact.
@@ -24,7 +29,7 @@ from pyspark.sql import functions as F
 from cohortlens.llm.ann import finite
 from cohortlens.llm.search_blocks import Best, top_k
 
-PAGE = 128
+PAGE = 32
 BLOCK_ROWS = 8192
 SLACK = 1e-6
 #: Scores beyond a long, on either side.
@@ -70,12 +75,24 @@ class Tree:
         self.far.append(far)
         return len(self.router) - 1
 
+    def _routers(self, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(routers, each row's nearest one): every next router is the row farthest from those
+        chosen, which keeps the largest radius within twice the least possible."""
+        picks = [int(rows[self._rng.integers(len(rows))])]
+        far = self.distance(np.array(picks), rows)[0]
+        near = np.zeros(len(rows), np.int64)
+        while len(picks) < n and far.max() > 0:
+            picks.append(int(rows[far.argmax()]))
+            d = self.distance(np.array(picks[-1:]), rows)[0]
+            near[d < far] = len(picks) - 1
+            far = np.minimum(far, d)
+        return np.array(picks), near
+
     def _build(self, rows: np.ndarray, router: int, parent: int | None) -> int:
         node = self._node(router, rows, parent)
         if len(rows) <= PAGE:
             return node
-        picks = self._rng.choice(rows, min(PAGE, max(2, -(-len(rows) // (PAGE // 2)))), replace=False)
-        near = self.distance(rows, picks).argmin(axis=1)
+        picks, near = self._routers(rows, min(PAGE, max(2, -(-len(rows) // (PAGE // 2)))))
         groups = [(rows[near == j], int(p)) for j, p in enumerate(picks)]
         groups = [(g, p) for g, p in groups if len(g)]
         if max(len(g) for g, _ in groups) > 0.9 * len(rows):  # equal vectors, or nearly: by number
@@ -150,7 +167,8 @@ def _large_search(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarra
     return n, i, s
 
 
-def _tree_search(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _tree_search(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray, k: int, products_of: list[int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """products_of: gets the numbers of products with rows and routers that were taken."""
     tree = Tree(x)
     n = len(q)
     length = (q * q).sum(axis=1)
@@ -167,6 +185,7 @@ def _tree_search(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray
         d = np.where(np.isfinite(s), span(np.where(np.isfinite(s), s, 0), own), np.inf)
         return d * (1 + SLACK) + SLACK
 
+    count = [] if products_of is None else products_of
     every = np.arange(n)
     measured[:, tree.root] = span(q @ x[tree.router[tree.root]], every)
     bound[:, tree.root] = 0
@@ -196,6 +215,7 @@ def _tree_search(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray
                 open_ = gap <= most[:, None]
                 some, kids = open_.any(axis=1), open_.any(axis=0)
                 d = span(q[who[some]] @ x[tree.node_router[children[kids]]].T, who[some])
+                count.append(d.size)
                 grid = np.ix_(who[some], children[kids])
                 measured[grid] = d
                 bound[grid] = np.where(open_[np.ix_(some, kids)], np.maximum(d - tree.node_radius[children[kids]][None, :], 0), np.inf)
@@ -205,6 +225,7 @@ def _tree_search(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray
                 some, cols = open_.any(axis=1), open_.any(axis=0)
                 if some.any():
                     s = q[who[some]] @ x[rows[cols]].T
+                    count.append(s.size)
                     s[~open_[np.ix_(some, cols)] | (qids[who[some]][:, None] == ids[rows[cols]][None, :])] = -np.inf
                     a, b = np.nonzero((s >= best.least[who[some]][:, None]) & (s > -np.inf))
                     flat.append((who[some][a], ids[rows[cols]][b], s[a, b]))
@@ -218,10 +239,11 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int =
     """(query_id, rank, vec_id, score long): each query's k largest inner products of
     floor(scale * component), ties to smaller vec_ids.
 
-    Needs vec_id and embedding. Vectors null, empty, or holding null or non-finite
-    components, and rows with a null vec_id, take no part. Scores are exact at any
-    size of the components; the query fails if one it returns does not fit a long.
-    Rows that share a vec_id count as one.
+    Needs vec_id and embedding. Vectors null, or holding null or non-finite
+    components, and rows with a null vec_id, take no part; empty vectors score 0 with
+    each other. Scores are exact at any size of the components; the query fails if
+    one it returns does not fit a long. Each row is a candidate, also if it shares
+    its vec_id.
     """
     # From 2**53 on a double is whole.
     whole = lambda c: F.when(F.abs(c) < 2.0**53, F.floor(c).cast("double")).otherwise(c)

@@ -22,20 +22,32 @@ Search = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int], tuple[n
 
 
 def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
-    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).astype(np.float64)
+    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(column), dim).astype(np.float64)
 
 
 def _run(search: Search, k: int, score: str):
     kind = pa.int64() if score == "long" else pa.float64()
+    names = ["query", "query_id", "row", "vec_id", "score"]
 
     def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
-        names = ["query_id", "vec_id", "score"]
         if not rows.num_rows or not queries.num_rows:
-            return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], kind)], names=names)
+            return pa.table([pa.array([], kind if n == "score" else pa.int64()) for n in names], names=names)
         dim = len(rows.column("v")[0])
-        qids = queries.column("vec_id").to_numpy()
-        q, ids, scores = search(rows.column("vec_id").to_numpy(), _matrix(rows.column("v"), dim), qids, _matrix(queries.column("v"), dim), k)
-        return pa.table([pa.array(qids[q], pa.int64()), pa.array(ids, pa.int64()), pa.array(scores, kind)], names=names)
+        keys, ids = (rows.column(c).to_numpy() for c in ("row", "vec_id"))
+        order = np.lexsort((keys, ids))  # a row's place stands for it: smaller places have smaller ids
+        keys, ids = keys[order], ids[order]
+        by_key = np.argsort(keys)
+        asked = queries.column("row").to_numpy()
+        at = np.searchsorted(keys[by_key], asked)
+        at[at == len(keys)] = 0
+        own = np.where(keys[by_key][at] == asked, by_key[at], -1)  # a query's own row, if it is here
+        if dim:
+            q, place, scores = search(np.arange(len(ids)), _matrix(rows.column("v"), dim)[order], own, _matrix(queries.column("v"), dim), k)
+        else:  # nothing to multiply: all alike
+            every = np.arange(min(len(ids), k + 1))
+            q, c = np.nonzero((own[:, None] != every) & (np.cumsum(own[:, None] != every, axis=1) <= k))
+            place, scores = every[c], np.zeros(len(c))
+        return pa.table([pa.array(asked[q]), pa.array(queries.column("vec_id").to_numpy()[q]), pa.array(keys[place]), pa.array(ids[place]), pa.array(scores).cast(kind)], names=names)
 
     return run
 
@@ -43,20 +55,21 @@ def _run(search: Search, k: int, score: str):
 def top_k(vectors: DataFrame, is_query: Column, k: int, search: Search, block_rows: int, score: str = "double") -> DataFrame:
     """(query_id, rank, vec_id, score double or long) for rows (vec_id, v array<double>) without nulls.
 
-    Rows that share a vec_id count as one vector, the least. A query only meets
-    vectors of its own dimension.
+    Every row is a candidate of every other query of its own dimension, also if it
+    shares its vec_id with others; of rows that share one, each that is a query is
+    answered on its own.
     """
-    rows = vectors.groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
-    rows = materialize(rows.where("dim > 0").withColumn("is_query", is_query))
+    keyed = vectors.select(F.monotonically_increasing_id().alias("row"), "vec_id", "v", F.size("v").alias("dim"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
+    rows = materialize(keyed)  # the keys stay with their rows
     sizes = rows.agg(F.count("*").alias("n"), F.count_if("is_query").alias("q")).first()
     blocks, chunks = max(1, ceil(sizes["n"] / block_rows)), max(1, ceil((sizes["q"] or 0) / block_rows))
-    hashed = F.xxhash64("vec_id")
+    hashed = F.xxhash64("row")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = rows.select("dim", F.pmod(hashed, F.lit(blocks)).cast("int").alias("block"), every(chunks).alias("chunk"), "vec_id", "v")
-    right = rows.where("is_query").select("dim", F.pmod(hashed, F.lit(chunks)).cast("int").alias("chunk"), every(blocks).alias("block"), "vec_id", "v")
+    left = rows.select("dim", F.pmod(hashed, F.lit(blocks)).cast("int").alias("block"), every(chunks).alias("chunk"), "row", "vec_id", "v")
+    right = rows.where("is_query").select("dim", F.pmod(hashed, F.lit(chunks)).cast("int").alias("chunk"), every(blocks).alias("block"), "row", "vec_id", "v")
     key = ["dim", "block", "chunk"]
-    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_run(search, k, score), f"query_id long, vec_id long, score {score}")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_run(search, k, score), f"query long, query_id long, row long, vec_id long, score {score}")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

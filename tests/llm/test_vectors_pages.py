@@ -25,22 +25,32 @@ def vectors(llm, rng, n=400, dim=12):
     return x, llm.createDataFrame(rows, "vec_id long, embedding array<double>, score string")
 
 
-def brute(ids, x, q, k, score):
+def brute(rows, queries, k, score):
+    """rows: (id, vector); queries: places of rows that ask. Answers by id, in order of place."""
     out = {}
-    for i in q:
-        s = sorted(((-score(x[i], x[j]), j) for j in ids if j != i))[:k]
-        out[i] = [(r + 1, j, -v) for r, (v, j) in enumerate(s)]
-    return out
+    for n in queries:
+        i, v = rows[n]
+        s = sorted((-score(v, w), j, m) for m, (j, w) in enumerate(rows) if m != n and len(v) == len(w))[:k]
+        out.setdefault(i, []).append([(r + 1, j, -x) for r, (x, j, _) in enumerate(s)])
+    return {i: sorted(x for a in answers for x in a) for i, answers in out.items()}
+
+
+def answers(df):
+    got = {}
+    for r in df.collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    return {i: sorted(x) for i, x in got.items()}
 
 
 def test_exact_search_equals_brute_force(llm, monkeypatch):
     monkeypatch.setattr(mtree, "BLOCK_ROWS", 90)
     x, df = vectors(llm, np.random.default_rng(0))
-    ints = {i: np.floor(64 * v).astype(int) for i, v in enumerate(x)} | {1010: np.zeros(x.shape[1], int)}
-    got = {}
-    for r in mtree.exact_top_k(df, is_query()).orderBy("query_id", "rank").collect():
-        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
-    assert got == brute(list(ints), ints, [i for i in ints if i % 5 == 0], 20, lambda a, b: int(a @ b))
+    ints = [(i, np.floor(64 * v).astype(int)) for i, v in enumerate(x)] + [(1010, np.zeros(x.shape[1], int)), (7, np.floor(64 * x[7]).astype(int))]
+    ints += [(20, np.floor(-64 * x[20]).astype(int)), (1020, np.zeros(0, int)), (1022, np.zeros(0, int)), (1025, np.zeros(0, int))]
+    df = df.unionAll(llm.createDataFrame([(20, (-x[20]).tolist(), "x"), (1022, [], "x"), (1025, [], "x")], df.schema))
+    want = brute(ints, [n for n, (i, _) in enumerate(ints) if i % 5 == 0], 20, lambda a, b: int(a @ b))
+    assert len(want[20]) == 40 and [r[1] for r in want[1020]] == [1022, 1025]
+    assert answers(mtree.exact_top_k(df, is_query())) == want
 
 
 def test_large_components_take_part_exactly(llm, monkeypatch):
@@ -51,12 +61,9 @@ def test_large_components_take_part_exactly(llm, monkeypatch):
     x[::15] *= 2.0**4
     x[40:60] = x[45] + rng.integers(0, 2, (20, 6))  # products that differ in few of many bits
     df = llm.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
-    ints = {i: [math.floor(64 * c) for c in v] for i, v in enumerate(x.tolist())}
-    got = {}
-    for r in mtree.exact_top_k(df, is_query()).orderBy("query_id", "rank").collect():
-        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
-    want = brute(list(ints), ints, range(0, 200, 5), 20, lambda a, b: sum(c * d for c, d in zip(a, b, strict=True)))
-    assert got == want and max(s for w in want.values() for _, _, s in w) > 2**53
+    ints = [(i, [math.floor(64 * c) for c in v]) for i, v in enumerate(x.tolist())]
+    want = brute(ints, range(0, 200, 5), 20, lambda a, b: sum(c * d for c, d in zip(a, b, strict=True)))
+    assert answers(mtree.exact_top_k(df, is_query())) == want and max(s for w in want.values() for _, _, s in w) > 2**53
     wide = llm.createDataFrame([(i, [2.0**50 * (1 - 2 * (i == 1)), 2.0**20]) for i in range(3)], "vec_id long, embedding array<double>")
     with pytest.raises(Exception, match="does not fit a long"):
         mtree.exact_top_k(wide, is_query()).collect()
@@ -86,11 +93,24 @@ def test_tree_bounds_hold_and_prune():
         assert list(zip(i[q == a], s[q == a], strict=True)) == [(j, -v) for v, j in want]
 
 
+@pytest.mark.parametrize("spread,most", [(0.2, 0.2), (0.05, 0.15)])
+def test_share_of_products_that_the_tree_takes(spread, most):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(200, 64))[rng.integers(0, 200, 8192)] + spread * rng.normal(size=(8192, 64))  # 40 a cluster
+    x = np.floor(64 * x / np.linalg.norm(x, axis=1, keepdims=True))
+    ids, queries, taken = np.arange(len(x)), np.arange(0, len(x), 20), []
+    q, found, s = mtree._tree_search(ids, x, queries, x[queries], 20, taken)
+    assert sum(taken) / (len(x) * len(queries)) < most
+    for i in range(0, len(queries), 50):
+        want = sorted(((-(x[queries[i]] @ x[j]), j) for j in ids if j != queries[i]))[:20]
+        assert list(zip(found[q == i], s[q == i], strict=True)) == [(j, -v) for v, j in want]
+
+
 def test_nearest_reaches_recall_and_scores_exactly(llm, monkeypatch):
     monkeypatch.setattr(ann, "BLOCK_ROWS", 150)
     x, df = vectors(llm, np.random.default_rng(1))
     rows = ann.nearest(df, is_query()).collect()
-    want = brute(range(len(x)), x, [i for i in range(len(x)) if i % 5 == 0], 20, lambda a, b: float(a @ b))
+    want = brute([*enumerate(x), (7, x[7])], range(0, len(x), 5), 20, lambda a, b: float(a @ b))
     hit = 0
     for r in rows:
         assert r.query_id != r.vec_id and r.score == pytest.approx(float(x[r.query_id] @ x[r.vec_id]), abs=1e-12)
@@ -98,6 +118,31 @@ def test_nearest_reaches_recall_and_scores_exactly(llm, monkeypatch):
     assert {r.query_id for r in rows} == set(want) and hit >= 0.97 * 20 * len(want)
 
 
+@pytest.mark.parametrize("spread,most_verified", [(None, 0.75), (0.2, 0.05), (0.05, 0.03)])
+def test_share_of_pairs_that_the_search_verifies(spread, most_verified):
+    """Random vectors, and 200 clusters: recall beside what was multiplied for it."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(6000, 64))
+    if spread:
+        x = rng.normal(size=(200, 64))[rng.integers(0, 200, 6000)] + spread * x
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ids, queries, verified = np.arange(len(x)), np.arange(0, len(x), 60), []
+    q, found, _ = ann._search(ann.PROJECTIONS, ann.CERTAIN, 0, verified)(ids, x, queries, x[queries], 20)
+    hit = 0
+    for i, a in enumerate(queries):
+        s = x @ x[a]
+        s[a] = -np.inf
+        hit += len(set(np.argsort(-s)[:20]) & set(found[q == i]))
+    assert hit / (20 * len(queries)) > 0.93 and sum(verified) / (len(x) * len(queries)) < most_verified
+
+
+def test_common_vectors_go_to_the_smallest_ids():
+    x = np.repeat(np.random.default_rng(7).normal(size=(3, 16)), 900, axis=0)
+    order = np.random.default_rng(8).permutation(len(x))
+    q, found, s = ann._search(ann.PROJECTIONS, ann.CERTAIN, 0)(order, x, order[:1], x[:1], 5)
+    assert found.tolist() == sorted(set(order[:900]) - {order[0]})[:5]
+
+
 def test_few_vectors_and_none(llm):
     few = llm.createDataFrame([(0, [1.0, 2.0]), (1, [3.0, 1.0]), (2, [0.5])], "vec_id long, embedding array<double>")
     assert [(r.query_id, r.vec_id, r.score) for r in ann.nearest(few, is_query()).collect()] == [(0, 1, 5.0)]
