@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.llm.components import components, merged
@@ -141,11 +141,6 @@ def _linked(percent: int):
     return run
 
 
-def _node() -> Column:
-    """One number for a set, from its size and two fingerprints."""
-    return F.xxhash64("n", "f1", "f2")
-
-
 def _buckets(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     """(key, node) of the band buckets that hold several sets."""
     rows = nodes.select("node", F.explode("bands").alias("key"))
@@ -238,25 +233,27 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = WIDTH, slot
     shingle sets. ``component`` numbers the group; ``component_id`` is its
     least doc_id. Texts null, empty or without words have no shingles and are
     linked with nothing: component null, component_id their own doc_id. Rows
-    repeated are returned as often; a null doc_id counts as larger than all
+    repeated are returned as often, very long texts are taken whole, and an empty
+    table gives no rows; a null doc_id counts as larger than all
     others, and component_id is null only if the whole group has none. ``th``
     is the text's xxhash64, to tell rows with the same doc_id apart.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
-    signed = materialize(rows.mapInArrow(_signed(width, band_rows(percent, slots)), _SIGNED).withColumn("node", F.when(F.col("n") > 0, _node())))
-    sets = materialize(
-        signed.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("first"), F.first("bands").alias("bands"))
-    )
+    signed = materialize(rows.mapInArrow(_signed(width, band_rows(percent, slots)), _SIGNED))
+    # a set is known by its size and two fingerprints, 128 bits beside the size; its number is its place in the table
+    known = ["n", "f1", "f2"]
+    each = signed.where("n > 0").groupBy(*known).agg(F.min("doc_id").alias("least_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("first"), F.first("bands").alias("bands"))
+    sets = materialize(each.withColumn("node", F.monotonically_increasing_id()))
     buckets = materialize(_buckets(sets, sets))
     wanted = buckets.select("node").distinct().join(sets, "node").select("node", F.col("first.doc_id").alias("doc_id"), F.col("first.th").alias("th"))
     texts = rows.join(wanted, rows.doc_id.eqNullSafe(wanted.doc_id) & (rows.th == wanted.th)).select("node", "text")
     blobs = materialize(texts.mapInArrow(_blobs(width), _BLOBS).dropDuplicates(["node"]))
     groups = _links(buckets, blobs, percent)
-    named = sets.select("node", "least_id").join(groups, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("component"))
+    named = sets.select("node", *known, "least_id").join(groups, "node", "left").select(*known, "least_id", F.coalesce("root", "node").alias("component"))
     named = materialize(named)
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    named = named.select("node", "component").join(least, "component")
-    out = signed.select("doc_id", "th", F.col("n").alias("n_shingles"), "node").join(named, "node", "left")
+    named = named.select(*known, "component").join(least, "component")
+    out = signed.select("doc_id", "th", *known).join(named, known, "left").withColumnRenamed("n", "n_shingles")
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "th", "n_shingles", "component", own.alias("component_id"))
 
