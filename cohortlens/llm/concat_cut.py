@@ -24,7 +24,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import public_tokenizers
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -178,7 +177,11 @@ PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id lon
 
 def _pieces(docs: DataFrame, length: int, end: int, vocabulary: str | None) -> tuple[DataFrame, Windows]:
     spark = docs.sparkSession
-    with open(vocabulary or public_tokenizers.path(VOCABULARY), encoding="utf-8") as f:
+    if vocabulary is None:
+        import public_tokenizers
+
+        vocabulary = public_tokenizers.path(VOCABULARY)
+    with open(vocabulary, encoding="utf-8") as f:
         model = f.read()  # bounded by the vocabulary; executors need no file
     width = Tokens(model).dtype.itemsize
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
