@@ -15,12 +15,15 @@
    permuted order then fill these quotas, so shards are disjoint and hold the
    sources in proportion. Each shard is shuffled on its own.
 
-The tree handles one row per source and the shards' counts; documents only
-meet their block's row.
+The tree is first that of groups of ``GROUP`` sources and then, in a task for each
+group, that of its sources, with the group's draws of each shard as totals; a task
+holds a vector of sources for each level, and gives its shards one by one. Documents
+only meet their block's row.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from math import ceil, lcm
 
 import numpy as np
@@ -31,6 +34,8 @@ from pyspark.sql import functions as F
 from cohortlens.sources.stage_tables import materialize
 
 WEIGHTS = (5, 2, 1)
+#: Sources whose draws one task splits.
+GROUP = 4096
 #: Words of a shard, if the number of shards isn't given.
 SHARD_WORDS = 1 << 24
 
@@ -76,35 +81,86 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: in
     return t.select("source", F.col("si").cast("long").alias("si"), "n_docs", "source_size", "target", "full", "extra")
 
 
-def split_quotas(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
-    """(shards x sources) draws of each source for each shard; columns sum to the quotas."""
-    out = np.zeros((shards, len(quotas)), dtype=np.int64)
-    todo = [(0, shards, np.asarray(quotas, dtype=np.int64))]
+def _split(q: np.ndarray, totals: np.ndarray, lo: int, hi: int, seed: list[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """(shard, draws of each source) of the shards from lo on, one after the other; totals:
+    running sums of the shards' draws. Holds one vector for each level of the tree."""
+    if not q.any():
+        return
+    if hi - lo == 1:
+        yield lo, q
+        return
+    mid = (lo + hi) // 2
+    left = np.random.default_rng([*seed, lo, hi]).multivariate_hypergeometric(q, int(totals[mid] - totals[lo]), method="marginals")
+    yield from _split(left, totals, lo, mid, seed)
+    yield from _split(q - left, totals, mid, hi, seed)
+
+
+def even(total: int, shards: int) -> np.ndarray:
+    """Running sums of shards' draws that halve the total at every node of the tree."""
+    sums = np.zeros(shards + 1, dtype=np.int64)
+    todo = [(0, shards, total)]
     while todo:
-        lo, hi, q = todo.pop()
+        lo, hi, n = todo.pop()
         if hi - lo == 1:
-            out[lo] = q
+            sums[hi] = n
             continue
         mid = (lo + hi) // 2
-        total = int(q.sum())
-        rng = np.random.default_rng([seed, lo, hi])
-        left = rng.multivariate_hypergeometric(q, total * (mid - lo) // (hi - lo), method="marginals") if total else q
-        todo += [(lo, mid, left), (mid, hi, q - left)]
+        part = n * (mid - lo) // (hi - lo)
+        todo += [(lo, mid, part), (mid, hi, n - part)]
+    return np.cumsum(sums)
+
+
+def split_quotas(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
+    """(shards x sources) draws of each source for each shard; columns sum to the quotas."""
+    quotas = np.asarray(quotas, dtype=np.int64)
+    out = np.zeros((shards, len(quotas)), dtype=np.int64)
+    for shard, q in _split(quotas, even(int(quotas.sum()), shards), 0, shards, [seed]):
+        out[shard] = q
     return out
 
 
-def _quota_rows(shards: int, seed: int):
+def _quota_rows(groups: pd.DataFrame, shards: int, seed: int):
+    """Rows (si, shard, start, n) of one group of sources. groups: (grp, draws) of all groups,
+    whose own tree gives each of them its draws of every shard."""
+    totals = groups.sort_values("grp")["draws"].to_numpy(dtype=np.int64)
+    sums = even(int(totals.sum()), shards)
+
     def run(sources: pd.DataFrame) -> pd.DataFrame:
         sources = sources.sort_values("si")
-        q = split_quotas(sources["draws"].to_numpy(), shards, seed)
-        start = np.cumsum(q, axis=0) - q
-        s, k = q.shape
-        rows = pd.DataFrame({"si": np.tile(sources["si"].to_numpy(), s), "shard": np.repeat(np.arange(s), k), "start": start.reshape(-1), "n": q.reshape(-1)})
-        return rows[rows["n"] > 0]
+        grp = int(sources["grp"].iloc[0])
+        if len(totals) > 1:
+            own = np.zeros(shards + 1, dtype=np.int64)
+            for shard, q in _split(totals, sums, 0, shards, [seed]):
+                own[shard + 1] = q[grp]
+            mine, name = np.cumsum(own), [seed, grp]
+        else:
+            mine, name = sums, [seed]
+        si, q = sources["si"].to_numpy(), sources["draws"].to_numpy(dtype=np.int64)
+        start, parts = np.zeros_like(q), []
+        for shard, n in _split(q, mine, 0, shards, name):
+            at = np.flatnonzero(n)
+            parts.append((si[at], np.full(len(at), shard), start[at].copy(), n[at]))
+            start += n
+        columns = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.zeros(0, np.int64)] * 4
+        return pd.DataFrame(dict(zip(["si", "shard", "start", "n"], columns, strict=True)))
 
     return run
 
 
+def running(rows: DataFrame, keys: list[str], order: Column, ties: list[str], what: Column, name: str) -> DataFrame:
+    """rows with the sum of ``what`` over the rows before them, by ``order``, an md5, and ties.
+
+    The first two digits cut a source into 256 ranges: their sums, and a window inside
+    each, so that a source with half of all rows is no single task's work.
+    """
+    cut = rows.withColumn("_key", order).withColumn("_range", F.substring("_key", 1, 2)).withColumn("_what", what)
+    sums = cut.groupBy(*keys, "_range").agg(F.sum("_what").alias("_sum"))
+    base = sums.withColumn("_base", F.sum("_sum").over(Window.partitionBy(*keys).orderBy("_range")) - F.col("_sum")).drop("_sum")
+    inside = Window.partitionBy(*keys, "_range").orderBy("_key", *ties).rowsBetween(Window.unboundedPreceding, 0)
+    out = cut.withColumn("_in", F.sum("_what").over(inside) - F.col("_what")).join(base, [*keys, "_range"])
+    return out.withColumn(name, (F.col("_base") + F.col("_in")).cast("long")).drop("_key", "_range", "_what", "_in", "_base")
+
+
 def plan(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = 2, shards: int | None = None, block_docs: int = 256, seed: int = 0) -> tuple[DataFrame, DataFrame]:
     """(source table, block table) for rows (source, size, h), h from ``order_key``.
 
@@ -118,16 +174,17 @@ def plan(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = 2, sha
         shards = max(1, ceil(taken / SHARD_WORDS))
     blocks = place(sized, sources).groupBy("si", "block", "full", "extra").agg(F.sum("size").alias("words"))
     key = F.md5(F.concat_ws(":", F.lit(f"b{seed}"), F.col("block").cast("string")))
-    order = Window.partitionBy("si").orderBy(key, "block")
-    blocks = blocks.withColumn("before", F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("words"))
+    blocks = running(materialize(blocks), ["si"], key, ["block"], F.col("words"), "before")
     room = F.when((F.col("before") < F.col("extra")) & (F.col("before") + F.col("words") > F.col("extra")), F.col("extra") - F.col("before"))
     blocks = blocks.withColumn("room", room).withColumn("passes", F.col("full") + F.when((F.col("before") < F.col("extra")) & (F.col("words") > 0), 1).otherwise(0))
     blocks = materialize(blocks.select("si", "block", "words", "room", "passes"))
     draws = blocks.where("passes > 0").select("si", "block", F.explode(F.sequence(F.lit(1).cast("long"), "passes")).alias("pass"))
     mixed = F.md5(F.concat_ws(":", F.lit(f"p{seed}"), F.col("pass").cast("string"), F.col("block").cast("string")))
-    draws = draws.withColumn("i", F.row_number().over(Window.partitionBy("si").orderBy(mixed, "pass", "block")).cast("long") - 1)
-    counts = blocks.groupBy("si").agg(F.sum("passes").cast("long").alias("draws"))
-    quotas = counts.withColumn("tree", F.lit(seed)).groupBy("tree").applyInPandas(_quota_rows(shards, seed), "si long, shard long, start long, n long")
+    draws = running(draws, ["si"], mixed, ["pass", "block"], F.lit(1), "i")
+    counts = blocks.groupBy("si").agg(F.sum("passes").cast("long").alias("draws")).withColumn("grp", F.floor((F.col("si") - 1) / GROUP).cast("long"))
+    groups = counts.groupBy("grp").agg(F.sum("draws").alias("draws")).toPandas()  # a row for each GROUP sources
+    whole = pd.DataFrame({"grp": np.arange(int(groups["grp"].max()) + 1 if len(groups) else 0)}).merge(groups, how="left").fillna(0)
+    quotas = counts.groupBy("grp").applyInPandas(_quota_rows(whole, shards, seed), "si long, shard long, start long, n long")
     slots = quotas.select("si", "shard", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("i"))
     dealt = draws.join(slots, ["si", "i"]).groupBy("si", "block").agg(F.sort_array(F.collect_list(F.struct("pass", "shard"))).alias("draws"))
     return sources, materialize(blocks.join(dealt, ["si", "block"]).select("si", "block", "room", "draws"))
