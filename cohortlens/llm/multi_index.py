@@ -242,7 +242,10 @@ class Search:
         sound = rows.where(F.col("label").isNotNull() & F.col("vec_id").isNotNull() & finite())
         keyed = sound.select(F.monotonically_increasing_id().alias("key"), F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), F.coalesce(is_anchor, F.lit(False)).alias("anchor"), v.alias("v"))
         keyed = materialize(keyed)  # the keys stay with their rows
-        sample = keyed.orderBy(F.xxhash64("vec_id"), "key").limit(SAMPLE).select("v").toArrow().column("v").combine_chunks()
+        # by a hash, few more rows than wanted reach the sort, whatever the number of rows and tasks
+        hashed, share = F.xxhash64("vec_id", "key"), min(1.0, 4 * SAMPLE / max(keyed.count(), 1))
+        likely = keyed.where(F.pmod(hashed, F.lit(1 << 40)) < F.lit(int(share * (1 << 40))))
+        sample = likely.orderBy(hashed, "key").limit(SAMPLE).select("v").toArrow().column("v").combine_chunks()
         indexes = {d: Index(*[codebook(h, codes) for h in Index.halves(np.floor(scale * x))]) for d, _, x in _by_dim(sample)} if len(sample) else {}
         kinds = "key long, vec_id long, label long, anchor boolean, dim int, i int, j int, far1 double, far2 double, v array<double>"
         self.rows = materialize(keyed.mapInArrow(_assign(indexes, scale), kinds))
