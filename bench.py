@@ -9,6 +9,8 @@ env:
 Each run builds the query (stage checkpoints included) and executes the
 whole plan into Spark's no-op sink, so nothing is collected to the driver.
 Timings are warm: one untimed run of the first query precedes the loop.
+``control_sec`` times a plain Spark aggregate over the order lines, without any
+code of this library, before and after the queries: it moves with the machine only.
 """
 
 from __future__ import annotations
@@ -61,11 +63,20 @@ def main() -> None:
         qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
+    def control() -> float:
+        t0 = time.perf_counter()
+        lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+        lines.groupBy("l_partkey").agg({"l_extendedprice": "sum"}).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t0
+
     run(names[0])  # warm-up: JVM, file listing, codegen caches
+    control()
+    controls = [control() for _ in range(repeats)]
     timings: dict[str, float] = {}
     for name in names:
         timings[name] = round(statistics.median(run(name) for _ in range(repeats)), 3)
 
+    controls += [control() for _ in range(repeats)]
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(
         json.dumps(
@@ -77,6 +88,7 @@ def main() -> None:
                 "sf": float(m.group(1)) if m else sf_dir,
                 "cpus": cpus,
                 "repeats": repeats,
+                "control_sec": round(statistics.median(controls), 3),
             }
         )
     )

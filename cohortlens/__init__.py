@@ -1,8 +1,9 @@
 """cohortlens: customer segmentation and activity timing as Spark DataFrame plans.
 
-Every operator is a pure ``DataFrame -> DataFrame`` function built from
-``pyspark.sql.functions`` expressions (no Python UDFs), parameterised by the
-frozen dataclasses in :mod:`cohortlens.config`.
+Operators are ``DataFrame -> DataFrame`` functions built from
+``pyspark.sql.functions`` expressions, parameterised by the frozen dataclasses
+in :mod:`cohortlens.config`. Two run numpy on Arrow batches inside tasks: the
+passes of KMeans and the Euclidean silhouette.
 
 Layout
 ------

@@ -5,7 +5,6 @@ from cohortlens.functions.scalar import (
     cut,
     full_days_between,
     is_missing,
-    is_positive,
     normalize_id,
     ordinal,
     parse_timestamp,
@@ -20,7 +19,6 @@ __all__ = [
     "cut",
     "full_days_between",
     "is_missing",
-    "is_positive",
     "normalize_id",
     "ordinal",
     "parse_timestamp",

@@ -38,11 +38,6 @@ def is_missing(c: Column, dtype: DataType | None = None) -> Column:
     return c.isNull()
 
 
-def is_positive(c: Column) -> Column:
-    """Strictly positive and not NaN (Spark orders NaN above every number)."""
-    return (c > 0) & ~F.isnan(c)
-
-
 def parse_timestamp(c: Column, dtype: DataType, fmt: str | None = None) -> Column:
     """Timestamp without zone; text that does not parse becomes null.
 

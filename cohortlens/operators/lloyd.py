@@ -111,7 +111,10 @@ def fit_all(
     """One fit for each (k, seed) of ``wanted``. ``table`` holds the features only (doubles,
     no nulls), ``rows`` the same rows with the columns that tell them apart."""
     features = table.columns
-    first = rows.dropna(subset=features).orderBy(F.xxhash64(*rows.columns), *features).limit(SAMPLE)
+    # by the hash, few more than wanted reach the sort, whatever the number of rows and tasks
+    hashed, share = F.xxhash64(*rows.columns), min(1.0, 4 * SAMPLE / max(table.count(), 1))
+    likely = rows.dropna(subset=features).where(F.pmod(hashed, F.lit(1 << 40)) < F.lit(int(share * (1 << 40))))
+    first = likely.orderBy(hashed, *features).limit(SAMPLE)
     x = first.select(*[F.col(c).cast("double") for c in features]).toPandas().to_numpy(dtype=float)
     if not len(x):
         raise ValueError("KMeans needs at least one row without null features")
