@@ -16,6 +16,8 @@ the log records: tables of one key and number are joined by it without a shuffle
 
 from __future__ import annotations
 
+import json
+import os
 import time
 import uuid
 from collections.abc import Callable, Sequence
@@ -42,7 +44,7 @@ def _missing(exc: AnalysisException) -> bool:
 
 
 def _log(spark: SparkSession, path: str) -> list[list[str]]:
-    """A table's committed versions, the newest last: (time, folder, and key and number of buckets, if any)."""
+    """A table's committed versions, the newest last: (time, folder, and key, number of buckets and schema, if bucketed)."""
     try:
         lines = spark.read.schema("line string").text(f"{path.rstrip('/')}/{LOG}").collect()  # a line for each write
     except AnalysisException as exc:
@@ -62,12 +64,20 @@ def current(spark: SparkSession, path: str) -> str:
     return (versions(spark, path) or [path])[-1]
 
 
-def _bucketed(spark: SparkSession, folder: str, schema: T.StructType | str | None, key: str, number: str) -> DataFrame:
+def _absolute(spark: SparkSession, path: str) -> str:
+    """The path as a table's location, which Spark would look for in the warehouse if it were relative."""
+    if "://" in path or path.startswith(("/", "file:")):
+        return path
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"a bucketed table needs an absolute path, not {path!r}")
+    return os.path.abspath(path)
+
+
+def _bucketed(spark: SparkSession, folder: str, key: str, number: str, schema: str) -> DataFrame:
     """A bucketed folder as Spark's planner knows it: declared as an external table, whose
     name is needed no longer once the plan holds its files."""
-    kinds = spark.read.schema(schema).parquet(folder) if schema is not None else spark.read.parquet(folder)
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds.schema.fields)
-    name = f"cohortlens_{uuid.uuid4().hex}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in T.StructType.fromJson(json.loads(schema)).fields)
+    name, folder = f"cohortlens_{uuid.uuid4().hex}", _absolute(spark, folder).replace("'", "\\'")
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{key}`) INTO {int(number)} BUCKETS LOCATION '{folder}'")
     try:
         return spark.table(name)
@@ -104,7 +114,7 @@ def read_table(
     newest = (_log(spark, path) if logged else [])[-1:]
     folder = f"{path.rstrip('/')}/{newest[0][1]}" if newest else path
     if newest and len(newest[0]) > 2:
-        return _bucketed(spark, folder, schema, *newest[0][2:])
+        return _bucketed(spark, folder, *newest[0][2:])
     try:
         return reader.format(fmt).load(folder)
     except AnalysisException as exc:
@@ -269,7 +279,7 @@ def write_table(
         writer = writer.options(header=True, escape='"')
     if buckets:
         name = f"cohortlens_{uuid.uuid4().hex}"
-        writer.format(fmt).option("path", f"{path}/{version}").bucketBy(number, key).saveAsTable(name)
+        writer.format(fmt).option("path", _absolute(spark, f"{path}/{version}")).bucketBy(number, key).saveAsTable(name)
         spark.sql(f"DROP TABLE {name}")  # external: the files stay
     else:
         writer.format(fmt).save(f"{path}/{version}")
@@ -277,7 +287,7 @@ def write_table(
     if check is not None:
         check(found)
     before = versions(spark, path)
-    line = "\t".join([f"{time.time_ns():020d}", version, *map(str, buckets or ())])
+    line = "\t".join([f"{time.time_ns():020d}", version, *([key, str(number), out.schema.json()] if buckets else [])])
     spark.createDataFrame([(line,)], "line string").coalesce(1).write.mode("append").text(f"{path}/{LOG}")
     for old in before[-2:-1]:  # the version before the last: no reader starts on it any more
         spark.createDataFrame([], "emptied string").write.mode("overwrite").parquet(old)

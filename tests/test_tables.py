@@ -1,5 +1,6 @@
 """Atomic sinks, checks with counts, the audit of the cleaning write, and date formats."""
 
+import os
 import tempfile
 
 import pytest
@@ -177,6 +178,19 @@ def test_customer_tables_are_joined_without_a_shuffle(spark, capsys):
     assert spark.sql("SHOW TABLES LIKE 'cohortlens_*'").count() == 0
 
 
+def test_bucketed_tables_at_relative_and_quoted_paths(spark, monkeypatch, tmp_path):
+    monkeypatch.chdir(tmp_path)
+    money = spark.range(50).selectExpr("CAST(id AS STRING) AS CustomerID", "id * 1.5D AS Monetary")
+    write_table(money, f"{tmp_path}/it's/rfm", buckets=("CustomerID", 3))
+    assert read_table(spark, f"{tmp_path}/it's/rfm", "r").count() == 50
+    if os.path.abspath("out") == spark.range(1).sparkSession.sparkContext._jvm.java.io.File("out").getAbsolutePath():
+        write_table(money, "out/rfm", buckets=("CustomerID", 3))
+        assert read_table(spark, "out/rfm", "r").count() == 50
+    empty = money.where("Monetary < 0")
+    write_table(empty, f"{tmp_path}/none", buckets=("CustomerID", 3))
+    assert read_table(spark, f"{tmp_path}/none", "r").count() == 0
+
+
 def test_the_profile_stage_reads_buckets(spark, capsys):
     d = folder()
     run_stages(spark, cleaning_df(spark), d, stages=("clean", "rfm"))
