@@ -241,7 +241,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = WIDTH, slot
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
     signed = materialize(rows.mapInArrow(_signed(width, band_rows(percent, slots)), _SIGNED))
     # a set is known by its size and two fingerprints, 128 bits beside the size; its number is its place in the table
-    known = ["n", "f1", "f2"]
+    known = ["f1", "f2", "n"]  # a fingerprint first, which sorts apart what the size would not
     each = signed.where("n > 0").groupBy(*known).agg(F.min("doc_id").alias("least_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("first"), F.first("bands").alias("bands"))
     sets = materialize(each.withColumn("node", F.monotonically_increasing_id()))
     buckets = materialize(_buckets(sets, sets))
