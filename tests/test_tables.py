@@ -159,6 +159,8 @@ def test_customer_tables_are_joined_without_a_shuffle(spark, capsys):
     from cohortlens.sources.files import read_profile_inputs
 
     d = folder()
+    names = lambda: {t.tableName for t in spark.sql("SHOW TABLES LIKE 'cohortlens_*'").collect()}
+    before = names()
     people = spark.range(5000).selectExpr("CAST(id AS STRING) AS CustomerID", "CAST(id % 3 AS INT) AS Cluster")
     money = spark.range(5000).selectExpr("CAST(id AS STRING) AS CustomerID", "id * 1.5D AS Monetary")
     write_table(money, f"{d}/rfm", buckets=("CustomerID", 6))
@@ -175,7 +177,7 @@ def test_customer_tables_are_joined_without_a_shuffle(spark, capsys):
         assert read_profile_inputs(spark, f"{d}/rfm", f"{d}/clusters").count() == 3334
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
-    assert spark.sql("SHOW TABLES LIKE 'cohortlens_*'").count() == 0
+    assert names() == before
 
 
 def test_bucketed_tables_at_relative_and_quoted_paths(spark, monkeypatch, tmp_path):
