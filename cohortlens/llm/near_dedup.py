@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.llm.components import components, merged
@@ -35,6 +35,8 @@ from cohortlens.sources.stage_tables import materialize
 
 SLOTS = 128
 WIDTH = 5
+#: Pairs between groups, for each row of the prefixes, that are listed without meeting leaders first.
+LISTED = 16
 _SALT = stream(SLOTS, 101)
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -176,6 +178,34 @@ def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([*rows.columns, pa.array(size[at[i : i + 200_000]]), pa.array(items)], names=[*rows.schema.names, "d", "item"])
 
 
+_SIDE = ("node", "root", "n", "d", "i")
+
+
+def _near(percent: int) -> Column:
+    """Whether two rows of the prefixes that share an item, the second's columns as b_, may be a link between
+    two groups: at a pair's first shared item, what follows in both must hold the rest of the overlap
+    that a link needs."""
+    c = (100 - percent) / (100 + percent)
+    needs = (F.col("d") + F.col("b_d") - c * (F.col("n") + F.col("b_n"))) / 2 - 1e-6
+    follows = F.least(F.col("d") - F.col("i"), F.col("b_d") - F.col("b_i")) + 1
+    return (F.col("root") != F.col("b_root")) & (F.least("n", "b_n") * 100 >= F.greatest("n", "b_n") * percent) & (follows >= needs)
+
+
+def _crossing(prefix: DataFrame) -> tuple[int, int]:
+    """(pairs of rows that share an item but no group, rows)."""
+    own = prefix.groupBy("family", "item", "root").agg(F.count("*").alias("g"))
+    every = own.groupBy("family", "item").agg(F.sum("g").alias("g"), F.sum(F.col("g") * F.col("g")).alias("same"))
+    r = every.agg(F.sum((F.col("g") * F.col("g") - F.col("same")) / 2).alias("cross"), F.sum("g").alias("rows")).first()
+    return int(r["cross"] or 0), r["rows"] or 0
+
+
+def _led(prefix: DataFrame, percent: int, turn: int) -> DataFrame:
+    """(a, b): of the rows that share an item, each with one of them, another one in each turn."""
+    lead = prefix.groupBy("family", "item").agg(F.min(F.struct(F.xxhash64("item", "node", F.lit(turn)).alias("h"), *_SIDE)).alias("b"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    lead = lead.where("lo <> hi").select("family", "item", *[F.col(f"b.{x}").alias(f"b_{x}") for x in _SIDE])
+    return prefix.join(lead, ["family", "item"]).where(_near(percent)).select(F.greatest("node", "b_node").alias("a"), F.least("node", "b_node").alias("b")).distinct()
+
+
 def _links(buckets: DataFrame, blobs: DataFrame, percent: int) -> DataFrame:
     """(node, root) of all sets linked with another.
 
@@ -190,7 +220,9 @@ def _links(buckets: DataFrame, blobs: DataFrame, percent: int) -> DataFrame:
     rarest |D| - bound + 1 items of the two share one (a prefix filter), and at
     the first they share enough items must follow (a positional filter). For
     copies with edits of their own these are mostly items of no other copy. All
-    other pairs are settled without being listed.
+    other pairs are settled without being listed. Where many copies share an item
+    that the hub lacks, each first meets one of them, in rounds, until few groups
+    are left or no fewer; only pairs between groups that remain are listed.
     """
     met = materialize(buckets.where("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct())
     families = components(met).select("node", F.col("root").alias("hub"))
@@ -215,13 +247,20 @@ def _links(buckets: DataFrame, blobs: DataFrame, percent: int) -> DataFrame:
     overlap = F.greatest(F.lit(1), F.when(F.col("inside"), inside).otherwise(outside))
     often = items.groupBy("family", "item").agg(F.count("*").alias("often")).where("often > 1")
     ranked = items.join(often, ["family", "item"], "left").withColumn("i", F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("often", F.lit(1)), "item")))
-    prefix = materialize(ranked.where((F.col("i") <= F.col("d") - overlap + 1) & F.col("often").isNotNull()).select("family", "item", "node", "root", "n", "d", "i"))
-    other = prefix.select("family", "item", *[F.col(x).alias(f"b_{x}") for x in ("node", "root", "n", "d", "i")])
-    # At a pair's first shared item, what follows in both must hold the rest of the overlap that a link needs.
-    needs = (F.col("d") + F.col("b_d") - c * (F.col("n") + F.col("b_n"))) / 2 - 1e-6
-    follows = F.least(F.col("d") - F.col("i"), F.col("b_d") - F.col("b_i")) + 1
-    near = (F.col("node") > F.col("b_node")) & (F.col("root") != F.col("b_root")) & (F.least("n", "b_n") * 100 >= F.greatest("n", "b_n") * percent) & (follows >= needs)
-    rest = prefix.join(other, ["family", "item"]).where(near).select(F.col("node").alias("a"), F.col("b_node").alias("b")).distinct()
+    prefix = materialize(ranked.where((F.col("i") <= F.col("d") - overlap + 1) & F.col("often").isNotNull()).select("family", "item", "node", "root", "n", "nh", "d", "i"))
+    before, turn = None, 0
+    while True:
+        cross, rows = _crossing(prefix)
+        if cross <= LISTED * rows or (before is not None and 2 * cross > before):
+            break
+        before, turn = cross, turn + 1
+        groups = merged(groups, _verify(_led(prefix, percent, turn), blobs, percent))
+        moved = prefix.drop("root").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        moved = moved.join(groups.select(F.col("node").alias("family"), F.col("root").alias("fr")), "family", "left")
+        # in the hub's group by now: the shorter prefix of those holds as well
+        prefix = materialize(moved.where((F.col("root") != F.coalesce("fr", "family")) | (F.col("i") <= F.col("d") - inside + 1)).select(*prefix.columns))
+    other = prefix.select("family", "item", *[F.col(x).alias(f"b_{x}") for x in _SIDE])
+    rest = prefix.join(other, ["family", "item"]).where((F.col("node") > F.col("b_node")) & _near(percent)).select(F.col("node").alias("a"), F.col("b_node").alias("b")).distinct()
     return merged(groups, _verify(rest, blobs, percent))
 
 

@@ -84,6 +84,28 @@ def test_near_duplicates_equal_brute_force(llm, corpus, percent):
     assert got == brute_components(dict(rows), percent)
 
 
+def test_copies_that_share_an_edit_meet_leaders_before_pairs_are_listed(llm, monkeypatch):
+    rng = np.random.default_rng(11)
+    copies = 200
+    sets = [set(range(150))]  # the only leader, linked with none
+    for i in range(1, copies):  # the same 20 items replaced in all; 3 of their own, or 14 of a stray's
+        own = rng.choice(np.arange(20, 150), 14 if i % 20 == 0 else 3, replace=False)
+        sets.append(set(range(20, 150)) - set(own.tolist()) | set(range(1000, 1020)) | {2000 + 20 * i + j for j in range(len(own))})
+    blobs = llm.createDataFrame([(i, len(s), np.array(sorted(s), dtype=np.int64).tobytes()) for i, s in enumerate(sets)], near_dedup._BLOBS)
+    buckets = llm.createDataFrame([(1, i, 0) for i in range(copies)], "key long, node long, lead long")
+    met, verify = [], near_dedup._verify
+
+    def counted(pairs, blobs, percent):
+        met.append(pairs.count())
+        return verify(pairs, blobs, percent)
+
+    monkeypatch.setattr(near_dedup, "_verify", counted)
+    got = dict(pairs(near_dedup._links(buckets, blobs, 85), "node", "root"))
+    linked = {i for i in range(1, copies) if i % 20}
+    assert got == {i: 1 for i in linked if i > 1}
+    assert sum(met) < 20 * copies  # all pairs of them are 17955
+
+
 def test_signature_agreement_estimates_similarity():
     a, b = stream(700, 1), stream(700, 2)
     x, y = np.concatenate([a[:600], b[:100]]), a
