@@ -20,7 +20,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import ceil, log
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +40,7 @@ CENTROIDS = 4
 BEYOND = 0.001
 #: Steps of the cosine in a histogram, and of the number of different n-grams (half octaves).
 STEPS, KINDS = 256, 2 * WIDTH.bit_length()
-#: Texts of a histogram at least (else it takes in those of fewer n-grams), and cuts of a text at most.
+#: Texts of a histogram at least (else it takes in those of fewer n-grams), and cuts of a text.
 POOL, MOST_CUTS = 1000, 8
 #: Texts whose vectors are held at once.
 PART = 128
@@ -284,8 +284,7 @@ def fit(docs: DataFrame, max_docs: int = MAX_DOCS, max_chars: int = MAX_CHARS) -
     seen = {r["bin"]: r["n"] for r in rows.select("text").mapInArrow(_count_texts, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect()}
     idf = _idf(seen[-1], np.array([seen[i] for i in range(WIDTH)]))
     model, halves = _fitted(pa.array(texts, pa.string()), np.array(langs, dtype=object), np.array(half), idf, CENTROIDS)
-    cuts = max(1, min(MOST_CUTS, ceil(MOST_CUTS * max_docs / sum(sizes.values()))))
-    found = rows.select("text", "lang", "half").mapInArrow(_tallies(halves, cuts), "lang string, kinds int, step int, n long")
+    found = rows.select("text", "lang", "half").mapInArrow(_tallies(halves, MOST_CUTS), "lang string, kinds int, step int, n long")
     found = found.groupBy("lang", "kinds", "step").agg(F.sum("n").alias("n")).collect()
     return _limited(model, {(r["lang"], r["kinds"], r["step"]): r["n"] for r in found})
 

@@ -1,7 +1,8 @@
 """ML-4 as the reference has it: the silhouette with plain Euclidean distance, without pairs of rows.
 
-The sum of the distances from a point to a cluster is taken cell by cell. Each
-cluster has an octree over the features; a node knows its members' number, mean,
+The sum of the distances from a point to a cluster is taken cell by cell. The rows
+that have the same labels in all labellings have an octree over the features, whose
+sums count for a cluster of each labelling; a node knows its members' number, mean,
 second moments and box. For the mean distance of a point to n members around
 their mean, at distance D and with variance s2, two facts hold:
 
@@ -41,6 +42,8 @@ LEVELS, SUB = 10, 5
 GROUP, AT_ONCE = 256, 1 << 16
 # Points, times labellings, that one task scores.
 TASK = 1 << 14
+# Different rows of labels at most, for which all labellings share their trees.
+JOINT = 512
 THIRD_ORDER = 0.1925
 
 
@@ -189,24 +192,35 @@ def _interleaved(x: np.ndarray, low: np.ndarray, step: np.ndarray) -> np.ndarray
     return np.argsort(code, kind="stable")
 
 
-def point_scores(x: np.ndarray, label: np.ndarray, trees: dict[int, Tree], tolerance: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(silhouette, least, greatest) of each point, neighbours together."""
-    names = sorted(trees)
-    sums = np.empty((2, len(names), len(x)))
+def point_scores(x: np.ndarray, labels: Sequence[np.ndarray], trees: dict[tuple, Tree], tolerance: float) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(silhouette, least, greatest) of each point in each labelling, neighbours together.
+    A tree holds the rows of one label in each labelling, or none."""
+    clusters = [sorted({j[t] for j in trees} - {None}) for t in range(len(labels))]
+    first = np.cumsum([0, *map(len, clusters)])
+    at = {j: [first[t] + clusters[t].index(c) for t, c in enumerate(j) if c is not None] for j in trees}
+    size, sums = np.zeros(first[-1]), np.zeros((2, first[-1], len(x)))
+    for j, tree in trees.items():
+        size[at[j]] += tree.size
     for lo in range(0, len(x), GROUP):
         part = slice(lo, lo + GROUP)
-        for k, c in enumerate(names):
-            sums[0, k, part], sums[1, k, part] = trees[c].sums(x[part], tolerance)
-    size = np.array([trees[c].size for c in names])
-    own = np.searchsorted(names, label)
-    at = np.arange(len(x))
+        for j, tree in trees.items():
+            for i, v in enumerate(tree.sums(x[part], tolerance)):
+                sums[i, at[j], part] += v
+    own = [np.searchsorted(c, v) for c, v in zip(clusters, labels, strict=True)]
+    return [_silhouettes(sums[:, lo:hi], size[lo:hi], o) for lo, hi, o in zip(first, first[1:], own, strict=False)]
+
+
+def _silhouettes(sums: np.ndarray, size: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(silhouette, least, greatest) of each point from the sums of its distances to each
+    cluster, and their errors."""
+    at = np.arange(len(own))
     rest = np.maximum(size[own] - 1, 1)
     a, ea = sums[0, own, at] / rest, sums[1, own, at] / rest
     mean, err = sums[0] / size[:, None], sums[1] / size[:, None]
     mean[own, at] = np.inf
     b = mean.min(axis=0)
     b_low, b_high = (mean - err).min(axis=0), (mean + err).min(axis=0)
-    alone = (size[own] <= 1) | (len(names) < 2)
+    alone = (size[own] <= 1) | (len(size) < 2)
 
     def score(inner, outer):
         inner, outer = np.maximum(inner, 0), np.maximum(outer, 0)
@@ -231,18 +245,20 @@ def _scored(forest, low: np.ndarray, step: np.ndarray, labellings: Sequence[str]
             yield pa.Table.from_batches(held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = {t: {c: Tree(*parts) for c, parts in of.items()} for t, of in forest.value.items()}
+        trees = {part: {j: Tree(*parts) for j, parts in of.items()} for part, of in forest.value.items()}
         for rows in chunks(batches):
             x = np.stack([rows.column(f"x{a}").to_numpy() for a in range(d)], axis=1)
             order = _interleaved(x, low, step)
             x = x[order]
-            for t, name in enumerate(labellings):
-                label = rows.column(f"l{t}")
-                known = np.flatnonzero(~label.is_null().to_numpy()[order])
-                labels = label.fill_null(-1).to_numpy()[order][known]
-                if len(known):
-                    s, least, most = point_scores(x[known], labels, trees[name], tolerance)
-                    yield pa.record_batch([pa.array([name]), pa.array([len(s)], pa.int64()), *[pa.array([float(v.sum())]) for v in (s, least, most)]], names=["t", "n", "s", "least", "most"])
+            for part, of in trees.items():
+                nulls = [rows.column(f"l{t}").is_null().to_numpy()[order] for t in part]
+                known = np.flatnonzero(~np.all(nulls, axis=0))
+                if not len(known):
+                    continue
+                labels = [rows.column(f"l{t}").fill_null(-1).to_numpy()[order][known] for t in part]
+                for t, null, (s, least, most) in zip(part, nulls, point_scores(x[known], labels, of, tolerance), strict=True):
+                    has = ~null[known]
+                    yield pa.record_batch([pa.array([labellings[t]]), pa.array([int(has.sum())], pa.int64()), *[pa.array([float(v[has].sum())]) for v in (s, least, most)]], names=["t", "n", "s", "least", "most"])
 
     return run
 
@@ -263,19 +279,29 @@ def euclidean_silhouettes(
         *[F.col(c).cast("double").alias(n) for c, n in zip(features, x, strict=True)],
         *[F.col(c).cast("int").alias(n) for c, n in zip(label_cols, lab, strict=True)],
     ).where(" AND ".join(f"{c} IS NOT NULL" for c in x))
-    labelled = F.array(*[F.struct(F.lit(name).alias("t"), F.col(n).alias("c")) for name, n in zip(label_cols, lab, strict=True)])
-    long = rows.select(*x, F.inline(labelled)).where("c IS NOT NULL")
+    # a row counts once for all labellings, in the tree of its labels, unless these are too many
+    parts = [tuple(range(len(lab)))]
+    if rows.select(*lab).distinct().limit(JOINT + 1).count() > JOINT:
+        parts = [(t,) for t in parts[0]]
+    names = [F.concat_ws(",", F.lit(p), *[F.coalesce(F.col(lab[t]).cast("string"), F.lit("-")) for t in part]) for p, part in enumerate(parts)]
+    some = [F.coalesce(*[F.col(lab[t]) for t in part]).isNotNull() for part in parts]
+    labelled = F.array(*[F.struct(F.when(s, n).alias("t"), F.lit(0).alias("c")) for s, n in zip(some, names, strict=True)])
+    long = rows.select(*x, F.inline(labelled)).where("t IS NOT NULL")
     sizes = long.groupBy("t", "c").agg(F.count("*").alias("n"), *[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in x]).collect()
     kinds = "labelling string, points long, silhouette double, error_bound double"
     if not sizes:
         return spark.createDataFrame([], kinds)
-    total: dict[str, int] = {}
+    total = [0] * len(lab)
+    joint: dict[str, tuple[tuple, tuple]] = {}  # (labellings, the labels in them)
     for r in sizes:
-        total[r["t"]] = total.get(r["t"], 0) + r["n"]
+        p, *own = r["t"].split(",")
+        joint[r["t"]] = parts[int(p)], tuple(None if v == "-" else int(v) for v in own)
+        for t, v in zip(*joint[r["t"]], strict=True):
+            total[t] += r["n"] if v is not None else 0
     low = np.array([min(r[f"min_{c}"] for r in sizes) for c in x])
     width = np.array([max(r[f"max_{c}"] for r in sizes) for c in x]) - low
     step = np.full(d, max(float(width.max()), 1e-300) / (1 << LEVELS))  # cubes
-    most = {(r["t"], r["c"]): max(1, total[r["t"]] // cells) for r in sizes}
+    most = {(j, 0): max(1, min(total[t] for t, v in zip(*of, strict=True) if v is not None) // cells) for j, of in joint.items()}
 
     index_of = [F.least(F.floor((F.col(c) - F.lit(float(o))) / F.lit(float(s))), F.lit((1 << LEVELS) - 1)).cast("long") for c, o, s in zip(x, low, step, strict=True)]
     index = [i.alias(f"i{a}") for a, i in enumerate(index_of)]
@@ -293,18 +319,17 @@ def euclidean_silhouettes(
     schema = "t string, c int, " + ", ".join(f"c{i} double" for i in range(width_of_row))
     leaves = finest.groupBy("t", "c", *coarse).applyInArrow(_leaves(most, d), schema).toArrow()
 
-    forest: dict[str, dict[int, tuple]] = {name: {} for name in label_cols}
-    t, c = np.array(leaves.column("t").to_pylist()), leaves.column("c").to_numpy()
+    forest: dict[tuple, dict[tuple, tuple]] = {part: {} for part in parts}
+    t = np.array(leaves.column("t").to_pylist())
     values = np.stack([leaves.column(f"c{i}").to_numpy() for i in range(width_of_row)], axis=1)
-    for r in sizes:
-        own = values[(t == r["t"]) & (c == r["c"])]
-        level, cell, n, s, q, lo, hi = np.split(own, np.cumsum([1, d, 1, d, d * d, d]), axis=1)
+    for j, (part, own) in joint.items():
+        level, cell, n, s, q, lo, hi = np.split(values[t == j], np.cumsum([1, d, 1, d, d * d, d]), axis=1)
         tree = plant(level[:, 0].astype(np.int64), cell.astype(np.int64), n[:, 0], s, q, lo, hi)
         tree.mean += low
-        forest[r["t"]][r["c"]] = tuple(vars(tree).values())  # plain arrays: a broadcast knows no classes of ours
+        forest[part][own] = tuple(vars(tree).values())  # plain arrays: a broadcast knows no classes of ours
     # neighbours meet in a task, and copies of one point are split by their order
     code = [F.shiftright(i, LEVELS - 4) for i in index_of]
-    tasks = math.ceil(sum(total.values()) / TASK)
+    tasks = math.ceil(sum(total) / TASK)
     near = rows.repartitionByRange(tasks, *code, F.monotonically_increasing_id())
     sent = spark.sparkContext.broadcast(forest)  # bounded by ``cells``, not by the rows
     parts = near.mapInArrow(_scored(sent, low, step, list(label_cols), d, tolerance), "t string, n long, s double, least double, most double")

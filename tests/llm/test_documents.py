@@ -419,6 +419,15 @@ def test_language_of_held_out_texts(llm, corpus):
     assert language_id.keep_identified(corpus).count() == corpus.count()
 
 
+def test_limits_take_as_many_cuts_of_a_text_whatever_the_number_of_texts(llm, monkeypatch):
+    used, tallies = [], language_id._tallies
+    monkeypatch.setattr(language_id, "_tallies", lambda halves, cuts: used.append(cuts) or tallies(halves, cuts))
+    for n in (8, 400):  # below and far above the sample
+        rows = [(i, "lorem ipsum dolor sit amet " * 3, "la") for i in range(n)]
+        language_id.fit(llm.createDataFrame(rows, "doc_id long, text string, lang string"), max_docs=20)
+    assert used == [language_id.MOST_CUTS] * 2
+
+
 def test_language_of_odd_rows(odd, empty):
     got = {r.doc_id: r for r in language_id.identify(odd).collect()}
     assert all(got[i].lang_pred == "und" and got[i].score == 0 and got[i].rejected for i in (1, 2, 3, 11))
