@@ -90,6 +90,33 @@ def test_cost_per_point_hardly_grows(monkeypatch):
     assert met[2] < 2 * met[1] and met[2] < 64000 / 4
 
 
+def test_labellings_share_the_distances(monkeypatch):
+    """Seven labellings with the same borders meet as many nodes as one."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(600, 3))
+    label = (x[:, 0] > 0).astype(int)
+    trees = []
+    for c in (0, 1):
+        y = x[label == c]
+        square = (y[:, :, None] * y[:, None, :]).reshape(len(y), 9)
+        trees.append(cell_tree.plant(np.full(len(y), cell_tree.LEVELS), np.floor((y + 8) * 64).astype(int), np.ones(len(y)), y, square, y, y))
+    met, take = [], cell_tree.Tree.take
+
+    def counted(self, *box):
+        out = take(self, *box)
+        met.append(len(out[0]) + len(out[1]))
+        return out
+
+    monkeypatch.setattr(cell_tree.Tree, "take", counted)
+    seen = []
+    for many in (1, 7):
+        met.clear()
+        scores = cell_tree.point_scores(x, [label] * many, {(c,) * many: t for c, t in enumerate(trees)}, 1e-4)
+        seen.append(sum(met))
+        assert len(scores) == many and all(abs(s.mean() - all_pairs(x, label)) < 1e-4 for s, _, _ in scores)
+    assert seen[0] == seen[1]
+
+
 def test_wrapper_and_any_number_of_features(spark):
     rng = np.random.default_rng(7)
     x = rng.normal(size=(400, 2))
