@@ -196,13 +196,14 @@ def sweep_ks(cfg: ClusterConfig) -> list[int]:
 
 def score_sweep(df: DataFrame, fits: dict[int, tuple[list[list[float]], float]], cfg: ClusterConfig = ClusterConfig()) -> DataFrame:
     """ML-2: (k, inertia, silhouette, error_bound, silhouette_sq_euclidean) of the fits of
-    ``sweep_ks(cfg)``. All k are scored together: two passes for the squared
-    silhouette, three for the Euclidean one, whatever the number of k."""
+    ``sweep_ks(cfg)``. All k are scored together, from one table of their labels: two
+    passes for the squared silhouette, three for the Euclidean one, whatever the number of k."""
     ks = sweep_ks(cfg)
     labelled = df
     for k in ks:
         labelled = assign_nearest(labelled, fits[k][0], cfg.features, f"_k{k}")
-    labelled = labelled.select(*cfg.features, *[f"_k{k}" for k in ks])
+    # written once: each pass would take the distances to all centres anew
+    labelled = materialize(labelled.select(*cfg.features, *[f"_k{k}" for k in ks]))
     names = [f"_k{k}" for k in ks]
     squared = squared_silhouettes(labelled, names, cfg.features).first()
     plain = {r["labelling"]: r for r in euclidean_silhouettes(labelled, names, cfg.features).collect()}

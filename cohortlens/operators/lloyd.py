@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE = 8192
-# Rows whose distances are held at once.
-AT_ONCE = 1 << 13
+# Distances of rows to centres that are held at once.
+AT_ONCE = 1 << 16
 
 
 @dataclass
@@ -65,7 +65,20 @@ def start(x: np.ndarray, k: int, seed: int, least: float, max_iter: int) -> np.n
     return c
 
 
-def _sums(centres: dict[int, np.ndarray], d: int):
+def nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(whether a centre is the nearest (fits, k, rows), the least squared distance less the row's
+    square (fits, rows)) of the columns of x in each fit of ``centres`` (fits, k, d); ties go to the lower number."""
+    fits, k, d = centres.shape
+    c = centres.reshape(-1, d)
+    far = ((c * c).sum(axis=1)[:, None] - 2 * (c @ x)).reshape(fits, k, -1)
+    least = far.min(axis=1)
+    hot = far == least[:, None]
+    if np.count_nonzero(hot) > least.size:
+        hot &= np.cumsum(hot, axis=1) == 1
+    return hot, least
+
+
+def _sums(centres: dict[int, np.ndarray], d: int, costs: bool):
     """Rows (fit, centre, n, sums, cost) of a task's rows."""
     by_k: dict[int, list[int]] = {}
     for f, c in centres.items():
@@ -74,18 +87,20 @@ def _sums(centres: dict[int, np.ndarray], d: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = {f: np.zeros((len(c), d + 2)) for f, c in centres.items()}
         for batch in batches:
-            every = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1)
-            for lo in range(0, len(every), AT_ONCE):
-                x = every[lo : lo + AT_ONCE]
-                square = (x * x).sum(axis=1)
-                for k, fits in by_k.items():
-                    c = np.concatenate([centres[f] for f in fits])
-                    near = ((c * c).sum(axis=1) - 2 * (x @ c.T)).reshape(len(x), len(fits), k)
-                    own = near.argmin(axis=2)
-                    cost = np.take_along_axis(near, own[:, :, None], axis=2)[:, :, 0] + square[:, None]
-                    for i, f in enumerate(fits):
-                        for column, w in enumerate((None, *x.T, np.maximum(cost[:, i], 0))):
-                            out[f][:, column] += np.bincount(own[:, i], weights=w, minlength=k)
+            every = np.stack([np.ones(batch.num_rows), *[c.to_numpy(zero_copy_only=False) for c in batch.columns]])
+            for k, fits in by_k.items():
+                c = np.stack([centres[f] for f in fits])
+                step = max(1, AT_ONCE // (len(fits) * k))
+                for lo in range(0, batch.num_rows, step):
+                    x = every[:, lo : lo + step]
+                    hot, least = nearest(x[1:], c)
+                    added = (hot.reshape(len(fits) * k, -1).astype(float) @ x.T).reshape(len(fits), k, -1)
+                    for f, v in zip(fits, added, strict=True):
+                        out[f][:, :-1] += v
+                    if costs:
+                        cost = np.maximum(least + (x[1:] * x[1:]).sum(axis=0), 0)
+                        for f, h, v in zip(fits, hot, cost, strict=True):
+                            out[f][:, -1] += h @ v
         rows = np.concatenate([np.column_stack([np.full(len(s), f), np.arange(len(s)), s]) for f, s in out.items()])
         yield pa.record_batch([pa.array(rows[:, i].astype(np.int32)) for i in (0, 1)] + [pa.array(rows[:, i]) for i in range(2, rows.shape[1])], names=names)
 
@@ -93,10 +108,10 @@ def _sums(centres: dict[int, np.ndarray], d: int):
     return run, ", ".join(f"{n} {'int' if i < 2 else 'double'}" for i, n in enumerate(names))
 
 
-def _pass(table: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
-    """(n, sums, cost) of each centre of each fit."""
+def _pass(table: DataFrame, centres: dict[int, np.ndarray], costs: bool = False) -> dict[int, np.ndarray]:
+    """(n, sums, cost) of each centre of each fit; the cost is 0 unless ``costs``."""
     d = len(table.columns)
-    run, schema = _sums(centres, d)
+    run, schema = _sums(centres, d, costs)
     part = table.mapInArrow(run, schema)
     merged = part.groupBy("fit", "centre").agg(*[F.sum(c).alias(c) for c in part.columns[2:]]).collect()
     out = {f: np.zeros((len(c), d + 2)) for f, c in centres.items()}
@@ -130,7 +145,7 @@ def fit_all(
             fit.centres, fit.passes = moved, fit.passes + 1
             if shift <= tol * mean_var or fit.passes >= max_iter:
                 going.discard(i)
-    for i, s in _pass(table, {i: f.centres for i, f in enumerate(fits)}).items():
+    for i, s in _pass(table, {i: f.centres for i, f in enumerate(fits)}, costs=True).items():
         fits[i].cost = float(s[:, -1].sum())
     return fits
 

@@ -117,6 +117,48 @@ def test_labellings_share_the_distances(monkeypatch):
     assert seen[0] == seen[1]
 
 
+def test_far_nodes_are_met_by_groups_not_by_points(monkeypatch):
+    """Points score within their proven limits, and their small groups meet few of the nodes in reach."""
+    rng = np.random.default_rng(9)
+    y = rng.normal(size=(20000, 3))
+    cluster = (y[:, 0] + y[:, 1] > 0).astype(int)
+    low, step = y.min(axis=0), np.full(3, np.ptp(y, axis=0).max() / 64)
+    trees = {}
+    for c in (0, 1):
+        z = y[cluster == c]
+        cell, at = np.unique(((z - low) // step).astype(np.int64), axis=0, return_inverse=True)
+        order = np.argsort(at.reshape(-1), kind="stable")
+        starts = np.flatnonzero(np.diff(at.reshape(-1)[order], prepend=-1))
+        z, square = z[order], (z[:, :, None] * z[:, None, :]).reshape(len(z), 9)[order]
+        sums = [np.add.reduceat(v, starts, axis=0) for v in (np.ones(len(z)), z, square)]
+        trees[(c,)] = cell_tree.plant(np.full(len(cell), 6), cell, *sums, np.minimum.reduceat(z, starts), np.maximum.reduceat(z, starts))
+    x = rng.uniform(-0.1, 0.1, size=(512, 3))
+    x = x[cell_tree._interleaved(x, low, step)]
+    own = (x[:, 0] + x[:, 1] > 0).astype(int)
+    met, take = [], cell_tree.Tree.take
+
+    def counted(self, *box):
+        out = take(self, *box)
+        met.append(len(out[0]) + len(out[1]))
+        return out
+
+    monkeypatch.setattr(cell_tree.Tree, "take", counted)
+    ((score, least, most),) = cell_tree.point_scores(x, [own], trees, 1e-4)
+    seen = sum(met)
+    met.clear()
+    for lo in range(0, len(x), cell_tree.GROUP):
+        part = x[lo : lo + cell_tree.GROUP]
+        for tree in trees.values():
+            tree.take(part.min(axis=0), part.max(axis=0), 1e-4)
+    assert seen < sum(met) / 2
+    d = np.sqrt(((x[:, None] - y) ** 2).sum(axis=2))
+    sums = np.stack([d[:, cluster == c].sum(axis=1) for c in (0, 1)])
+    n, at = np.bincount(cluster), np.arange(len(x))
+    a, b = sums[own, at] / (n[own] - 1), sums[1 - own, at] / n[1 - own]
+    exact = (b - a) / np.maximum(a, b)
+    assert (least - 1e-12 <= exact).all() and (exact <= most + 1e-12).all() and abs((score - exact).mean()) < 1e-5
+
+
 def test_wrapper_and_any_number_of_features(spark):
     rng = np.random.default_rng(7)
     x = rng.normal(size=(400, 2))

@@ -147,6 +147,19 @@ def test_fits_advance_together_and_stop_by_the_references_rule(spark, monkeypatc
         lloyd.fit_all(df.limit(0), table.limit(0), [(2, 1)], var, tol, 5)
 
 
+def test_nearest_centre_of_many_fits_and_ties():
+    from cohortlens.operators import lloyd
+
+    rng = np.random.default_rng(10)
+    x = rng.integers(-2, 3, (50, 3)).astype(float)
+    centres = rng.integers(-2, 3, (4, 5, 3)).astype(float)
+    centres[1, 3] = centres[1, 0]
+    hot, least = lloyd.nearest(x.T, centres)
+    d = ((x[:, None, None] - centres) ** 2).sum(axis=3)
+    assert (hot.sum(axis=1) == 1).all() and (hot.argmax(axis=1).T == d.argmin(axis=2)).all()
+    assert np.allclose(least.T + (x * x).sum(axis=1)[:, None], d.min(axis=2))
+
+
 def test_fit_reads_every_row_not_its_sample(spark, monkeypatch):
     from cohortlens.operators import lloyd
 
